@@ -1,0 +1 @@
+"""DuckDB oracle for the registered queries (independent plain-SQL rebuild)."""
