@@ -33,7 +33,7 @@ def select_source(raw: DataFrame, cfg: RunConfig) -> DataFrame:
         event_param("ga_session_id", INT).alias("ga_session_id"),
         event_param("page_location").alias("page_location"),
         event_param("ga_session_number", INT).alias("ga_session_number"),
-        engaged_flag().alias("session_engaged"),
+        engaged_flag().cast("bigint").alias("session_engaged"),
         event_param("engagement_time_msec", INT).alias("engagement_time_msec"),
         event_param("page_title").alias("page_title"),
         event_param("page_pagetype").alias("page_pagetype"),
@@ -64,7 +64,7 @@ def base_events(raw: DataFrame, cfg: RunConfig, numbering: str = "bucketed") ->
     elif numbering == "window":
         from pyspark.sql import Window
         df = df.withColumn("session_event_number", F.row_number().over(
-            Window.partitionBy("session_key").orderBy(*order)))
+            Window.partitionBy("session_key").orderBy(*order)).cast("long"))
     else:
         raise ValueError(numbering)
     df = (df.withColumn("page_path", page_path(F.col("page_location"), cfg.site))

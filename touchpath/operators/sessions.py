@@ -178,7 +178,7 @@ def session_first_last_source(events: DataFrame, cfg: RunConfig) -> DataFrame:
     return g.select(F.col("f.event_date_dt").alias("event_date_dt"), "session_key",
                     F.col("f.user_key").alias("user_key"),
                     F.col("f.session_start_time").alias("session_start_time"),
-                    F.lit(1).alias("event_no"),
+                    F.lit(1).cast("bigint").alias("event_no"),
                     F.col("f.t").alias("first_value_session"),
                     "last_non_null_value_session")
 
@@ -203,7 +203,7 @@ def _lookback_bucketed(s: DataFrame, lookback: int, bucket_seconds: int) -> Data
     order_key = F.when(v.isNotNull(), F.struct(t, F.col("session_key")))
     x = s.select("*", F.coalesce(F.col("user_key"), F.lit("")).alias("__u"),
                  F.col("user_key").isNull().alias("__un"),
-                 F.floor(t / F.lit(bucket_seconds)).alias("__b"))
+                 F.coalesce(F.floor(t / F.lit(bucket_seconds)), F.lit(-(2 ** 63))).alias("__b"))
     parts = ["__u", "__un", "__b"]
     w_in = Window.partitionBy(*parts).orderBy("session_start_time").rangeBetween(-lookback, -1)
     x = x.withColumn("__in", F.max_by(v, order_key).over(w_in))

@@ -35,18 +35,21 @@ def number_within(df: DataFrame, key: str, order: list[str], bucket: Column, out
     its buckets; the per-key prefix sum runs on the count table, whose size per
     key is bounded by the number of buckets, not by the number of rows.
     """
-    tmp = df.select("*", *_key_cols(key), bucket.alias(_B))
+    # a NULL bucket (NULL order value) sorts first: give it the lowest bucket.
+    # All three sub-keys are non-null, so the final join is a plain equi-join
+    # whose keys equal the window's hash partitioning: the event side is not
+    # shuffled a second time.
+    b = F.coalesce(bucket.cast("long"), F.lit(-(2 ** 63)))
+    tmp = df.select("*", *_key_cols(key), b.alias(_B))
     parts = [_K, _KN, _B]
     local = tmp.withColumn("__local", F.row_number().over(
         Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_first() for c in order])))
     counts = local.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(*parts, F.coalesce(
-        F.sum("__n").over(Window.partitionBy(_K, _KN).orderBy(F.col(_B).asc_nulls_first())
+        F.sum("__n").over(Window.partitionBy(_K, _KN).orderBy(_B)
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    # null-safe on the bucket (a NULL order value forms its own bucket)
-    joined = local.join(offsets, [local[c].eqNullSafe(offsets[c]) for c in parts], "inner")
-    return joined.select(*[local[c] for c in df.columns],
-                         (local["__local"] + offsets["__off"]).cast("int").alias(out))
+    joined = local.join(offsets, parts, "inner")
+    return joined.select(*df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(out))
 
 
 def left_join_nonnull(left: DataFrame, right: DataFrame, on: list[str],

@@ -35,10 +35,24 @@ class Chain:
     numbering: str = "bucketed"
     lookback_strategy: str = "bucketed"
     overrides: dict = field(default_factory=dict)
+    # models written as date-partitioned tables in the shared folder and read
+    # back (durable boundaries: lineage is cut, later date filters prune)
+    durable: tuple = ()
+
+    def _boundary(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self.durable:
+            return df
+        from touchpath.session import scratch_path
+        from touchpath.sources.sinks import write_full
+        path = scratch_path(self.spark, f"model-{name}")
+        write_full(df, path, partition_by="event_date_dt")
+        return self.spark.read.parquet(path).select(*df.columns)
 
     @cached_property
     def base(self) -> DataFrame:
-        return self.overrides.get("base") or base_events(self.raw_events, self.cfg, self.numbering)
+        if "base" in self.overrides:
+            return self.overrides["base"]
+        return self._boundary("base", base_events(self.raw_events, self.cfg, self.numbering))
 
     @cached_property
     def clicks(self) -> DataFrame:
@@ -64,11 +78,13 @@ class Chain:
 
     @cached_property
     def traffic(self) -> DataFrame:
-        return S.with_silent_sessions(self.adjusted, self.silent_sessions, self.cfg)
+        return self._boundary("traffic", S.with_silent_sessions(self.adjusted, self.silent_sessions, self.cfg))
 
     @cached_property
     def first_last(self) -> DataFrame:
-        return self.overrides.get("first_last") or S.session_first_last_source(self.traffic, self.cfg)
+        if "first_last" in self.overrides:
+            return self.overrides["first_last"]
+        return self._boundary("first_last", S.session_first_last_source(self.traffic, self.cfg))
 
     @cached_property
     def channel_groups(self) -> DataFrame:
@@ -86,7 +102,7 @@ class Chain:
 def fixture_chain(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None, **kw) -> Chain:
     """The chain over GA4- and Ads-shaped tables derived from ``events``."""
     configure(spark)
-    ev = fixtures.load_events(spark, sf_dir)
-    return Chain(spark=spark, raw_events=fixtures.ga4_events(ev),
-                 click_tables=fixtures.ads_click_stats(ev), campaign_tables=fixtures.ads_campaigns(ev),
+    paths = fixtures.materialise(spark, sf_dir)
+    return Chain(spark=spark, raw_events=spark.read.parquet(paths["events"]),
+                 click_tables=dict(paths["clicks"]), campaign_tables=dict(paths["campaigns"]),
                  cfg=cfg or RunConfig(run_date=FIXTURE_RUN_DATE), **kw)
