@@ -53,10 +53,21 @@ def event_surrogate_key():
                            F.col("engagement_time_msec"), K.items_json(F.col("items")))
 
 
+def keyed_events(raw: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Model M1 without the event number: what the downstream models read.
+
+    Leaving the number out keeps its shuffle, count table and join out of
+    every downstream plan (Catalyst can prune the window but not the join).
+    """
+    df = with_identity_keys(select_source(raw, cfg)).withColumn("sk_id", event_surrogate_key())
+    return (df.withColumn("page_path", page_path(F.col("page_location"), cfg.site))
+              .withColumn("page_path_and_querystring", page_path_and_querystring(F.col("page_location"), cfg.site)))
+
+
 def base_events(raw: DataFrame, cfg: RunConfig, numbering: str = "bucketed") -> DataFrame:
     """Model M1.  ``numbering='bucketed'`` is the skew-proof event number;
     ``'window'`` is the plain per-session window (one task per session)."""
-    df = with_identity_keys(select_source(raw, cfg)).withColumn("sk_id", event_surrogate_key())
+    df = keyed_events(raw, cfg)
     order = ["event_timestamp", "sk_id"]
     if numbering == "bucketed":
         bucket = F.floor(F.col("event_timestamp") / F.lit(cfg.numbering_bucket_us))
@@ -67,6 +78,4 @@ def base_events(raw: DataFrame, cfg: RunConfig, numbering: str = "bucketed") ->
             Window.partitionBy("session_key").orderBy(*order)).cast("long"))
     else:
         raise ValueError(numbering)
-    df = (df.withColumn("page_path", page_path(F.col("page_location"), cfg.site))
-            .withColumn("page_path_and_querystring", page_path_and_querystring(F.col("page_location"), cfg.site)))
     return df.select(*BASE_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from touchpath.config import RunConfig
 from touchpath.operators import ads as A
 from touchpath.operators import sessions as S
-from touchpath.operators.base_events import base_events
+from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.operators.reports import daily_sessions
 from touchpath.session import configure
 from touchpath.sources import fixtures
@@ -54,6 +54,14 @@ class Chain:
             return self.overrides["base"]
         return self._boundary("base", base_events(self.raw_events, self.cfg, self.numbering))
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """Keyed events for the downstream models (the M1 table when it is
+        durable or given; otherwise M1 without its event number)."""
+        if "base" in self.overrides or "base" in self.durable:
+            return self.base
+        return keyed_events(self.raw_events, self.cfg)
+
     @cached_property
     def clicks(self) -> DataFrame:
         return A.ads_click_stats(self.spark, self.click_tables, self.cfg)
@@ -68,13 +76,13 @@ class Chain:
 
     @cached_property
     def silent_sessions(self) -> DataFrame:
-        return S.non_pageview_sessions(self.base, self.cfg)
+        return S.non_pageview_sessions(self.events, self.cfg)
 
     @cached_property
     def adjusted(self) -> DataFrame:
         if self.variant == "gclid":
-            return S.adjust_google_params(self.base, self.gclid_campaigns, self.cfg)
-        return S.adjust_google_params_urlparam(self.base, self.cfg)
+            return S.adjust_google_params(self.events, self.gclid_campaigns, self.cfg)
+        return S.adjust_google_params_urlparam(self.events, self.cfg)
 
     @cached_property
     def traffic(self) -> DataFrame:
@@ -92,7 +100,7 @@ class Chain:
 
     @cached_property
     def session_starts(self) -> DataFrame:
-        return S.session_starts_enriched(self.base, self.channel_groups, self.cfg)
+        return S.session_starts_enriched(self.events, self.channel_groups, self.cfg)
 
     @cached_property
     def daily(self) -> DataFrame:

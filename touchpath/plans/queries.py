@@ -124,7 +124,7 @@ def q_high_water_mark(spark, sf):
 
 # ---------------------------------------------------------------- projections / scalars
 def q_extract_params(spark, sf):
-    b = _chain(spark, sf).base
+    b = _chain(spark, sf).events
     from touchpath.functions.params import INT, event_param
     return b.select("event_timestamp", "ga_session_id", "page_location", "ga_session_number", "session_engaged",
                     "engagement_time_msec", "page_title", "page_pagetype", "page_referrer", "page_device",
@@ -159,12 +159,12 @@ def q_page_path(spark, sf):
 
 
 def q_identity_keys(spark, sf):
-    return _chain(spark, sf).base.select("event_timestamp", "user_id", "user_pseudo_id", "ga_session_id",
+    return _chain(spark, sf).events.select("event_timestamp", "user_id", "user_pseudo_id", "ga_session_id",
                                          "user_key", "session_key")
 
 
 def q_surrogate_key(spark, sf):
-    return _chain(spark, sf).base.select("event_timestamp", "ga_session_id", "event_name",
+    return _chain(spark, sf).events.select("event_timestamp", "ga_session_id", "event_name",
                                          "engagement_time_msec", "sk_id")
 
 
@@ -198,12 +198,12 @@ def q_filter_partition_list(spark, sf):
 
 
 def q_filter_incremental(spark, sf):
-    b = _chain(spark, sf).base
+    b = _chain(spark, sf).events
     return _count_by_day(b.where(D.incremental_range(F.col("event_date_dt"), date(2024, 1, 27), RUN)), "event_date_dt")
 
 
 def q_pageview_events(spark, sf):
-    b = _chain(spark, sf).base
+    b = _chain(spark, sf).events
     return b.where(F.col("event_name") == "page_view").select("event_timestamp", "session_key", "page_path")
 
 
@@ -222,14 +222,14 @@ def q_non_pageview_sessions(spark, sf):
 
 def q_ordered_string_agg(spark, sf):
     ch = _chain(spark, sf)
-    g = S.page_view_counts(ch.base, ch.cfg)
+    g = S.page_view_counts(ch.events, ch.cfg)
     return g.select("session_key", "user_key", "session_start_time",
                     S.page_view_string(F.col("n_page_views")).alias("has_pageview"))
 
 
 def q_join_gclid_campaign(spark, sf):
     ch = _chain(spark, sf)
-    pv = S.traffic_params(ch.base, ch.cfg)
+    pv = S.traffic_params(ch.events, ch.cfg)
     j = S.join_gclid_names(pv, S.gclid_name_table(ch.gclid_campaigns, ch.cfg))
     return j.select("event_timestamp", "sk_id", "gclid", "gads_campaign_name")
 
