@@ -49,7 +49,10 @@ class RunConfig:
     lookback_bucket_seconds: int = 3_600        # skew split of the look-back
     numbering_bucket_us: int = 3_600_000_000    # skew split of event numbering
     site: str = "shop"                          # own site name for page paths
-    pageviews_only: bool = True                 # url-param variant filter (D2)
+    pageviews_only: bool = True                 # url-param variant: page views only
+    click_lookback_days: int = 0                # incremental: also match clicks this much older
+    widen_sessions_days: int = 0                # session starts: channel groups this much older
+    drop_null_keys: bool = False                # first/last: drop the folded NULL session
     dev_sample_percent: float = 5.0
     sample_seed: int = 42
     reload_days: int = 2                        # partitions replaced incrementally
@@ -70,18 +73,21 @@ class RunConfig:
             raise KeyError(f"incremental run needs a high-water mark for {model!r}")
         return self.high_water_marks[model]
 
-    def window(self, model: str, col: Column) -> Column | None:
-        """Date predicate of ``model`` on ``col``; ``None`` = read everything."""
+    def window(self, model: str, col: Column, widen_days: int = 0) -> Column | None:
+        """Date predicate of ``model`` on ``col``; ``None`` = read everything.
+
+        ``widen_days`` moves the lower bound of a range window earlier.
+        """
         full_days, dev_days, kind = MODEL_WINDOWS[model]
         if self.mode == DEV:
-            return D.last_n_days(col, self.run_date, dev_days)
+            return D.last_n_days(col, self.run_date, dev_days + widen_days)
         if self.mode == INCREMENTAL and kind == "partitions":
             return D.in_dates(col, self.reload_partitions())
         if self.mode == INCREMENTAL and kind == "hwm":
-            return D.incremental_range(col, self.hwm(model), self.run_date)
+            return D.incremental_range(col, self.hwm(model) - timedelta(days=widen_days), self.run_date)
         if full_days is None:
             return None
-        return D.last_n_days(col, self.run_date, full_days)
+        return D.last_n_days(col, self.run_date, full_days + widen_days)
 
     def ads_window(self, col: Column, dev_days: int | None = 1,
                    incremental: bool = True) -> Column:
@@ -93,6 +99,6 @@ class RunConfig:
         return D.two_windows(col, self.run_date, 120)
 
 
-def apply_window(df, cfg: RunConfig, model: str, col: str = "event_date_dt"):
-    cond = cfg.window(model, df[col])
+def apply_window(df, cfg: RunConfig, model: str, col: str = "event_date_dt", widen_days: int = 0):
+    cond = cfg.window(model, df[col], widen_days)
     return df if cond is None else df.where(cond)

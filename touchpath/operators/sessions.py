@@ -91,8 +91,13 @@ def _reassign_google_cpc(df: DataFrame, extra: Column | None = None) -> DataFram
 
 
 def gclid_name_table(gclid_campaigns: DataFrame, cfg: RunConfig) -> DataFrame:
-    """DISTINCT (gclid, campaign name) over the click-date window."""
-    g = apply_window(gclid_campaigns, cfg, "gclid_names", col="date")
+    """DISTINCT (gclid, campaign name) over the click-date window.
+
+    An incremental run only sees clicks from the high-water mark on;
+    ``cfg.click_lookback_days`` widens that to older clicks.
+    """
+    widen = cfg.click_lookback_days if cfg.mode == "incremental" else 0
+    g = apply_window(gclid_campaigns, cfg, "gclid_names", col="date", widen_days=widen)
     return g.select("gclid", F.col("campaign_name").alias("gads_campaign_name")).distinct()
 
 
@@ -165,11 +170,15 @@ def session_first_last_source(events: DataFrame, cfg: RunConfig) -> DataFrame:
     """Model M5: one row per session_key with the first traffic struct
     (respecting NULL) and the last non-NULL one.
 
-    Written as a hash aggregate with ``min_by``/``max_by`` instead of a
-    full-frame window + ``row_number() = 1``: partial aggregation, no sort,
-    and a hot or NULL session key is combined map-side.
+    Written as an aggregate with ``min_by``/``max_by`` instead of a
+    full-frame window + ``row_number() = 1``: partial aggregation combines a
+    hot or NULL session key map-side, and no window buffers a whole session.
+    All events with a NULL session key fold into one row, as in the original;
+    ``cfg.drop_null_keys`` drops them instead.
     """
     e = apply_window(events, cfg, "session_first_last_source")
+    if cfg.drop_null_keys:
+        e = e.where(F.col("session_key").isNotNull())
     ts = F.col("traffic_source_struct")
     first = F.min_by(F.struct("event_date_dt", "user_key", "session_start_time",
                               ts.alias("t")), _event_order())
@@ -282,10 +291,15 @@ SESSION_START_COLUMNS = [
 
 
 def session_starts_enriched(base: DataFrame, channel_groups: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Model M8: session_start events LEFT JOIN session channel groups USING (session_key)."""
+    """Model M8: session_start events LEFT JOIN session channel groups USING (session_key).
+
+    Both sides are cut to the same date window, so a session_start inside the
+    window whose session began before it finds no group;
+    ``cfg.widen_sessions_days`` reaches that much further back on the group side.
+    """
     starts = apply_window(base.where(F.col("event_name") == F.lit("session_start")), cfg, "session_starts")
     starts = starts.select(*SESSION_START_COLUMNS)
-    groups = apply_window(channel_groups, cfg, "session_starts").select(
+    groups = apply_window(channel_groups, cfg, "session_starts", widen_days=cfg.widen_sessions_days).select(
         "session_key", "session_source", "session_medium", "session_campaign", "session_channel_group")
     return left_join_nonnull(starts, groups, ["session_key"],
                              ["session_source", "session_medium", "session_campaign", "session_channel_group"])

@@ -246,6 +246,23 @@ def q_adjust_google_params_urlparam(spark, sf):
     return _chain(spark, sf, variant="urlparam").adjusted
 
 
+def q_adjust_google_params_urlparam_all_events(spark, sf):
+    """Url-parameter variant without the page-view filter (literal behaviour)."""
+    ch = _chain(spark, sf)
+    return S.adjust_google_params_urlparam(ch.events, ch.cfg, pageviews_only=False)
+
+
+def q_ads_campaign_names_ignore_nulls(spark, sf):
+    """Campaign names with the last non-NULL name over earlier days."""
+    ch = _chain(spark, sf)
+    return A.ads_campaign_names(spark, ch.campaign_tables, ch.cfg, ignore_nulls=True)
+
+
+def q_session_first_last_source_drop_null_keys(spark, sf):
+    ch = _chain(spark, sf, cfg=RunConfig(run_date=RUN, drop_null_keys=True))
+    return _first_last_flat(ch.first_last)
+
+
 def q_pageviews_with_silent_sessions(spark, sf):
     return _chain(spark, sf).traffic.drop("traffic_source_struct")
 
