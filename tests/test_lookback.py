@@ -70,3 +70,34 @@ def test_bucketed_equals_window_on_hot_user(spark):
             ts.setdefault((r[2], r[3]), 0)
             ts[(r[2], r[3])] += 1
         assert not diff or all(ts[(r[2], r[3])] > 1 for r in rows if r[1] in {d[0] for d in diff})
+
+
+def _brute(rows, lookback):
+    """Plain Python: for each session, the latest earlier non-NULL source of the
+    same user in [t - lookback, t - 1], ties broken by the larger session key."""
+    out = {}
+    for d, sk, user, t, _, first, last in rows:
+        if first is not None:
+            out[sk] = first[0]
+            continue
+        if t is None:
+            out[sk] = None
+            continue
+        cands = [(t2, sk2, l2[0]) for _, sk2, u2, t2, _, _, l2 in rows
+                 if u2 == user and t2 is not None and l2 is not None and t - lookback <= t2 <= t - 1]
+        out[sk] = max(cands)[2] if cands else None
+    return out
+
+
+def test_against_brute_force(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(400):
+        user = rnd.choice(["hot", "hot", "a", "b", None])
+        t = None if i % 97 == 5 else 1_700_000_000 + rnd.randint(0, 20 * 86400)
+        first = _t(rnd.choice(["f", None, None, None]))
+        last = _t(rnd.choice([None, "x", "y", "z"]))
+        rows.append((D, f"s{i:04d}", user, t, 1, first, last))
+    for lookback, bucket in ((3 * 86400, 3600), (86400, 7 * 86400), (600, 60)):
+        want = _brute(rows, lookback)
+        assert _run(spark, rows, "bucketed", lookback, bucket) == want

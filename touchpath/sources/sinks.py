@@ -109,8 +109,14 @@ def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: st
 def high_water_mark(spark: SparkSession, path: str, col: str = "event_date_dt") -> date | None:
     """Largest partition date of a target (None when it does not exist yet).
 
-    Only the partition column is selected, so no data column is decoded.
+    Read from the partition folder names (a directory listing on the driver),
+    so no Spark job runs and no file is opened.
     """
     if not exists(spark, path):
         return None
-    return spark.read.parquet(path).agg(F.max(col)).first()[0]
+    fs, root = _fs(spark, path)
+    prefix = f"{col}="
+    days = [str(st.getPath().getName())[len(prefix):] for st in fs.listStatus(root)
+            if st.isDirectory() and str(st.getPath().getName()).startswith(prefix)]
+    days = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
+    return max(date.fromisoformat(d) for d in days) if days else None
