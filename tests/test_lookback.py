@@ -43,12 +43,15 @@ def test_boundaries(spark):
         (D, "f1", "y", base + 5, 1, None, None),             # takes f0's last non-null, not its first
         (D, "g0", "z", None, 1, None, _t("src")),            # no start time: no look-back
         (D, "g1", "z", base, 1, None, None),
+        (D, "h0", "q", base, 1, None, _t("same")),           # gap 0: a session starting at the
+        (D, "h1", "q", base, 1, None, None),                 # same second is not earlier
     ]
     for strategy in ("bucketed", "window"):
         got = _run(spark, rows, strategy)
         assert got["a1"] == "src" and got["b1"] == "src" and got["c1"] is None
         assert got["d0"] is None and got["e1"] == "src" and got["f1"] == "later" and got["f0"] == "first"
         assert got["g0"] is None and got["g1"] is None
+        assert got["h0"] is None and got["h1"] is None
 
 
 def test_bucketed_equals_window_on_hot_user(spark):

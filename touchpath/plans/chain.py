@@ -111,6 +111,8 @@ def fixture_chain(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None
     """The chain over GA4- and Ads-shaped tables derived from ``events``."""
     configure(spark)
     paths = fixtures.materialise(spark, sf_dir)
-    return Chain(spark=spark, raw_events=spark.read.parquet(paths["events"]),
-                 click_tables=dict(paths["clicks"]), campaign_tables=dict(paths["campaigns"]),
+    read = lambda p: fixtures.read_table(spark, paths, p)
+    return Chain(spark=spark, raw_events=read(paths["events"]),
+                 click_tables={a: read(p) for a, p in paths["clicks"].items()},
+                 campaign_tables={a: read(p) for a, p in paths["campaigns"].items()},
                  cfg=cfg or RunConfig(run_date=FIXTURE_RUN_DATE), **kw)

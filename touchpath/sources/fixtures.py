@@ -208,12 +208,22 @@ def materialise(spark: SparkSession, sf_dir: str) -> dict:
         return hit
     root = scratch_path(spark, "fixture")
     ev = load_events(spark, sf_dir)
-    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}}
-    ga4_events(ev).write.mode("overwrite").partitionBy("shard_date").parquet(paths["events"])
+    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}, "schemas": {}}
+    g = ga4_events(ev)
+    g.write.mode("overwrite").partitionBy("shard_date").parquet(paths["events"])
+    paths["schemas"][paths["events"]] = g.schema.json()
     for kind, tables in (("clicks", ads_click_stats(ev)), ("campaigns", ads_campaigns(ev))):
         for acc, df in tables.items():
             p = f"{root}/{kind}_{acc}"
             df.write.mode("overwrite").partitionBy("_partition_date").parquet(p)
             paths[kind][acc] = p
+            paths["schemas"][p] = df.schema.json()
     _MATERIALISED[key] = paths
     return paths
+
+
+def read_table(spark: SparkSession, paths: dict, path: str) -> DataFrame:
+    """Read a materialised table with its known schema (no inference job)."""
+    from pyspark.sql.types import StructType
+    schema = StructType.fromJson(__import__("json").loads(paths["schemas"][path]))
+    return spark.read.schema(schema).parquet(path)
