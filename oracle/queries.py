@@ -156,6 +156,24 @@ FROM x GROUP BY ALL""",
         + dq("in_set:search_only", "count(*) FILTER (WHERE session_gadscampaign NOT IN ('generic_paid_search'))",
              f"(SELECT * FROM adjusted WHERE event_date_dt BETWEEN {d(RUN - timedelta(days=7))} AND {d(RUN - timedelta(days=1))} "
              "AND session_gadscampaign IS NOT NULL)", "warn", 5)),
+    "dq_model_suite": with_chain(" UNION ALL ".join([
+        day_coverage("silent_sessions:day_coverage", "silent", RUN - timedelta(days=30), RUN),
+        day_coverage("pageviews:day_coverage", "traffic", RUN - timedelta(days=44), RUN),
+        dq("pageviews:session_gadscampaign_in_set",
+           "count(*) FILTER (WHERE session_gadscampaign NOT IN ('generic_paid_shopping', 'generic_paid_search', 'brand_paid_search'))",
+           f"(SELECT * FROM traffic WHERE event_date_dt BETWEEN {d(RUN - timedelta(days=7))} AND {d(RUN - timedelta(days=1))} "
+           "AND session_gadscampaign IS NOT NULL)", "warn", 5),
+        dq("pageviews:session_key_not_null", "count(*) FILTER (WHERE session_key IS NULL)", "traffic", "error"),
+        dq("pageviews:user_key_not_null", "count(*) FILTER (WHERE user_key IS NULL)", "traffic", "error"),
+        dq("channel_groups:session_key_unique_proportion",
+           "CASE WHEN count(DISTINCT session_key) * 1.0 / count(session_key) IS NULL "
+           "OR count(DISTINCT session_key) * 1.0 / count(session_key) <> 1 THEN 1 ELSE 0 END", "m7", "warn"),
+        day_coverage("session_starts:day_coverage", "m8", RUN - timedelta(days=10), RUN),
+        dq("session_starts:sk_id_not_null", "count(*) FILTER (WHERE sk_id IS NULL)", "m8", "error"),
+        dq("session_starts:sk_id_unique", "count(*)",
+           f"(SELECT sk_id FROM m8 WHERE event_date_dt BETWEEN {d(RUN - timedelta(days=10))} AND {d(RUN - timedelta(days=1))} "
+           "AND sk_id IS NOT NULL GROUP BY sk_id HAVING count(*) > 1)", "warn", 1000),
+    ])),
     "dq_unique_proportion": with_chain(
         dq("unique_proportion:session_key",
            "CASE WHEN count(DISTINCT session_key) * 1.0 / count(session_key) IS NULL "

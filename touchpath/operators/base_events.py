@@ -10,6 +10,7 @@ from touchpath.functions import keys as K
 from touchpath.functions.params import INT, engaged_flag, event_param
 from touchpath.functions.paths import page_path, page_path_and_querystring
 from touchpath.operators.skew import number_within
+from touchpath.sources.sampling import dev_sample
 
 BASE_COLUMNS = [
     "event_date_dt", "event_timestamp", "event_name", "event_params", "user_id", "user_pseudo_id",
@@ -24,6 +25,7 @@ def select_source(raw: DataFrame, cfg: RunConfig) -> DataFrame:
     """Date-pruned projection of the raw export with the needed parameters."""
     cond = cfg.window("base_events", F.col("shard_date"))
     src = raw if cond is None else raw.where(cond)
+    src = dev_sample(src, cfg)      # dev runs read a seeded sample of the export
     return src.select(
         F.to_date("event_date", "yyyyMMdd").alias("event_date_dt"),
         "event_timestamp", "event_name", "event_params", "user_id", "user_pseudo_id", "device",

@@ -65,3 +65,42 @@ def unique_proportion(df: DataFrame, col: str, min_value: float, max_value: floa
     ratio = F.count_distinct(F.col(col)) / F.count(F.col(col))
     bad = F.when(ratio.isNull() | (ratio < F.lit(min_value)) | (ratio > F.lit(max_value)), F.lit(1)).otherwise(F.lit(0))
     return _result(df, name or f"unique_proportion:{col}", bad, severity, 0, 0)
+
+
+GADS_CAMPAIGN_TYPES = ["generic_paid_shopping", "generic_paid_search", "brand_paid_search"]
+
+
+def model_suite(silent: DataFrame, pageviews: DataFrame, channel_groups: DataFrame,
+                session_starts: DataFrame, run_date: date) -> DataFrame:
+    """The data tests configured on the models, as one DataFrame of results.
+
+    * silent sessions: every day of the last 30 has rows (warn)
+    * repaired page views: every day of the last 44 has rows (warn); the ad
+      campaign type parameter is one of three values over the last 7 days
+      (warn above 5); session and user key not NULL (error)
+    * channel groups: one row per session key (warn)
+    * session starts: every day of the last 10 has rows (warn); the event key
+      is not NULL (error) and unique over the last 10 days (warn above 1000)
+    Day-coverage ranges end before ``run_date`` (the range end is exclusive).
+    """
+    days = lambda n: run_date - timedelta(days=n)
+    d = F.col("event_date_dt")
+    last7 = d.between(F.lit(days(7)), F.lit(days(1))) & F.col("session_gadscampaign").isNotNull()
+    last10 = d.between(F.lit(days(10)), F.lit(days(1)))
+    parts = [
+        day_coverage(silent, "event_date_dt", days(30), run_date, "silent_sessions:day_coverage"),
+        day_coverage(pageviews, "event_date_dt", days(44), run_date, "pageviews:day_coverage"),
+        in_set(pageviews, "session_gadscampaign", GADS_CAMPAIGN_TYPES, last7,
+               "pageviews:session_gadscampaign_in_set", severity="warn", warn_if=5),
+        not_null(pageviews, "session_key", "pageviews:session_key_not_null"),
+        not_null(pageviews, "user_key", "pageviews:user_key_not_null"),
+        unique_proportion(channel_groups, "session_key", 1, 1, "channel_groups:session_key_unique_proportion",
+                          severity="warn"),
+        day_coverage(session_starts, "event_date_dt", days(10), run_date, "session_starts:day_coverage"),
+        not_null(session_starts, "sk_id", "session_starts:sk_id_not_null"),
+        unique(session_starts, "sk_id", last10, "session_starts:sk_id_unique", severity="warn", warn_if=1000),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -370,6 +370,11 @@ def q_dq_unique_proportion(spark, sf):
                                              severity="warn")))
 
 
+def q_dq_model_suite(spark, sf):
+    ch = _chain(spark, sf)
+    return Q.model_suite(ch.silent_sessions, ch.traffic, ch.channel_groups, ch.session_starts, RUN)
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 
 
