@@ -2,12 +2,15 @@
 
 Per run (``run_date`` = today):
 
+* ad click stats   – static overwrite of the fixed reload days (by click date)
+* campaign names   – full rebuild; click id -> campaign name is read as a view
 * base events      – static overwrite of the fixed reload days (late hits)
 * silent sessions  – static overwrite of [high-water mark, yesterday]
 * traffic events   – dynamic overwrite of [high-water mark, yesterday]
 * first/last       – full rebuild from the traffic table (all history)
 * channel groups   – dynamic overwrite of [high-water mark, yesterday]
 * session starts   – dynamic overwrite of [high-water mark, yesterday]
+* data tests       – the model test suite, appended per run date
 
 The first run of a target (no table yet) is a full refresh.  Every step reads
 the previous step's *table*, so a lost executor only repeats the step that was
@@ -20,16 +23,18 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchpath.config import FULL, INCREMENTAL, RunConfig
 from touchpath.operators import ads as A
+from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
 from touchpath.operators.base_events import base_events
 from touchpath.session import configure
 from touchpath.sources import sinks
 
-MODEL_TABLES = ("base_events", "silent_sessions", "traffic_events", "session_first_last_source",
-                "session_channel_groups", "session_starts")
+MODEL_TABLES = ("ads_click_stats", "ads_campaign_names", "base_events", "silent_sessions", "traffic_events",
+                "session_first_last_source", "session_channel_groups", "session_starts", "dq_results")
 
 
 @dataclass
@@ -50,15 +55,29 @@ class IncrementalRunner:
 
     def _cfg(self, run_date: date, target: str, model_keys: list[str]) -> RunConfig:
         base = self.base_cfg or RunConfig(run_date=run_date)
-        hwm = sinks.high_water_mark(self.spark, self.path(target))
+        part = "date" if target.startswith("ads_") else "event_date_dt"
+        hwm = sinks.high_water_mark(self.spark, self.path(target), part)
         if hwm is None:
             return base.with_(run_date=run_date, mode=FULL)
         return base.with_(run_date=run_date, mode=INCREMENTAL, high_water_marks={k: hwm for k in model_keys})
 
-    def run(self, run_date: date) -> dict[str, str]:
+    def run(self, run_date: date, with_tests: bool = True) -> dict[str, str]:
         configure(self.spark)
         sp = self.spark
 
+        if self.variant == "gclid":
+            # click stats: the ingestion-date window picks the rows, the click
+            # date partitions the table; reload days are replaced statically
+            cfg = self._cfg(run_date, "ads_click_stats", [])
+            clicks = A.ads_click_stats(sp, self.click_tables, cfg)
+            if cfg.mode == FULL:
+                sinks.write_full(clicks, self.path("ads_click_stats"), partition_by="date", cluster_by=["account"])
+            else:
+                sinks.write_static(sp, clicks, self.path("ads_click_stats"), "date", cfg.reload_partitions(),
+                                   cluster_by=["account"])
+            names = A.ads_campaign_names(sp, self.campaign_tables, RunConfig(run_date=run_date))
+            sinks.write_full(names, self.path("ads_campaign_names"), partition_by="date")
+
         # base events: fixed reload days, emptied when a day lost its input
         cfg = self._cfg(run_date, "base_events", [])
         base = base_events(self.raw_events, cfg)
@@ -79,9 +98,8 @@ class IncrementalRunner:
         # traffic events (page views repaired + silent sessions)
         cfg = self._cfg(run_date, "traffic_events", ["pageviews", "silent_sessions", "gclid_names"])
         if self.variant == "gclid":
-            clicks = A.ads_click_stats(sp, self.click_tables, cfg.with_(mode=FULL))
-            names = A.ads_campaign_names(sp, self.campaign_tables, cfg.with_(mode=FULL))
-            adj = S.adjust_google_params(base_t, A.gclid_campaigns(clicks, names), cfg)
+            gclids = A.gclid_campaigns(self.table("ads_click_stats"), self.table("ads_campaign_names"))
+            adj = S.adjust_google_params(base_t, gclids, cfg)
         else:
             adj = S.adjust_google_params_urlparam(base_t, cfg)
         traffic = S.with_silent_sessions(adj, silent_t, cfg)
@@ -99,6 +117,12 @@ class IncrementalRunner:
         cfg = self._cfg(run_date, "session_starts", ["session_starts"])
         starts = S.session_starts_enriched(base_t, self.table("session_channel_groups"), cfg)
         self._write(cfg, starts, "session_starts", static=False)
+
+        if with_tests:
+            dq = Q.model_suite(self.table("silent_sessions"), self.table("traffic_events"),
+                               self.table("session_channel_groups"), self.table("session_starts"), run_date)
+            (dq.withColumn("run_date", F.lit(run_date)).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(self.path("dq_results")))
         return {m: self.path(m) for m in MODEL_TABLES}
 
     def _write(self, cfg: RunConfig, df: DataFrame, model: str, static: bool, hwm_model: str | None = None):
