@@ -2,10 +2,12 @@
 overwrite, schema guard and the high-water mark of a target.
 
 Files are laid out as ``<path>/<partition_col>=YYYY-MM-DD/part-*.parquet``.
-Before writing, rows are range-partitioned on (date, cluster keys) and sorted
-within each task: a hot date is split over several tasks (no single-task
-date), and each file holds a narrow key range, so row-group min/max statistics
-skip most files for a key lookup.
+Before writing, rows are rebalanced on the date (the ``REBALANCE`` hint: a
+hash shuffle on the date whose oversized partitions AQE splits into
+advisory-size pieces and whose small ones it merges, so a hot date is written
+by several tasks and no sampling job re-runs the upstream plan) and sorted by
+(date, cluster keys) within each task, so row-group min/max statistics skip
+most row groups for a key lookup.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ def _layout(df: DataFrame, partition_by: str | None, cluster_by: list[str] | Non
     keys = ([partition_by] if partition_by else []) + list(cluster_by or [])
     if not keys:
         return df
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    return spread.sortWithinPartitions(*keys)
 
 
 def check_schema(spark: SparkSession, df: DataFrame, path: str) -> None:
