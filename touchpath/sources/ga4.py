@@ -62,7 +62,8 @@ def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = (
     """Write an export as one shard folder per day (``shard=events_YYYYMMDD``).
 
     One write job: the shard name is a partition value, so Spark fans rows out
-    to folders in parallel.
+    to folders in parallel; the rebalance spreads a large day over several
+    writer tasks.
     """
     intraday = [F.lit(d) for d in intraday_days]
     name = F.concat(
@@ -70,5 +71,5 @@ def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = (
         F.when(F.col("shard_date").isin(intraday), F.lit("intraday_")).otherwise(F.lit("")) if intraday else F.lit(""),
         F.date_format("shard_date", "yyyyMMdd"))
     (df.withColumn("shard", name).drop("shard_date")
-       .repartition("shard")
+       .hint("rebalance", "shard")
        .write.mode("overwrite").partitionBy("shard").parquet(root))
