@@ -1,0 +1,43 @@
+"""Random traffic tuples: Spark rule chains (Java regex) = DuckDB CASE text (RE2)."""
+
+import random
+
+import duckdb
+import pandas as pd
+from pyspark.sql import functions as F
+
+from oracle.ctes import custom_case, default_case
+from tests.test_rules import CUSTOM_CASES
+from touchpath.functions.channels import custom_channel_group, default_channel_group
+
+SOURCES = [None, "google", "bing", "Google", "qwant.com", "suche.t-online.de", "google.com / referral", "startpage.com",
+           "newsletter", "Newsletter", "parcellab", "triggermail", "facebook", "m.facebook.com", "IGShopping",
+           "mydealz", "awin", "vaude.com", "edelrid.de", "criteo", "bsmart", "taboola", "(direct)", "firebase",
+           "dv360_video", "dv360_display", "reddit", "my_email", "search.brave.com", "yandex.ru", "x"]
+MEDIUMS = [None, "cpc", "organic", "referral", "email", "social", "Social", "cpm", "parcellab", "affiliate", "(none)",
+           "(not set)", "ppc", "paid", "paidsearch", "banner", "display", "cpv", "video", "my-video", "audio", "sms",
+           "push", "mobile", "notification", "social media", "sm", "x"]
+CAMPAIGNS = [None, "x_2_de", "x_3_", "_4_", "x_6_de", "_1_", "_5_", "generic_paid_search", "generic_paid_shopping",
+             "generic_paid_pmax", "brand_paid_search", "google_shopping_organic", "a_kw_ns_b", "y24_kw12_de_ns_",
+             "_k_ns_", "a_outdoordeals", "outdoordeals", "display", "_branding_", "x"]
+PAGETYPES = [None, "start", "magazine", "productdetail", "category", "none"]
+CATEGORIES = [None, "SOURCE_CATEGORY_SOCIAL", "SOURCE_CATEGORY_SHOPPING", "SOURCE_CATEGORY_VIDEO", "SOURCE_CATEGORY_SEARCH"]
+
+
+def test_custom_and_default_rules_agree_with_sql(spark):
+    rnd = random.Random(2024)
+    rows = [(i, rnd.choice(SOURCES), rnd.choice(MEDIUMS), rnd.choice(CAMPAIGNS), rnd.choice(PAGETYPES),
+             rnd.choice(CATEGORIES)) for i in range(3000)]
+    rows += [(3000 + i, s, m, c, p, rnd.choice(CATEGORIES)) for i, (s, m, c, p, _) in enumerate(CUSTOM_CASES)]
+    cols = ["id", "s", "m", "c", "p", "k"]
+    df = spark.createDataFrame(rows, "id int, s string, m string, c string, p string, k string")
+    got = {r.id: (r.cg, r.dg) for r in df.select(
+        "id", custom_channel_group(F.col("s"), F.col("m"), F.col("c"), F.col("p")).alias("cg"),
+        default_channel_group(F.col("s"), F.col("m"), F.col("k")).alias("dg")).collect()}
+    con = duckdb.connect()
+    con.register("t", pd.DataFrame(rows, columns=cols))
+    want = {r[0]: (r[1], r[2]) for r in con.sql(
+        f"SELECT id, {custom_case('s', 'm', 'c', 'p')} AS cg, {default_case('s', 'm', 'k')} AS dg FROM t").fetchall()}
+    bad = [(i, got[i], want[i]) for i in got if got[i] != want[i]]
+    assert bad == []
+    assert len({v[0] for v in got.values()}) == 20      # every custom label occurs
