@@ -174,6 +174,10 @@ FROM x GROUP BY ALL""",
            f"(SELECT sk_id FROM m8 WHERE event_date_dt BETWEEN {d(RUN - timedelta(days=10))} AND {d(RUN - timedelta(days=1))} "
            "AND sk_id IS NOT NULL GROUP BY sk_id HAVING count(*) > 1)", "warn", 1000),
     ])),
+    "dq_source_day_coverage": with_chain(" UNION ALL ".join(
+        day_coverage(f"click_stats_{a}:day_coverage", f"(SELECT segments_date AS event_date_dt FROM clicks_raw WHERE account = '{a}')",
+                     date(2023, 12, 1), RUN)
+        for a in ("de", "at", "de_brand", "at_brand", "ch_brand"))),
     "dq_unique_proportion": with_chain(
         dq("unique_proportion:session_key",
            "CASE WHEN count(DISTINCT session_key) * 1.0 / count(session_key) IS NULL "

@@ -104,3 +104,13 @@ def model_suite(silent: DataFrame, pageviews: DataFrame, channel_groups: DataFra
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def source_day_coverage(tables: dict[str, DataFrame], date_col: str, start: date, end: date,
+                        prefix: str = "source") -> DataFrame:
+    """Day coverage of each account source table (one result row per table)."""
+    out = None
+    for name, df in tables.items():
+        r = day_coverage(df, date_col, start, end, f"{prefix}_{name}:day_coverage")
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -375,6 +375,12 @@ def q_dq_model_suite(spark, sf):
     return Q.model_suite(ch.silent_sessions, ch.traffic, ch.channel_groups, ch.session_starts, RUN)
 
 
+def q_dq_source_day_coverage(spark, sf):
+    """Every day since the start date has click rows, per account table."""
+    ch = _chain(spark, sf)
+    return Q.source_day_coverage(ch.click_tables, "segments_date", date(2023, 12, 1), RUN, "click_stats")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 
 
