@@ -113,12 +113,11 @@ def adjust_google_params(base: DataFrame, gclid_campaigns: DataFrame, cfg: RunCo
     pv = traffic_params(base, cfg, pageviews_only=True)
     j = join_gclid_names(pv, gclid_name_table(gclid_campaigns, cfg))
     j = _reassign_google_cpc(j, F.col("gads_campaign_name").isNotNull())
-    gcpc, name, gcamp = _is_google_cpc(), F.col("gads_campaign_name"), F.col("session_gadscampaign")
-    campaign = (F.when(gcpc & name.isNotNull(), name)
-                 .when(gcpc & name.isNull() & gcamp.isNotNull(), gcamp)
-                 .when(gcpc & name.isNull() & gcamp.isNull() & F.col("page_pagetype").like("start"),
-                       F.lit("brand_paid_search"))
-                 .otherwise(F.col("campaign")))
+    # google / cpc traffic: ad name, else the url parameter, else a start page
+    # means a brand campaign, else the campaign as sent
+    proxy = F.when(F.col("page_pagetype") == F.lit("start"), F.lit("brand_paid_search"))
+    fixed = F.coalesce(F.col("gads_campaign_name"), F.col("session_gadscampaign"), proxy, F.col("campaign"))
+    campaign = F.when(_is_google_cpc(), fixed).otherwise(F.col("campaign"))
     return j.withColumn("campaign", campaign).select(*TRAFFIC_EVENT_COLUMNS, TIE_KEY)
 
 
@@ -128,12 +127,15 @@ def adjust_google_params_urlparam(base: DataFrame, cfg: RunConfig,
     parameter, else a proxy from the landing page type."""
     po = cfg.pageviews_only if pageviews_only is None else pageviews_only
     j = _reassign_google_cpc(traffic_params(base, cfg, pageviews_only=po))
-    gcpc, gcamp, pt = _is_google_cpc(), F.col("session_gadscampaign"), F.col("page_pagetype")
-    campaign = (F.when(gcpc & gcamp.isNotNull(), gcamp)
-                 .when(gcpc & gcamp.isNull() & pt.like("start"), F.lit("brand_paid_search"))
-                 .when(gcpc & gcamp.isNull() & pt.like("productdetail"), F.lit("generic_paid_shopping"))
-                 .when(gcpc & gcamp.isNull() & ~pt.isin("productdetail", "start"), F.lit("generic_paid_search"))
-                 .otherwise(F.col("campaign")))
+    # google / cpc traffic: the url parameter, else a proxy from the landing
+    # page type (start = brand, product page = shopping, any other known type =
+    # generic search), else the campaign as sent
+    pt = F.col("page_pagetype")
+    proxy = (F.when(pt == F.lit("start"), F.lit("brand_paid_search"))
+              .when(pt == F.lit("productdetail"), F.lit("generic_paid_shopping"))
+              .when(pt.isNotNull(), F.lit("generic_paid_search")))
+    fixed = F.coalesce(F.col("session_gadscampaign"), proxy, F.col("campaign"))
+    campaign = F.when(_is_google_cpc(), fixed).otherwise(F.col("campaign"))
     return j.withColumn("campaign", campaign).select(*TRAFFIC_EVENT_COLUMNS, TIE_KEY)
 
 
