@@ -65,3 +65,17 @@ def test_daily_incremental_equals_full_refresh_urlparam(spark):
     full = full.select(*cols)
     assert inc.count() == full.count()
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+
+
+def test_bounded_first_last_history_keeps_channel_groups(spark):
+    # run on 20 Feb: the 30-day window starts on 21 Jan; with a 5-day look-back
+    # a 37-day bound drops 1-13 Jan from the first/last input, which must not
+    # change any channel group of the window
+    cfg = RunConfig(run_date=date(2024, 2, 20), lookback_seconds=5 * 86400)
+    full = fixture_chain(spark, SF_SMALL, cfg=cfg)
+    short = fixture_chain(spark, SF_SMALL, cfg=cfg.with_(first_last_days=30 + 5 + 2))
+    assert short.first_last.count() < full.first_last.count()
+    cols = ["session_key", "session_source", "session_medium", "session_campaign", "session_channel_group"]
+    x, y = full.channel_groups.select(*cols), short.channel_groups.select(*cols)
+    assert x.count() > 0
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0

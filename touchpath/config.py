@@ -53,6 +53,7 @@ class RunConfig:
     click_lookback_days: int = 0                # incremental: also match clicks this much older
     widen_sessions_days: int = 0                # session starts: channel groups this much older
     drop_null_keys: bool = False                # first/last: drop the folded NULL session
+    first_last_days: int | None = None          # first/last: history read (None = all)
     dev_sample_percent: float = 5.0
     sample_seed: int = 42
     reload_days: int = 2                        # partitions replaced incrementally
