@@ -45,3 +45,19 @@ def test_date_helpers(spark):
     x = spark.createDataFrame([(date(2023, 3, 1),), (date(2023, 3, 2),), (date(2024, 3, 1),), (date(2024, 3, 2),)], "d date")
     got = [r.d for r in x.where(D.last_n_days_prev_year(F.col("d"), date(2025, 3, 1), 365)).collect()]
     assert got == [date(2023, 3, 2), date(2024, 3, 1)]   # leap year: 2024-03-01 minus 365 days
+
+
+def test_items_json_and_page_paths(spark):
+    from touchpath.functions.keys import items_json
+    from touchpath.functions.paths import page_path, page_path_and_querystring
+    df = spark.createDataFrame([(1, [("a",)]), (2, [(None,)]), (3, []), (4, None)],
+                               "id int, items array<struct<item_id:string>>")
+    got = {r.id: r.j for r in df.select("id", items_json(F.col("items")).alias("j")).collect()}
+    assert got == {1: '[{"item_id":"a"}]', 2: '[{"item_id":null}]', 3: "[]", 4: "[]"}
+    urls = spark.createDataFrame([
+        ("https://www.shop.de/p/1?q=2?z",), ("http://www.shop.co.uk/x",), ("https://www.shop.store/x",),
+        ("https://other.example/x?y=1",), (None,), ("",)], "u string")
+    got = [(r.p, r.q) for r in urls.select(page_path(F.col("u"), "shop").alias("p"),
+                                           page_path_and_querystring(F.col("u"), "shop").alias("q")).collect()]
+    assert got == [("/p/1", "/p/1?q=2?z"), ("/x", "/x"), ("e/x", "e/x"),   # long TLD leaves a rest
+                   ("https://other.example/x", "https://other.example/x?y=1"), (None, None), ("", "")]

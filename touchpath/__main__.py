@@ -26,6 +26,9 @@ def main(argv=None) -> None:
     run.add_argument("--run-date", type=date.fromisoformat, default=date.today())
     run.add_argument("--variant", choices=("gclid", "urlparam"), default="gclid")
     run.add_argument("--no-tests", action="store_true")
+    run.add_argument("--site", default="shop", help="own site name stripped from page paths")
+    run.add_argument("--first-last-days", type=int, default=None,
+                     help="bound the first/last-source history (default: all history)")
     args = ap.parse_args(argv)
 
     from touchpath.session import get_session
@@ -48,7 +51,9 @@ def main(argv=None) -> None:
         root = args.ads_root.rstrip("/")
         clicks = {a: f"{root}/click_stats_{a}" for a in account_labels()}
         campaigns = {a: f"{root}/campaigns_{a}" for a in account_labels()}
-    runner = IncrementalRunner(spark, args.out, raw, clicks, campaigns, variant=args.variant)
+    from touchpath.config import RunConfig
+    base_cfg = RunConfig(run_date=args.run_date, site=args.site, first_last_days=args.first_last_days)
+    runner = IncrementalRunner(spark, args.out, raw, clicks, campaigns, variant=args.variant, base_cfg=base_cfg)
     for name, path in runner.run(args.run_date, with_tests=not args.no_tests).items():
         print(f"{name}\t{path}")
 
