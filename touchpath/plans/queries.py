@@ -15,12 +15,11 @@ from touchpath.functions.channels import custom_channel_group, default_channel_g
 from touchpath.operators import ads as A
 from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
-from touchpath.operators.base_events import base_events
+from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.operators.reports import sessions_per_channel
 from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain
 from touchpath.session import configure, scratch_path
 from touchpath.sources import fixtures, ga4, sinks
-from touchpath.sources.sampling import dev_sample
 
 RUN = FIXTURE_RUN_DATE
 SHORT_LOOKBACK = 5 * 86_400
@@ -63,8 +62,10 @@ def q_ads_campaign_names(spark, sf):
 
 
 def q_dev_sample(spark, sf):
+    """A dev run of the keyed events: last two days, seeded 5 % sample of the export."""
     ch = _chain(spark, sf)
-    return dev_sample(ch.raw_events, ch.cfg, force=True).select("event_timestamp", "event_name")
+    return keyed_events(ch.raw_events, ch.cfg.with_(mode="dev")).select(
+        "event_date_dt", "event_timestamp", "event_name", "session_key")
 
 
 def q_sink_full_rebuild(spark, sf):
