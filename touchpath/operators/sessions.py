@@ -40,7 +40,7 @@ def page_view_string(n: Column, sep: str = ",") -> Column:
     Every aggregated value is the same literal 'page_view', so the ordered
     concatenation is fixed by the count alone; NULL when there is none.
     """
-    return F.when(n > 0, F.array_join(F.array_repeat(F.lit("page_view"), n.cast("int")), sep))
+    return F.when(n > 0, F.concat(F.repeat(F.lit("page_view" + sep), (n - 1).cast("int")), F.lit("page_view")))
 
 
 def non_pageview_sessions(base: DataFrame, cfg: RunConfig) -> DataFrame:
