@@ -1,7 +1,12 @@
 """Key/value event parameters (``event_params`` array of structs).
 
-A parameter is looked up with the higher-order ``filter`` function, so each
-row is handled inside the scan stage: no explode, no shuffle, no sub-query.
+A parameter is looked up positionally: ``array_position`` over the key array
+finds the first entry with the key, ``get`` reads that entry's value slot
+(NULL when the key is absent, the array empty or NULL).  Both are generated
+code (a lambda-based ``filter`` would be interpreted per row), the key array
+is shared between lookups by subexpression elimination, and only the value
+slots actually read are decoded from Parquet (nested-schema pruning).  No
+explode, no shuffle, no sub-query.
 """
 
 from __future__ import annotations
@@ -21,11 +26,11 @@ def event_param(key: str, value_type: str = STRING, params: str | Column = "even
     ``get`` (not ``[0]``) keeps an empty match from raising under ANSI mode.
     """
     arr = F.col(params) if isinstance(params, str) else params
-    matches = F.filter(arr, lambda p: p["key"] == F.lit(key))
-    value = F.get(matches, 0)["value"][value_type]
+    pos = F.array_position(arr["key"], F.lit(key))          # 1-based, 0 when absent
+    value = F.get(arr["value"][value_type], (pos - 1).cast("int"))
     if on_duplicate == "error":
-        return F.when(F.size(matches) > 1,
-                      F.raise_error(F.lit(f"event parameter {key!r} occurs more than once"))
+        n = F.size(F.filter(arr["key"], lambda k: k == F.lit(key)))
+        return F.when(n > 1, F.raise_error(F.lit(f"event parameter {key!r} occurs more than once"))
                       ).otherwise(value)
     if on_duplicate != "first":
         raise ValueError(on_duplicate)

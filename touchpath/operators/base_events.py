@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchpath.config import RunConfig
 from touchpath.functions import keys as K
-from touchpath.functions.params import INT, engaged_flag, event_param
+from touchpath.functions.params import INT, STRING, engaged_flag, event_param
 from touchpath.functions.paths import page_path, page_path_and_querystring
 from touchpath.operators.skew import number_within
 from touchpath.sources.sampling import dev_sample
@@ -21,7 +21,13 @@ BASE_COLUMNS = [
 ]
 
 
-def select_source(raw: DataFrame, cfg: RunConfig) -> DataFrame:
+# traffic parameters read by the page-view models; extracted in the scan-level
+# projection so the export's parameter array is never carried whole
+TRAFFIC_PARAMS = {"source": STRING, "medium": STRING, "campaign": STRING, "gclid": STRING,
+                  "session_gadscampaign": STRING, "session_gadsbraid": STRING, "entrances": INT}
+
+
+def select_source(raw: DataFrame, cfg: RunConfig, traffic: bool = False) -> DataFrame:
     """Date-pruned projection of the raw export with the needed parameters."""
     cond = cfg.window("base_events", F.col("shard_date"))
     src = raw if cond is None else raw.where(cond)
@@ -40,6 +46,7 @@ def select_source(raw: DataFrame, cfg: RunConfig) -> DataFrame:
         event_param("page_title").alias("page_title"),
         event_param("page_pagetype").alias("page_pagetype"),
         event_param("page_referrer").alias("page_referrer"),
+        *([event_param(k, t).alias(k) for k, t in TRAFFIC_PARAMS.items()] if traffic else []),
     )
 
 
@@ -61,7 +68,7 @@ def keyed_events(raw: DataFrame, cfg: RunConfig) -> DataFrame:
     Leaving the number out keeps its shuffle, count table and join out of
     every downstream plan (Catalyst can prune the window but not the join).
     """
-    df = with_identity_keys(select_source(raw, cfg)).withColumn("sk_id", event_surrogate_key())
+    df = with_identity_keys(select_source(raw, cfg, traffic=True)).withColumn("sk_id", event_surrogate_key())
     return (df.withColumn("page_path", page_path(F.col("page_location"), cfg.site))
               .withColumn("page_path_and_querystring", page_path_and_querystring(F.col("page_location"), cfg.site)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from touchpath.config import RunConfig, apply_window
 from touchpath.functions.dates import last_n_days
 from touchpath.functions.channels import custom_channel_group
-from touchpath.functions.params import INT, event_param
+from touchpath.functions.params import INT, STRING, event_param
 from touchpath.functions.traffic import preferred_field, traffic_struct
 from touchpath.operators.skew import left_join_nonnull
 
@@ -60,14 +60,14 @@ def traffic_params(base: DataFrame, cfg: RunConfig, pageviews_only: bool = True)
     """Page-view events with their traffic parameters."""
     b = base.where(F.col("event_name") == F.lit("page_view")) if pageviews_only else base
     b = apply_window(b, cfg, "pageviews")
+    # keyed events carry the parameters already; a stored base-events table
+    # only has the array
+    param = lambda k, t=STRING: (F.col(k) if k in b.columns else event_param(k, t)).alias(k)
     return b.select(
         "event_date_dt", "session_key", "user_key", "event_timestamp", "event_name", "page_pagetype",
         F.col("ga_session_id").alias("session_start_time"),
-        event_param("source").alias("source"), event_param("medium").alias("medium"),
-        event_param("campaign").alias("campaign"), event_param("gclid").alias("gclid"),
-        event_param("session_gadscampaign").alias("session_gadscampaign"),
-        event_param("session_gadsbraid").alias("session_gadsbraid"),
-        event_param("entrances", INT).alias("entrances"),
+        param("source"), param("medium"), param("campaign"), param("gclid"),
+        param("session_gadscampaign"), param("session_gadsbraid"), param("entrances", INT),
         "page_referrer", "page_location", TIE_KEY)
 
 

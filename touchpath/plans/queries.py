@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from touchpath.config import INCREMENTAL, RunConfig
 from touchpath.functions import dates as D
 from touchpath.functions.channels import custom_channel_group, default_channel_group
+from touchpath.functions.params import event_param
 from touchpath.operators import ads as A
 from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
@@ -151,7 +152,7 @@ def q_page_path(spark, sf):
     site = RunConfig(run_date=RUN).site
     ev = _chain(spark, sf).raw_events.select(
         F.lit("events").alias("origin"), F.col("event_timestamp").alias("id"),
-        F.get(F.filter("event_params", lambda p: p["key"] == "page_location"), 0)["value"]["string_value"].alias("location"))
+        event_param("page_location").alias("location"))
     pages = spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet").select(
         F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("url").alias("location"))
     u = ev.unionByName(pages)
