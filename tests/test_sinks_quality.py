@@ -29,9 +29,13 @@ def test_dynamic_and_static_overwrite(spark):
     sinks.write_static(spark, _df(spark, [(D2, "b3", 30)]), path, "event_date_dt", [D2, D3])
     assert _read(spark, path) == [(D1, "a", 1), (D2, "b3", 30)]
     # an empty reload empties every listed partition
-    sinks.write_static(spark, _df(spark, []), path, "event_date_dt", [D1])
+    assert sinks.write_static(spark, _df(spark, []), path, "event_date_dt", [D1]) == []
     assert _read(spark, path) == [(D2, "b3", 30)]
-    assert sinks.high_water_mark(spark, path) == D2
+    # rows outside the list land in (and replace) their own partition and are reported
+    outside = sinks.write_static(spark, _df(spark, [(D1, "x", 9), (D3, "y", 8)]), path, "event_date_dt", [D1])
+    assert outside == ["event_date_dt=2024-01-03"]
+    assert _read(spark, path) == [(D1, "x", 9), (D2, "b3", 30), (D3, "y", 8)]
+    assert sinks.high_water_mark(spark, path) == D3
     assert sinks.high_water_mark(spark, path + "-missing") is None
 
 

@@ -107,6 +107,31 @@ class Chain:
         return daily_sessions(self.session_starts)
 
 
+def chain_from_paths(spark: SparkSession, export: str, cfg: RunConfig, ads_root: str | None = None,
+                     variant: str = "gclid", **kw) -> Chain:
+    """The chain over stored tables: the export's shard folders (only the days
+    the base-events window needs are listed) and one folder per ad account
+    (``click_stats_<account>``, ``campaigns_<account>``)."""
+    from datetime import timedelta
+
+    from touchpath.sources.ads import account_labels
+    from touchpath.sources.ga4 import read_ga4_shards
+    configure(spark)
+    days = ([cfg.run_date - timedelta(days=i) for i in range(1, cfg.reload_days + 1)]
+            if cfg.mode == "incremental" else
+            [cfg.run_date - timedelta(days=i) for i in range(1, 121)])
+    raw = read_ga4_shards(spark, export, days=days)
+    clicks, campaigns = {}, {}
+    if variant == "gclid":
+        if not ads_root:
+            raise ValueError("the gclid variant needs the ad-account tables")
+        root = ads_root.rstrip("/")
+        clicks = {a: f"{root}/click_stats_{a}" for a in account_labels()}
+        campaigns = {a: f"{root}/campaigns_{a}" for a in account_labels()}
+    return Chain(spark=spark, raw_events=raw, click_tables=clicks, campaign_tables=campaigns, cfg=cfg,
+                 variant=variant, **kw)
+
+
 def fixture_chain(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None, **kw) -> Chain:
     """The chain over GA4- and Ads-shaped tables derived from ``events``."""
     configure(spark)

@@ -12,6 +12,7 @@ most row groups for a key lookup.
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from touchpath.session import scratch_path
 
 
+log = logging.getLogger(__name__)
+
+
 class SchemaChangeError(ValueError):
     """The incoming schema differs from the target's (policy: fail)."""
 
@@ -84,13 +88,14 @@ def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
 
 def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
                  partitions: list[date], cluster_by: list[str] | None = None,
-                 guard_schema: bool = False) -> None:
+                 guard_schema: bool = False) -> list[str]:
     """Replace exactly the listed partitions, even when ``df`` has no row for one.
 
     ``df`` is staged once (its lineage is cut there); the staged partitions
     replace their targets, and listed partitions missing from the stage are
     removed from the target.  Rows outside the list also land in their own
-    partition, which they replace (partitions actually present are overwritten).
+    partition, which they replace (partitions actually present are overwritten);
+    those partitions are returned (and logged) so a caller can flag them.
     """
     if guard_schema:
         check_schema(spark, df, path)
@@ -100,12 +105,15 @@ def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: st
     staged = {str(s.getPath().getName()) for s in fs.listStatus(tp) if s.isDirectory()}
     if any(n.startswith(f"{partition_by}=") for n in staged):
         write_dynamic(spark.read.parquet(tmp), path, partition_by, cluster_by)
-    for d in partitions:
-        name = f"{partition_by}={d.isoformat()}"
-        if name not in staged:
-            tfs, target = _fs(spark, f"{path.rstrip('/')}/{name}")
-            if tfs.exists(target):
-                tfs.delete(target, True)
+    listed = {f"{partition_by}={d.isoformat()}" for d in partitions}
+    for name in sorted(listed - staged):
+        tfs, target = _fs(spark, f"{path.rstrip('/')}/{name}")
+        if tfs.exists(target):
+            tfs.delete(target, True)
+    outside = sorted(n for n in staged - listed if n.startswith(f"{partition_by}="))
+    if outside:
+        log.warning("static overwrite of %s also wrote partitions outside the list: %s", path, outside)
+    return outside
 
 
 def high_water_mark(spark: SparkSession, path: str, col: str = "event_date_dt") -> date | None:
