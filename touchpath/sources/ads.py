@@ -6,7 +6,6 @@ from functools import reduce
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 PERFORMANCE_COUNTRIES = ("de", "at")
 BRAND_COUNTRIES = ("de", "at", "ch")
@@ -51,7 +50,3 @@ class SourceRegistry:
         for name in self.entries:
             self.table(spark, name).createOrReplaceTempView(name)
 
-
-def partition_day(col: str = "_partition_date"):
-    """Ingestion partition date as a DATE column."""
-    return F.to_date(F.col(col))

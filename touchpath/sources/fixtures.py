@@ -31,8 +31,6 @@ ACCOUNTS = ("de", "at", "de_brand", "at_brand", "ch_brand")
 GADS_CAMPAIGN_TYPES = ("generic_paid_shopping", "generic_paid_search", "brand_paid_search")
 N_CAMPAIGNS = 12
 
-PARAM_VALUE = "struct<string_value:string,int_value:bigint,float_value:double,double_value:double>"
-
 
 def _lookup(n: Column, idx: int) -> Column:
     arr = F.array(*[F.lit(row[idx]).cast("string") for row in TRAFFIC_LOOKUP])
