@@ -48,3 +48,19 @@ def test_downstream_models_skip_the_event_number(spark):
     for df in (ch.silent_sessions, ch.adjusted, ch.session_starts):
         p = df._jdf.queryExecution().optimizedPlan().toString()
         assert "__k_null" not in p
+
+
+def test_no_unbounded_window_groups(spark):
+    """Windows over events or sessions never partition by a bare session or
+    user key (a hot key would be one task): they use (key, time bucket) or
+    (account, campaign, day).  Only the per-bucket summary tables, whose rows
+    per key are bounded by the number of buckets, are windowed by key."""
+    for name in ("base_events", "session_channel_groups", "daily_sessions", "user_last_source", "gclid_campaigns"):
+        p = _plan(Q.run(spark, name, SF_SMALL))
+        specs = [re.sub(r"#\d+L?", "", m) for m in re.findall(r"windowspecdefinition\(([^)]*)\)", p)]
+        for spec in specs:
+            keys = spec.split(" ASC")[0].split(" DESC")[0]
+            ok = "__b" in keys or ("campaign_id" in keys and "date" in keys) or keys.startswith("__u, __un") \
+                or keys.startswith("__k, __k_null")
+            assert ok, (name, spec)
+        assert "SinglePartition" not in p, name
