@@ -33,6 +33,11 @@ def test_cli_full_then_incremental(spark):
     assert dq.where("`check` = 'channel_groups:session_key_unique_proportion'").first().status == "pass"
     clicks = spark.read.parquet(f"{out}/ads_click_stats")
     assert clicks.count() > 0
+    dev_out = scratch_path(spark, "t-cli-dev")
+    main(["run", "--export", export, "--ads-root", ads, "--out", dev_out, "--run-date", "2024-01-31", "--dev"])
+    dev = spark.read.parquet(f"{dev_out}/dev_session_channel_groups")
+    days = {r.event_date_dt for r in dev.select("event_date_dt").distinct().collect()}
+    assert days <= {date(2024, 1, 29), date(2024, 1, 30)}
 
 
 def test_chain_from_paths_equals_fixture_chain(spark):

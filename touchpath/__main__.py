@@ -27,6 +27,11 @@ def main(argv=None) -> None:
     run.add_argument("--variant", choices=("gclid", "urlparam"), default="gclid")
     run.add_argument("--no-tests", action="store_true")
     run.add_argument("--site", default="shop", help="own site name stripped from page paths")
+    run.add_argument("--performance-countries", default="de,at",
+                     help="countries with a performance ad account (comma separated)")
+    run.add_argument("--brand-countries", default="de,at,ch",
+                     help="countries with a brand ad account (comma separated)")
+    run.add_argument("--dev", action="store_true", help="dev run: last two days, sampled export")
     run.add_argument("--first-last-days", type=int, default=None,
                      help="bound the first/last-source history (default: all history)")
     args = ap.parse_args(argv)
@@ -42,17 +47,28 @@ def main(argv=None) -> None:
     # a first (full) load reads the widest window any model reads, 120 days;
     # later loads only the reload days of the base-events table
     loaded = high_water_mark(spark, f"{args.out.rstrip('/')}/base_events") is not None
-    days = [args.run_date - timedelta(days=i) for i in range(1, 3 if loaded else 121)]
+    days = [args.run_date - timedelta(days=i) for i in range(1, 3 if (loaded or args.dev) else 121)]
     raw = read_ga4_shards(spark, args.export, days=days)
     clicks, campaigns = {}, {}
     if args.variant == "gclid":
         if not args.ads_root:
             raise SystemExit("--ads-root is needed for the gclid variant")
         root = args.ads_root.rstrip("/")
-        clicks = {a: f"{root}/click_stats_{a}" for a in account_labels()}
-        campaigns = {a: f"{root}/campaigns_{a}" for a in account_labels()}
+        labels = account_labels([c for c in args.performance_countries.split(",") if c],
+                                [c for c in args.brand_countries.split(",") if c])
+        clicks = {a: f"{root}/click_stats_{a}" for a in labels}
+        campaigns = {a: f"{root}/campaigns_{a}" for a in labels}
     from touchpath.config import RunConfig
     base_cfg = RunConfig(run_date=args.run_date, site=args.site, first_last_days=args.first_last_days)
+    if args.dev:
+        # a dev run reads and writes the last two days only, from a sample
+        from touchpath.plans.chain import Chain
+        chain = Chain(spark=spark, raw_events=raw, click_tables=clicks, campaign_tables=campaigns,
+                      cfg=base_cfg.with_(mode="dev"), variant=args.variant)
+        from touchpath.sources.sinks import write_full
+        write_full(chain.channel_groups, f"{args.out.rstrip('/')}/dev_session_channel_groups")
+        print(f"dev_session_channel_groups\t{args.out.rstrip('/')}/dev_session_channel_groups")
+        return
     runner = IncrementalRunner(spark, args.out, raw, clicks, campaigns, variant=args.variant, base_cfg=base_cfg)
     for name, path in runner.run(args.run_date, with_tests=not args.no_tests).items():
         print(f"{name}\t{path}")
