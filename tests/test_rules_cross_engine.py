@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 from pyspark.sql import functions as F
 
-from oracle.ctes import custom_case, default_case
+from touchpath_oracle.ctes import custom_case, default_case
 from tests.test_rules import CUSTOM_CASES
 from touchpath.functions.channels import custom_channel_group, default_channel_group
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from oracle.ctes import (FIXTURE, NM, RUN, ads_ctes, base_ctes, d, default_case, custom_case, last_n,
+from touchpath_oracle.ctes import (FIXTURE, NM, RUN, ads_ctes, base_ctes, d, default_case, custom_case, last_n,
                          prev_year, session_ctes, silent_cte, traffic_ctes, with_chain)
 
 FLAT_BASE = ("event_date_dt, event_timestamp, event_name, user_id, user_pseudo_id, page_device, page_hostname, "
