@@ -25,13 +25,14 @@ def _list_shards(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None = None,
-                    prefer_daily: bool = False) -> DataFrame:
+                    prefer_daily: bool = False, schema=None) -> DataFrame:
     """Read ``events_YYYYMMDD`` / ``events_intraday_YYYYMMDD`` shard folders.
 
     Only the folders of the wanted ``days`` are listed (true pruning: other
     shards are never opened).  ``shard_date`` comes from the folder name, so an
     intraday shard counts as its day.  A day present as daily and intraday is
-    read twice unless ``prefer_daily`` drops the intraday copy.
+    read twice unless ``prefer_daily`` drops the intraday copy.  A known
+    ``schema`` (StructType or DDL string) skips schema inference.
     """
     root = root.rstrip("/")
     if days is None:
@@ -48,7 +49,8 @@ def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None
                  if "events_intraday_" not in p or p.rsplit("events_intraday_", 1)[1] not in daily]
     if not paths:
         raise FileNotFoundError(f"no event shards match {pattern}")
-    df = spark.read.parquet(*paths)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(*paths)
     return df.withColumn("shard_date", shard_date(F.col("_metadata.file_path")))
 
 
