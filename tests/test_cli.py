@@ -54,3 +54,16 @@ def test_chain_from_paths_equals_fixture_chain(spark):
     stored = chain_from_paths(spark, export, RunConfig(run_date=date(2024, 1, 31)), ads_root=ads)
     a, b = ch.daily, stored.daily
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_models_as_sql_views(spark):
+    ch = fixture_chain(spark, SF_SMALL)
+    names = ch.register_views("tp_")
+    assert "tp_session_channel_groups" in names and "tp_session_last_user_source" in names
+    got = spark.sql("""
+        SELECT g.session_channel_group, count(*) AS n
+        FROM tp_events_session_start s JOIN tp_session_channel_groups g USING (session_key)
+        GROUP BY g.session_channel_group""").collect()
+    direct = {r.session_channel_group: r.ga4_sessions for r in
+              ch.daily.groupBy("session_channel_group").agg(F.sum("ga4_sessions").alias("ga4_sessions")).collect()}
+    assert {r.session_channel_group: r.n for r in got} == {k: v for k, v in direct.items() if k is not None}

@@ -94,6 +94,10 @@ class Chain:
             return self.overrides["first_last"]
         return self._boundary("first_last", S.session_first_last_source(self.traffic, self.cfg))
 
+    @cached_property
+    def last_user_source(self) -> DataFrame:
+        return S.session_last_user_source(self.first_last, self.cfg, strategy=self.lookback_strategy)
+
     @cached_property
     def channel_groups(self) -> DataFrame:
         return S.session_channel_groups(self.first_last, self.cfg, strategy=self.lookback_strategy)
@@ -106,6 +110,32 @@ class Chain:
     def daily(self) -> DataFrame:
         return daily_sessions(self.session_starts)
 
+    # model name -> chain attribute, for SQL access to every model output
+    VIEWS = {
+        "base_events": "base",
+        "ads_click_stats": "clicks",
+        "ads_campaign_names": "campaign_names",
+        "gclid_campaigns": "gclid_campaigns",
+        "sessions_non_pageview": "silent_sessions",
+        "events_pageviews_adjusted": "traffic",
+        "session_first_last_source": "first_last",
+        "session_last_user_source": "last_user_source",
+        "session_channel_groups": "channel_groups",
+        "events_session_start": "session_starts",
+        "daily_sessions": "daily",
+    }
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register every model output as a temporary view (lazy: a view is
+        planned only when a SQL query reads it)."""
+        names = []
+        for view, attr in self.VIEWS.items():
+            if attr in ("clicks", "campaign_names", "gclid_campaigns") and self.variant != "gclid":
+                continue
+            getattr(self, attr).createOrReplaceTempView(prefix + view)
+            names.append(prefix + view)
+        return names
+
 
 def chain_from_paths(spark: SparkSession, export: str, cfg: RunConfig, ads_root: str | None = None,
                      variant: str = "gclid", **kw) -> Chain:
