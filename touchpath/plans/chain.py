@@ -1,8 +1,9 @@
 """The attribution chain wired end to end (lazy DataFrames, one plan).
 
 Entry A: session channel groups; entry B: click id -> campaign name; entry C:
-daily sessions report.  Nothing is materialised here; sinks decide where a
-durable boundary goes.
+daily sessions report.  By default nothing is materialised; ``durable`` names
+the models written to the shared folder and read back (the tables the original
+keeps), which cuts lineage and lets later date filters prune partitions.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ class Chain:
         from touchpath.sources.sinks import write_full
         path = scratch_path(self.spark, f"model-{name}")
         write_full(df, path, partition_by="event_date_dt")
-        return self.spark.read.parquet(path).select(*df.columns)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     @cached_property
     def base(self) -> DataFrame:
