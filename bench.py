@@ -88,6 +88,22 @@ def main() -> None:
             el = round(time.perf_counter() - t0, 3)
             (cold if attempt == "cold" else times)[name] = el
 
+    # cost of skew-safety: the same models with plain per-key windows (one
+    # task per session / user), warm; reported apart from the total
+    from touchpath.operators import sessions as S
+    variants = {}
+    sc.setJobGroup("variants", "variants")
+    for label, make in (
+            ("base_events_plain_window",
+             lambda: fixture_chain(spark, sf_dir, numbering="window").base),
+            ("user_last_source_plain_window",
+             lambda: (lambda c: S.session_last_user_source(c.first_last, c.cfg, lookback_seconds=5 * 86400,
+                                                           strategy="window"))(fixture_chain(spark, sf_dir)))):
+        for _ in range(2):
+            t0 = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            variants[label] = round(time.perf_counter() - t0, 3)
+
     # one incremental day: tables loaded in full for run date 2024-01-30
     # (untimed), then the run of 2024-01-31 reloads and advances every model
     ch = fixture_chain(spark, sf_dir)
@@ -108,7 +124,8 @@ def main() -> None:
                       "timing": "value/queries = second (warm) run of each query; cold_queries = first run",
                       "cold_total": round(sum(cold.values()), 3), "cold_queries": cold,
                       "cpus": int(cpus), "fixture_prep_sec": prep,
-                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times}}))
+                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times},
+                      "variants": variants}))
 
 
 if __name__ == "__main__":
