@@ -10,4 +10,22 @@ DataFrame API so Catalyst and AQE choose the physical plan.
 
 from touchpath.config import RunConfig
 
-__all__ = ["RunConfig"]
+__all__ = ["RunConfig", "Chain", "chain_from_paths", "IncrementalRunner",
+           "custom_channel_group", "default_channel_group", "event_param"]
+
+
+def __getattr__(name):
+    # lazy: importing the package does not start or need a Spark session
+    if name in ("Chain", "chain_from_paths"):
+        from touchpath.plans import chain
+        return getattr(chain, name)
+    if name == "IncrementalRunner":
+        from touchpath.streaming.incremental import IncrementalRunner
+        return IncrementalRunner
+    if name in ("custom_channel_group", "default_channel_group"):
+        from touchpath.functions import channels
+        return getattr(channels, name)
+    if name == "event_param":
+        from touchpath.functions.params import event_param
+        return event_param
+    raise AttributeError(name)

@@ -58,6 +58,12 @@ class RunConfig:
     sample_seed: int = 42
     reload_days: int = 2                        # partitions replaced incrementally
 
+    def __post_init__(self):
+        if self.mode not in (FULL, INCREMENTAL, DEV):
+            raise ValueError(f"mode must be one of full, incremental, dev (got {self.mode!r})")
+        if self.lookback_seconds < 1 or self.lookback_bucket_seconds < 1 or self.numbering_bucket_us < 1:
+            raise ValueError("look-back and bucket widths must be positive")
+
     def with_(self, **kw) -> "RunConfig":
         return replace(self, **kw)
 
