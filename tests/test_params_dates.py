@@ -61,3 +61,12 @@ def test_items_json_and_page_paths(spark):
                                            page_path_and_querystring(F.col("u"), "shop").alias("q")).collect()]
     assert got == [("/p/1", "/p/1?q=2?z"), ("/x", "/x"), ("e/x", "e/x"),   # long TLD leaves a rest
                    ("https://other.example/x", "https://other.example/x?y=1"), (None, None), ("", "")]
+
+
+def test_parse_yyyymmdd_strict_and_safe(spark):
+    df = spark.createDataFrame([("20240229",), ("2024-02-30",)], "s string")
+    got = [r.d for r in df.select(D.parse_yyyymmdd(F.col("s"), safe=True).alias("d")).collect()]
+    assert got == [date(2024, 2, 29), None]
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        with pytest.raises(Exception):
+            df.select(D.parse_yyyymmdd(F.col("s")).alias("d")).collect()
