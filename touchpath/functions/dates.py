@@ -25,7 +25,7 @@ def minus_years(d: date, years: int = 1) -> date:
 
 def parse_yyyymmdd(c: Column, safe: bool = False) -> Column:
     """``parse_date('%Y%m%d', s)``; ``safe`` returns NULL instead of raising."""
-    return F.try_to_date(c, F.lit("yyyyMMdd")) if safe else F.to_date(c, "yyyyMMdd")
+    return F.try_to_date(c, "yyyyMMdd") if safe else F.to_date(c, "yyyyMMdd")
 
 
 def first_number(c: Column) -> Column:
