@@ -68,3 +68,11 @@ def test_quality_checks_good_and_broken(spark):
     b = run(bad)
     assert b == {"day_coverage": (1, "warn"), "not_null:session_key": (1, "fail"), "unique:sk_id": (1, "fail"),
                  "in_set:session_gadscampaign": (2, "warn"), "unique_proportion:session_key": (1, "warn")}
+
+
+def test_dynamic_overwrite_reading_its_own_target(spark):
+    path = scratch_path(spark, "t-self")
+    sinks.write_full(_df(spark, [(D1, "a", 1), (D2, "b", 2)]), path)
+    own = spark.read.parquet(path).where(F.col("event_date_dt") == F.lit(D2)).withColumn("v", F.col("v") * 10)
+    sinks.write_dynamic(own, path, stage=True)
+    assert _read(spark, path) == [(D1, "a", 1), (D2, "b", 20)]

@@ -31,3 +31,11 @@ def test_left_join_nonnull_keeps_null_keys(spark):
     assert out.columns == ["g", "id", "name"]
     got = sorted((r.id, r.name) for r in out.collect())
     assert got == [(1, "x"), (1, "y"), (2, None), (3, None)]
+
+
+def test_base_event_numbering_strategies_agree(spark):
+    from tests.conftest import SF_SMALL
+    from touchpath.plans.chain import fixture_chain
+    a = fixture_chain(spark, SF_SMALL).base.select("sk_id", "session_key", "session_event_number")
+    b = fixture_chain(spark, SF_SMALL, numbering="window").base.select("sk_id", "session_key", "session_event_number")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
