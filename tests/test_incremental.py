@@ -97,3 +97,19 @@ def test_daily_incremental_equals_full_refresh_gclid_with_click_lookback(spark):
     inc = runner.table("session_channel_groups").where(
         F.col("event_date_dt").between(F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 30)))).select(*cols)
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+
+
+def test_widen_sessions_days_finds_groups_of_earlier_sessions(spark):
+    """D16: both sides of the session-start join are cut to the same window,
+    so a start inside it whose session began before it has no group."""
+    from touchpath.operators import sessions as S
+    ch = fixture_chain(spark, SF_SMALL)
+    hwm = {"session_starts": date(2024, 1, 25)}
+    missing = {}
+    for widen in (0, 1):
+        cfg = RunConfig(run_date=date(2024, 1, 31), mode="incremental", high_water_marks=hwm,
+                        widen_sessions_days=widen)
+        starts = S.session_starts_enriched(ch.events, ch.channel_groups, cfg)
+        missing[widen] = starts.where(F.col("session_channel_group").isNull()
+                                      & F.col("session_key").isNotNull()).count()
+    assert missing[1] < missing[0]
