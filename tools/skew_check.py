@@ -69,6 +69,11 @@ def main():
     sessions = ch.first_last.withColumn(
         "user_key", F.when(F.abs(F.hash("session_key")) % 3 == 0, F.lit("HOT")).otherwise(F.col("user_key")))
     n_events, n_sessions = events.count(), sessions.count()
+    # a third of the page views carry the same (matching) click id
+    pv = S.traffic_params(ch.events, ch.cfg)
+    names = S.gclid_name_table(ch.gclid_campaigns, ch.cfg)
+    hot_gclid = names.select("gclid").orderBy("gclid").first()[0]
+    pv_hot = pv.withColumn("gclid", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit(hot_gclid)).otherwise(F.col("gclid")))
     bucket = F.floor(F.col("event_timestamp") / F.lit(ch.cfg.numbering_bucket_us))
     runs = {
         "event number, skew-split (session, hour)":
@@ -80,14 +85,35 @@ def main():
             lambda: S.session_last_user_source(sessions, ch.cfg, strategy="bucketed"),
         "look-back, plain window (user)":
             lambda: S.session_last_user_source(sessions, ch.cfg, strategy="window"),
+        "page views ⟕ campaign names, hot gclid (AQE skew split)":
+            lambda: S.join_gclid_names(pv_hot, names),
+        "page views ⟕ campaign names, hot gclid (AQE skew split off)":
+            lambda: S.join_gclid_names(pv_hot, names),
         "first/last source, partial aggregate (session)":
             lambda: S.session_first_last_source(
                 ch.traffic.withColumn("session_key", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit("HOT"))
                                       .otherwise(F.col("session_key"))), ch.cfg),
     }
     times = {}
+    saved = {k: spark.conf.get(k) for k in (
+        "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold")}
     for label, make in runs.items():
         sc.setJobGroup(label, label)
+        for k, v in saved.items():
+            if v is not None:
+                spark.conf.set(k, v)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false" if label.endswith("split off)") else "true")
+        if "AQE skew" in label:
+            # the skew thresholds scaled down to this data size (defaults are
+            # sized for 100+ MB partitions); the broadcast of the small side is
+            # switched off so the shuffled join is what is measured
+            spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+            spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         t0 = time.perf_counter()
         make().write.format("noop").mode("overwrite").save()
         times[label] = time.perf_counter() - t0
