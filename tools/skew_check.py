@@ -53,6 +53,7 @@ def main():
     from touchpath.operators.skew import number_within
     from touchpath.plans.chain import fixture_chain
     from touchpath.session import get_session
+    from touchpath.sources import sinks
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     log_dir = tempfile.mkdtemp(prefix="touchpath-skew-")
@@ -69,6 +70,10 @@ def main():
     sessions = ch.first_last.withColumn(
         "user_key", F.when(F.abs(F.hash("session_key")) % 3 == 0, F.lit("HOT")).otherwise(F.col("user_key")))
     n_events, n_sessions = events.count(), sessions.count()
+    # a third of the events on one day, for the sink layout
+    hot_day = ch.events.select("event_date_dt", "session_key", "sk_id", "event_timestamp").withColumn(
+        "event_date_dt", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit("2024-01-15").cast("date"))
+        .otherwise(F.col("event_date_dt")))
     # a third of the page views carry the same (matching) click id
     pv = S.traffic_params(ch.events, ch.cfg)
     names = S.gclid_name_table(ch.gclid_campaigns, ch.cfg)
@@ -89,6 +94,10 @@ def main():
             lambda: S.join_gclid_names(pv_hot, names),
         "page views ⟕ campaign names, hot gclid (AQE skew split off)":
             lambda: S.join_gclid_names(pv_hot, names),
+        "sink write, hot day (rebalance, AQE split)":
+            lambda: sinks._layout(hot_day, "event_date_dt", ["session_key"]),
+        "sink write, hot day (plain repartition by day)":
+            lambda: hot_day.repartition("event_date_dt").sortWithinPartitions("event_date_dt", "session_key"),
         "first/last source, partial aggregate (session)":
             lambda: S.session_first_last_source(
                 ch.traffic.withColumn("session_key", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit("HOT"))
@@ -105,7 +114,7 @@ def main():
             if v is not None:
                 spark.conf.set(k, v)
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false" if label.endswith("split off)") else "true")
-        if "AQE skew" in label:
+        if "AQE skew" in label or "hot day" in label:
             # the skew thresholds scaled down to this data size (defaults are
             # sized for 100+ MB partitions); the broadcast of the small side is
             # switched off so the shuffled join is what is measured
