@@ -113,3 +113,14 @@ def test_widen_sessions_days_finds_groups_of_earlier_sessions(spark):
         missing[widen] = starts.where(F.col("session_channel_group").isNull()
                                       & F.col("session_key").isNotNull()).count()
     assert missing[1] < missing[0]
+
+
+def test_incremental_refuses_schema_change(spark):
+    import pytest
+    from touchpath.sources.sinks import SchemaChangeError
+    ch = fixture_chain(spark, SF_SMALL, variant="urlparam")
+    root = scratch_path(spark, "t-inc-schema")
+    IncrementalRunner(spark, root, ch.raw_events, {}, {}, variant="urlparam").run(date(2024, 1, 30), with_tests=False)
+    changed = ch.raw_events.withColumn("stream_id", F.lit(1))          # string -> int
+    with pytest.raises(SchemaChangeError):
+        IncrementalRunner(spark, root, changed, {}, {}, variant="urlparam").run(date(2024, 1, 31), with_tests=False)

@@ -12,7 +12,8 @@ Per run (``run_date`` = today):
 * session starts   – dynamic overwrite of [high-water mark, yesterday]
 * data tests       – the model test suite, appended per run date
 
-The first run of a target (no table yet) is a full refresh.  Every step reads
+The first run of a target (no table yet) is a full refresh; incremental
+writes of the analytics models refuse a schema change.  Every step reads
 the previous step's *table*, so a lost executor only repeats the step that was
 running, and each step's lineage starts at a table in the shared folder.
 """
@@ -85,7 +86,7 @@ class IncrementalRunner:
             sinks.write_full(base, self.path("base_events"), cluster_by=["event_name"])
         else:
             sinks.write_static(sp, base, self.path("base_events"), "event_date_dt", cfg.reload_partitions(),
-                               cluster_by=["event_name"])
+                               cluster_by=["event_name"], guard_schema=True)
         base_t = self.table("base_events")
 
         # silent sessions: static over the whole reprocessed range (a day that
@@ -130,9 +131,11 @@ class IncrementalRunner:
         if cfg.mode == FULL:
             sinks.write_full(df, path, cluster_by=["session_key"])
             return
+        # incremental loads refuse a schema change (policy: fail)
         if static:
             hwm = cfg.hwm(hwm_model)
             days = [date.fromordinal(o) for o in range(hwm.toordinal(), cfg.run_date.toordinal())]
-            sinks.write_static(self.spark, df, path, "event_date_dt", days, cluster_by=["session_key"])
+            sinks.write_static(self.spark, df, path, "event_date_dt", days, cluster_by=["session_key"],
+                               guard_schema=True)
         else:
-            sinks.write_dynamic(df, path, cluster_by=["session_key"])
+            sinks.write_dynamic(df, path, cluster_by=["session_key"], guard_schema=True)
