@@ -19,6 +19,11 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(ORACLES[name])
     ocols, orows = rel.columns, rel.fetchall()
+    # same type family per column (64-bit integers, text, dates)
+    fam = {"bigint": "int", "string": "text", "date": "date", "BIGINT": "int", "VARCHAR": "text", "DATE": "date"}
+    st = {f.name: fam.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dt = {c: fam.get(str(t), str(t)) for c, t in zip(ocols, rel.types)}
+    assert st == dt
     hs, cs, ls = digest(cols, rows)
     ho, co, lo = digest(ocols, orows)
     assert cs == co
