@@ -20,7 +20,7 @@ running, and each step's lineage starts at a table in the shared folder.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +47,19 @@ class IncrementalRunner:
     campaign_tables: dict
     variant: str = "gclid"
     base_cfg: RunConfig | None = None
+    # schemas of tables written by this runner: read back without inference
+    _schemas: dict = field(default_factory=dict, repr=False)
 
     def path(self, model: str) -> str:
         return f"{self.root.rstrip('/')}/{model}"
 
     def table(self, model: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(model))
+        schema = self._schemas.get(model)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(model))
+
+    def _written(self, model: str, df: DataFrame) -> None:
+        self._schemas[model] = df.schema
 
     def _cfg(self, run_date: date, target: str, model_keys: list[str]) -> RunConfig:
         base = self.base_cfg or RunConfig(run_date=run_date)
@@ -73,20 +80,25 @@ class IncrementalRunner:
             clicks = A.ads_click_stats(sp, self.click_tables, cfg)
             if cfg.mode == FULL:
                 sinks.write_full(clicks, self.path("ads_click_stats"), partition_by="date", cluster_by=["account"])
+                self._written("ads_click_stats", clicks)
             else:
                 sinks.write_static(sp, clicks, self.path("ads_click_stats"), "date", cfg.reload_partitions(),
                                    cluster_by=["account"])
+                self._written("ads_click_stats", clicks)
             names = A.ads_campaign_names(sp, self.campaign_tables, RunConfig(run_date=run_date))
             sinks.write_full(names, self.path("ads_campaign_names"), partition_by="date")
+            self._written("ads_campaign_names", names)
 
         # base events: fixed reload days, emptied when a day lost its input
         cfg = self._cfg(run_date, "base_events", [])
         base = base_events(self.raw_events, cfg)
         if cfg.mode == FULL:
             sinks.write_full(base, self.path("base_events"), cluster_by=["event_name"])
+            self._written("base_events", base)
         else:
             sinks.write_static(sp, base, self.path("base_events"), "event_date_dt", cfg.reload_partitions(),
                                cluster_by=["event_name"], guard_schema=True)
+            self._written("base_events", base)
         base_t = self.table("base_events")
 
         # silent sessions: static over the whole reprocessed range (a day that
@@ -109,6 +121,7 @@ class IncrementalRunner:
         # first/last source: full rebuild over all history
         fl = S.session_first_last_source(self.table("traffic_events"), cfg.with_(mode=FULL))
         sinks.write_full(fl, self.path("session_first_last_source"), cluster_by=["session_key"])
+        self._written("session_first_last_source", fl)
         fl_t = self.table("session_first_last_source")
 
         cfg = self._cfg(run_date, "session_channel_groups", ["session_channel_groups"])
@@ -128,6 +141,7 @@ class IncrementalRunner:
 
     def _write(self, cfg: RunConfig, df: DataFrame, model: str, static: bool, hwm_model: str | None = None):
         path = self.path(model)
+        self._written(model, df)
         if cfg.mode == FULL:
             sinks.write_full(df, path, cluster_by=["session_key"])
             return
