@@ -23,6 +23,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the attribution plans generate many distinct classes; with the default
+    # 100-entry cache they evict each other and are compiled again
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 # Runtime SQL settings applied to any session the library is handed (they can
