@@ -139,6 +139,14 @@ class IncrementalRunner:
                .option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(self.path("dq_results")))
         return {m: self.path(m) for m in MODEL_TABLES}
 
+    def backfill(self, first: date, last: date, with_tests: bool = True) -> dict[str, str]:
+        """Advance the tables one run date at a time from ``first`` to ``last``
+        (each run is its own set of Spark jobs; nothing passes the driver)."""
+        paths = {}
+        for o in range(first.toordinal(), last.toordinal() + 1):
+            paths = self.run(date.fromordinal(o), with_tests=with_tests)
+        return paths
+
     def _write(self, cfg: RunConfig, df: DataFrame, model: str, static: bool, hwm_model: str | None = None):
         path = self.path(model)
         self._written(model, df)
