@@ -52,6 +52,11 @@ def test_chain_from_paths_equals_fixture_chain(spark):
     for acc, df in ch.campaign_tables.items():
         df.write.partitionBy("_partition_date").parquet(f"{ads}/campaigns_{acc}")
     stored = chain_from_paths(spark, export, RunConfig(run_date=date(2024, 1, 31)), ads_root=ads)
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        main(["explain", "--export", export, "--ads-root", ads, "--run-date", "2024-01-31", "--model", "daily"])
+    # the formatted plan is printed by the JVM side; the call itself must succeed
     a, b = ch.daily, stored.daily
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

@@ -2,6 +2,7 @@
 
     python -m touchpath run --export PATH --ads-root PATH --out PATH --run-date 2024-01-31
         [--variant gclid|urlparam] [--no-tests]
+    python -m touchpath explain --export PATH --ads-root PATH --run-date 2024-01-31 [--model daily]
 
 ``--export`` is the analytics export (``events_YYYYMMDD`` shard folders);
 ``--ads-root`` holds one folder per account table, named
@@ -34,8 +35,26 @@ def main(argv=None) -> None:
     run.add_argument("--dev", action="store_true", help="dev run: last two days, sampled export")
     run.add_argument("--first-last-days", type=int, default=None,
                      help="bound the first/last-source history (default: all history)")
+    ex = sub.add_parser("explain", help="print the physical plan of a model for a run date")
+    ex.add_argument("--export", required=True)
+    ex.add_argument("--ads-root")
+    ex.add_argument("--run-date", type=date.fromisoformat, default=date.today())
+    ex.add_argument("--variant", choices=("gclid", "urlparam"), default="gclid")
+    ex.add_argument("--model", default="channel_groups",
+                    help="chain attribute: base, silent_sessions, traffic, first_last, channel_groups, "
+                         "session_starts, daily, gclid_campaigns")
     args = ap.parse_args(argv)
 
+    if args.cmd == "explain":
+        from touchpath.config import RunConfig
+        from touchpath.plans.chain import chain_from_paths
+        from touchpath.session import get_session
+        spark = get_session(app="touchpath-explain")
+        chain = chain_from_paths(spark, args.export, RunConfig(run_date=args.run_date),
+                                 ads_root=args.ads_root, variant=args.variant)
+        getattr(chain, args.model).explain("formatted")
+        return
+
     from touchpath.session import get_session
     from touchpath.sources.ads import account_labels
     from touchpath.sources.ga4 import read_ga4_shards
