@@ -24,7 +24,7 @@ def summary(plan: str) -> dict:
         "windows": sorted({strip(m) for m in re.findall(r"windowspecdefinition\(([^,]*(?:, [^,]*){0,2})", plan)}),
         "joins": sorted({strip(m) for m in re.findall(r"((?:SortMerge|BroadcastHash|ShuffledHash)Join \[[^\]]*\], \[[^\]]*\], \w+)", plan)}),
         "aggregates": len(re.findall(r"HashAggregate\(keys=", plan)) + len(re.findall(r"SortAggregate\(key=", plan)),
-        "partition_filters": sorted({strip(m)[:160] for m in re.findall(r"PartitionFilters: \[([^\]]+)\]", plan)}),
+        "partition_filters": sorted({strip(m)[:200] for m in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)}),
         "python": "EvalPython" in plan or "PythonUDF" in plan,
         "single_partition": "SinglePartition" in plan,
     }
