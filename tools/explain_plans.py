@@ -35,7 +35,8 @@ def main():
     from touchpath.plans import queries as Q
     from touchpath.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_session("local[8]", shuffle_partitions=16, extra={"spark.driver.memory": "8g"})
+    spark = get_session("local[8]", shuffle_partitions=16,
+                        extra={"spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "1000"})
     print("# Physical plans of the headline queries\n")
     print(f"Final adaptive plans after a full run on `{sf}` (local[8]); attribute ids removed.")
     print("Generated by `tools/explain_plans.py`.\n")
