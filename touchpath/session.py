@@ -37,6 +37,11 @@ RUNTIME_SQL = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.constraintPropagation.enabled": "false",
+    # broadcast only what was measured: no broadcast from planning-time size
+    # estimates; AQE broadcasts a join side once its shuffle output is known
+    # to be under 10 MB
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
 }
 
 
