@@ -64,3 +64,11 @@ def test_no_unbounded_window_groups(spark):
                 or keys.startswith("__k, __k_null")
             assert ok, (name, spec)
         assert "SinglePartition" not in p, name
+
+
+def test_no_broadcast_from_planning_estimates(spark):
+    """Before running, no plan broadcasts: only AQE, after measuring a join
+    side's shuffle output, may turn a join into a broadcast."""
+    for name in ("session_channel_groups", "daily_sessions", "gclid_campaigns", "base_events"):
+        p = _plan(Q.run(spark, name, SF_SMALL))          # not executed: the initial adaptive plan
+        assert "isFinalPlan=false" in p and "Broadcast" not in p, name
