@@ -71,4 +71,6 @@ def test_no_broadcast_from_planning_estimates(spark):
     side's shuffle output, may turn a join into a broadcast."""
     for name in ("session_channel_groups", "daily_sessions", "gclid_campaigns", "base_events"):
         p = _plan(Q.run(spark, name, SF_SMALL))          # not executed: the initial adaptive plan
-        assert "isFinalPlan=false" in p and "Broadcast" not in p, name
+        assert "isFinalPlan=false" in p, name
+        # (dynamic partition pruning may still ship its set of pruning values)
+        assert "BroadcastHashJoin" not in p and "BroadcastExchange" not in p, name
