@@ -220,11 +220,17 @@ def _lookback_bucketed(s: DataFrame, lookback: int, bucket_seconds: int) -> Data
     """
     v, t = F.col("last_non_null_value_session"), F.col("session_start_time")
     order_key = F.when(v.isNotNull(), F.struct(t, F.col("session_key")))
+    # a bucket is never wider than the look-back, so every earlier session of
+    # the same bucket is inside it: the in-bucket frame is "all earlier rows",
+    # which Spark evaluates incrementally (a sliding [t - L, t - 1] frame is
+    # re-aggregated whenever it changes: quadratic in a hot user's bucket)
+    width = min(bucket_seconds, lookback)
     x = s.select("*", F.coalesce(F.col("user_key"), F.lit("")).alias("__u"),
                  F.col("user_key").isNull().alias("__un"),
-                 F.coalesce(F.floor(t / F.lit(bucket_seconds)), F.lit(-(2 ** 63))).alias("__b"))
+                 F.coalesce(F.floor(t / F.lit(width)), F.lit(-(2 ** 63))).alias("__b"))
     parts = ["__u", "__un", "__b"]
-    w_in = Window.partitionBy(*parts).orderBy("session_start_time").rangeBetween(-lookback, -1)
+    w_in = (Window.partitionBy(*parts).orderBy("session_start_time")
+            .rangeBetween(Window.unboundedPreceding, -1))
     x = x.withColumn("__in", F.max_by(v, order_key).over(w_in))
     # one row per (user, bucket) that has sessions; __last is NULL when none
     # of them has a source (max_by skips NULL ordering values)
