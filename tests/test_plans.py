@@ -74,3 +74,16 @@ def test_no_broadcast_from_planning_estimates(spark):
         assert "isFinalPlan=false" in p, name
         # (dynamic partition pruning may still ship its set of pruning values)
         assert "BroadcastHashJoin" not in p and "BroadcastExchange" not in p, name
+
+
+def test_no_sliding_window_frames(spark):
+    """Every window frame starts at UNBOUNDED PRECEDING (or is the whole
+    partition): Spark evaluates those incrementally, while a frame with a
+    bounded lower offset is re-aggregated whenever it changes."""
+    for name in ("user_last_source", "session_channel_groups", "base_events", "ads_campaign_names",
+                 "ads_campaign_names_ignore_nulls"):
+        p = _plan(Q.run(spark, name, SF_SMALL))
+        frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ([^)]+\)?)\)", p)
+        assert frames, name
+        for kind, lower, upper in frames:
+            assert lower.startswith("unboundedpreceding"), (name, kind, lower, upper)
