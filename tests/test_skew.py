@@ -39,3 +39,12 @@ def test_base_event_numbering_strategies_agree(spark):
     a = fixture_chain(spark, SF_SMALL).base.select("sk_id", "session_key", "session_event_number")
     b = fixture_chain(spark, SF_SMALL, numbering="window").base.select("sk_id", "session_key", "session_event_number")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_suggest_bucket_width(spark):
+    from touchpath.operators.skew import suggest_bucket_width
+    df = spark.range(0, 40000).select((F.col("id") % 4 == 0).cast("string").alias("k"),
+                                      (F.col("id") * 25).alias("ts"))          # hottest key: 30,000 rows over ~1e6
+    w = suggest_bucket_width(df, "k", "ts", 1, 10 ** 9)
+    assert 5_500 <= w <= 6_000                                              # ~ T / sqrt(N) = 1e6 / 173
+    assert suggest_bucket_width(df, "k", "ts", 50_000, 10 ** 9) == 50_000   # clamped

@@ -65,3 +65,19 @@ def left_join_nonnull(left: DataFrame, right: DataFrame, on: list[str],
     unmatched = left.where(has_null).select(
         *on, *other, *[F.lit(None).cast(rtypes[c]).alias(c) for c in right_cols])
     return matched.select(*on, *other, *right_cols).unionByName(unmatched)
+
+
+def suggest_bucket_width(df: DataFrame, key: str, ts: str, min_width: int, max_width: int) -> int:
+    """A bucket width (in units of ``ts``) for ``number_within`` or the
+    look-back, from the hottest key: with N rows over a time span T the
+    largest (key, bucket) group and the key's bucket count are balanced near
+    T / sqrt(N).  One distributed count per key, then the top key only (no
+    per-key data reaches the driver); clamped to [min_width, max_width].
+    """
+    top = (df.where(F.col(ts).isNotNull()).groupBy(key)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+             .orderBy(F.col("n").desc()).limit(1).first())
+    if top is None or top["n"] < 2:
+        return max_width
+    width = (top["hi"] - top["lo"]) / (top["n"] ** 0.5)
+    return int(min(max(width, min_width), max_width))
