@@ -27,6 +27,18 @@ FIXTURE_RUN_DATE = date(2024, 1, 31)
 
 @dataclass
 class Chain:
+    """The models over one set of inputs, as lazy DataFrames.
+
+    Inputs: ``raw_events`` (export rows with ``shard_date``), ``click_tables``
+    and ``campaign_tables`` (account label -> path or DataFrame), ``cfg``.
+    Outputs (cached properties): ``base`` (M1), ``events`` (M1 without the
+    event number), ``clicks`` (M9), ``campaign_names`` (M10),
+    ``gclid_campaigns`` (M11), ``silent_sessions`` (M2), ``adjusted`` (M3 or
+    M4 by ``variant``), ``traffic`` (M3b), ``first_last`` (M5),
+    ``last_user_source`` (M6), ``channel_groups`` (M7), ``session_starts``
+    (M8), ``daily`` (M12); ``register_views()`` exposes them to SQL.
+    """
+
     spark: SparkSession
     raw_events: DataFrame
     click_tables: dict
