@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.llm import common, exact_dedup, mixing, packing
+from touchpath.llm import common, exact_dedup, langid, mixing, packing, pii, secret_scan
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +28,29 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "doc_id", "text", "lang")
+    out = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", (~langid.learns(F.col("doc_id"))).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+#: Stands for the caller's secret in the registered query.
+PSEUDONYM_KEY = "registered-query"
+
+
+def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(common.documents(spark, sf_dir, "doc_id", "text"), PSEUDONYM_KEY)
+
+
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "doc_id", "text", "source")
+    out = secret_scan.scan(docs.select("doc_id", "text", F.col("doc_id").alias("repository"), F.col("source").alias("owner")))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+                      secret_scan.written(F.col("all")).alias("spans"), "n_live", "n_examples")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_best_fit_packing, op9_entropy_mixing, op10_exact_dedup)
+    f.__name__: f for f in (op3_language_id, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op9_entropy_mixing, op10_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
