@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.llm import common, exact_dedup, langid, mixing, packing, pii, secret_scan
+from touchpath.llm import common, exact_dedup, langid, mixing, packing, pii, secret_scan, spotsigs
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.beside_next(common.documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir, "doc_id", "text", "lang")
     out = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
@@ -50,7 +54,7 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op9_entropy_mixing, op10_exact_dedup)
+    f.__name__: f for f in (op1_spotsigs, op3_language_id, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op9_entropy_mixing, op10_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
