@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchpath.llm.texthash import Runs, byte_values
 from touchpath.session import scratch_path
 
 
@@ -66,7 +67,7 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], out: str) -> D
     return joined.select(*[rows[c] for c in df.columns], (F.col("_no") + F.col("_base")).cast("long").alias(out))
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
     """Join rows to their group (one row per ``key``), whatever a group's size.
 
     Groups with over a thousandth of all ``total`` rows number under 1,000;
@@ -74,7 +75,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     """
     hot = groups.where(F.col(size) * 1000 > total)
     cold = groups.where(F.col(size) * 1000 <= total)
-    flag = hot.select(key, F.lit(True).alias("_hot"))
+    key = [key] if isinstance(key, str) else key
+    flag = hot.select(*key, F.lit(True).alias("_hot"))
     marked = rows.join(F.broadcast(flag), key, "left")
     light = marked.where(F.col("_hot").isNull()).drop("_hot").join(cold, key)
     heavy = marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot), key)
@@ -87,22 +89,24 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
     Alternating large-star and small-star steps; each step is one grouped
     minimum (combined map-side) and one join, and is written to the shared
-    folder.  Stops when a round leaves the edges as they are.
+    folder.  Stops when a round leaves the edges as they are (told by their
+    number and the exact sum of their hashes).
     """
+    mark = [F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
     cur = stash(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), name)
-    while True:
+    was = cur.agg(*mark).first()
+    while was[0]:
         both = cur.unionByName(cur.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = stash(large, name)
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        pairs = large.join(low, "a")
+        pairs = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         small = pairs.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(pairs.select("a", F.col("m").alias("b")))
-        new = stash(small.where("a <> b").distinct(), name)
-        same_edges = new.count() == cur.count() and new.exceptAll(cur).isEmpty()
-        cur = new
-        if same_edges:
+        cur = stash(small.where("a <> b").distinct(), name)
+        now = cur.agg(*mark).first()
+        if now == was:
             break
+        was = now
     return cur.selectExpr("a AS node", "b AS component").unionByName(cur.selectExpr("b AS node", "b AS component").distinct())
 
 
@@ -147,6 +151,19 @@ def word_bounds(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends
 
 
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words given by their bounds; bytes are taken in parts, so
+    memory does not grow with the text."""
+    values, out = byte_values(), np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + (1 << 20))))
+        at, end = starts[i], ends[j - 1]
+        out[i:j] = Runs(values[raw[at:end]]).hash(starts[i:j] - at, ends[i:j] - at)
+        i = j
+    return out
+
+
 @F.arrow_udf(T.LongType())
 def count_words(text: pa.Array) -> pa.Array:
     """Number of words ``[^\\x20\\x09-\\x0D]+`` of each whole text (null: 0)."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.llm import common, exact_dedup, langid, mixing, packing, pii, secret_scan, spotsigs
+from touchpath.llm import common, exact_dedup, langid, minhash, mixing, packing, passage_dedup, pii, secret_scan, spotsigs, suffix_dedup
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.drop_repeated_bytes(common.documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir, "doc_id", "source", "text")
     sized = common.stash(docs.select("doc_id", "source", common.count_words("text").alias("size")), "sized")
@@ -32,12 +37,22 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.beside_next(common.documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op2_automaton_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passage_dedup.drop_repeated_passages(common.documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir, "doc_id", "text", "lang")
     out = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return out.select("doc_id", (~langid.learns(F.col("doc_id"))).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.link_components(common.documents(spark, sf_dir, "doc_id", "text"), shingle_words=2)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 #: Stands for the caller's secret in the registered query.
 PSEUDONYM_KEY = "registered-query"
 
@@ -54,7 +69,7 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_spotsigs, op3_language_id, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op9_entropy_mixing, op10_exact_dedup)
+    f.__name__: f for f in (op1_spotsigs, op2_automaton_passages, op3_language_id, op4_minhash_hamming, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op8_suffix_sort, op9_entropy_mixing, op10_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
