@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import components, join_groups, slices, stash, utf8, word_bounds, word_hashes
+from touchpath.llm.common import boxed, components, join_groups, slices, stash, utf8, word_bounds, word_hashes
 from touchpath.llm.texthash import Runs, mix
 
 VALUES, CHUNK = 32, 4
@@ -170,7 +170,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) of each row of ``docs``."""
+    """(doc_id, text_hash, n_shingles, component_id, stays) of each row of
+    ``docs``; of a component, the text with the least doc_id stays (of several
+    such texts, the one with the least hash)."""
     spark = docs.sparkSession
     rows = stash(features(docs, shingle_words), "features")
     low = F.lit(-(1 << 63))
@@ -226,11 +228,22 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         if last:
             break
 
-    named = classes.select("set_id", "node", "at", "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("at").alias("component_id"))
-    ids = named.join(least, "component").select("set_id", "component_id", "rows")
+    named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min(F.struct("at", "least_hash")).alias("least"))
+    ids = named.select("component", "set_id", "rows").join(least, "component").select("set_id", "least", "rows")
     total = rows.where("set_id IS NOT NULL").count()
     full = join_groups(rows.where("set_id IS NOT NULL").select("doc_id", "text_hash", "n", "set_id"), ids, "set_id", "rows", total)
-    full = full.select("doc_id", "text_hash", "n", F.when(F.col("component_id") > low, F.col("component_id")).alias("component_id"))
-    none = rows.where("set_id IS NULL").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
+    at = F.col("least.at")
+    full = full.select("doc_id", "text_hash", "n", F.when(at > low, at).alias("component_id"),
+                       ((F.coalesce("doc_id", low) == at) & (F.col("text_hash") == F.col("least.least_hash"))).alias("stays"))
+    none = rows.where("set_id IS NULL").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
     return full.unionByName(none).withColumnRenamed("n", "n_shingles")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` (any columns) with one text of each component; rows that repeat
+    a doc_id and text stay once."""
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"), F.coalesce("text_hash", F.lit(0)).alias("_hash")]
+    staying = link_components(docs.select("doc_id", "text"), shingle_words, percent).where("stays").select(*key).distinct()
+    rows = boxed(docs).withColumn("doc_id", F.col("row.doc_id")).withColumn("text_hash", F.xxhash64(F.col("row.text").cast("string"))).select("row", *key)
+    return rows.join(staying, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select("row.*")

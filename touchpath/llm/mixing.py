@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import boxed, numbered, same, stash
+from touchpath.llm.common import boxed, count_words, numbered, same, stash
 
 #: No document is taken more often than this, and no source's target passes
 #: this multiple of its words.
@@ -118,3 +118,17 @@ def mix(docs: DataFrame) -> DataFrame:
     # where the document's stretch begins, modulo 1, and whole numbers in it
     begin = (F.col("start") + (F.col("no") % UNIT) * (F.col("units") % UNIT)) % UNIT
     return out.select("row.*", "source_size", "target", F.floor((begin + F.col("units")) / UNIT).cast("long").alias("copies"))
+
+
+def resample(docs: DataFrame) -> DataFrame:
+    """``docs`` (any columns, among them doc_id, source, text) with each row as
+    often as the mix takes it; rows that repeat a doc_id, source and text are
+    taken together.  The rates are found on narrow rows, and the texts are
+    shuffled once."""
+    doc_id, text = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63))), F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    source = F.coalesce(F.col("row.source"), F.lit("~"))
+    rows = boxed(docs).select("row", F.xxhash64(doc_id, source, text).alias("h1"), F.xxhash64(text, source, doc_id, F.lit(1)).alias("h2"))
+    narrow = rows.select("h1", "h2", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), count_words(text).alias("size"))
+    taken = mix(stash(narrow, "sized")).groupBy("h1", "h2").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    once = rows.join(taken, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
