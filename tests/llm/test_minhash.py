@@ -60,9 +60,10 @@ def test_query_equals_brute_force(spark, table):
     assert QUERIES["op4_minhash_hamming"](spark, table([])).collect() == []
 
 
-@pytest.mark.parametrize("stars", [0, 1, 6])
-def test_chains_and_hot_groups_whatever_the_rounds(spark, monkeypatch, stars):
+@pytest.mark.parametrize(("stars", "large"), [(0, 64), (0, 1), (1, 64), (4, 1)])
+def test_chains_and_hot_groups_whatever_the_rounds(spark, monkeypatch, stars, large):
     monkeypatch.setattr(minhash, "STARS", stars)
+    monkeypatch.setattr(minhash, "LARGE", large)
     base = [f"w{i}" for i in range(60)]
     rows = []
     for i in range(40):  # a chain: each text is near the one before, far from the first
@@ -75,6 +76,25 @@ def test_chains_and_hot_groups_whatever_the_rounds(spark, monkeypatch, stars):
     assert got(minhash.link_components(d, 2)) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_prefix_filter_loses_no_pair_near_the_threshold(spark, monkeypatch, seed):
+    """Texts that derive from one template by a few changes, some of them shared;
+    similarities lie around the threshold, and no stars help."""
+    monkeypatch.setattr(minhash, "STARS", 0)
+    monkeypatch.setattr(minhash, "LARGE", 1)
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in rng.choice(80, rng.integers(1, 9), replace=False):
+            words[k] = f"c{rng.integers(0, 4)}_{k}"
+        rows.append((i, " ".join(words[:80 - int(rng.integers(0, 12))]), None, None, 0))
+    want = brute(rows)
+    assert 1 < len({r[2] for r in want}) < 120
+    assert got(minhash.link_components(spark.createDataFrame(rows, SCHEMA).repartition(3), 2)) == want
+
+
 def test_real_table(spark):
     folder = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]

@@ -10,9 +10,13 @@ may be wrong: 32 keys a signature, and every pair within the distance shares one
 
 Texts with equal sets form one class; only classes are joined.  Links are
 confirmed on full sets: 100 * intersection >= 80 * union.  A bucket of any size
-yields a star to one hub, not all its pairs; what the confirmed stars leave
-apart inside a bucket is compared again: only members of different components
-meet, until no untested pair of components is left.  So components are exact.
+yields a star to one hub, not all its pairs: classes that end in one component
+need no more pairs.  Then members of one bucket that lie in different components
+meet.  In a large bucket they do so by a prefix filter: shingles are ranked with
+those that the hub lacks first, and two sets that are similar enough must share
+one of their first few (as many as their sizes leave room for), so texts that
+derive from one template meet only where their changes agree.  The filter loses
+no pair, and components are exact.
 
 Defined results: null and empty texts have an empty set, are linked with nothing
 and form components of their own; a text with fewer words than a shingle has its
@@ -23,7 +27,6 @@ below all others.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +44,10 @@ DISTANCE = 17
 #: Least similarity in per cent.
 PERCENT = 80
 SHINGLE_WORDS = 5
-#: Rounds of stars before the rest is compared pair by pair.
+#: Rounds of stars at most; they end when a round confirms few links.
 STARS = 4
+#: Members from which on a bucket is large.
+LARGE = 64
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -85,16 +90,17 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def chunk_keys(sig: np.ndarray) -> list[int]:
-    """Keys of every chunk with each one of its values left out."""
+    """Keys of every chunk with each one of its values left out; key 4 * c + v
+    is of chunk c without its value v."""
     parts = sig.reshape(-1, CHUNK).astype(_U)
-    out = []
+    out = np.zeros((len(parts), CHUNK), _U)
     for skip in range(CHUNK):
         code = np.zeros(len(parts), _U)
         for v in range(CHUNK):
             if v != skip:
                 code = (code << _U(16)) | parts[:, v]
-        out.append(mix(code + (np.arange(len(parts), dtype=_U) * _U(CHUNK) + _U(skip + 1)) * _U(0xC2B2AE3D27D4EB4F)))
-    return np.concatenate(out).view(np.int64).tolist()
+        out[:, skip] = mix(code + (np.arange(len(parts), dtype=_U) * _U(CHUNK) + _U(skip + 1)) * _U(0xC2B2AE3D27D4EB4F))
+    return out.reshape(-1).view(np.int64).tolist()
 
 
 def packed(sig: np.ndarray) -> list[int]:
@@ -106,15 +112,34 @@ def packed(sig: np.ndarray) -> list[int]:
     return code.view(np.int64).tolist()
 
 
-def distance(x: str, y: str) -> Column:
-    """Values that differ between the signatures of two join sides: the bits of
-    each 16-bit lane are folded onto its lowest one and counted."""
-    out = F.lit(0)
+def wrong_values(x: str, y: str) -> list[Column]:
+    """Values that differ between the signatures of two join sides, chunk by
+    chunk: the bits of each 16-bit lane are folded onto its lowest one and
+    counted."""
+    out = []
     for i in range(VALUES // CHUNK):
         z = F.col(f"{x}.sig")[i].bitwiseXOR(F.col(f"{y}.sig")[i])
         for shift in (8, 4, 2, 1):
             z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
-        out = out + F.bit_count(z.bitwiseAND(F.lit(0x0001000100010001)))
+        out.append(F.bit_count(z.bitwiseAND(F.lit(0x0001000100010001))))
+    return out
+
+
+def distance(x: str, y: str) -> Column:
+    return sum(wrong_values(x, y)[1:], wrong_values(x, y)[0])
+
+
+def first_common_key(x: str, y: str) -> Column:
+    """Whether this key (number ``slot``) is the first that both signatures
+    have; so a pair that shares many buckets is made once."""
+    wrong = wrong_values(x, y)
+    out = F.lit(False)
+    earlier = F.lit(True)
+    for i, w in enumerate(wrong):
+        here = F.floor(F.col(f"{x}.slot") / CHUNK) == i
+        # without an error, the chunk's four keys agree: the first one counts
+        out = out | (here & earlier & ((w == 1) | (F.col(f"{x}.slot") % CHUNK == 0)))
+        earlier = earlier & (w > 1)
     return out
 
 
@@ -169,6 +194,39 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select("a", "b")
 
 
+def share_of(percent: int, n: Column, m: Column) -> Column:
+    """Least intersection of two sets of n and m that are similar enough."""
+    return F.ceil((n + m) * percent / F.lit(100 + percent) - 1e-9)
+
+
+def prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(hub, node, token, at): the first shingles of each member (hub, node) of
+    a large bucket; those that the hub lacks are ranked first, then by hash."""
+    x = sets.select("node", F.col("shingles").alias("x"))
+    h = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h"))
+    ranked = F.concat(F.array_sort(F.array_except("x", "h")), F.array_sort(F.array_intersect("x", "h")))
+    n = F.size("x")
+    most = (n - F.ceil(n * percent / F.lit(100) - 1e-9) + 1).cast("int")
+    both = members.join(x, "node").join(h, "hub")
+    return both.select("hub", "node", F.posexplode(F.slice(ranked, F.lit(1), most)).alias("at", "token"))
+
+
+def apart_in_large(large: DataFrame, label: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, alike) -> DataFrame:
+    """Pairs (a, b) of different components from large buckets (hub, node, n)
+    that share one of the shingles which their sizes leave room for."""
+    rows = prefixes(large.select("hub", "node"), sets, percent).join(large.select("hub", "node", "n", "label"), ["hub", "node"])
+    # shingles of one component alone are of no use; of the others, members of
+    # the most frequent component meet the rest, not each other
+    per = rows.groupBy("hub", "token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("hub", "token").agg(
+        F.count(F.lit(1)).alias("labels"), F.max(F.struct("c", "label"))["label"].alias("top")).where("labels > 1").drop("labels")
+    rows = stash(rows.join(per, ["hub", "token"]).join(sigs, "node"), "prefixes")
+    x, y = rows.where("label != top").alias("x"), rows.alias("y")
+    room = share_of(percent, F.col("x.n"), F.col("y.n"))
+    fits = (F.col("x.at") <= F.col("x.n") - room) & (F.col("y.at") <= F.col("y.n") - room)
+    on = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
+    return x.join(y, on & fits & alike("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, stays) of each row of
     ``docs``; of a component, the text with the least doc_id stays (of several
@@ -181,13 +239,13 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     classes = stash(classes.select("set_id", "r.at", "r.doc_id", "r.text_hash", "n", "keys", "sig", "rows", F.monotonically_increasing_id().alias("node")), "classes")
 
     # buckets of at least two classes; a class weighs what its buckets hold
-    keys = classes.select("node", "n", F.explode("keys").alias("key"))
+    keys = classes.select("node", "n", F.posexplode("keys").alias("slot", "key"))
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = stash(keys.join(many, "key").select("key", "node", "n", "members"), "buckets")
+    shared = stash(keys.join(many, "key").select("key", "slot", "node", "n", "members"), "buckets")
     weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
-    shared = stash(shared.join(weight, "node"), "buckets")
     sigs = classes.select("node", "sig")
-    reps = classes.join(shared.select("node").distinct(), "node", "left_semi")
+    shared = stash(shared.join(weight, "node").join(sigs, "node"), "buckets")
+    reps = classes.join(weight.select("node"), "node", "left_semi")
     sets = stash(full_sets(docs, reps, shingle_words), "sets")
 
     def alike(x: str, y: str) -> Column:
@@ -195,39 +253,47 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
         return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (distance(x, y) <= DISTANCE)
 
+    def hubs(rank: Column) -> DataFrame:
+        return shared.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n", "sig")).alias("hub")).select("key", "hub.*")
+
+    def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+        return rows.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def fresh(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+
+    # stars: the first hub is the weightiest class, a text the others derive
+    # from; later ones are drawn anew in each bucket
     links = spark.createDataFrame([], "a long, b long")
     tested, label = links, links.selectExpr("a AS node", "b AS component")
-    size, before = shared.count(), math.inf
-    for turn in range(STARS + 1):
-        at = shared.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # buckets that hold several components, and how many pairs across them
-        per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("labels"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("across")).where("labels > 1")
-        at = stash(at.join(per, "key").join(sigs, "node"), "apart")
-        across = at.agg(F.sum(F.col("across") / F.col("members"))).first()[0] or 0
-        # stars go on while they leave few buckets as they were
-        last = turn == STARS or across <= 2 * size or across > before / 2
-        before = across
-        if last:
-            x, y = at.alias("x"), at.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y"))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        else:
-            # the first hub is the weightiest class, a text the others derive
-            # from; later ones are drawn anew in each bucket
-            rank = F.col("weight") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))
-            hub = at.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n", "label", "sig")).alias("hub")).select("key", "hub.*")
-            x, y = at.alias("x"), hub.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y"))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stash(links.unionByName(confirmed(pairs, sets, percent)), "links")
-        tested = tested.unionByName(pairs)
+    for turn in range(STARS):
+        at = labelled(shared, label)
+        mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        x, y = at.join(mixed, "key").alias("x"), labelled(hubs(F.col("weight") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))), label).alias("y")
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y"))
+        pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
+        found = stash(confirmed(pairs, sets, percent), "links")
+        links, tested = links.unionByName(found), tested.unionByName(pairs)
         label = components(links, "components")
-        if last:
+        if found.count() * 4 < pairs.count():
             break
 
+    # what the stars left apart
+    at = labelled(shared, label)
+    per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
+    at = stash(at.join(per, "key"), "apart")
+    x, y = at.where(F.col("members") <= LARGE).alias("x"), at.where(F.col("members") <= LARGE).alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & first_common_key("x", "y")
+    pairs = x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    large = at.where(F.col("members") > LARGE)
+    if not large.isEmpty():
+        hub = hubs(F.col("weight")).select("key", F.col("node").alias("hub"))
+        large = stash(large.select("key", "node", "n", "label").join(hub, "key").select("hub", "node", "n", "label").distinct(), "large")
+        pairs = pairs.unionByName(apart_in_large(large, label, sigs, sets, percent, alike))
+    links = links.unionByName(stash(confirmed(fresh(pairs, tested), sets, percent), "links"))
+    label = components(links, "components")
+
     named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min(F.struct("at", "least_hash")).alias("least"))
     ids = named.select("component", "set_id", "rows").join(least, "component").select("set_id", "least", "rows")
