@@ -3,9 +3,10 @@ dedup share.
 
 1. Documents are described by blocks (see ``anchors``): key, content hash and
    place; one row for every dozens of values, written once.
-2. Blocks are grouped by (key, content) with map-side combining, and counted
-   by key: a block whose content occurs again is decided by that count alone;
-   only keys with several distinct contents need the values themselves.
+2. Keys are counted with map-side combining; a key that occurs once is done
+   with.  The others' blocks are grouped by (key, content): a block whose
+   content occurs again is decided by that count alone; only keys with several
+   distinct contents need the values themselves.
 3. For those, one representative per content is cut out of its document and
    meets the others of its key in one task, which tells which of its windows
    are repeated.  Keys with over ``hot`` distinct contents go window by window
@@ -118,57 +119,65 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     ranges (first value, values) that repeated windows cover."""
     described = stash(describe(docs, method), "blocks")
     names = described.where("place = -1").select("row", F.col("key").alias("h1"), F.col("content").alias("h2"))
-    all_blocks = described.where("place >= 0")
-    groups = all_blocks.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "place")).alias("rep"), F.max("doc_id").alias("last_doc"))
-    per_key = groups.groupBy("key").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
-    kept = groups.join(per_key, "key", "left").where("n > 1 OR contents > 1")
-    kept = stash(kept.select("key", "content", "n", "last_doc", F.coalesce("contents", F.lit(1)).alias("contents"), "rep.doc_id", "rep.row", "rep.place"), "groups")
-
-    # blocks decided by the count of their content
-    total = all_blocks.count()
-    again = kept.where("n > 1") if method.everywhere else kept.where("last_doc > doc_id")
-    whole = join_groups(all_blocks.select("key", "content", "row", "doc_id", "place"), again.select("key", "content", "n", F.col("doc_id").alias("first_doc")), ["key", "content"], "n", total)
-    if not method.everywhere:
-        whole = whole.where("doc_id > first_doc")
-    whole = whole.select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
+    every = described.where("place >= 0")
+    # most keys occur once, and those blocks are done with
+    total = every.count()
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = stash(join_groups(every, keys, "key", "n", total).drop("n"), "again")
+
+    # contents: how often, from which document on, and one block that has it
+    contents = again.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
+                                                   F.first("row").alias("row"), F.first("place").alias("place"))
+    per_key = contents.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
+    contents = stash(join_groups(contents, per_key, "key", "contents", again.count()), "contents")
+
+    # blocks decided by the count of their content; of the others, each row
+    # that may hold repeated windows
+    if method.everywhere:
+        open_ = F.lit(False)
+        whole = F.col("n") > 1
+    else:
+        open_ = (F.col("contents") > 1) & (F.col("doc_id") == F.col("first_doc"))
+        whole = F.col("doc_id") > F.col("first_doc")
+    rows = join_groups(again, contents.drop("row", "place").where("n > 1 OR contents > 1"), ["key", "content"], "n", total)
+    decided = rows.where(whole).select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
 
     # one block per content, beside the other contents of its key
-    rep = kept.where("contents > 1").select("key", "content", "doc_id", "row", "place", (F.col("contents") > method.hot).alias("hot"))
+    rep = contents.where("contents > 1").select("key", "content", "first_doc", "row", "place", (F.col("contents") > method.hot).alias("hot"))
     cut = _cut(docs, rep, names, method)
     judged = _judged(cut.where("NOT hot"), method)
-    if not rep.where("hot").isEmpty():
-        judged = judged.unionByName(_by_digest(cut.where("hot"), method))
+    hot = rep.where("hot").count()
+    if hot:
+        judged = judged.unionByName(_by_digest(cut.where("hot"), method, hot))
     if not method.everywhere:
-        # a content's other rows in its first document share its ranges; its
-        # rows in later documents are whole ones already
-        twice = kept.where("contents > 1 AND n > 1").select("key", "content", "doc_id")
-        more = all_blocks.join(twice, ["key", "content", "doc_id"]).select("key", "content", "row", "place")
-        judged = judged.select("key", "content", "at", "windows").join(
-            rep.select("key", "content", "row", "place").unionByName(more).distinct(), ["key", "content"])
+        # a content's ranges hold for all its blocks in its first document
+        judged = judged.select("key", "content", "at", "windows").join(rows.where(open_).select("key", "content", "row", "place"), ["key", "content"])
     part = judged.select("row", (first_of(F.col("place")) + F.col("at")).alias("first"), (F.col("windows") + method.window - 1).alias("length"))
 
-    ranges = whole.unionByName(part).groupBy("row").agg(F.collect_list(F.struct("first", "length")).alias("r"))
+    ranges = decided.unionByName(part).groupBy("row").agg(F.collect_list(F.struct("first", "length")).alias("r"))
     return ranges.join(names, "row").groupBy("h1", "h2").agg(F.flatten(F.collect_list("r")).alias("ranges"))
 
 
 def _cut(docs: DataFrame, rep: DataFrame, names: DataFrame, method: Method) -> DataFrame:
-    """Representatives with their values (column data)."""
-    per = rep.join(names, "row").groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "content", "doc_id", "row", "place", "hot")).alias("blocks"))
-    schema = "key long, content long, doc_id long, row long, place long, hot boolean, data binary"
+    """Representatives with their values (column data).  All columns of ``docs``
+    go along, so that this join and the final one plan one and the same
+    exchange of the texts."""
+    per = rep.join(names, "row").groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "content", "first_doc", "row", "place", "hot")).alias("blocks"))
+    schema = "key long, content long, first_doc long, row long, place long, hot boolean, data binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
-            for text, wanted in zip(b.column(0), b.column(1)):
+            for text, wanted in zip(b.column(2), b.column(3)):
                 want = wanted.as_py()
                 spans = [(w["place"] >> 20, (w["place"] & 1023) + method.window - 1) for w in want]
                 for w, data in zip(want, method.cut(text.as_py().encode("utf-8", "surrogatepass"), spans)):
-                    for col, x in zip(out, (w["key"], w["content"], w["doc_id"], w["row"], w["place"], w["hot"], data)):
+                    for col, x in zip(out, (w["key"], w["content"], w["first_doc"], w["row"], w["place"], w["hot"], data)):
                         col.append(x)
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["key", "content", "doc_id", "row", "place", "hot", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["key", "content", "first_doc", "row", "place", "hot", "data"])
 
-    return docs.join(per, ["h1", "h2"]).select("text", "blocks").mapInArrow(cut, schema)
+    return docs.join(per, ["h1", "h2"]).select("doc_id", "no_id", "text", "blocks").mapInArrow(cut, schema)
 
 
 RANGES = "key long, content long, row long, place long, at long, windows long"
@@ -191,7 +200,7 @@ def _judged(cut: DataFrame, method: Method) -> DataFrame:
                     size += len(r[5])
         yield _ranges(held, method)
 
-    dealt = cut.select("key", "content", "doc_id", "row", "place", "data").repartition(parts(cut.sparkSession), "key")
+    dealt = cut.select("key", "content", "first_doc", "row", "place", "data").repartition(parts(cut.sparkSession), "key")
     return dealt.sortWithinPartitions("key", "content").mapInArrow(judge, RANGES)
 
 
@@ -204,26 +213,29 @@ def _ranges(rows: list[tuple], method: Method) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], names=names)
 
 
-def _by_digest(cut: DataFrame, method: Method) -> DataFrame:
-    """The same for keys of too many contents: every window by its digest."""
-    schema = "key long, content long, doc_id long, row long, place long, at long, digest binary"
+def _by_digest(cut: DataFrame, method: Method, hot: int) -> DataFrame:
+    """The same for keys of too many contents (``hot`` of them): every window by
+    its digest."""
+    schema = "key long, content long, first_doc long, row long, place long, at long, digest binary"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns)):
-                key, content, doc_id, row, place, data = r
+                key, content, first_doc, row, place, data = r
                 ds = [hashlib.blake2b(data[s:e], digest_size=16).digest() for s, e in method.windows(data, method.window)]
                 n = len(ds)
-                cols = [pa.array([x] * n, pa.int64()) for x in (key, content, doc_id, row, place)]
+                cols = [pa.array([x] * n, pa.int64()) for x in (key, content, first_doc, row, place)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(range(n), pa.int64()), pa.array(ds, pa.binary())],
-                                                 names=["key", "content", "doc_id", "row", "place", "at", "digest"])
-
-    dealt = cut.select("key", "content", "doc_id", "row", "place", "data").dropDuplicates(["key", "content"])
-    spans = stash(dealt.mapInArrow(spread, schema), "windows")
-    seen = spans.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
-    hit = join_groups(spans, seen, "digest", "n", spans.count())
+                                                 names=["key", "content", "first_doc", "row", "place", "at", "digest"])
+
+    # a repeated row of the table brings its blocks again
+    dealt = cut.select("key", "content", "first_doc", "row", "place", "data").dropDuplicates(["key", "content"])
+    spans = dealt.mapInArrow(spread, schema)
+    seen = spans.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("first_doc").alias("least")).where("n > 1")
+    # a block has fewer windows than a window has values, so this many at most
+    hit = join_groups(spans, seen, "digest", "n", hot * method.window)
     if not method.everywhere:
-        hit = hit.where("doc_id > first_doc")
+        hit = hit.where("first_doc > least")
     return hit.select("key", "content", "row", "place", "at", F.lit(1).cast("long").alias("windows"))
 
 

@@ -116,7 +116,7 @@ def in_order(docs: DataFrame, rows_each: int = 2000) -> DataFrame:
     before = _lookup(F.col("doc_id"), previous)
     ghosts = F.when(before.isNotNull(), F.array(F.struct(place.alias("range"), F.lit(False).alias("ghost")), F.struct(before.alias("range"), F.lit(True).alias("ghost"))))
     both = keyed.withColumn("at", F.explode(F.coalesce(ghosts, F.array(F.struct(place.alias("range"), F.lit(False).alias("ghost"))))))
-    dealt = both.select("doc_id", "no_id", "text", "at.range", "at.ghost").repartition(max(1, len(firsts)), "range")
+    dealt = both.select("doc_id", "no_id", "text", "at.range", "at.ghost").repartitionById(len(cuts) + 1, F.col("range").cast("int"))
     return dealt.sortWithinPartitions("range", "ghost", "doc_id", "text")
 
 
