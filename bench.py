@@ -11,6 +11,8 @@ from __future__ import annotations
 import glob
 import json
 import os
+import platform
+import statistics
 import sys
 import tempfile
 import time
@@ -30,6 +32,9 @@ HEADLINE = [
 ]
 
 
+WARM_RUNS = 3
+
+
 def shuffle_bytes(log_dir: str) -> dict[str, int]:
     """Shuffle bytes written per job group, from the event log."""
     stage_group, written = {}, {}
@@ -79,14 +84,19 @@ def main() -> None:
     Q.run(spark, "filter_partition_list", sf_dir).write.format("noop").mode("overwrite").save()
     times, cold = {}, {}
     for name in HEADLINE:
-        # first run: cold (plan compilation, code generation, JIT); second run:
-        # steady state.  Both are reported; shuffle bytes are from the second.
-        for attempt in ("cold", "warm"):
-            sc.setJobGroup(name if attempt == "warm" else f"{name}:cold", name)
+        # first run: cold (plan compilation, code generation, JIT); then three
+        # warm ones, of which the median counts.  Shuffle bytes are of the last.
+        warm = []
+        for attempt in range(1 + WARM_RUNS):
+            sc.setJobGroup(name if attempt == WARM_RUNS else f"{name}:{attempt}", name)
             t0 = time.perf_counter()
             Q.run(spark, name, sf_dir).write.format("noop").mode("overwrite").save()
             el = round(time.perf_counter() - t0, 3)
-            (cold if attempt == "cold" else times)[name] = el
+            if attempt:
+                warm.append(el)
+            else:
+                cold[name] = el
+        times[name] = statistics.median(warm)
 
     # cost of skew-safety: the same models with plain per-key windows (one
     # task per session / user), warm; reported apart from the total
@@ -121,7 +131,8 @@ def main() -> None:
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "timing": "value/queries = second (warm) run of each query; cold_queries = first run",
+                      "timing": "value/queries = median of three warm runs of each query; cold_queries = first run",
+                      "machine": f"{platform.machine()}, {os.cpu_count()} CPUs, {platform.system()}",
                       "cold_total": round(sum(cold.values()), 3), "cold_queries": cold,
                       "cpus": int(cpus), "fixture_prep_sec": prep,
                       "shuffle_bytes": {k: shuffled.get(k, 0) for k in times},

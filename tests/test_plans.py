@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from touchpath.config import RunConfig
+from touchpath.operators.base_events import keyed_events
 from touchpath.plans import queries as Q
 from touchpath.plans.chain import fixture_chain
+from touchpath.session import scratch_path
 
 
 def _plan(df):
@@ -17,7 +19,7 @@ def _plan(df):
 
 def test_partition_filters_reach_the_scan(spark):
     ch = fixture_chain(spark, SF_SMALL, cfg=RunConfig(run_date=date(2024, 1, 31), mode="incremental"))
-    pf = re.findall(r"PartitionFilters: \[([^\]]*)\]", _plan(ch.base))
+    pf = re.findall(r"PartitionFilters: \[([^\]]*)\]", _plan(keyed_events(ch.raw_events, ch.cfg)))
     assert pf and all("shard_date" in f and "IN (2024-01-30,2024-01-29)" in f for f in pf)
     pf = re.findall(r"PartitionFilters: \[([^\]]*)\]", _plan(ch.clicks))
     assert len(pf) == 5 and all("_partition_date" in f for f in pf)
@@ -37,10 +39,46 @@ def test_no_python_udf_in_any_query(spark):
         assert "EvalPython" not in p and "PythonUDF" not in p and "FlatMapGroupsInPandas" not in p, name
 
 
-def test_null_gclid_rows_bypass_the_join(spark):
+def test_click_id_join_reads_its_page_views_once(spark):
     ch = fixture_chain(spark, SF_SMALL)
     p = ch.adjusted._jdf.queryExecution().optimizedPlan().toString()
-    assert p.startswith("Union") and p.count("Join LeftOuter, (gclid") == 1
+    assert p.count("Join LeftOuter, ((gclid") == 1 and "Union" not in p.split("Join LeftOuter, ((gclid")[0]
+
+
+def _scans(df):
+    """Scans of the raw export and of all tables in the plan that ran."""
+    df.collect()
+    plan = _plan(df)
+    assert "AdaptiveSparkPlan" not in plan or "isFinalPlan=true" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet .*ga4_events", final)), len(re.findall(r"FileScan parquet", final))
+
+
+def test_the_export_is_read_once_per_chain(spark):
+    """The chain stores its keyed events with one scan of the export; no model
+    reads the export again."""
+    for attr in ("base", "channel_groups", "daily"):
+        ch = fixture_chain(spark, SF_SMALL)
+        keyed = keyed_events(ch.raw_events, ch.cfg)
+        assert _scans(keyed)[0] == 1
+        assert _scans(getattr(ch, attr))[0] == 0, attr
+        assert len(ch._stored) == (1 if attr == "base" else 2)
+        ch.close()
+        assert ch._stored == []
+
+
+def test_data_tests_read_each_input_once(spark):
+    from touchpath.operators.quality import model_suite
+
+    ch = fixture_chain(spark, SF_SMALL)
+    tables = []
+    for i, df in enumerate((ch.silent_sessions, ch.traffic, ch.channel_groups, ch.session_starts)):
+        path = scratch_path(spark, f"t-suite-{i}")
+        df.write.parquet(path)
+        tables.append(spark.read.parquet(path))
+    suite = model_suite(*tables, date(2024, 1, 31))
+    assert suite.count() == 9
+    assert _scans(suite)[1] == 4
 
 
 def test_downstream_models_skip_the_event_number(spark):
@@ -72,8 +110,9 @@ def test_no_broadcast_from_planning_estimates(spark):
     for name in ("session_channel_groups", "daily_sessions", "gclid_campaigns", "base_events"):
         p = _plan(Q.run(spark, name, SF_SMALL))          # not executed: the initial adaptive plan
         assert "isFinalPlan=false" in p, name
-        # (dynamic partition pruning may still ship its set of pruning values)
-        assert "BroadcastHashJoin" not in p and "BroadcastExchange" not in p, name
+        # (dynamic partition pruning may still ship its set of pruning values;
+        # the event number ships its hot buckets, fewer than rows / 1,000,000)
+        assert p.count("BroadcastHashJoin") == (2 if name == "base_events" else 0), name
 
 
 def test_no_sliding_window_frames(spark):

@@ -1,5 +1,6 @@
 """Sinks (full, dynamic, static overwrite, schema guard, high-water mark) and DQ checks."""
 
+import os
 from datetime import date
 
 import pytest
@@ -29,12 +30,16 @@ def test_dynamic_and_static_overwrite(spark):
     sinks.write_static(spark, _df(spark, [(D2, "b3", 30)]), path, "event_date_dt", [D2, D3])
     assert _read(spark, path) == [(D1, "a", 1), (D2, "b3", 30)]
     # an empty reload empties every listed partition
-    assert sinks.write_static(spark, _df(spark, []), path, "event_date_dt", [D1]) == []
+    sinks.write_static(spark, _df(spark, []), path, "event_date_dt", [D1])
     assert _read(spark, path) == [(D2, "b3", 30)]
-    # rows outside the list land in (and replace) their own partition and are reported
-    outside = sinks.write_static(spark, _df(spark, [(D1, "x", 9), (D3, "y", 8)]), path, "event_date_dt", [D1])
-    assert outside == ["event_date_dt=2024-01-03"]
+    # rows outside the list are refused before anything is touched
+    with pytest.raises(sinks.OutsidePartitionsError):
+        sinks.write_static(spark, _df(spark, [(D1, "x", 9), (D3, "y", 8)]), path, "event_date_dt", [D1])
+    assert _read(spark, path) == [(D2, "b3", 30)]
+    sinks.write_static(spark, _df(spark, [(D1, "x", 9), (D3, "y", 8)]), path, "event_date_dt", [D1, D3])
     assert _read(spark, path) == [(D1, "x", 9), (D2, "b3", 30), (D3, "y", 8)]
+    # no staging folder is left beside the table
+    assert [n for n in os.listdir(os.path.dirname(path)) if n.startswith(os.path.basename(path))] == [os.path.basename(path)]
     assert sinks.high_water_mark(spark, path) == D3
     assert sinks.high_water_mark(spark, path + "-missing") is None
 
@@ -76,3 +81,29 @@ def test_dynamic_overwrite_reading_its_own_target(spark):
     own = spark.read.parquet(path).where(F.col("event_date_dt") == F.lit(D2)).withColumn("v", F.col("v") * 10)
     sinks.write_dynamic(own, path, stage=True)
     assert _read(spark, path) == [(D1, "a", 1), (D2, "b", 20)]
+
+
+def test_failed_rebuild_keeps_the_old_table_and_leaves_no_folder(spark):
+    path = scratch_path(spark, "t-atomic")
+    sinks.write_full(_df(spark, [(D1, "a", 1)]), path)
+    broken = _df(spark, [(D1, "b", 0)]).withColumn("v", F.expr("cast(1 / v as bigint)"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.write_full(broken, path)
+    assert _read(spark, path) == [(D1, "a", 1)]
+    sinks.write_full(_df(spark, [(D2, "c", 3)]), path)
+    assert _read(spark, path) == [(D2, "c", 3)]
+    assert [n for n in os.listdir(os.path.dirname(path)) if n.startswith(os.path.basename(path))] == [os.path.basename(path)]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from touchpath.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master, ok in (("spark://host:7077", False), ("local-cluster[2,1,1024]", False), ("yarn", False)):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))
+    made = []
+    sc = SimpleNamespace(master="local[2]", getCheckpointDir=lambda: None, setCheckpointDir=made.append)
+    assert made == [] and checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc)) == made[0]

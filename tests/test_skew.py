@@ -1,22 +1,25 @@
 """Skew-split event numbering equals a plain row_number, NULL keys included."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchpath.operators.skew import left_join_nonnull, number_within
 
 
-def test_number_within_matches_row_number(spark):
+@pytest.mark.parametrize("hot_rows", [5, 60, 1_000_000])
+def test_number_within_matches_row_number(spark, hot_rows):
     rnd = random.Random(3)
     rows = []
     for i in range(5000):
         key = None if i % 7 == 0 else ("hot" if i % 3 == 0 else f"k{rnd.randint(0, 50)}")
-        ts = None if i % 251 == 0 else rnd.randint(0, 10_000_000)
+        ts = None if i % 251 == 0 else rnd.randint(-10_000, 10_000_000)
         rows.append((key, ts, f"id{i}"))
     df = spark.createDataFrame(rows, "k string, ts long, id string")
-    got = number_within(df, "k", ["ts", "id"], F.floor(F.col("ts") / 100_000), "n")
+    got = number_within(df, "k", ["ts", "id"], 100_000, "n", hot_rows)
     ref = df.withColumn("r", F.row_number().over(
         Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), "id")))
     j = got.join(ref, "id")
@@ -41,10 +44,20 @@ def test_base_event_numbering_strategies_agree(spark):
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 
-def test_suggest_bucket_width(spark):
-    from touchpath.operators.skew import suggest_bucket_width
-    df = spark.range(0, 40000).select((F.col("id") % 4 == 0).cast("string").alias("k"),
-                                      (F.col("id") * 25).alias("ts"))          # hottest key: 30,000 rows over ~1e6
-    w = suggest_bucket_width(df, "k", "ts", 1, 10 ** 9)
-    assert 5_500 <= w <= 6_000                                              # ~ T / sqrt(N) = 1e6 / 173
-    assert suggest_bucket_width(df, "k", "ts", 50_000, 10 ** 9) == 50_000   # clamped
+def test_null_key_is_split_inside_its_bucket(spark):
+    """A third of one hour on the NULL key: no window group holds more than a
+    few of its rows."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("k"), (F.col("id") * 60).alias("ts"), "id")
+    out = number_within(df, "k", ["ts", "id"], 3_600_000, "n")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__s" in plan
+    assert out.where("k IS NULL").agg(F.max("n")).first()[0] == 20_000
+
+
+def test_left_join_reads_its_left_side_once_and_spreads_nulls(spark):
+    left = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 50).alias("g"))
+    right = spark.range(0, 50, 2).select(F.col("id").alias("g"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    out = left_join_nonnull(left, right, ["g"], ["name"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and len(re.findall(r"hashpartitioning\(g#\d+L?, __salt", plan)) == 2
+    assert out.count() == 4000 and out.where("name IS NOT NULL").count() == left.where("g % 2 = 0").count()

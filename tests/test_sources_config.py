@@ -58,3 +58,34 @@ def test_registry(spark):
     assert sorted(reg.accounts("gads_click_stats_")) == sorted(["de", "at", "de_brand", "at_brand", "ch_brand"])
     reg.create_views(spark)
     assert spark.sql("select count(*) c from gads_click_stats_ch_brand").first().c == 1
+
+
+def test_missing_shards_raise(spark):
+    from datetime import date, timedelta
+
+    import pytest
+
+    from tests.conftest import SF_SMALL
+    from touchpath.plans.chain import fixture_chain
+    from touchpath.session import scratch_path
+    from touchpath.sources.ga4 import EXPORT_SCHEMA, read_ga4_shards, write_ga4_shards
+
+    raw = fixture_chain(spark, SF_SMALL).raw_events
+    root = scratch_path(spark, "t-missing")
+    write_ga4_shards(raw.where("shard_date BETWEEN '2024-01-05' AND '2024-01-09' AND shard_date != '2024-01-07'"), root)
+    days = lambda a, b: [date(2024, 1, 1) + timedelta(days=i) for i in range(a - 1, b)]
+    assert read_ga4_shards(spark, root, days(5, 6), schema=EXPORT_SCHEMA).count() > 0
+    assert read_ga4_shards(spark, root, days(1, 6), missing="leading").count() > 0
+    for wanted, missing in ((days(5, 8), "raise"), (days(5, 8), "leading"), (days(4, 6), "raise"), (days(8, 10), "leading"), (days(20, 21), "allow")):
+        with pytest.raises(FileNotFoundError):
+            read_ga4_shards(spark, root, wanted, missing=missing)
+    assert read_ga4_shards(spark, root, days(5, 8), missing="allow").count() > 0
+
+
+def test_declared_sources(spark):
+    from touchpath.sources.ads import SourceRegistry
+    reg = SourceRegistry.declared("/ads/", ["de", "at"], ["de"])
+    assert reg.clicks == {"de": "/ads/click_stats_de", "at": "/ads/click_stats_at"}
+    assert reg.campaigns["at"] == "/ads/campaigns_at" and reg.shopping == {"de": "/ads/shopping_products_de"}
+    reg.register("click_stats_de", "/else/where")
+    assert reg.clicks["de"] == "/else/where"

@@ -9,6 +9,7 @@ import os
 import re
 import sys
 import time
+from collections import Counter
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
@@ -19,8 +20,11 @@ HEADLINE = ["base_events", "session_channel_groups", "gclid_campaigns", "daily_s
 
 def summary(plan: str) -> dict:
     strip = lambda s: re.sub(r"#\d+L?", "", s)
+    count = lambda items: [f"{n} x {x}" for x, n in sorted(Counter(items).items())]
+    scans = re.findall(r"FileScan parquet [^\n]*?Location: [^\n]*?([^/,\]\s]+)\]", plan)
     out = {
-        "exchanges": sorted({strip(m) for m in re.findall(r"Exchange (hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|SinglePartition)", plan)}),
+        "scans": count(re.sub(r"-[0-9a-f]{12}", "", x) for x in scans),
+        "exchanges": count(strip(m) for m in re.findall(r"(?<!Reused)Exchange (hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|SinglePartition)", plan)),
         "windows": sorted({strip(m) for m in re.findall(r"windowspecdefinition\(([^,]*(?:, [^,]*){0,2})", plan)}),
         "joins": sorted({strip(m) for m in re.findall(r"((?:SortMerge|BroadcastHash|ShuffledHash)Join \[[^\]]*\], \[[^\]]*\], \w+)", plan)}),
         "aggregates": len(re.findall(r"HashAggregate\(keys=", plan)) + len(re.findall(r"SortAggregate\(key=", plan)),
@@ -53,7 +57,7 @@ def main():
         s = summary(plan)
         print(f"## {name}  ({el:.2f} s)\n")
         print(f"* aggregates: {s['aggregates']}; Python in plan: {s['python']}; single-partition exchange: {s['single_partition']}")
-        for key in ("exchanges", "windows", "joins", "partition_filters"):
+        for key in ("scans", "exchanges", "windows", "joins", "partition_filters"):
             print(f"* {key}:")
             for item in s[key]:
                 print(f"  * `{item}`")

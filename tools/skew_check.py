@@ -79,10 +79,9 @@ def main():
     names = S.gclid_name_table(ch.gclid_campaigns, ch.cfg)
     hot_gclid = names.select("gclid").orderBy("gclid").first()[0]
     pv_hot = pv.withColumn("gclid", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit(hot_gclid)).otherwise(F.col("gclid")))
-    bucket = F.floor(F.col("event_timestamp") / F.lit(ch.cfg.numbering_bucket_us))
     runs = {
         "event number, skew-split (session, hour)":
-            lambda: number_within(events, "session_key", ["event_timestamp", "sk_id"], bucket, "n"),
+            lambda: number_within(events, "session_key", ["event_timestamp", "sk_id"], ch.cfg.numbering_bucket_us, "n"),
         "event number, plain window (session)":
             lambda: events.withColumn("n", F.row_number().over(
                 Window.partitionBy("session_key").orderBy("event_timestamp", "sk_id"))),

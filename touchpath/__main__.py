@@ -6,8 +6,8 @@
 
 ``--export`` is the analytics export (``events_YYYYMMDD`` shard folders);
 ``--ads-root`` holds one folder per account table, named
-``click_stats_<account>`` and ``campaigns_<account>`` (partitioned by
-``_partition_date``).  The first run of an empty ``--out`` is a full refresh,
+``click_stats_<account>``, ``campaigns_<account>`` and, if any,
+``shopping_products_<account>`` (partitioned by ``_partition_date``).  The first run of an empty ``--out`` is a full refresh,
 later runs are incremental.
 """
 
@@ -17,6 +17,12 @@ import argparse
 from datetime import date, timedelta
 
 
+#: What a dev run writes: table -> chain attribute.
+DEV_TABLES = {"base_events": "base", "gclid_campaigns": "gclid_campaigns", "silent_sessions": "silent_sessions",
+              "traffic_events": "traffic", "session_first_last_source": "first_last",
+              "session_channel_groups": "channel_groups", "session_starts": "session_starts", "daily_sessions": "daily"}
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="touchpath")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -34,7 +40,12 @@ def main(argv=None) -> None:
                      help="countries with a brand ad account (comma separated)")
     run.add_argument("--dev", action="store_true", help="dev run: last two days, sampled export")
     run.add_argument("--first-last-days", type=int, default=None,
-                     help="bound the first/last-source history (default: all history)")
+                     help="sessions that the look-back reads (default: all; too few are refused)")
+    run.add_argument("--reload-days", type=int, default=2, help="days reloaded by an incremental run")
+    run.add_argument("--allow-missing", action="store_true", help="let wanted days have no shard (a reload empties them)")
+    run.add_argument("--shopping-accounts", default="", help="accounts with a shopping_products_<account> table")
+    run.add_argument("--source", action="append", default=[], metavar="NAME=PATH",
+                     help="location of a named source table, instead of the folder below --ads-root")
     ex = sub.add_parser("explain", help="print the physical plan of a model for a run date")
     ex.add_argument("--export", required=True)
     ex.add_argument("--ads-root")
@@ -56,39 +67,45 @@ def main(argv=None) -> None:
         return
 
     from touchpath.session import get_session
-    from touchpath.sources.ads import account_labels
-    from touchpath.sources.ga4 import read_ga4_shards
+    from touchpath.sources.ads import SourceRegistry, account_labels
+    from touchpath.sources.ga4 import EXPORT_SCHEMA, read_ga4_shards
     from touchpath.streaming.incremental import IncrementalRunner
 
-    from touchpath.sources.sinks import high_water_mark
-
     spark = get_session(app="touchpath-run")
-    # a first (full) load reads the widest window any model reads, 120 days;
-    # later loads only the reload days of the base-events table
-    loaded = high_water_mark(spark, f"{args.out.rstrip('/')}/base_events") is not None
-    days = [args.run_date - timedelta(days=i) for i in range(1, 3 if (loaded or args.dev) else 121)]
-    raw = read_ga4_shards(spark, args.export, days=days)
-    clicks, campaigns = {}, {}
+    names = lambda text: [c for c in text.split(",") if c]
+    registry = SourceRegistry()
     if args.variant == "gclid":
         if not args.ads_root:
             raise SystemExit("--ads-root is needed for the gclid variant")
-        root = args.ads_root.rstrip("/")
-        labels = account_labels([c for c in args.performance_countries.split(",") if c],
-                                [c for c in args.brand_countries.split(",") if c])
-        clicks = {a: f"{root}/click_stats_{a}" for a in labels}
-        campaigns = {a: f"{root}/campaigns_{a}" for a in labels}
+        registry = SourceRegistry.declared(args.ads_root, account_labels(names(args.performance_countries), names(args.brand_countries)),
+                                           names(args.shopping_accounts))
+        for entry in args.source:
+            name, _, path = entry.partition("=")
+            registry.register(name, path)
     from touchpath.config import RunConfig
-    base_cfg = RunConfig(run_date=args.run_date, site=args.site, first_last_days=args.first_last_days)
+    base_cfg = RunConfig(run_date=args.run_date, site=args.site, first_last_days=args.first_last_days,
+                         reload_days=args.reload_days)
+    runner = IncrementalRunner(spark, args.out, None, registry.clicks, registry.campaigns, variant=args.variant,
+                               base_cfg=base_cfg, shopping_tables=registry.shopping)
+    # a first (full) load reads the widest window any model reads, 120 days;
+    # later loads the reload days and what was skipped since the last run
+    days = [args.run_date - timedelta(days=i) for i in (1, 2)] if args.dev else runner.reload_days(args.run_date)
+    missing = "allow" if args.allow_missing else "leading" if len(days) == 120 else "raise"
+    raw = runner.raw_events = read_ga4_shards(spark, args.export, days=days, schema=EXPORT_SCHEMA, missing=missing)
     if args.dev:
         # a dev run reads and writes the last two days only, from a sample
         from touchpath.plans.chain import Chain
-        chain = Chain(spark=spark, raw_events=raw, click_tables=clicks, campaign_tables=campaigns,
-                      cfg=base_cfg.with_(mode="dev"), variant=args.variant)
         from touchpath.sources.sinks import write_full
-        write_full(chain.channel_groups, f"{args.out.rstrip('/')}/dev_session_channel_groups")
-        print(f"dev_session_channel_groups\t{args.out.rstrip('/')}/dev_session_channel_groups")
+        chain = Chain(spark=spark, raw_events=raw, click_tables=registry.clicks, campaign_tables=registry.campaigns,
+                      cfg=base_cfg.with_(mode="dev"), variant=args.variant)
+        for name, attr in DEV_TABLES.items():
+            if name == "gclid_campaigns" and args.variant != "gclid":
+                continue
+            path = f"{args.out.rstrip('/')}/dev_{name}"
+            write_full(getattr(chain, attr), path, partition_by="date" if name == "gclid_campaigns" else "event_date_dt")
+            print(f"dev_{name}\t{path}")
+        chain.close()
         return
-    runner = IncrementalRunner(spark, args.out, raw, clicks, campaigns, variant=args.variant, base_cfg=base_cfg)
     for name, path in runner.run(args.run_date, with_tests=not args.no_tests).items():
         print(f"{name}\t{path}")
 

@@ -53,7 +53,7 @@ class RunConfig:
     click_lookback_days: int = 0                # incremental: also match clicks this much older
     widen_sessions_days: int = 0                # session starts: channel groups this much older
     drop_null_keys: bool = False                # first/last: drop the folded NULL session
-    first_last_days: int | None = None          # first/last: history read (None = all)
+    first_last_days: int | None = None          # look-back: sessions read (None = all)
     dev_sample_percent: float = 5.0
     sample_seed: int = 42
     reload_days: int = 2                        # partitions replaced incrementally
@@ -63,6 +63,17 @@ class RunConfig:
             raise ValueError(f"mode must be one of full, incremental, dev (got {self.mode!r})")
         if self.lookback_seconds < 1 or self.lookback_bucket_seconds < 1 or self.numbering_bucket_us < 1:
             raise ValueError("look-back and bucket widths must be positive")
+        if self.reload_days < 1:
+            raise ValueError("at least one day is reloaded")
+        if self.first_last_days is not None and self.first_last_days < self.least_first_last_days:
+            raise ValueError(f"first_last_days={self.first_last_days} would cut sessions that the channel groups of the "
+                             f"last 30 days need: at least {self.least_first_last_days}")
+
+    @property
+    def least_first_last_days(self) -> int:
+        """Days of sessions behind the channel groups of a run: their 30-day
+        window, the look-back and two days of slack."""
+        return 30 + -(-self.lookback_seconds // 86_400) + 2
 
     def with_(self, **kw) -> "RunConfig":
         return replace(self, **kw)

@@ -146,8 +146,3 @@ def default_channel_group(source, medium, source_category) -> Column:
     """Default analytics rule set (source, medium, source category)."""
     return apply_rules(DEFAULT_RULES, DEFAULT_DEFAULT_LABEL, source, medium, source_category)
 
-
-RULE_SETS = {
-    "custom": (CUSTOM_RULES, CUSTOM_DEFAULT_LABEL),
-    "default": (DEFAULT_RULES, DEFAULT_DEFAULT_LABEL),
-}

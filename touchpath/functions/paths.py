@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# fixed value: the pattern of the own site's origin
 def site_prefix(site: str) -> str:
     """Anchored pattern of the own site's origin (2-letter TLD, optional 2nd level)."""
     return rf"^http[s]?://www.{site}.[a-z][a-z][.]?[a-z]?[a-z]?"

@@ -14,13 +14,21 @@ from touchpath.sources.ads import union_accounts
 CLICK_COLUMNS = ["account", "date", "account_id", "campaign_id", "adgroup_id", "ad_network", "gclid"]
 
 
-def ads_click_stats(spark: SparkSession, tables: Mapping[str, str | DataFrame], cfg: RunConfig) -> DataFrame:
+INGESTION_DATE = "ingestion_date"
+
+
+def ads_click_stats(spark: SparkSession, tables: Mapping[str, str | DataFrame], cfg: RunConfig,
+                    with_ingestion: bool = False) -> DataFrame:
     """Model M9: click ids of all accounts, tagged with the account label.
 
     The window is on the ingestion partition date (a partition column, so it
     prunes folders); full runs read the last 120 days and the same 120 days a
-    year earlier, incremental runs the two reload days.
+    year earlier, incremental runs the reload days.  ``with_ingestion`` adds
+    that date: a stored table is partitioned by it, as a late click of an older
+    click date must not replace the clicks that came before it.
     """
+    extra = [F.col("_partition_date").alias(INGESTION_DATE)] if with_ingestion else []
+
     def project(df: DataFrame, account: str) -> DataFrame:
         p = F.col("_partition_date")
         return df.where(cfg.ads_window(p, dev_days=1, incremental=True)).select(
@@ -28,7 +36,7 @@ def ads_click_stats(spark: SparkSession, tables: Mapping[str, str | DataFrame],
             F.col("customer_id").alias("account_id"), "campaign_id",
             F.col("ad_group_id").alias("adgroup_id"),
             F.col("segments_ad_network_type").alias("ad_network"),
-            F.col("click_view_gclid").alias("gclid"))
+            F.col("click_view_gclid").alias("gclid"), *extra)
     u = union_accounts(spark, tables, project)
     return u.withColumn("sk_id", surrogate_key(F.col("account_id"), F.col("gclid")))
 

@@ -33,6 +33,7 @@ def select_source(raw: DataFrame, cfg: RunConfig, traffic: bool = False) -> Data
     src = raw if cond is None else raw.where(cond)
     src = dev_sample(src, cfg)      # dev runs read a seeded sample of the export
     return src.select(
+        *(["shard_date"] if "shard_date" in src.columns else []),
         F.to_date("event_date", "yyyyMMdd").alias("event_date_dt"),
         "event_timestamp", "event_name", "event_params", "user_id", "user_pseudo_id", "device",
         F.col("device.category").alias("page_device"),
@@ -73,18 +74,21 @@ def keyed_events(raw: DataFrame, cfg: RunConfig) -> DataFrame:
               .withColumn("page_path_and_querystring", page_path_and_querystring(F.col("page_location"), cfg.site)))
 
 
-def base_events(raw: DataFrame, cfg: RunConfig, numbering: str = "bucketed") -> DataFrame:
-    """Model M1.  ``numbering='bucketed'`` is the skew-proof event number;
-    ``'window'`` is the plain per-session window (one task per session)."""
-    df = keyed_events(raw, cfg)
+def base_events(raw: DataFrame | None, cfg: RunConfig, numbering: str = "bucketed", keyed: DataFrame | None = None,
+                with_shard: bool = False) -> DataFrame:
+    """Model M1.  ``numbering='bucketed'`` is the skew-proof event number, which
+    reads its input twice (rows and counts): ``keyed`` gives the stored keyed
+    events, so that the export itself is read once.  ``'window'`` is the plain
+    per-session window (one task per session).  ``with_shard`` keeps the shard
+    date, by which a stored table is partitioned."""
+    df = keyed_events(raw, cfg) if keyed is None else keyed
     order = ["event_timestamp", "sk_id"]
     if numbering == "bucketed":
-        bucket = F.floor(F.col("event_timestamp") / F.lit(cfg.numbering_bucket_us))
-        df = number_within(df, "session_key", order, bucket, "session_event_number")
+        df = number_within(df, "session_key", order, cfg.numbering_bucket_us, "session_event_number")
     elif numbering == "window":
         from pyspark.sql import Window
         df = df.withColumn("session_event_number", F.row_number().over(
             Window.partitionBy("session_key").orderBy(*order)).cast("long"))
     else:
         raise ValueError(numbering)
-    return df.select(*BASE_COLUMNS)
+    return df.select(*BASE_COLUMNS, *(["shard_date"] if with_shard else []))

@@ -67,9 +67,31 @@ def unique_proportion(df: DataFrame, col: str, min_value: float, max_value: floa
     return _result(df, name or f"unique_proportion:{col}", bad, severity, 0, 0)
 
 
+#: Every day since has rows in the shopping-product sources (fixed value).
+SHOPPING_SINCE = date(2022, 7, 1)
 GADS_CAMPAIGN_TYPES = ["generic_paid_shopping", "generic_paid_search", "brand_paid_search"]
 
 
+def _days_seen(date_col: str, start: date, end: date, when: Column | None = None) -> Column:
+    """Aggregate: a bit for each day in [start, end) that has rows (a range of
+    up to 63 days)."""
+    day = F.datediff(F.col(date_col), F.lit(start))
+    inside = day.between(0, (end - start).days - 1)
+    return F.coalesce(F.bit_or(F.when(inside if when is None else inside & when, F.call_function("shiftleft", F.lit(1).cast("bigint"), day))),
+                      F.lit(0).cast("bigint"))
+
+
+def _missing(seen: Column, start: date, end: date) -> Column:
+    return F.lit((end - start).days) - F.bit_count(seen)
+
+
+def _rows(df: DataFrame, checks: list[tuple]) -> DataFrame:
+    """One result row per (name, failed, severity, warn_if) of a one-row table."""
+    out = [F.struct(F.lit(name).alias("check"), n.cast("bigint").alias("n_failed"), status(n, severity, warn_if).alias("status"))
+           for name, n, severity, warn_if in checks]
+    return df.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+
+
 def model_suite(silent: DataFrame, pageviews: DataFrame, channel_groups: DataFrame,
                 session_starts: DataFrame, run_date: date) -> DataFrame:
     """The data tests configured on the models, as one DataFrame of results.
@@ -82,28 +104,42 @@ def model_suite(silent: DataFrame, pageviews: DataFrame, channel_groups: DataFra
     * session starts: every day of the last 10 has rows (warn); the event key
       is not NULL (error) and unique over the last 10 days (warn above 1000)
     Day-coverage ranges end before ``run_date`` (the range end is exclusive).
+
+    Each input is read once: all its checks come out of one aggregate (days seen
+    are bits of a number).
     """
     days = lambda n: run_date - timedelta(days=n)
     d = F.col("event_date_dt")
-    last7 = d.between(F.lit(days(7)), F.lit(days(1))) & F.col("session_gadscampaign").isNotNull()
+    kind = F.col("session_gadscampaign")
+    last7 = d.between(F.lit(days(7)), F.lit(days(1))) & kind.isNotNull()
     last10 = d.between(F.lit(days(10)), F.lit(days(1)))
-    parts = [
-        day_coverage(silent, "event_date_dt", days(30), run_date, "silent_sessions:day_coverage"),
-        day_coverage(pageviews, "event_date_dt", days(44), run_date, "pageviews:day_coverage"),
-        in_set(pageviews, "session_gadscampaign", GADS_CAMPAIGN_TYPES, last7,
-               "pageviews:session_gadscampaign_in_set", severity="warn", warn_if=5),
-        not_null(pageviews, "session_key", "pageviews:session_key_not_null"),
-        not_null(pageviews, "user_key", "pageviews:user_key_not_null"),
-        unique_proportion(channel_groups, "session_key", 1, 1, "channel_groups:session_key_unique_proportion",
-                          severity="warn"),
-        day_coverage(session_starts, "event_date_dt", days(10), run_date, "session_starts:day_coverage"),
-        not_null(session_starts, "sk_id", "session_starts:sk_id_not_null"),
-        unique(session_starts, "sk_id", last10, "session_starts:sk_id_unique", severity="warn", warn_if=1000),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    seen = F.col("seen")
+
+    a = silent.agg(_days_seen("event_date_dt", days(30), run_date).alias("seen"))
+    b = pageviews.agg(
+        _days_seen("event_date_dt", days(44), run_date).alias("seen"),
+        F.count_if(last7 & ~kind.isin(GADS_CAMPAIGN_TYPES)).alias("odd"),
+        F.count_if(F.col("session_key").isNull()).alias("no_session"), F.count_if(F.col("user_key").isNull()).alias("no_user"))
+    # rows per key, then their number: exact, and combined map-side for a hot key
+    c = (channel_groups.where(F.col("session_key").isNotNull()).groupBy("session_key").agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")))
+    e = (session_starts.groupBy("sk_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(last10).alias("n10"),
+                                             _days_seen("event_date_dt", days(10), run_date).alias("seen"))
+         .agg(F.coalesce(F.bit_or("seen"), F.lit(0).cast("bigint")).alias("seen"),
+              F.coalesce(F.sum(F.when(F.col("sk_id").isNull(), F.col("n"))), F.lit(0)).alias("no_key"),
+              F.count_if(F.col("sk_id").isNotNull() & (F.col("n10") > 1)).alias("repeated")))
+    out = _rows(a, [("silent_sessions:day_coverage", _missing(seen, days(30), run_date), "warn", 0)])
+    out = out.unionByName(_rows(b, [
+        ("pageviews:day_coverage", _missing(seen, days(44), run_date), "warn", 0),
+        ("pageviews:session_gadscampaign_in_set", F.col("odd"), "warn", 5),
+        ("pageviews:session_key_not_null", F.col("no_session"), "error", 0),
+        ("pageviews:user_key_not_null", F.col("no_user"), "error", 0)]))
+    one_each = F.when((F.col("rows") > 0) & (F.col("keys") == F.col("rows")), F.lit(0)).otherwise(F.lit(1))
+    out = out.unionByName(_rows(c, [("channel_groups:session_key_unique_proportion", one_each, "warn", 0)]))
+    return out.unionByName(_rows(e, [
+        ("session_starts:day_coverage", _missing(seen, days(10), run_date), "warn", 0),
+        ("session_starts:sk_id_not_null", F.col("no_key"), "error", 0),
+        ("session_starts:sk_id_unique", F.col("repeated"), "warn", 1000)]))
 
 
 def source_day_coverage(tables: dict[str, DataFrame], date_col: str, start: date, end: date,

@@ -149,20 +149,6 @@ def with_silent_sessions(adjusted: DataFrame, silent: DataFrame, cfg: RunConfig)
     return u.withColumn("traffic_source_struct", traffic_struct())
 
 
-def traffic_events(base: DataFrame, cfg: RunConfig, variant: str = "gclid",
-                   gclid_campaigns: DataFrame | None = None) -> DataFrame:
-    silent = non_pageview_sessions(base, cfg)
-    if variant == "gclid":
-        if gclid_campaigns is None:
-            raise ValueError("the gclid variant needs the gclid -> campaign table")
-        adj = adjust_google_params(base, gclid_campaigns, cfg)
-    elif variant == "urlparam":
-        adj = adjust_google_params_urlparam(base, cfg)
-    else:
-        raise ValueError(variant)
-    return with_silent_sessions(adj, silent, cfg)
-
-
 # --------------------------------------------------------------------------- M5
 def _event_order() -> Column:
     # D7: event time, then the event key, then the traffic values (NULL first)
@@ -178,15 +164,9 @@ def session_first_last_source(events: DataFrame, cfg: RunConfig) -> DataFrame:
     hot or NULL session key map-side, and no window buffers a whole session.
     All events with a NULL session key fold into one row, as in the original;
     ``cfg.drop_null_keys`` drops them instead.  The original rebuilds this
-    over all history every run; ``cfg.first_last_days`` bounds the history
-    read (30 + 90 + 2 days keep every channel group of the 30-day window
-    exact while the daily cost stops growing with history).
+    over all history every run.
     """
     e = apply_window(events, cfg, "session_first_last_source")
-    if cfg.first_last_days is not None and cfg.mode != "dev":
-        # bounded history: channel groups of the last 30 days with a 90-day
-        # look-back need sessions of the last 30 + 90 (+ slack) days only
-        e = e.where(last_n_days(F.col("event_date_dt"), cfg.run_date, cfg.first_last_days))
     if cfg.drop_null_keys:
         e = e.where(F.col("session_key").isNotNull())
     ts = F.col("traffic_source_struct")
@@ -255,6 +235,11 @@ def session_last_user_source(first_last: DataFrame, cfg: RunConfig,
     """
     L = cfg.lookback_seconds if lookback_seconds is None else lookback_seconds
     s = apply_window(first_last, cfg, "session_last_user_source")
+    if cfg.first_last_days is not None and cfg.mode != "dev":
+        # channel groups of the last 30 days need the sessions of those and of
+        # the look-back before them (the bound is checked by the config); the
+        # first/last table itself keeps its whole history
+        s = s.where(last_n_days(F.col("event_date_dt"), cfg.run_date, cfg.first_last_days) | F.col("event_date_dt").isNull())
     if strategy == "bucketed":
         s = _lookback_bucketed(s, L, cfg.lookback_bucket_seconds)
     elif strategy == "window":

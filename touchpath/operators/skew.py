@@ -6,8 +6,8 @@ of all rows.  These helpers keep such a key from landing in one task:
 * ``number_within`` computes ``row_number() over (partition by key order by
   ts)`` on (key, time bucket) sub-groups and adds the row counts of earlier
   buckets, which come from a small per-(key, bucket) count table.
-* ``left_join_nonnull`` sends rows whose join key is NULL (they can never
-  match) around the join instead of hashing them all to one partition.
+* ``left_join_nonnull`` spreads rows whose join key is NULL (they can never
+  match) over all partitions instead of hashing them all to one.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _K, _KN, _B = "__k", "__k_null", "__b"
+#: Slices of a bucket that holds a hot key's rows, and the rows from which on a
+#: (key, bucket) group is hot; the NULL key always is.
+FINE_SLICES = 600
+HOT_ROWS = 1_000_000
 
 
 def _key_cols(key: str) -> list[Column]:
@@ -26,25 +30,38 @@ def _key_cols(key: str) -> list[Column]:
     return [F.coalesce(F.col(key).cast("string"), F.lit("")).alias(_K), F.col(key).isNull().alias(_KN)]
 
 
-def number_within(df: DataFrame, key: str, order: list[str], bucket: Column, out: str) -> DataFrame:
+def number_within(df: DataFrame, key: str, order: list[str], width: int, out: str,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Exact ``row_number() over (partition by key order by order...)``.
 
-    ``bucket`` must be monotone in the first ``order`` column (e.g. the event
-    time divided by one hour); then every row of an earlier bucket comes
-    first.  Window partitions are (key, bucket), so a hot key is spread over
-    its buckets; the per-key prefix sum runs on the count table, whose size per
+    Time buckets are ``width`` units of the first ``order`` column; every row of
+    an earlier bucket comes first.  Window partitions are (key, bucket), so a
+    hot key is spread over its buckets.  Where a single bucket is hot (the NULL
+    key, or measured to hold over ``hot_rows`` rows), it is cut into 600 slices
+    of its time.  The per-key prefix sum runs on the count table, whose size per
     key is bounded by the number of buckets, not by the number of rows.
+
+    ``df`` is read for the counts and for the rows: pass a stored table.
     """
     # a NULL bucket (NULL order value) sorts first: give it the lowest bucket.
     # All three sub-keys are non-null, so the final join is a plain equi-join
     # whose keys equal the window's hash partitioning: the event side is not
     # shuffled a second time.
-    b = F.coalesce(bucket.cast("long"), F.lit(-(2 ** 63)))
-    tmp = df.select("*", *_key_cols(key), b.alias(_B))
+    lowest = F.lit(-(2 ** 63))
+    ts = F.col(order[0])
+    coarse = F.coalesce(F.floor(ts / F.lit(width)).cast("long"), lowest)
+    slice_ = F.coalesce(F.floor((ts - F.floor(ts / F.lit(width)) * width) * FINE_SLICES / F.lit(width)).cast("long"), F.lit(0))
+    tmp = df.select("*", *_key_cols(key), coarse.alias("__c"), slice_.alias("__s"))
+    # hot buckets number under rows / hot_rows
+    hot = (tmp.where(~F.col(_KN)).groupBy(_K, "__c").agg(F.count(F.lit(1)).alias("__n"))
+              .where(F.col("__n") > hot_rows).select(_K, "__c", F.lit(True).alias("__hot")))
+    tmp = tmp.join(F.broadcast(hot), [_K, "__c"], "left")
+    fine = F.col("__c") * FINE_SLICES + F.when(F.col(_KN) | F.col("__hot"), F.col("__s")).otherwise(0)
+    tmp = tmp.withColumn(_B, F.when(F.col("__c") == lowest, lowest).otherwise(fine)).drop("__c", "__s", "__hot")
     parts = [_K, _KN, _B]
     local = tmp.withColumn("__local", F.row_number().over(
         Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_first() for c in order])))
-    counts = local.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    counts = tmp.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(*parts, F.coalesce(
         F.sum("__n").over(Window.partitionBy(_K, _KN).orderBy(_B)
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
@@ -54,30 +71,20 @@ def number_within(df: DataFrame, key: str, order: list[str], bucket: Column, out
 
 def left_join_nonnull(left: DataFrame, right: DataFrame, on: list[str],
                       right_cols: list[str]) -> DataFrame:
-    """``left LEFT JOIN right USING (on)``; rows with a NULL key skip the shuffle.
+    """``left LEFT JOIN right USING (on)``, with one read of ``left``.
 
-    Output columns follow USING: keys, other left columns, then ``right_cols``.
+    Rows with a NULL key match nothing; a salt in the join key spreads them over
+    all partitions (it is 0 wherever a key could match).  Output columns follow
+    USING: keys, other left columns, then ``right_cols``.
     """
     has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     other = [c for c in left.columns if c not in on]
-    matched = left.where(~has_null).join(right.select(*on, *right_cols), on, "left")
-    rtypes = dict(right.select(*right_cols).dtypes)
-    unmatched = left.where(has_null).select(
-        *on, *other, *[F.lit(None).cast(rtypes[c]).alias(c) for c in right_cols])
-    return matched.select(*on, *other, *right_cols).unionByName(unmatched)
-
-
-def suggest_bucket_width(df: DataFrame, key: str, ts: str, min_width: int, max_width: int) -> int:
-    """A bucket width (in units of ``ts``) for ``number_within`` or the
-    look-back, from the hottest key: with N rows over a time span T the
-    largest (key, bucket) group and the key's bucket count are balanced near
-    T / sqrt(N).  One distributed count per key, then the top key only (no
-    per-key data reaches the driver); clamped to [min_width, max_width].
-    """
-    top = (df.where(F.col(ts).isNotNull()).groupBy(key)
-             .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-             .orderBy(F.col("n").desc()).limit(1).first())
-    if top is None or top["n"] < 2:
-        return max_width
-    width = (top["hi"] - top["lo"]) / (top["n"] ** 0.5)
-    return int(min(max(width, min_width), max_width))
+    plain = [c for c, t in left.dtypes if not t.startswith(("array", "map", "struct")) and c not in on]
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(has_null, F.pmod(F.xxhash64(*plain), F.lit(n))).otherwise(F.lit(0))
+    # always 0, but not a constant to the optimizer: a constant would leave the
+    # key alone to hash on
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    a = left.withColumn("__salt", salt)
+    b = right.select(*on, *right_cols).withColumn("__salt", zero.cast("long"))
+    return a.withColumn("__salt", F.col("__salt").cast("long")).join(b, [*on, "__salt"], "left").select(*on, *other, *right_cols)

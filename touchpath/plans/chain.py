@@ -1,9 +1,11 @@
 """The attribution chain wired end to end (lazy DataFrames, one plan).
 
 Entry A: session channel groups; entry B: click id -> campaign name; entry C:
-daily sessions report.  By default nothing is materialised; ``durable`` names
-the models written to the shared folder and read back (the tables the original
-keeps), which cuts lineage and lets later date filters prune partitions.
+daily sessions report.  ``durable`` names the models written to the shared
+folder and read back (tables, as the original keeps them), which cuts lineage
+and lets later date filters prune partitions.  By default these are the keyed
+events, so the export is read once however many models need it, and the
+first/last sources, which the look-back reads twice.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.operators.reports import daily_sessions
 from touchpath.session import configure
 from touchpath.sources import fixtures
+from touchpath.sources.ads import SourceRegistry
 
 FIXTURE_RUN_DATE = date(2024, 1, 31)
 
@@ -50,7 +53,8 @@ class Chain:
     overrides: dict = field(default_factory=dict)
     # models written as date-partitioned tables in the shared folder and read
     # back (durable boundaries: lineage is cut, later date filters prune)
-    durable: tuple = ()
+    durable: tuple = ("events", "first_last")
+    _stored: list = field(default_factory=list, repr=False)
 
     def _boundary(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.durable:
@@ -59,21 +63,30 @@ class Chain:
         from touchpath.sources.sinks import write_full
         path = scratch_path(self.spark, f"model-{name}")
         write_full(df, path, partition_by="event_date_dt")
+        self._stored.append(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def close(self) -> None:
+        """Remove the tables that this chain wrote; its DataFrames are of no
+        further use."""
+        from touchpath.sources.sinks import remove
+        while self._stored:
+            remove(self.spark, self._stored.pop())
+
     @cached_property
     def base(self) -> DataFrame:
         if "base" in self.overrides:
             return self.overrides["base"]
-        return self._boundary("base", base_events(self.raw_events, self.cfg, self.numbering))
+        keyed = keyed_events(self.raw_events, self.cfg) if "base" in self.durable and "events" not in self.durable else self.events
+        return self._boundary("base", base_events(None, self.cfg, self.numbering, keyed=keyed))
 
     @cached_property
     def events(self) -> DataFrame:
-        """Keyed events for the downstream models (the M1 table when it is
-        durable or given; otherwise M1 without its event number)."""
-        if "base" in self.overrides or "base" in self.durable:
+        """Keyed events for the downstream models: M1 without its event number
+        (the M1 table itself when that is given, or is the one stored)."""
+        if "base" in self.overrides or ("base" in self.durable and "events" not in self.durable):
             return self.base
-        return keyed_events(self.raw_events, self.cfg)
+        return self._boundary("events", keyed_events(self.raw_events, self.cfg))
 
     @cached_property
     def clicks(self) -> DataFrame:
@@ -151,36 +164,37 @@ class Chain:
 
 
 def chain_from_paths(spark: SparkSession, export: str, cfg: RunConfig, ads_root: str | None = None,
-                     variant: str = "gclid", **kw) -> Chain:
+                     variant: str = "gclid", registry: SourceRegistry | None = None, **kw) -> Chain:
     """The chain over stored tables: the export's shard folders (only the days
-    the base-events window needs are listed) and one folder per ad account
-    (``click_stats_<account>``, ``campaigns_<account>``)."""
+    the base-events window needs are listed) and the ad-account tables of a
+    source registry (by default the declared ones below ``ads_root``)."""
     from datetime import timedelta
 
-    from touchpath.sources.ads import account_labels
-    from touchpath.sources.ga4 import read_ga4_shards
+    from touchpath.sources.ga4 import EXPORT_SCHEMA, read_ga4_shards
     configure(spark)
-    days = ([cfg.run_date - timedelta(days=i) for i in range(1, cfg.reload_days + 1)]
-            if cfg.mode == "incremental" else
-            [cfg.run_date - timedelta(days=i) for i in range(1, 121)])
-    raw = read_ga4_shards(spark, export, days=days)
-    clicks, campaigns = {}, {}
-    if variant == "gclid":
-        if not ads_root:
+    incremental = cfg.mode == "incremental"
+    days = [cfg.run_date - timedelta(days=i) for i in range(1, (cfg.reload_days if incremental else 120) + 1)]
+    raw = read_ga4_shards(spark, export, days=days, schema=EXPORT_SCHEMA, missing="raise" if incremental else "leading")
+    if registry is None:
+        if variant == "gclid" and not ads_root:
             raise ValueError("the gclid variant needs the ad-account tables")
-        root = ads_root.rstrip("/")
-        clicks = {a: f"{root}/click_stats_{a}" for a in account_labels()}
-        campaigns = {a: f"{root}/campaigns_{a}" for a in account_labels()}
-    return Chain(spark=spark, raw_events=raw, click_tables=clicks, campaign_tables=campaigns, cfg=cfg,
-                 variant=variant, **kw)
+        registry = SourceRegistry.declared(ads_root) if ads_root else SourceRegistry()
+    gclid = variant == "gclid"
+    return Chain(spark=spark, raw_events=raw, click_tables=registry.clicks if gclid else {},
+                 campaign_tables=registry.campaigns if gclid else {}, cfg=cfg, variant=variant, **kw)
+
+
+def fixture_registry(spark: SparkSession, sf_dir: str) -> SourceRegistry:
+    """The account tables derived from ``events``, by their declared names."""
+    paths = fixtures.materialise(spark, sf_dir)
+    names = (("clicks", SourceRegistry.CLICKS), ("campaigns", SourceRegistry.CAMPAIGNS), ("shopping", SourceRegistry.SHOPPING))
+    return SourceRegistry({f"{prefix}{a}": fixtures.read_table(spark, paths, p) for kind, prefix in names for a, p in paths[kind].items()})
 
 
 def fixture_chain(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None, **kw) -> Chain:
     """The chain over GA4- and Ads-shaped tables derived from ``events``."""
     configure(spark)
     paths = fixtures.materialise(spark, sf_dir)
-    read = lambda p: fixtures.read_table(spark, paths, p)
-    return Chain(spark=spark, raw_events=read(paths["events"]),
-                 click_tables={a: read(p) for a, p in paths["clicks"].items()},
-                 campaign_tables={a: read(p) for a, p in paths["campaigns"].items()},
-                 cfg=cfg or RunConfig(run_date=FIXTURE_RUN_DATE), **kw)
+    registry = fixture_registry(spark, sf_dir)
+    return Chain(spark=spark, raw_events=fixtures.read_table(spark, paths, paths["events"]), click_tables=registry.clicks,
+                 campaign_tables=registry.campaigns, cfg=cfg or RunConfig(run_date=FIXTURE_RUN_DATE), **kw)

@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.config import INCREMENTAL, RunConfig
+from touchpath.config import DEV, FULL, INCREMENTAL, RunConfig, apply_window
 from touchpath.functions import dates as D
 from touchpath.functions.channels import custom_channel_group, default_channel_group
 from touchpath.functions.params import event_param
@@ -18,9 +18,10 @@ from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
 from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.operators.reports import sessions_per_channel
-from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain
+from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain, fixture_registry
 from touchpath.session import configure, scratch_path
 from touchpath.sources import fixtures, ga4, sinks
+from touchpath.streaming.incremental import IncrementalRunner
 
 RUN = FIXTURE_RUN_DATE
 SHORT_LOOKBACK = 5 * 86_400
@@ -50,7 +51,7 @@ def q_src_event_shards(spark, sf):
     ga4.write_ga4_shards(ch.raw_events, root, intraday_days=[last])
     lo, hi = D.last_n_days_bounds(RUN, 120)
     days = [lo + timedelta(days=i) for i in range((hi - lo).days + 1)]
-    df = ga4.read_ga4_shards(spark, root, days=days)
+    df = ga4.read_ga4_shards(spark, root, days=days, missing="leading")
     return df.select("shard_date", "event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id")
 
 
@@ -63,7 +64,7 @@ def q_ads_campaign_names(spark, sf):
 
 
 def q_dev_sample(spark, sf):
-    """A dev run of the keyed events: last two days, seeded 5 % sample of the export."""
+    """A dev run of the keyed events: last two days, 5 % of the export by hash."""
     ch = _chain(spark, sf)
     return keyed_events(ch.raw_events, ch.cfg.with_(mode="dev")).select(
         "event_date_dt", "event_timestamp", "event_name", "session_key")
@@ -110,11 +111,50 @@ def q_sink_static_overwrite(spark, sf):
 
 
 def q_sink_schema_guard(spark, sf):
+    """The guarded table after a second load, and that a changed type was refused."""
     path = scratch_path(spark, "guarded")
     daily = _chain(spark, sf).daily
     sinks.write_full(daily, path, partition_by="event_date_dt", guard_schema=True)
     sinks.write_dynamic(daily, path, partition_by="event_date_dt", guard_schema=True)
-    return spark.read.parquet(path)
+    changed = daily.withColumn("ga4_sessions", F.col("ga4_sessions").cast("string"))
+    try:
+        sinks.write_dynamic(changed, path, partition_by="event_date_dt", guard_schema=True)
+        refused = False
+    except sinks.SchemaChangeError:
+        refused = True
+    return spark.read.parquet(path).withColumn("refused", F.lit(refused))
+
+
+def q_ads_click_stats_incremental(spark, sf):
+    """The stored click table after a full load on the 27th and daily loads to
+    the 31st, late clicks of older days included."""
+    ch = _chain(spark, sf)
+    runner = IncrementalRunner(spark, scratch_path(spark, "clicks-daily"), ch.raw_events, ch.click_tables, ch.campaign_tables)
+    for day in range(27, 32):
+        runner.load_clicks(date(2024, 1, day))
+    return runner.table("ads_click_stats").select(*A.CLICK_COLUMNS, "sk_id")
+
+
+def q_base_events_after_gap(spark, sf):
+    """Stored base events of a load on the 27th and the next one on the 31st: the
+    skipped days are loaded too.  (The event number restarts with the reload.)"""
+    ch = _chain(spark, sf)
+    runner = IncrementalRunner(spark, scratch_path(spark, "base-gap"), ch.raw_events, {}, {}, variant="urlparam")
+    for day in (27, 31):
+        runner.load_base(date(2024, 1, day))
+    return runner.table("base_events").select(*[c for c in FLAT_BASE if c != "session_event_number"])
+
+
+def q_run_mode_windows(spark, sf):
+    """Page views by day that each run mode reads."""
+    ch = _chain(spark, sf)
+    out = None
+    for mode in (FULL, INCREMENTAL, DEV):
+        cfg = ch.cfg.with_(mode=mode, high_water_marks={"pageviews": date(2024, 1, 27)})
+        part = _count_by_day(apply_window(ch.events.where(F.col("event_name") == "page_view"), cfg, "pageviews"), "event_date_dt")
+        part = part.select(F.lit(mode).alias("mode"), "day", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_high_water_mark(spark, sf):
@@ -307,7 +347,10 @@ def q_channel_group_default(spark, sf):
     cat = F.get(F.array(F.lit(None).cast("string"), F.lit("SOURCE_CATEGORY_SOCIAL"), F.lit("SOURCE_CATEGORY_SHOPPING"),
                         F.lit("SOURCE_CATEGORY_VIDEO"), F.lit("SOURCE_CATEGORY_SEARCH")),
                 (F.col("event_id") % 5).cast("int"))
-    x = f.select("source", "medium", cat.alias("source_category"))
+    # mediums that no event has, for the rules that ask for them
+    rare = F.get(F.array(F.lit("cpv"), F.lit("audio"), F.lit("web push")), (F.col("event_id") % 17).cast("int"))
+    x = f.select(F.when(rare.isNotNull(), F.lit("partner")).otherwise(F.col("source")).alias("source"),
+                 F.coalesce(rare, F.col("medium")).alias("medium"), cat.alias("source_category"))
     x = x.withColumn("channel_group", default_channel_group(F.col("source"), F.col("medium"), F.col("source_category")))
     return x.groupBy("source", "medium", "source_category", "channel_group").agg(F.count(F.lit(1)).alias("n_events"))
 
@@ -378,9 +421,12 @@ def q_dq_model_suite(spark, sf):
 
 
 def q_dq_source_day_coverage(spark, sf):
-    """Every day since the start date has click rows, per account table."""
-    ch = _chain(spark, sf)
-    return Q.source_day_coverage(ch.click_tables, "segments_date", date(2023, 12, 1), RUN, "click_stats")
+    """Every day since the start date has rows, per click and shopping-product
+    table of the registry."""
+    configure(spark)
+    registry = fixture_registry(spark, sf)
+    return Q.source_day_coverage(registry.clicks, "segments_date", date(2023, 12, 1), RUN, "click_stats").unionByName(
+        Q.source_day_coverage(registry.shopping, "segments_date", Q.SHOPPING_SINCE, RUN, "shopping_products"))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -72,8 +72,9 @@ def get_session(master: str | None = None, app: str = "touchpath",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created
-    and registered as the checkpoint dir.
+    Only a local session may do without it (tests): a private folder is created
+    and registered as the checkpoint dir.  Any other master needs the setting,
+    since a folder of the driver's own disk is not seen by its executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -83,6 +84,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else "remote"
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="touchpath-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -30,11 +30,26 @@ def union_accounts(spark: SparkSession, tables: Mapping[str, str | DataFrame], p
 
 
 class SourceRegistry:
-    """Logical source name -> table location (path or DataFrame)."""
+    """Logical source name -> table location (path or DataFrame).
+
+    Names of the account tables: ``click_stats_<account>``,
+    ``campaigns_<account>`` and ``shopping_products_<account>``.
+    """
+
+    CLICKS, CAMPAIGNS, SHOPPING = "click_stats_", "campaigns_", "shopping_products_"
 
     def __init__(self, entries: Mapping[str, str | DataFrame] | None = None):
         self.entries = dict(entries or {})
 
+    @classmethod
+    def declared(cls, root: str, accounts: list[str] | None = None, shopping: list[str] | None = None) -> "SourceRegistry":
+        """The declared tables below one folder: click stats and campaigns of
+        every account, and shopping products of the accounts that have them."""
+        root = root.rstrip("/")
+        names = [f"{prefix}{a}" for a in (accounts or account_labels()) for prefix in (cls.CLICKS, cls.CAMPAIGNS)]
+        names += [f"{cls.SHOPPING}{a}" for a in shopping or ()]
+        return cls({n: f"{root}/{n}" for n in names})
+
     def register(self, name: str, table: str | DataFrame) -> "SourceRegistry":
         self.entries[name] = table
         return self
@@ -46,7 +61,18 @@ class SourceRegistry:
         """Entries named '<prefix><account>' keyed by account label."""
         return {k[len(prefix):]: v for k, v in self.entries.items() if k.startswith(prefix)}
 
+    @property
+    def clicks(self) -> dict[str, str | DataFrame]:
+        return self.accounts(self.CLICKS)
+
+    @property
+    def campaigns(self) -> dict[str, str | DataFrame]:
+        return self.accounts(self.CAMPAIGNS)
+
+    @property
+    def shopping(self) -> dict[str, str | DataFrame]:
+        return self.accounts(self.SHOPPING)
+
     def create_views(self, spark: SparkSession) -> None:
         for name in self.entries:
             self.table(spark, name).createOrReplaceTempView(name)
-

@@ -158,6 +158,19 @@ def ads_click_stats(events: DataFrame) -> dict[str, DataFrame]:
     return {acc: base.where(F.col("_acc") == i).drop("_acc") for i, acc in enumerate(ACCOUNTS)}
 
 
+#: Accounts with a shopping-product table.
+SHOPPING_ACCOUNTS = ("de", "at")
+
+
+def ads_shopping_products(events: DataFrame) -> dict[str, DataFrame]:
+    """Per-account shopping-product tables: the purchases, dealt by event id."""
+    f = event_fields(events).where(F.col("event_name") == "purchase")
+    base = f.select((F.col("event_id") % len(SHOPPING_ACCOUNTS)).alias("_acc"), F.col("event_date_dt").alias("segments_date"),
+                    F.concat(F.lit("i"), (F.col("n") % 3).cast("string")).alias("segments_product_item_id"),
+                    F.col("event_date_dt").alias("_partition_date"))
+    return {acc: base.where(F.col("_acc") == i).drop("_acc") for i, acc in enumerate(SHOPPING_ACCOUNTS)}
+
+
 def ads_campaigns(events: DataFrame) -> dict[str, DataFrame]:
     """Daily campaign snapshots for every day that has events.
 
@@ -202,15 +215,15 @@ def materialise(spark: SparkSession, sf_dir: str) -> dict:
 
     key = (checkpoint_root(spark), sf_dir.rstrip("/"))
     hit = _MATERIALISED.get(key)
-    if hit and all(exists(spark, p) for p in [hit["events"], *hit["clicks"].values(), *hit["campaigns"].values()]):
+    if hit and all(exists(spark, p) for p in [hit["events"], *hit["clicks"].values(), *hit["campaigns"].values(), *hit["shopping"].values()]):
         return hit
     root = scratch_path(spark, "fixture")
     ev = load_events(spark, sf_dir)
-    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}, "schemas": {}}
+    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}, "shopping": {}, "schemas": {}}
     g = ga4_events(ev)
     g.write.mode("overwrite").partitionBy("shard_date").parquet(paths["events"])
     paths["schemas"][paths["events"]] = g.schema.json()
-    for kind, tables in (("clicks", ads_click_stats(ev)), ("campaigns", ads_campaigns(ev))):
+    for kind, tables in (("clicks", ads_click_stats(ev)), ("campaigns", ads_campaigns(ev)), ("shopping", ads_shopping_products(ev))):
         for acc, df in tables.items():
             p = f"{root}/{kind}_{acc}"
             df.write.mode("overwrite").partitionBy("_partition_date").parquet(p)

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from touchpath.functions.dates import shard_date
 
 
+#: The export's columns, as far as the models read them (FIXTURES 1.1).
+EXPORT_SCHEMA = """
+    event_date string, event_timestamp bigint, event_name string,
+    event_params array<struct<key: string, value: struct<string_value: string, int_value: bigint, float_value: double, double_value: double>>>,
+    user_id string, user_pseudo_id string,
+    device struct<category: string, web_info: struct<hostname: string>>,
+    stream_id string, items array<struct<item_id: string>>, ecommerce struct<transaction_id: string>"""
+
+
 def _ymd(d: date) -> str:
     return d.strftime("%Y%m%d")
 
@@ -25,15 +34,22 @@ def _list_shards(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None = None,
-                    prefer_daily: bool = False, schema=None) -> DataFrame:
+                    prefer_daily: bool = False, schema=None, missing: str = "raise") -> DataFrame:
     """Read ``events_YYYYMMDD`` / ``events_intraday_YYYYMMDD`` shard folders.
 
     Only the folders of the wanted ``days`` are listed (true pruning: other
     shards are never opened).  ``shard_date`` comes from the folder name, so an
     intraday shard counts as its day.  A day present as daily and intraday is
     read twice unless ``prefer_daily`` drops the intraday copy.  A known
-    ``schema`` (StructType or DDL string) skips schema inference.
+    ``schema`` (StructType or DDL string) skips schema inference, which would
+    drop columns that the sampled shard happens not to have.
+
+    A wanted day without a shard raises, as a reload would empty that day's
+    stored partition.  ``missing='leading'`` lets days before the first shard be
+    absent (an export that began inside the window), ``'allow'`` any.
     """
+    if missing not in ("raise", "leading", "allow"):
+        raise ValueError(missing)
     root = root.rstrip("/")
     if days is None:
         pattern = f"{root}/*events_*"
@@ -49,17 +65,16 @@ def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None
                  if "events_intraday_" not in p or p.rsplit("events_intraday_", 1)[1] not in daily]
     if not paths:
         raise FileNotFoundError(f"no event shards match {pattern}")
+    if days is not None and missing != "allow":
+        have = {p.rstrip("/")[-8:] for p in paths}
+        absent = [d for d in days if _ymd(d) not in have and (missing == "raise" or _ymd(d) > min(have))]
+        if absent:
+            raise FileNotFoundError(f"no event shard of {', '.join(d.isoformat() for d in absent)} in {root}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(*paths)
     return df.withColumn("shard_date", shard_date(F.col("_metadata.file_path")))
 
 
-def read_ga4_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A dataset partitioned by ``shard_date=YYYY-MM-DD``; filters on
-    ``shard_date`` become PartitionFilters."""
-    return spark.read.parquet(path)
-
-
 def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = ()) -> None:
     """Write an export as one shard folder per day (``shard=events_YYYYMMDD``).
 

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from touchpath.config import DEV, RunConfig
 
+#: Columns that name an event, whose hash decides.
+EVENT_KEY = ("event_timestamp", "event_name", "user_id", "user_pseudo_id")
 
-def dev_sample(df: DataFrame, cfg: RunConfig, force: bool = False) -> DataFrame:
-    """Seeded Bernoulli sample of ``dev_sample_percent`` % in dev runs.
 
-    Sampling is per row inside each scan task (no shuffle); the block-level
-    sampling of some warehouses is not reproduced.
-    """
+def in_sample(cfg: RunConfig, key: tuple[str, ...] = EVENT_KEY) -> Column:
+    """True for ``dev_sample_percent`` % of the keys: the first 32 bits of the
+    key's MD5 (with the seed), in parts of 10,000.  It depends on the event
+    alone, not on files or partitions."""
+    text = F.concat_ws("|", F.lit(str(cfg.sample_seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 10_000
+    return place < F.lit(int(cfg.dev_sample_percent * 100))
+
+
+def dev_sample(df: DataFrame, cfg: RunConfig, force: bool = False) -> DataFrame:
+    """``dev_sample_percent`` % of the events in dev runs, chosen by hash inside
+    each scan task (no shuffle); the block-level sampling of some warehouses is
+    not reproduced."""
     if cfg.mode != DEV and not force:
         return df
-    return df.sample(withReplacement=False, fraction=cfg.dev_sample_percent / 100.0,
-                     seed=cfg.sample_seed)
+    return df.where(in_sample(cfg))

@@ -12,15 +12,15 @@ most row groups for a key lookup.
 
 from __future__ import annotations
 
-import logging
+import uuid
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.session import scratch_path
 
-
-log = logging.getLogger(__name__)
+class OutsidePartitionsError(ValueError):
+    """A static overwrite got rows outside its list of partitions."""
 
 
 class SchemaChangeError(ValueError):
@@ -38,6 +38,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _sibling(path: str, kind: str) -> str:
+    """A fresh folder beside ``path``: on the target's own storage, so every
+    executor sees it and a rename moves no data."""
+    head, _, tail = path.rstrip("/").rpartition("/")
+    return f"{head}/{tail}-{kind}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, path: str, kind: str):
+    """A sibling folder of ``path`` that is gone afterwards, also on failure."""
+    tmp = _sibling(path, kind)
+    try:
+        yield tmp
+    finally:
+        remove(spark, tmp)
+
+
 def _layout(df: DataFrame, partition_by: str | None, cluster_by: list[str] | None) -> DataFrame:
     keys = ([partition_by] if partition_by else []) + list(cluster_by or [])
     if not keys:
@@ -58,13 +82,29 @@ def check_schema(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 def write_full(df: DataFrame, path: str, partition_by: str | None = "event_date_dt",
                cluster_by: list[str] | None = None, guard_schema: bool = False) -> None:
-    """Full rebuild: the target is replaced as a whole."""
+    """Full rebuild: the target is replaced as a whole.
+
+    The new table is written beside the target and moved into its place when it
+    is complete, so a failed rebuild leaves the old table as it was.
+    """
+    spark = df.sparkSession
     if guard_schema:
-        check_schema(df.sparkSession, df, path)
-    w = _layout(df, partition_by, cluster_by).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        check_schema(spark, df, path)
+    with staging(spark, path, "new") as new, staging(spark, path, "old") as old:
+        w = _layout(df, partition_by, cluster_by).write
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(new)
+        fs, target = _fs(spark, path)
+        there, made, kept = (_fs(spark, x)[1] for x in (path, new, old))
+        had = fs.exists(target)
+        if had and not fs.rename(there, kept):
+            raise OSError(f"{path} cannot be moved aside")
+        if not fs.rename(made, target):
+            if had:
+                fs.rename(kept, target)
+            raise OSError(f"the new table cannot be moved to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
@@ -72,48 +112,50 @@ def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
                   stage: bool = False) -> None:
     """Replace the partitions present in ``df``; all others stay.
 
-    ``stage=True`` first writes ``df`` to a scratch location, which is needed
-    when ``df`` reads the target itself.
+    ``stage=True`` first writes ``df`` beside the target, which is needed when
+    ``df`` reads the target itself.
     """
     spark = df.sparkSession
     if guard_schema:
         check_schema(spark, df, path)
-    if stage:
-        tmp = scratch_path(spark, "stage")
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(tmp)
-        df = spark.read.parquet(tmp)
-    (_layout(df, partition_by, cluster_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+
+    def put(rows: DataFrame) -> None:
+        (_layout(rows, partition_by, cluster_by).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+
+    if not stage:
+        put(df)
+        return
+    with staging(spark, path, "stage") as tmp:
+        df.write.partitionBy(partition_by).parquet(tmp)
+        put(spark.read.schema(df.schema).parquet(tmp))
 
 
 def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
                  partitions: list[date], cluster_by: list[str] | None = None,
-                 guard_schema: bool = False) -> list[str]:
+                 guard_schema: bool = False) -> None:
     """Replace exactly the listed partitions, even when ``df`` has no row for one.
 
     ``df`` is staged once (its lineage is cut there); the staged partitions
     replace their targets, and listed partitions missing from the stage are
-    removed from the target.  Rows outside the list also land in their own
-    partition, which they replace (partitions actually present are overwritten);
-    those partitions are returned (and logged) so a caller can flag them.
+    removed from the target.  Rows outside the list are an error, found before
+    the target is touched: they would replace a partition by the few of its
+    rows that are in ``df``.
     """
     if guard_schema:
         check_schema(spark, df, path)
-    tmp = scratch_path(spark, "static-stage")
-    df.write.mode("overwrite").partitionBy(partition_by).parquet(tmp)
-    fs, tp = _fs(spark, tmp)
-    staged = {str(s.getPath().getName()) for s in fs.listStatus(tp) if s.isDirectory()}
-    if any(n.startswith(f"{partition_by}=") for n in staged):
-        write_dynamic(spark.read.parquet(tmp), path, partition_by, cluster_by)
     listed = {f"{partition_by}={d.isoformat()}" for d in partitions}
+    with staging(spark, path, "stage") as tmp:
+        df.write.partitionBy(partition_by).parquet(tmp)
+        fs, tp = _fs(spark, tmp)
+        staged = {str(s.getPath().getName()) for s in fs.listStatus(tp) if s.isDirectory()}
+        staged = {n for n in staged if n.startswith(f"{partition_by}=")}
+        if staged - listed:
+            raise OutsidePartitionsError(f"static overwrite of {path} got rows outside its partitions: {sorted(staged - listed)}")
+        if staged:
+            write_dynamic(spark.read.schema(df.schema).parquet(tmp), path, partition_by, cluster_by)
     for name in sorted(listed - staged):
-        tfs, target = _fs(spark, f"{path.rstrip('/')}/{name}")
-        if tfs.exists(target):
-            tfs.delete(target, True)
-    outside = sorted(n for n in staged - listed if n.startswith(f"{partition_by}="))
-    if outside:
-        log.warning("static overwrite of %s also wrote partitions outside the list: %s", path, outside)
-    return outside
+        remove(spark, f"{path.rstrip('/')}/{name}")
 
 
 def high_water_mark(spark: SparkSession, path: str, col: str = "event_date_dt") -> date | None:

@@ -2,9 +2,10 @@
 
 Per run (``run_date`` = today):
 
-* ad click stats   – static overwrite of the fixed reload days (by click date)
+* ad click stats   – static overwrite of the reload days by ingestion date (a
+                     late click lands beside the earlier ones of its click date)
 * campaign names   – full rebuild; click id -> campaign name is read as a view
-* base events      – static overwrite of the fixed reload days (late hits)
+* base events      – static overwrite of the reload days by shard date (late hits)
 * silent sessions  – static overwrite of [high-water mark, yesterday]
 * traffic events   – dynamic overwrite of [high-water mark, yesterday]
 * first/last       – full rebuild from the traffic table (all history)
@@ -12,6 +13,9 @@ Per run (``run_date`` = today):
 * session starts   – dynamic overwrite of [high-water mark, yesterday]
 * data tests       – the model test suite, appended per run date
 
+The reload days are the configured number, or as many as lie between a target's
+high-water mark and the run date: a skipped run leaves no hole.
+
 The first run of a target (no table yet) is a full refresh; incremental
 writes of the analytics models refuse a schema change.  Every step reads
 the previous step's *table*, so a lost executor only repeats the step that was
@@ -30,13 +34,17 @@ from touchpath.config import FULL, INCREMENTAL, RunConfig
 from touchpath.operators import ads as A
 from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
-from touchpath.operators.base_events import base_events
+from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.session import configure
 from touchpath.sources import sinks
+from touchpath.sources.ads import resolve
 
 MODEL_TABLES = ("ads_click_stats", "ads_campaign_names", "base_events", "silent_sessions", "traffic_events",
                 "session_first_last_source", "session_channel_groups", "session_starts", "dq_results")
 
+#: Partition column of the tables that are not partitioned by event date.
+PARTITIONS = {"ads_click_stats": A.INGESTION_DATE, "ads_campaign_names": "date", "base_events": "shard_date"}
+
 
 @dataclass
 class IncrementalRunner:
@@ -47,6 +55,8 @@ class IncrementalRunner:
     campaign_tables: dict
     variant: str = "gclid"
     base_cfg: RunConfig | None = None
+    # shopping-product tables: read by their day-coverage test alone
+    shopping_tables: dict = field(default_factory=dict)
     # schemas of tables written by this runner: read back without inference
     _schemas: dict = field(default_factory=dict, repr=False)
 
@@ -61,44 +71,62 @@ class IncrementalRunner:
     def _written(self, model: str, df: DataFrame) -> None:
         self._schemas[model] = df.schema
 
+    def reload_days(self, run_date: date) -> list[date]:
+        """Shard days that a run reads: the window of a first load, else the
+        reload days and whatever was skipped since the last one."""
+        cfg = self._cfg(run_date, "base_events", [])
+        return cfg.reload_partitions(120 if cfg.mode == FULL else None)
+
     def _cfg(self, run_date: date, target: str, model_keys: list[str]) -> RunConfig:
         base = self.base_cfg or RunConfig(run_date=run_date)
-        part = "date" if target.startswith("ads_") else "event_date_dt"
-        hwm = sinks.high_water_mark(self.spark, self.path(target), part)
+        hwm = sinks.high_water_mark(self.spark, self.path(target), PARTITIONS.get(target, "event_date_dt"))
         if hwm is None:
             return base.with_(run_date=run_date, mode=FULL)
-        return base.with_(run_date=run_date, mode=INCREMENTAL, high_water_marks={k: hwm for k in model_keys})
+        if hwm >= run_date:
+            raise ValueError(f"{target} is loaded up to {hwm}: a run for {run_date} would go back in time")
+        # the mark's own day is reloaded too: it may have been partial
+        return base.with_(run_date=run_date, mode=INCREMENTAL, high_water_marks={k: hwm for k in model_keys},
+                          reload_days=max(base.reload_days, (run_date - hwm).days))
+
+    def load_clicks(self, run_date: date) -> None:
+        """The click table: the ingestion-date window picks the rows, and the
+        same date partitions the table."""
+        cfg = self._cfg(run_date, "ads_click_stats", [])
+        clicks = A.ads_click_stats(self.spark, self.click_tables, cfg, with_ingestion=True)
+        if cfg.mode == FULL:
+            sinks.write_full(clicks, self.path("ads_click_stats"), partition_by=A.INGESTION_DATE, cluster_by=["account", "date"])
+        else:
+            sinks.write_static(self.spark, clicks, self.path("ads_click_stats"), A.INGESTION_DATE, cfg.reload_partitions(),
+                               cluster_by=["account", "date"], guard_schema=True)
+        self._written("ads_click_stats", clicks)
+
+    def load_base(self, run_date: date) -> None:
+        """Base events: reload days by shard date, emptied when a day lost its
+        input (an event whose own date differs stays in its shard's partition)."""
+        cfg = self._cfg(run_date, "base_events", [])
+        path, cluster = self.path("base_events"), ["event_date_dt", "event_name"]
+        # the keyed events are stored for the run: the export is read once
+        with sinks.staging(self.spark, path, "keyed") as tmp:
+            keyed = keyed_events(self.raw_events, cfg)
+            keyed.write.parquet(tmp)
+            base = base_events(None, cfg, keyed=self.spark.read.schema(keyed.schema).parquet(tmp), with_shard=True)
+            if cfg.mode == FULL:
+                sinks.write_full(base, path, partition_by="shard_date", cluster_by=cluster)
+            else:
+                sinks.write_static(self.spark, base, path, "shard_date", cfg.reload_partitions(), cluster_by=cluster, guard_schema=True)
+            self._written("base_events", base)
 
     def run(self, run_date: date, with_tests: bool = True) -> dict[str, str]:
         configure(self.spark)
         sp = self.spark
 
         if self.variant == "gclid":
-            # click stats: the ingestion-date window picks the rows, the click
-            # date partitions the table; reload days are replaced statically
-            cfg = self._cfg(run_date, "ads_click_stats", [])
-            clicks = A.ads_click_stats(sp, self.click_tables, cfg)
-            if cfg.mode == FULL:
-                sinks.write_full(clicks, self.path("ads_click_stats"), partition_by="date", cluster_by=["account"])
-                self._written("ads_click_stats", clicks)
-            else:
-                sinks.write_static(sp, clicks, self.path("ads_click_stats"), "date", cfg.reload_partitions(),
-                                   cluster_by=["account"])
-                self._written("ads_click_stats", clicks)
+            self.load_clicks(run_date)
             names = A.ads_campaign_names(sp, self.campaign_tables, RunConfig(run_date=run_date))
             sinks.write_full(names, self.path("ads_campaign_names"), partition_by="date")
             self._written("ads_campaign_names", names)
 
-        # base events: fixed reload days, emptied when a day lost its input
-        cfg = self._cfg(run_date, "base_events", [])
-        base = base_events(self.raw_events, cfg)
-        if cfg.mode == FULL:
-            sinks.write_full(base, self.path("base_events"), cluster_by=["event_name"])
-            self._written("base_events", base)
-        else:
-            sinks.write_static(sp, base, self.path("base_events"), "event_date_dt", cfg.reload_partitions(),
-                               cluster_by=["event_name"], guard_schema=True)
-            self._written("base_events", base)
+        self.load_base(run_date)
         base_t = self.table("base_events")
 
         # silent sessions: static over the whole reprocessed range (a day that
@@ -135,6 +163,9 @@ class IncrementalRunner:
         if with_tests:
             dq = Q.model_suite(self.table("silent_sessions"), self.table("traffic_events"),
                                self.table("session_channel_groups"), self.table("session_starts"), run_date)
+            if self.shopping_tables:
+                tables = {a: resolve(sp, t) for a, t in self.shopping_tables.items()}
+                dq = dq.unionByName(Q.source_day_coverage(tables, "segments_date", Q.SHOPPING_SINCE, run_date, "shopping_products"))
             (dq.withColumn("run_date", F.lit(run_date)).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(self.path("dq_results")))
         return {m: self.path(m) for m in MODEL_TABLES}

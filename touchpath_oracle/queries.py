@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from touchpath_oracle.ctes import (FIXTURE, NM, RUN, ads_ctes, base_ctes, d, default_case, custom_case, last_n,
+from touchpath_oracle.ctes import (FIXTURE, NM, RUN, SITE_RE, ads_ctes, base_ctes, d, default_case, custom_case, last_n,
                          prev_year, session_ctes, silent_cte, traffic_ctes, with_chain)
 
 FLAT_BASE = ("event_date_dt, event_timestamp, event_name, user_id, user_pseudo_id, page_device, page_hostname, "
@@ -61,6 +61,17 @@ ORACLES: dict[str, str] = {
         f"SELECT {FLAT_BASE} FROM base WHERE event_date_dt NOT IN ({d(RUN - timedelta(days=1))}, {d(STATIC_GONE)}) "
         f"UNION ALL SELECT {FLAT_BASE} FROM base_inc",
         extra=base_ctes("base_inc", "ga4", f"event_date_dt IN ({d(RUN - timedelta(days=1))})")),
+    "sink_schema_guard": with_chain("SELECT *, true AS refused FROM m12"),
+    "ads_click_stats_incremental": with_chain("SELECT * FROM clicks"),
+    "base_events_after_gap": with_chain(f"SELECT {FLAT_BASE.replace('session_event_number, ', '')} FROM base"),
+    "run_mode_windows": with_chain(" UNION ALL ".join(
+        f"SELECT '{mode}' AS mode, event_date_dt AS day, count(*) AS n_rows FROM base WHERE event_name = 'page_view' AND {w} GROUP BY event_date_dt"
+        for mode, w in (("full", last_n("event_date_dt", RUN, 120)), ("dev", last_n("event_date_dt", RUN, 2)),
+                        ("incremental", f"event_date_dt BETWEEN DATE '2024-01-27' AND {d(RUN - timedelta(days=1))}")))),
+    "dev_sample": with_chain(
+        "SELECT event_date_dt, event_timestamp, event_name, session_key FROM base "
+        f"WHERE {last_n('event_date_dt', RUN, 2)} AND CAST('0x' || substr(md5('42|' || CAST(event_timestamp AS VARCHAR) || '|' "
+        "|| event_name || '|' || coalesce(user_id, '') || '|' || coalesce(user_pseudo_id, '')), 1, 8) AS BIGINT) % 10000 < 500"),
     "high_water_mark": with_chain("SELECT max(event_date_dt) AS high_water_mark FROM silent"),
     "extract_params": with_chain(
         "SELECT event_timestamp, ga_session_id, page_location, ga_session_number, session_engaged, engagement_time_msec, "
@@ -73,12 +84,12 @@ SELECT event_date, CAST(strptime(event_date, '%Y%m%d') AS DATE) AS event_date_dt
   CAST(CAST(strptime(event_date, '%Y%m%d') AS DATE) - INTERVAL 120 DAY AS DATE) AS minus_120_days,
   CAST(CAST(strptime(event_date, '%Y%m%d') AS DATE) - INTERVAL 1 YEAR AS DATE) AS minus_1_year
 FROM (SELECT DISTINCT event_date FROM ga4)""",
-    "page_path": "WITH " + FIXTURE + """,
+    "page_path": "WITH " + FIXTURE + f""",
 u AS (SELECT 'events' AS origin, event_timestamp AS id, page_location AS location FROM ga4
       UNION ALL SELECT 'pages', page_id, url FROM pages)
 SELECT origin, id, location,
-  regexp_replace(split_part(location, '?', 1), '^http[s]?://www.shop.[a-z][a-z][.]?[a-z]?[a-z]?', '') AS page_path,
-  regexp_replace(location, '^http[s]?://www.shop.[a-z][a-z][.]?[a-z]?[a-z]?', '') AS page_path_and_querystring
+  regexp_replace(split_part(location, '?', 1), '{SITE_RE}', '') AS page_path,
+  regexp_replace(location, '{SITE_RE}', '') AS page_path_and_querystring
 FROM u""",
     "identity_keys": with_chain("SELECT event_timestamp, user_id, user_pseudo_id, ga_session_id, user_key, session_key FROM base"),
     "surrogate_key": with_chain("SELECT event_timestamp, ga_session_id, event_name, engagement_time_msec, sk_id FROM base"),
@@ -123,7 +134,8 @@ FROM u""",
         f"{custom_case('source', 'medium', 'campaign', 'page_pagetype')} AS channel_group "
         "FROM (SELECT DISTINCT source, medium, campaign, page_pagetype FROM adjusted)"),
     "channel_group_default": "WITH " + FIXTURE + """,
-x AS (SELECT source, medium, CASE event_id % 5 WHEN 1 THEN 'SOURCE_CATEGORY_SOCIAL' WHEN 2 THEN 'SOURCE_CATEGORY_SHOPPING'
+x AS (SELECT CASE WHEN event_id % 17 < 3 THEN 'partner' ELSE source END AS source,
+        CASE event_id % 17 WHEN 0 THEN 'cpv' WHEN 1 THEN 'audio' WHEN 2 THEN 'web push' ELSE medium END AS medium, CASE event_id % 5 WHEN 1 THEN 'SOURCE_CATEGORY_SOCIAL' WHEN 2 THEN 'SOURCE_CATEGORY_SHOPPING'
         WHEN 3 THEN 'SOURCE_CATEGORY_VIDEO' WHEN 4 THEN 'SOURCE_CATEGORY_SEARCH' END AS source_category FROM ga4)
 SELECT source, medium, source_category, """ + default_case("source", "medium", "source_category") + """ AS channel_group,
   count(*) AS n_events
@@ -177,7 +189,10 @@ FROM x GROUP BY ALL""",
     "dq_source_day_coverage": with_chain(" UNION ALL ".join(
         day_coverage(f"click_stats_{a}:day_coverage", f"(SELECT segments_date AS event_date_dt FROM clicks_raw WHERE account = '{a}')",
                      date(2023, 12, 1), RUN)
-        for a in ("de", "at", "de_brand", "at_brand", "ch_brand"))),
+        for a in ("de", "at", "de_brand", "at_brand", "ch_brand")) + " UNION ALL " + " UNION ALL ".join(
+        day_coverage(f"shopping_products_{a}:day_coverage",
+                     f"(SELECT event_date_dt FROM ga4 WHERE event_name = 'purchase' AND event_id % 2 = {i})", date(2022, 7, 1), RUN)
+        for i, a in enumerate(("de", "at")))),
     "dq_unique_proportion": with_chain(
         dq("unique_proportion:session_key",
            "CASE WHEN count(DISTINCT session_key) * 1.0 / count(session_key) IS NULL "
