@@ -53,7 +53,7 @@ class Method:
     judge: Callable[[list["Block"], int], list[np.ndarray]]
     #: a window counts as repeated in its first document as well
     everywhere: bool
-    hot: int = 2048
+    hot: int = 8192
 
 
 @dataclass

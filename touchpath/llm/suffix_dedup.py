@@ -3,9 +3,10 @@
 
 The suffix array is built in buckets: suffixes that share their anchor and its
 distance (see ``anchors``, ``repeats``) are sorted with each other, since only
-those can agree on a whole window.  The sort is a mergesort; a comparison finds
-the common extension of two suffixes by a binary search over prefix polynomial
-hashes, so it takes a logarithm of the window's length.  Neighbours that agree
+those can agree on a whole window.  Where their first eight bytes agree too, the
+sort is a mergesort; a comparison finds the common extension of two suffixes by a
+binary search over prefix polynomial hashes, so it takes a logarithm of the
+window's length.  Neighbours that agree
 on a window by hash are compared byte by byte; if a collision ever shows, the
 batch is sorted again under other hashes.
 
@@ -113,8 +114,14 @@ def judge(group: list[Block], window: int, seed: int = 0) -> list[np.ndarray]:
     # buckets: one anchor at one distance
     _, key = np.unique([b.key for b in group], return_inverse=True)
     bucket = key[owner] * (2 * window) + (np.array([b.lead for b in group])[owner] - index) + window
-    sort = np.argsort(bucket, kind="stable")
-    cut = np.flatnonzero(np.diff(bucket[sort], prepend=-1))
+    # by bucket and first eight bytes; what agrees so far is a segment
+    head = np.zeros(len(text), np.uint64)
+    for k in range(8):
+        head[:len(text) - 7] |= text[k:len(text) - 7 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    sort = np.lexsort((head[starts], bucket))
+    new = np.ones(len(sort), bool)
+    new[1:] = (bucket[sort[1:]] != bucket[sort[:-1]]) | (head[starts[sort[1:]]] != head[starts[sort[:-1]]])
+    cut = np.flatnonzero(new)
     size = np.diff(np.append(cut, len(sort)))
     first, length = np.repeat(cut, size), np.repeat(size, size)
     suffixes = Suffixes(text, window, seed)
@@ -146,7 +153,7 @@ def _windows(data: bytes, window: int) -> list[tuple[int, int]]:
     return [(i, i + window) for i in range(len(data) - window + 1)]
 
 
-def method(window: int = WINDOW, gram: int = GRAM, hot: int = 2048) -> Method:
+def method(window: int = WINDOW, gram: int = GRAM, hot: int = 8192) -> Method:
     return Method(window, gram, _read, _cut, _windows, judge, everywhere=True, hot=hot)
 
 
