@@ -104,7 +104,7 @@ def test_real_table(spark):
 def test_pairs_within_the_distance_share_a_key():
     rng = np.random.default_rng(1)
     for _ in range(300):
-        a = rng.integers(0, 1 << 16, 32).astype(np.uint16)
+        a = rng.integers(0, 1 << 14, 32).astype(np.uint16)
         b = a.copy()
         at = rng.choice(32, 15, replace=False)
         b[at] ^= 1
@@ -115,9 +115,9 @@ def test_distance_counts_values(spark):
     rng = np.random.default_rng(2)
     rows = []
     for k in range(33):
-        a = rng.integers(0, 1 << 16, 32).astype(np.uint16)
+        a = rng.integers(0, 1 << 14, 32).astype(np.uint16)
         b = a.copy()
-        b[rng.choice(32, k, replace=False)] ^= rng.integers(1, 1 << 16, k).astype(np.uint16)
+        b[rng.choice(32, k, replace=False)] ^= rng.integers(1, 1 << 14, k).astype(np.uint16)
         rows.append((k, minhash.packed(a), minhash.packed(b)))
     d = spark.createDataFrame(rows, "k int, a array<long>, b array<long>").select("k", F.struct(F.col("a").alias("sig")).alias("x"), F.struct(F.col("b").alias("sig")).alias("y"))
     assert all(r["k"] == r["d"] for r in d.select("k", minhash.distance("x", "y").alias("d")).collect())

@@ -1,7 +1,7 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
 A text's set holds its distinct word shingles (A-Z lower-cased).  Its signature
-is 32 MinHash values of 16 bits; the distance of two signatures is the number of
+is 32 MinHash values of 14 bits; the distance of two signatures is the number of
 values that differ.  The signature is cut into 8 chunks of 4 values.  By
 pigeonhole, signatures that differ in at most 15 values have a chunk with at
 most one error, so each chunk is looked up under every choice of the value that
@@ -45,7 +45,7 @@ DISTANCE = 17
 PERCENT = 80
 SHINGLE_WORDS = 5
 #: Rounds of stars at most; they end when a round confirms few links.
-STARS = 4
+STARS = 2
 #: Members from which on a bucket is large.
 LARGE = 64
 
@@ -78,7 +78,7 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarra
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """32 values of 16 bits: the low bits of the least hash under each salt."""
+    """32 values of 14 bits: the low bits of the least hash under each salt."""
     low = np.full(VALUES, np.iinfo(_U).max, _U)
     for at in range(0, len(shingles), 1 << 14):
         part = shingles[at:at + (1 << 14), None] ^ _SALT[None, :]
@@ -86,7 +86,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
             part = part * _U(0x9FB21C651E98DF25)
         part ^= part >> _U(32)
         np.minimum(low, part.min(axis=0), out=low)
-    return mix(low).astype(np.uint16)
+    return (mix(low) & _U(0x3FFF)).astype(np.uint16)
 
 
 def chunk_keys(sig: np.ndarray) -> list[int]:
@@ -104,43 +104,41 @@ def chunk_keys(sig: np.ndarray) -> list[int]:
 
 
 def packed(sig: np.ndarray) -> list[int]:
-    """The signature as one long per chunk."""
+    """The signature as one long per chunk: four lanes of 14 bits and a guard."""
     parts = sig.reshape(-1, CHUNK).astype(_U)
     code = np.zeros(len(parts), _U)
     for v in range(CHUNK):
-        code = (code << _U(16)) | parts[:, v]
+        code = (code << _U(15)) | parts[:, v]
     return code.view(np.int64).tolist()
 
 
+#: All data bits of the four lanes, and their guard bits.
+_DATA = sum(0x3FFF << 15 * v for v in range(CHUNK))
+_GUARD = sum(0x4000 << 15 * v for v in range(CHUNK))
+
+
 def wrong_values(x: str, y: str) -> list[Column]:
     """Values that differ between the signatures of two join sides, chunk by
-    chunk: the bits of each 16-bit lane are folded onto its lowest one and
-    counted."""
-    out = []
-    for i in range(VALUES // CHUNK):
-        z = F.col(f"{x}.sig")[i].bitwiseXOR(F.col(f"{y}.sig")[i])
-        for shift in (8, 4, 2, 1):
-            z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
-        out.append(F.bit_count(z.bitwiseAND(F.lit(0x0001000100010001))))
-    return out
+    chunk: adding all data bits carries into a lane's guard if it is not 0."""
+    return [F.bit_count((F.col(f"{x}.sig")[i].bitwiseXOR(F.col(f"{y}.sig")[i]) + F.lit(_DATA)).bitwiseAND(F.lit(_GUARD))) for i in range(VALUES // CHUNK)]
 
 
 def distance(x: str, y: str) -> Column:
-    return sum(wrong_values(x, y)[1:], wrong_values(x, y)[0])
+    first, *others = wrong_values(x, y)
+    return sum(others, first)
 
 
 def first_common_key(x: str, y: str) -> Column:
     """Whether this key (number ``slot``) is the first that both signatures
     have; so a pair that shares many buckets is made once."""
-    wrong = wrong_values(x, y)
-    out = F.lit(False)
-    earlier = F.lit(True)
-    for i, w in enumerate(wrong):
-        here = F.floor(F.col(f"{x}.slot") / CHUNK) == i
-        # without an error, the chunk's four keys agree: the first one counts
-        out = out | (here & earlier & ((w == 1) | (F.col(f"{x}.slot") % CHUNK == 0)))
-        earlier = earlier & (w > 1)
-    return out
+    # twice the first chunk with at most one error, plus its errors
+    found = F.lit(-9)
+    for i, wrong in reversed(list(enumerate(wrong_values(x, y)))):
+        found = F.when(wrong <= 1, wrong + 2 * i).otherwise(found)
+    slot = F.col(f"{x}.slot")
+    chunk = F.floor(slot / CHUNK).cast("int") * 2
+    # with an error, one of the chunk's keys agrees; without, the first counts
+    return found.isin(chunk + 1, chunk + (slot % CHUNK != 0).cast("int"))
 
 
 FEATURES = "doc_id long, text_hash long, n long, set_id binary, keys array<long>, sig array<long>"

@@ -73,6 +73,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_automaton_passages": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        starts AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h
+                   FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM w)),
+        found AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first_doc FROM starts) WHERE doc_id > first_doc),
+        pos AS (SELECT doc_id, unnest(generate_series(1, len(words))) AS i, unnest(words) AS word FROM w),
+        marked AS (SELECT pos.doc_id, pos.i, word,
+                          count(found.i) OVER (PARTITION BY pos.doc_id ORDER BY pos.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+                   FROM pos LEFT JOIN found ON pos.doc_id = found.doc_id AND pos.i = found.i),
+        per AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+                FROM marked GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN per ON w.doc_id = per.doc_id
+    """,
+    "op4_minhash_hamming": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS words FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, words[i] || ' ' || words[i + 1] AS s
+          FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 1)) AS i FROM w)
+          UNION ALL SELECT doc_id, words[1] FROM w WHERE len(words) = 1),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+          SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
+          JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(node, goal) AS (SELECT DISTINCT a, a FROM edges UNION SELECT reach.node, edges.b FROM reach JOIN edges ON reach.goal = edges.a),
+        least AS (SELECT node, min(goal) AS component_id FROM reach GROUP BY node)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+               coalesce(component_id, w.doc_id) = w.doc_id AS kept
+        FROM w LEFT JOIN sizes ON w.doc_id = sizes.doc_id LEFT JOIN least ON w.doc_id = least.node
+    """,
+    "op8_suffix_sort": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        starts AS (SELECT doc_id, i, md5(x[2 * i - 1:2 * i + 398]) AS h
+                   FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) // 2 - 199)) AS i FROM d)),
+        found AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM starts) WHERE n > 1),
+        pos AS (SELECT doc_id, i, x[2 * i - 1:2 * i] AS b FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) // 2)) AS i FROM d)),
+        marked AS (SELECT pos.doc_id, pos.i, b,
+                          count(found.i) OVER (PARTITION BY pos.doc_id ORDER BY pos.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) > 0 AS gone
+                   FROM pos LEFT JOIN found ON pos.doc_id = found.doc_id AND pos.i = found.i),
+        edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM marked),
+        per AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+                       string_agg(b, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+                FROM edged GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN per ON d.doc_id = per.doc_id
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, d AS text_sha256
