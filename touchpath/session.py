@@ -29,14 +29,11 @@ SESSION_DEFAULTS = {
 }
 
 # Runtime SQL settings applied to any session the library is handed (they can
-# be changed after start-up).  Constraint propagation is switched off: with
-# the long rule CASE chains it costs tens of seconds of planning and adds no
-# useful filter here.
+# be changed after start-up).
 RUNTIME_SQL = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.constraintPropagation.enabled": "false",
     # broadcast only what was measured: no broadcast from planning-time size
     # estimates; AQE broadcasts a join side once its shuffle output is known
     # to be under 10 MB
