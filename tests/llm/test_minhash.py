@@ -64,6 +64,7 @@ def test_query_equals_brute_force(spark, table):
 def test_chains_and_hot_groups_whatever_the_rounds(spark, monkeypatch, stars, large):
     monkeypatch.setattr(minhash, "STARS", stars)
     monkeypatch.setattr(minhash, "LARGE", large)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
     base = [f"w{i}" for i in range(60)]
     rows = []
     for i in range(40):  # a chain: each text is near the one before, far from the first
@@ -77,11 +78,12 @@ def test_chains_and_hot_groups_whatever_the_rounds(spark, monkeypatch, stars, la
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_prefix_filter_loses_no_pair_near_the_threshold(spark, monkeypatch, seed):
+def test_large_buckets_lose_no_link_near_the_threshold(spark, monkeypatch, seed):
     """Texts that derive from one template by a few changes, some of them shared;
     similarities lie around the threshold, and no stars help."""
     monkeypatch.setattr(minhash, "STARS", 0)
     monkeypatch.setattr(minhash, "LARGE", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
     rng = np.random.default_rng(seed)
     base = [f"w{i}" for i in range(80)]
     rows = []

@@ -12,11 +12,9 @@ Texts with equal sets form one class; only classes are joined.  Links are
 confirmed on full sets: 100 * intersection >= 80 * union.  A bucket of any size
 yields a star to one hub, not all its pairs: classes that end in one component
 need no more pairs.  Then members of one bucket that lie in different components
-meet.  In a large bucket they do so by a prefix filter: shingles are ranked with
-those that the hub lacks first, and two sets that are similar enough must share
-one of their first few (as many as their sizes leave room for), so texts that
-derive from one template meet only where their changes agree.  The filter loses
-no pair, and components are exact.
+meet: pair by pair in a small bucket; in a large one block by block, where a task
+counts all intersections of two blocks at once from the members' differences
+from the hub, and only links leave it.  So components are exact.
 
 Defined results: null and empty texts have an empty set, are linked with nothing
 and form components of their own; a text with fewer words than a shingle has its
@@ -30,6 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +45,8 @@ PERCENT = 80
 SHINGLE_WORDS = 5
 #: Rounds of stars at most; they end when a round confirms few links.
 STARS = 2
-#: Members from which on a bucket is large.
-LARGE = 64
+#: Members over which a bucket is large, and members in a block of one.
+LARGE, BLOCK = 512, 512
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -192,37 +191,76 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select("a", "b")
 
 
-def share_of(percent: int, n: Column, m: Column) -> Column:
-    """Least intersection of two sets of n and m that are similar enough."""
-    return F.ceil((n + m) * percent / F.lit(100 + percent) - 1e-9)
-
-
-def prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(hub, node, token, at): the first shingles of each member (hub, node) of
-    a large bucket; those that the hub lacks are ranked first, then by hash."""
+def blocks_of(large: DataFrame) -> DataFrame:
+    """Members of large buckets (hub, node, n, label) dealt into tasks: those of
+    the hub's most frequent component need not meet each other, all other pairs
+    do, in blocks of :data:`BLOCK` by :data:`BLOCK`."""
+    per = large.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("hub").agg(
+        F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    per = per.select("hub", F.col("top.label").alias("top"), blocks(F.col("top.c")).alias("tops"), blocks(F.col("all") - F.col("top.c")).alias("others"))
+    rows = large.join(per, "hub").withColumn("other", F.col("label") != F.col("top"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("other"), F.col("others")).otherwise(F.col("tops"))).cast("int")
+    rows = rows.withColumn("own", own)
+    of_others, of_tops = F.sequence(F.lit(0), F.col("others") - 1), F.sequence(F.lit(0), F.col("tops") - 1)
+    among = F.transform(of_others, lambda j: F.struct(F.lit(0).alias("kind"), F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
+    to_top = F.transform(of_tops, lambda j: F.struct(F.lit(1).alias("kind"), F.col("own").alias("i"), j.alias("j")))
+    from_top = F.transform(of_others, lambda i: F.struct(F.lit(1).alias("kind"), i.alias("i"), F.col("own").alias("j")))
+    return rows.select("hub", "node", "n", "label", "other", F.explode(F.when(F.col("other"), F.concat(among, to_top)).otherwise(from_top)).alias("task"))
+
+
+def links_in_large(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of large buckets (hub, node, n,
+    label): enough of them to connect all that any link connects.
+
+    A member is its difference from the hub: shingles that the hub lacks, and the
+    hub's that it lacks.  Two members' intersection follows from what their
+    differences share, which a task counts for a block of members at once by a
+    product of incidence matrices; only confirmed links leave the task."""
     x = sets.select("node", F.col("shingles").alias("x"))
     h = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h"))
-    ranked = F.concat(F.array_sort(F.array_except("x", "h")), F.array_sort(F.array_intersect("x", "h")))
-    n = F.size("x")
-    most = (n - F.ceil(n * percent / F.lit(100) - 1e-9) + 1).cast("int")
-    both = members.join(x, "node").join(h, "hub")
-    return both.select("hub", "node", F.posexplode(F.slice(ranked, F.lit(1), most)).alias("at", "token"))
-
-
-def apart_in_large(large: DataFrame, label: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, alike) -> DataFrame:
-    """Pairs (a, b) of different components from large buckets (hub, node, n)
-    that share one of the shingles which their sizes leave room for."""
-    rows = prefixes(large.select("hub", "node"), sets, percent).join(large.select("hub", "node", "n", "label"), ["hub", "node"])
-    # shingles of one component alone are of no use; of the others, members of
-    # the most frequent component meet the rest, not each other
-    per = rows.groupBy("hub", "token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("hub", "token").agg(
-        F.count(F.lit(1)).alias("labels"), F.max(F.struct("c", "label"))["label"].alias("top")).where("labels > 1").drop("labels")
-    rows = stash(rows.join(per, ["hub", "token"]).join(sigs, "node"), "prefixes")
-    x, y = rows.where("label != top").alias("x"), rows.alias("y")
-    room = share_of(percent, F.col("x.n"), F.col("y.n"))
-    fits = (F.col("x.at") <= F.col("x.n") - room) & (F.col("y.at") <= F.col("y.n") - room)
-    on = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
-    return x.join(y, on & fits & alike("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    apart = large.select("hub", "node").join(x, "node").join(h, "hub").select(
+        "hub", "node", F.array_except("x", "h").alias("more"), F.array_except("h", "x").alias("less"), F.size("h").cast("long").alias("size"))
+    rows = blocks_of(large).join(apart, ["hub", "node"])
+
+    def confirm(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = len(pdf)
+        node, label, n = (pdf[c].to_numpy(np.int64) for c in ("node", "label", "n"))
+        # shingles that at least two members have more, or have less
+        tokens = [np.concatenate(list(pdf[c])) if k else np.zeros(0, np.int64) for c in ("more", "less")]
+        lengths = [np.array([len(v) for v in pdf[c]]) for c in ("more", "less")]
+        query = np.flatnonzero(pdf["other"].to_numpy(bool))
+        common = np.zeros((len(query), k), np.float32)
+        for values, many in zip(tokens, lengths):
+            owner = np.repeat(np.arange(k), many)
+            _, column, count = np.unique(values, return_inverse=True, return_counts=True)
+            useful = count[column] > 1
+            _, column = np.unique(column[useful], return_inverse=True)
+            owner = owner[useful]
+            for at in range(0, int(column.max()) + 1 if len(column) else 0, 4096):
+                here = (column >= at) & (column < at + 4096)
+                incidence = np.zeros((k, min(4096, int(column.max()) + 1 - at)), np.float32)
+                incidence[owner[here], column[here] - at] = 1
+                common += incidence[query] @ incidence.T
+        less = lengths[1]
+        both = common + (pdf["size"].to_numpy(np.int64) - less)[None, :] - less[query][:, None]
+        link = (both * 100 >= (n[query][:, None] + n[None, :] - both) * percent) & (label[query][:, None] != label[None, :])
+        # components inside the block: the least member reachable
+        i, j = np.nonzero(link)
+        i = query[i]
+        least = np.arange(k)
+        while True:
+            low = least.copy()
+            np.minimum.at(low, i, least[j])
+            np.minimum.at(low, j, least[i])
+            low = low[low]
+            if (low == least).all():
+                break
+            least = low
+        own = np.flatnonzero(least != np.arange(k))
+        return pd.DataFrame({"a": node[own], "b": node[least[own]]})
+
+    return rows.groupBy("hub", "task").applyInPandas(confirm, "a long, b long")
 
 
 def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -283,13 +321,13 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     at = stash(at.join(per, "key"), "apart")
     x, y = at.where(F.col("members") <= LARGE).alias("x"), at.where(F.col("members") <= LARGE).alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & first_common_key("x", "y")
-    pairs = x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = fresh(x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
+    links = links.unionByName(stash(confirmed(pairs, sets, percent), "links"))
     large = at.where(F.col("members") > LARGE)
     if not large.isEmpty():
         hub = hubs(F.col("weight")).select("key", F.col("node").alias("hub"))
         large = stash(large.select("key", "node", "n", "label").join(hub, "key").select("hub", "node", "n", "label").distinct(), "large")
-        pairs = pairs.unionByName(apart_in_large(large, label, sigs, sets, percent, alike))
-    links = links.unionByName(stash(confirmed(fresh(pairs, tested), sets, percent), "links"))
+        links = links.unionByName(stash(links_in_large(large, sets, percent), "links"))
     label = components(links, "components")
 
     named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
