@@ -60,4 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = common.stash(stage(spark, docs, sf_dir), name)
+        common.drop_stashed(spark, keep_last=1)
     return STAGES[-1][1](spark, docs, sf_dir)

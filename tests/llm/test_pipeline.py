@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import corpus_pipeline
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import test_exact_dedup, test_minhash, test_mixing, test_packing
 from tests.llm.conftest import corpus
+from touchpath.llm import common
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -78,7 +80,10 @@ def test_mixing_stage_reaches_the_targets(spark, docs):
 
 def test_run_on_a_real_table(spark):
     folder = "/root/testdata/sf0.001"
+    common.drop_stashed(spark)
     out = corpus_pipeline.run(spark, folder).collect()
+    # the last stage's input and its own tables alone are left
+    assert all(re.search("/(mixing|pieces)-", p) for p in common._STASHED)
     test_packing.held(out)
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     ids = {r["doc_id"] for r in out}

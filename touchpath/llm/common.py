@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from touchpath.llm.texthash import Runs, byte_values
 from touchpath.session import scratch_path
+from touchpath.sources.sinks import remove
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -22,15 +23,28 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*cols)
 
 
+#: Tables that this process wrote to the shared folder and has not dropped.
+_STASHED: list[str] = []
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut
     by files that every executor sees, so a lost executor repeats nothing
     before them."""
     path = scratch_path(df.sparkSession, name)
+    _STASHED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stashed(spark: SparkSession, keep_last: int = 0) -> None:
+    """Delete the intermediate tables written so far, but the last ones; results
+    derived from the others must have been written."""
+    for path in _STASHED[:len(_STASHED) - keep_last]:
+        remove(spark, path)
+        _STASHED.remove(path)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

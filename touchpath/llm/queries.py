@@ -108,10 +108,10 @@ ORACLES: dict[str, str] = {
     """,
     "op8_suffix_sort": r"""
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-        starts AS (SELECT doc_id, i, md5(x[2 * i - 1:2 * i + 398]) AS h
+        starts AS (SELECT doc_id, i, md5(substring(x, 2 * i - 1, 400)) AS h
                    FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) // 2 - 199)) AS i FROM d)),
         found AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM starts) WHERE n > 1),
-        pos AS (SELECT doc_id, i, x[2 * i - 1:2 * i] AS b FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) // 2)) AS i FROM d)),
+        pos AS (SELECT doc_id, i, substring(x, 2 * i - 1, 2) AS b FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) // 2)) AS i FROM d)),
         marked AS (SELECT pos.doc_id, pos.i, b,
                           count(found.i) OVER (PARTITION BY pos.doc_id ORDER BY pos.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) > 0 AS gone
                    FROM pos LEFT JOIN found ON pos.doc_id = found.doc_id AND pos.i = found.i),
