@@ -24,7 +24,7 @@ _U = np.uint64
 #: Bits of a place within a segment; hashes keep the others.
 _PLACE_BITS = 24
 #: Windows of one segment; longer documents are cut (a cut splits a block).
-SEGMENT = 1 << 18
+SEGMENT = 1 << 17
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:

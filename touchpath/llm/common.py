@@ -18,8 +18,21 @@ from touchpath.session import scratch_path
 from touchpath.sources.sinks import remove
 
 
+#: Rows of an Arrow batch: texts are long, and a worker holds a batch at a time.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send Arrow batches of few rows (Spark's 10,000 texts would
+    take tens of MB on either side, and more where texts are long)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """The columns of ``documents`` that an operator needs (all its rows)."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*cols)
 
 
@@ -27,10 +40,19 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 _STASHED: list[str] = []
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file of a table whose number of rows is bounded beforehand.
+FILE_ROWS = 50_000
+
+
+def stash(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut
     by files that every executor sees, so a lost executor repeats nothing
-    before them."""
+    before them.  With a bound on its ``rows``, a small table is written as few
+    files (opening one costs more than the rows of hundreds of partitions)."""
+    small_batches(df.sparkSession)
+    files = None if rows is None else max(1, -(-rows // FILE_ROWS))
+    if files is not None and files < parts(df.sparkSession):
+        df = df.repartition(files)
     path = scratch_path(df.sparkSession, name)
     _STASHED.append(path)
     df.write.parquet(path)
@@ -97,26 +119,25 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size:
     return light.unionByName(heavy)
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of
     ``edges`` (columns a, b: longs).
 
-    Alternating large-star and small-star steps; each step is one grouped
-    minimum (combined map-side) and one join, and is written to the shared
+    Alternating large-star and small-star steps; each is one grouped minimum
+    (combined map-side) and one join, and each round is written to the shared
     folder.  Stops when a round leaves the edges as they are (told by their
-    number and the exact sum of their hashes).
+    number and the exact sum of their hashes).  ``rows`` bounds the edges.
     """
     mark = [F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
-    cur = stash(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), name)
+    cur = stash(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), name, rows)
     was = cur.agg(*mark).first()
     while was[0]:
         both = cur.unionByName(cur.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = stash(large, name)
         pairs = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
-        small = pairs.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(pairs.select("a", F.col("m").alias("b")))
-        cur = stash(small.where("a <> b").distinct(), name)
+        small = pairs.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        cur = stash(small.where("a <> b").distinct(), name, was[0] * 2)
         now = cur.agg(*mark).first()
         if now == was:
             break
@@ -171,7 +192,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     values, out = byte_values(), np.zeros(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + (1 << 20))))
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + (1 << 18))))
         at, end = starts[i], ends[j - 1]
         out[i:j] = Runs(values[raw[at:end]]).hash(starts[i:j] - at, ends[i:j] - at)
         i = j

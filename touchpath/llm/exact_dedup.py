@@ -169,7 +169,7 @@ def exact_duplicates(docs: DataFrame, history=None) -> DataFrame:
 
     buckets = max(1, -(-total // BUCKET_KEYS))
     index = build_index(grouped(rows.where(old)), buckets)
-    groups = stash(look_up(index, grouped(rows.where(~old)), buckets).select("digest", "keep", "n"), "groups")
+    groups = stash(look_up(index, grouped(rows.where(~old)), buckets).select("digest", "keep", "n"), "groups", total)
     out = join_groups(rows, groups, "digest", "n", total)
     # of rows that repeat the winner's doc_id and text, the first one stays
     ties = rows.groupBy("digest", "doc_id").agg(F.min("part").alias("one"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchpath.llm.common import utf8
+from touchpath.llm.common import small_batches, utf8
 
 UNDETERMINED = "und"
 #: Bits of a gram's hash.
@@ -37,7 +37,7 @@ DIM, EPOCHS, RATE, BATCH = 16, 12, 2.0, 32
 #: Share of rightly classified held-back texts that rejection may cost.
 REJECT_SHARE = 0.0005
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 # ASCII: letters lower-cased, the rest a word boundary; other bytes stay
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -190,6 +190,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Train on the labelled rows of ``docs`` (doc_id, text, lang) that may be
     learned from.  The sample: texts whose hash falls below ``sample_rows`` over
     the language's number of rows, each distinct text once."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
                        learns(F.col("doc_id")).alias("ok")).where("ok AND lang IS NOT NULL AND text IS NOT NULL")
     # one row per language, as the model has one output per language

@@ -51,7 +51,7 @@ LARGE, BLOCK = 512, 512
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _SALT = mix(np.arange(1, VALUES + 1, dtype=_U) * _U(0xA0761D6478BD642F))
 
 
@@ -79,8 +79,8 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarra
 def signature(shingles: np.ndarray) -> np.ndarray:
     """32 values of 14 bits: the low bits of the least hash under each salt."""
     low = np.full(VALUES, np.iinfo(_U).max, _U)
-    for at in range(0, len(shingles), 1 << 14):
-        part = shingles[at:at + (1 << 14), None] ^ _SALT[None, :]
+    for at in range(0, len(shingles), 1 << 12):
+        part = shingles[at:at + (1 << 12), None] ^ _SALT[None, :]
         with np.errstate(over="ignore"):
             part = part * _U(0x9FB21C651E98DF25)
         part ^= part >> _U(32)
@@ -272,17 +272,19 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     low = F.lit(-(1 << 63))
     first = F.min(F.struct(F.coalesce("doc_id", low).alias("at"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash")))
     classes = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(first.alias("r"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("rows"))
-    classes = stash(classes.select("set_id", "r.at", "r.doc_id", "r.text_hash", "n", "keys", "sig", "rows", F.monotonically_increasing_id().alias("node")), "classes")
+    total = rows.where("set_id IS NOT NULL").count()
+    classes = stash(classes.select("set_id", "r.at", "r.doc_id", "r.text_hash", "n", "keys", "sig", "rows", F.monotonically_increasing_id().alias("node")), "classes", 4 * total)
 
     # buckets of at least two classes; a class weighs what its buckets hold
     keys = classes.select("node", "n", F.posexplode("keys").alias("slot", "key"))
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = stash(keys.join(many, "key").select("key", "slot", "node", "n", "members"), "buckets")
+    shared = stash(keys.join(many, "key").select("key", "slot", "node", "n", "members"), "buckets", 8 * total)
+    size = shared.count()
     weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     sigs = classes.select("node", "sig")
-    shared = stash(shared.join(weight, "node").join(sigs, "node"), "buckets")
+    shared = stash(shared.join(weight, "node").join(sigs, "node"), "buckets", size)
     reps = classes.join(weight.select("node"), "node", "left_semi")
-    sets = stash(full_sets(docs, reps, shingle_words), "sets")
+    sets = stash(full_sets(docs, reps, shingle_words), "sets", 16 * min(size, total))
 
     def alike(x: str, y: str) -> Column:
         """What sizes and signatures leave possible."""
@@ -297,7 +299,7 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
     def fresh(pairs: DataFrame, tested: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        return stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", size)
 
     # stars: the first hub is the weightiest class, a text the others derive
     # from; later ones are drawn anew in each bucket
@@ -309,31 +311,30 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         x, y = at.join(mixed, "key").alias("x"), labelled(hubs(F.col("weight") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))), label).alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y"))
         pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
-        found = stash(confirmed(pairs, sets, percent), "links")
+        found = stash(confirmed(pairs, sets, percent), "links", pairs.count())
         links, tested = links.unionByName(found), tested.unionByName(pairs)
-        label = components(links, "components")
+        label = components(links, "components", size)
         if found.count() * 4 < pairs.count():
             break
 
     # what the stars left apart
     at = labelled(shared, label)
     per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
-    at = stash(at.join(per, "key"), "apart")
+    at = stash(at.join(per, "key"), "apart", size)
     x, y = at.where(F.col("members") <= LARGE).alias("x"), at.where(F.col("members") <= LARGE).alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & first_common_key("x", "y")
     pairs = fresh(x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
-    links = links.unionByName(stash(confirmed(pairs, sets, percent), "links"))
+    links = links.unionByName(stash(confirmed(pairs, sets, percent), "links", pairs.count()))
     large = at.where(F.col("members") > LARGE)
     if not large.isEmpty():
         hub = hubs(F.col("weight")).select("key", F.col("node").alias("hub"))
-        large = stash(large.select("key", "node", "n", "label").join(hub, "key").select("hub", "node", "n", "label").distinct(), "large")
-        links = links.unionByName(stash(links_in_large(large, sets, percent), "links"))
-    label = components(links, "components")
+        large = stash(large.select("key", "node", "n", "label").join(hub, "key").select("hub", "node", "n", "label").distinct(), "large", size)
+        links = links.unionByName(stash(links_in_large(large, sets, percent), "links", size))
+    label = components(links, "components", size)
 
     named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min(F.struct("at", "least_hash")).alias("least"))
     ids = named.select("component", "set_id", "rows").join(least, "component").select("set_id", "least", "rows")
-    total = rows.where("set_id IS NOT NULL").count()
     full = join_groups(rows.where("set_id IS NOT NULL").select("doc_id", "text_hash", "n", "set_id"), ids, "set_id", "rows", total)
     at = F.col("least.at")
     full = full.select("doc_id", "text_hash", "n", F.when(at > low, at).alias("component_id"),

@@ -71,9 +71,10 @@ def balance(counts: DataFrame, goal: DataFrame) -> DataFrame:
     """``goal`` with the multiplier ``lam`` of each source: Newton steps on the
     dual, each one distributed sum; a step that leaves the bracket or meets a
     flat dual is replaced by a halving (or widening) of the bracket."""
+    sources = counts.select("source").distinct().count()
     state = stash(goal.select("source", "source_size", "mean", "target", F.lit(0.0).alias("lam"), F.lit(None).cast("double").alias("low"),
                               F.lit(None).cast("double").alias("high"),
-                              ((F.col("source_size") == 0) | (F.col("target") >= F.col("source_size") * CAP)).alias("done")), "dual")
+                              ((F.col("source_size") == 0) | (F.col("target") >= F.col("source_size") * CAP)).alias("done")), "dual", sources)
     exact = "decimal(38,9)"
     for _ in range(MAX_STEPS):
         open_ = state.where(~F.col("done"))
@@ -95,7 +96,7 @@ def balance(counts: DataFrame, goal: DataFrame) -> DataFrame:
         done = F.abs(off) <= F.col("target") * TOLERANCE
         step = step.select("source", "source_size", "mean", "target", F.when(done, F.col("lam")).when(inside, newton).otherwise(wide).alias("lam"),
                            F.col("_low").alias("low"), F.col("_high").alias("high"), done.alias("done"))
-        state = stash(state.where("done").unionByName(step), "dual")
+        state = stash(state.where("done").unionByName(step), "dual", sources)
     return state
 
 

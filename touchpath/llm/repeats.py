@@ -96,8 +96,8 @@ def describe(docs: DataFrame, method: Method) -> DataFrame:
         for b in batches:
             row, doc_id, h1, h2 = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4))
             raw, off = utf8(b.column(2))
-            for i in range(0, len(row), 256):
-                j = min(i + 256, len(row))
+            for i in range(0, len(row), 128):
+                j = min(i + 128, len(row))
                 values, at = method.read(raw[off[i]:off[j]], off[i:j + 1] - off[i])
                 doc, first, count, key, content, lead = blocks(values, at, method.window, method.gram)
                 cols = [np.concatenate([row[i:j], row[i:j][doc]]), np.concatenate([doc_id[i:j], doc_id[i:j][doc]]),
@@ -123,13 +123,14 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     # most keys occur once, and those blocks are done with
     total = every.count()
     keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = stash(join_groups(every, keys, "key", "n", total).drop("n"), "again")
+    again = stash(join_groups(every, keys, "key", "n", total).drop("n"), "again", total)
+    n_again = again.count()
 
     # contents: how often, from which document on, and one block that has it
     contents = again.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
                                                    F.first("row").alias("row"), F.first("place").alias("place"))
     per_key = contents.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
-    contents = stash(join_groups(contents, per_key, "key", "contents", again.count()), "contents")
+    contents = stash(join_groups(contents, per_key, "key", "contents", n_again), "contents", n_again)
 
     # blocks decided by the count of their content; of the others, each row
     # that may hold repeated windows
