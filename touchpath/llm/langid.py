@@ -31,7 +31,7 @@ UNDETERMINED = "und"
 BITS = 13
 #: Labelled rows per language that the model is fitted on, in expectation (the
 #: bound of the sample; rows are chosen by a hash of their text).
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 400
 EXCERPT_BYTES = 48
 DIM, EPOCHS, RATE, BATCH = 16, 12, 2.0, 32
 #: Share of rightly classified held-back texts that rejection may cost.
@@ -130,52 +130,60 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def train(examples: list[tuple[str, np.ndarray, np.ndarray, bool]], seed: int = 7) -> Model:
-    """Fit on (language, buckets, counts, whole text?); deterministic in the
-    examples' order."""
-    examples = [x for x in examples if len(x[1])]
-    langs = sorted({x[0] for x in examples})
+def train(lang_of: list[str], whole: np.ndarray, cols: np.ndarray, counts: np.ndarray, at: np.ndarray, seed: int = 7) -> Model:
+    """Fit on examples: language, whole text (or excerpt), and the buckets and
+    counts ``at[i]:at[i + 1]``; deterministic in the examples' order."""
+    langs = sorted({x for x, n in zip(lang_of, np.diff(at)) if n})
     if not langs:
         return Model()
     rng = np.random.default_rng(seed)
-    y = np.array([langs.index(x[0]) for x in examples])
-    weights = [x[2] / x[2].sum() for x in examples]
-    held = np.arange(len(examples)) % 5 == 4 if len(examples) >= 50 else np.zeros(len(examples), bool)
-    fit = np.flatnonzero(~held)
+    use = np.flatnonzero(np.diff(at) > 0)
+    y = np.array([langs.index(lang_of[i]) if lang_of[i] in langs else 0 for i in range(len(lang_of))])
+    total = np.add.reduceat(counts, at[use]) if len(use) else np.zeros(0)
+    weight = (counts / np.repeat(total, np.diff(at)[use])).astype(np.float32)
+    held = np.arange(len(use)) % 5 == 4 if len(use) >= 50 else np.zeros(len(use), bool)
+    fit_ = use[~held]
     emb = rng.normal(0, 0.1, (1 << BITS, DIM))
     out = rng.normal(0, 0.1, (DIM, len(langs)))
-    steps, done = EPOCHS * -(-len(fit) // BATCH), 0
+    steps, done = EPOCHS * -(-len(fit_) // BATCH), 0
     for _ in range(EPOCHS):
-        order = rng.permutation(fit)
-        for at in range(0, len(order), BATCH):
-            batch = order[at:at + BATCH]
+        order = rng.permutation(fit_)
+        for k in range(0, len(order), BATCH):
+            batch = order[k:k + BATCH]
             rate = RATE * (1 - done / steps)
             done += 1
-            cols = np.concatenate([examples[i][1] for i in batch])
-            w = np.concatenate([weights[i] for i in batch])
-            rows = np.repeat(np.arange(len(batch)), [len(examples[i][1]) for i in batch])
-            first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-            mean = np.add.reduceat(emb[cols] * w[:, None], first, axis=0)
+            c = np.concatenate([cols[at[i]:at[i + 1]] for i in batch])
+            w = np.concatenate([weight[at[i]:at[i + 1]] for i in batch])
+            many = at[batch + 1] - at[batch]
+            rows = np.repeat(np.arange(len(batch)), many)
+            first = np.cumsum(many) - many
+            mean = np.add.reduceat(emb[c] * w[:, None], first, axis=0)
             z = mean @ out
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(batch)), y[batch]] -= 1
             back = p @ out.T
             out -= rate * mean.T @ p / len(batch)
-            np.subtract.at(emb, cols, rate * w[:, None] * back[rows] * 10)
+            np.subtract.at(emb, c, rate * w[:, None] * back[rows] * 10)
     model = Model(langs, (emb @ out).astype(np.float32))
-    check = np.flatnonzero(held) if held.any() else fit
-    z = np.array([weights[i] @ model.table[examples[i][1]] for i in check])
+    check = use[held] if held.any() else fit_
+    z = np.array([weight[at[i]:at[i + 1]] @ model.table[cols[at[i]:at[i + 1]]] for i in check])
     truth = y[check]
 
+    # one more error than was seen, so that a sample without any is not taken
+    # for certainty
+    odd = 1 / (len(check) + 2)
+
     def loss(t: float) -> float:
         s = z / t
         s = s - s.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(s)), truth]))
+        hit = s[np.arange(len(s)), truth]
+        rest = (s.sum(axis=1) - hit) / max(1, len(langs) - 1)
+        return float(np.mean(np.log(np.exp(s).sum(axis=1)) - (1 - odd) * hit - odd * rest))
 
     model.temperature = float(min(np.geomspace(0.05, 20, 120), key=loss))
     top = model.probabilities(z, np.ones(len(z))).max(axis=1)
-    right = (z.argmax(axis=1) == truth) & np.array([examples[i][3] for i in check])
+    right = (z.argmax(axis=1) == truth) & whole[check]
     if right.any():
         model.reject_below = float(min(0.4, np.quantile(top[right], REJECT_SHARE)))
     return model
@@ -216,7 +224,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     got = picked.mapInArrow(features, "lang string, h long, whole boolean, cols binary, n binary").collect()
     got.sort(key=lambda r: (r["h"], r["lang"], r["whole"]))
-    return train([(r["lang"], np.frombuffer(r["cols"], "<i4").astype(np.intp), np.frombuffer(r["n"], "<i4").astype(float), r["whole"]) for r in got])
+    # a few large arrays: what training took goes back to the system
+    at = np.cumsum([0, *(len(r["cols"]) // 4 for r in got)])
+    cols, counts = (np.frombuffer(b"".join(r[c] for r in got), "<i4") for c in ("cols", "n"))
+    lang_of, whole = [r["lang"] for r in got], np.array([r["whole"] for r in got], bool)
+    del got
+    return train(lang_of, whole, cols, counts, at)
 
 
 def predictor(model: Model):
