@@ -132,16 +132,12 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     per_key = contents.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
     contents = stash(join_groups(contents, per_key, "key", "contents", n_again), "contents", n_again)
 
-    # blocks decided by the count of their content; of the others, each row
-    # that may hold repeated windows
-    if method.everywhere:
-        open_ = F.lit(False)
-        whole = F.col("n") > 1
-    else:
-        open_ = (F.col("contents") > 1) & (F.col("doc_id") == F.col("first_doc"))
-        whole = F.col("doc_id") > F.col("first_doc")
-    rows = join_groups(again, contents.drop("row", "place").where("n > 1 OR contents > 1"), ["key", "content"], "n", total)
-    decided = rows.where(whole).select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
+    # blocks decided by the count of their content
+    often = contents.where("n > 1") if method.everywhere else contents.where("last_doc > first_doc")
+    rows = join_groups(again, often.drop("row", "place"), ["key", "content"], "n", total)
+    if not method.everywhere:
+        rows = rows.where("doc_id > first_doc")
+    decided = rows.select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
 
     # one block per content, beside the other contents of its key
     rep = contents.where("contents > 1").select("key", "content", "first_doc", "row", "place", (F.col("contents") > method.hot).alias("hot"))
@@ -152,7 +148,8 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
         judged = judged.unionByName(_by_digest(cut.where("hot"), method, hot))
     if not method.everywhere:
         # a content's ranges hold for all its blocks in its first document
-        judged = judged.select("key", "content", "at", "windows").join(rows.where(open_).select("key", "content", "row", "place"), ["key", "content"])
+        mine = again.select("key", "content", "doc_id", "row", "place")
+        judged = judged.select("key", "content", F.col("first_doc").alias("doc_id"), "at", "windows").join(mine, ["key", "content", "doc_id"])
     part = judged.select("row", (first_of(F.col("place")) + F.col("at")).alias("first"), (F.col("windows") + method.window - 1).alias("length"))
 
     ranges = decided.unionByName(part).groupBy("row").agg(F.collect_list(F.struct("first", "length")).alias("r"))
@@ -181,7 +178,7 @@ def _cut(docs: DataFrame, rep: DataFrame, names: DataFrame, method: Method) -> D
     return docs.join(per, ["h1", "h2"]).select("doc_id", "no_id", "text", "blocks").mapInArrow(cut, schema)
 
 
-RANGES = "key long, content long, row long, place long, at long, windows long"
+RANGES = "key long, content long, first_doc long, row long, place long, at long, windows long"
 
 
 def _judged(cut: DataFrame, method: Method) -> DataFrame:
@@ -208,10 +205,10 @@ def _judged(cut: DataFrame, method: Method) -> DataFrame:
 def _ranges(rows: list[tuple], method: Method) -> pa.RecordBatch:
     group = [Block(key, content, doc_id, place >> 10 & 1023, place & 1023, data) for key, content, doc_id, _, place, data in rows]
     out = []
-    for (key, content, _, row, place, _), mask in zip(rows, method.judge(group, method.window)):
-        out += [(key, content, row, place, at, n) for at, n in _runs(mask)]
+    for (key, content, first_doc, row, place, _), mask in zip(rows, method.judge(group, method.window)):
+        out += [(key, content, first_doc, row, place, at, n) for at, n in _runs(mask)]
     names = [c.split()[0] for c in RANGES.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], names=names)
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(7)], names=names)
 
 
 def _by_digest(cut: DataFrame, method: Method, hot: int) -> DataFrame:
@@ -237,7 +234,7 @@ def _by_digest(cut: DataFrame, method: Method, hot: int) -> DataFrame:
     hit = join_groups(spans, seen, "digest", "n", hot * method.window)
     if not method.everywhere:
         hit = hit.where("first_doc > least")
-    return hit.select("key", "content", "row", "place", "at", F.lit(1).cast("long").alias("windows"))
+    return hit.select("key", "content", "first_doc", "row", "place", "at", F.lit(1).cast("long").alias("windows"))
 
 
 def with_ranges(docs: DataFrame, method: Method) -> DataFrame:
