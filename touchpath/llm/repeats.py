@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchpath.llm.anchors import blocks
@@ -114,16 +115,30 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - edge[::2]).tolist()))
 
 
+def _hot(groups: DataFrame, key: list[str], total: int, value: str | None = None) -> tuple[Column, Column]:
+    """Whether a row belongs to one of the groups with over a thousandth of all
+    ``total`` rows, and that group's ``value``.  Such groups number under 1,000,
+    so what passes the driver is bounded; rows of all others are few a group."""
+    name = F.xxhash64(*key)
+    found = groups.where((F.col("n") > 1) & (F.col("n") * 1000 > total)).select(name.alias("name"), F.col(value) if value else F.lit(0)).collect()
+    if not found:
+        return F.lit(False), F.lit(0).cast("long")
+    values = F.create_map(*[F.lit(x).cast("long") for pair in found for x in pair])
+    return name.isin([pair[0] for pair in found]), values[name]
+
+
 def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     """(h1, h2, ranges): for each document of ``docs`` (keyed) that has any, the
     ranges (first value, values) that repeated windows cover."""
     described = stash(describe(docs, method), "blocks")
     names = described.where("place = -1").select("row", F.col("key").alias("h1"), F.col("content").alias("h2"))
     every = described.where("place >= 0")
-    # most keys occur once, and those blocks are done with
+    # most keys occur once, and those blocks are done with; rows are counted
+    # beside each other, but those of hot keys, which are known beforehand
     total = every.count()
-    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = stash(join_groups(every, keys, "key", "n", total).drop("n"), "again", total)
+    hot_key, _ = _hot(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"], total)
+    beside = every.where(~hot_key).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).where("n > 1").drop("n")
+    again = stash(beside.unionByName(every.where(hot_key)), "again", total)
     n_again = again.count()
 
     # contents: how often, from which document on, and one block that has it
@@ -132,11 +147,12 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     per_key = contents.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
     contents = stash(join_groups(contents, per_key, "key", "contents", n_again), "contents", n_again)
 
-    # blocks decided by the count of their content
-    often = contents.where("n > 1") if method.everywhere else contents.where("last_doc > first_doc")
-    rows = join_groups(again, often.drop("row", "place"), ["key", "content"], "n", total)
-    if not method.everywhere:
-        rows = rows.where("doc_id > first_doc")
+    # blocks decided by the count of their content, or by its first document
+    hot_content, first_docs = _hot(contents, ["key", "content"], total, "first_doc")
+    per = W.partitionBy("key", "content")
+    rows = again.where(~hot_content).withColumn("n", F.count(F.lit(1)).over(per)).withColumn("first_doc", F.min("doc_id").over(per))
+    rows = rows.unionByName(again.where(hot_content).withColumn("n", F.lit(total)).withColumn("first_doc", first_docs))
+    rows = rows.where("n > 1") if method.everywhere else rows.where("doc_id > first_doc")
     decided = rows.select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
 
     # one block per content, beside the other contents of its key
