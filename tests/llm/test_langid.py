@@ -49,3 +49,15 @@ def test_labels_of_predicted_rows_are_no_input(docs):
     out = langid.identify(docs, model).select("text", "lang_pred", "score")
     blind = langid.identify(docs.withColumn("lang", F.lit("zz")).withColumn("score", F.lit(7)), model).select("text", "lang_pred", "score")
     assert sorted(map(str, out.collect())) == sorted(map(str, blind.collect()))
+
+
+def test_copies_and_nulls_do_not_shrink_the_sample(spark, monkeypatch):
+    rows = [(i, f"the text number {i % 20} of few", "en") for i in range(6000)] + [(i, f"le texte {i}", "fr") for i in range(100)]
+    rows += [(i, None, "fr") for i in range(5000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda lang_of, *rest: seen.extend(lang_of))
+    langid.fit(d)
+    learned = {t for i, t, lang in rows if t and lang == "fr" and zlib.crc32(str(i).encode()) % 3 != 1}
+    # each text whole and as an excerpt
+    assert seen.count("en") == 2 * 20 and seen.count("fr") == 2 * len(learned)

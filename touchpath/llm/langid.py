@@ -29,8 +29,8 @@ from touchpath.llm.common import small_batches, utf8
 UNDETERMINED = "und"
 #: Bits of a gram's hash.
 BITS = 13
-#: Labelled rows per language that the model is fitted on, in expectation (the
-#: bound of the sample; rows are chosen by a hash of their text).
+#: Distinct labelled texts per language that the model is fitted on, in
+#: expectation (the bound of the sample; texts are chosen by their hash).
 SAMPLE_ROWS = 400
 EXCERPT_BYTES = 48
 DIM, EPOCHS, RATE, BATCH = 16, 12, 2.0, 32
@@ -197,12 +197,13 @@ def learns(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Train on the labelled rows of ``docs`` (doc_id, text, lang) that may be
     learned from.  The sample: texts whose hash falls below ``sample_rows`` over
-    the language's number of rows, each distinct text once."""
+    the language's number of distinct texts, each distinct text once; so copies
+    and null texts leave it as it is."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
                        learns(F.col("doc_id")).alias("ok")).where("ok AND lang IS NOT NULL AND text IS NOT NULL")
     # one row per language, as the model has one output per language
-    per = {r["lang"]: r["n"] for r in docs.where(learns(F.col("doc_id")) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = {r["lang"]: r["n"] for r in rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not per:
         return Model()
     share = F.create_map(*[F.lit(x) for lang, n in per.items() for x in (lang, min(1.0, sample_rows / n))])
