@@ -56,6 +56,16 @@ def test_ownership_separates_copies_from_live_values(spark, table):
     assert out[8]["spans"] == "owned:5:27,owned:34:56" and out[8]["n_live"] == 2
 
 
+def test_many_repositories_of_one_owner_make_an_example(spark, table):
+    rows = [(i, "sample q1W2e3R4t5Y6u7I8o9P0zz here", None, "o1", 0) for i in range(secret_scan.EXAMPLE_REPOSITORIES)]
+    rows += [(100 + i, "mine Z1x2C3v4B5n6M7a8S9d0ff here", None, "o1", 0) for i in range(secret_scan.EXAMPLE_REPOSITORIES - 1)]
+    # one repository counts once, however often its row is repeated
+    rows += [(200, "again T1x2C3v4B5n6M7a8S9d0gg here", None, "o1", 0)] * 30
+    for r in QUERIES["op6_secret_ownership"](spark, table(rows)).collect():
+        example = r["doc_id"] < 100
+        assert (r["n_live"], r["n_examples"], "owned" in r["spans"]) == (int(not example), int(example), not example)
+
+
 def test_real_table(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").collect()

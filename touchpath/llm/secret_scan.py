@@ -3,10 +3,10 @@
 Rules find candidates in every whole text: assignments to a secret's name,
 access keys, hex runs, and long mixed tokens without any such context.  All
 candidates are hashed and counted across the corpus by distinct repositories
-and owners.  A value that several owners have is a widely copied example; one
-that a single owner has is a live-looking credential of that owner.  Base spans
-(the first three rules) stay as they are; mixed tokens join them, as kind
-``owned``, where they are one owner's alone.
+and owners.  A value that several owners have, or a single one in many
+repositories, is a widely copied example; any other is a live-looking
+credential of its owner.  Base spans (the first three rules) stay as they are;
+mixed tokens join them, as kind ``owned``, where they are live.
 
 Defined results: null and empty texts have no spans; a null owner or repository
 is a value of its own; a repeated row gets a row each time, and counts once as
@@ -38,6 +38,9 @@ KINDS = [kind for kind, *_ in BASE] + ["owned"]
 MIXED = "[A-Za-z0-9+/_-]{20,}"
 #: Owners from which on a value is a copied example.
 EXAMPLE_OWNERS = 2
+#: Distinct repositories from which on it is one whoever owns them: a credential
+#: is used in a few places of its owner, a sample in documentation in many.
+EXAMPLE_REPOSITORIES = 10
 
 
 def _found(text: Column, kind: str, regex: str, group: int, least: int, test: str, keep: Callable[[Column], Column] | None = None) -> Column:
@@ -75,17 +78,19 @@ def ownership(found: DataFrame) -> DataFrame:
     return per.groupBy("hash").agg(F.sum("rows").alias("rows"), F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
 
 
-def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """For each row of ``docs`` (doc_id, text, repository, owner): base and all
     spans (array of start, kind, end, hash), and how many of the spans' values
-    are one owner's (live) or widely copied (examples)."""
+    are one owner's in fewer than ``example_repositories`` (live) or widely
+    copied (examples)."""
     found = stash(candidates(docs), "candidates")
     found = found.withColumn("mixed", apart(F.col("mixed"), F.concat(*[kind for kind, *_ in BASE])))
     every = F.concat(*[kind for kind, *_ in BASE], "mixed")
     spans = found.select("row", F.explode(F.transform(every, lambda s: s)).alias("s")).select("row", "s.*")
     owned = stash(ownership(found), "ownership")
     total = owned.agg(F.sum("rows")).first()[0] or 0
-    judged = join_groups(spans, owned, "hash", "rows", total).withColumn("live", F.col("owners") < example_owners)
+    judged = join_groups(spans, owned, "hash", "rows", total).withColumn(
+        "live", (F.col("owners") < example_owners) & (F.col("repositories") < example_repositories))
     own = F.struct("start", "kind", "end", "hash")
     per = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when((F.col("kind") == KINDS.index("owned")) & F.col("live"), own))).alias("added"),
