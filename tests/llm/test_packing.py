@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -98,6 +99,33 @@ def test_bin_completion_against_optimum(seed):
     assert sum(n for _, n in got) == optimum()
 
 
+def test_equal_sums_are_all_tried():
+    lengths = [600, 500, 450, 450, 300, 250, 224, 174, 124]
+    got = packing.bin_completion({x: lengths.count(x) for x in lengths})
+    assert sum(n for _, n in got) == 3
+    assert sorted(x for p, n in got for x in p * n) == sorted(lengths)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_fillings_are_the_undominated_ones(seed):
+    rng = random.Random(seed)
+    counts = {x: rng.randrange(1, 4) for x in rng.sample(range(2, 26), rng.randrange(1, 7))}
+    order, space = sorted(counts, reverse=True), 30
+    every = [()]
+    for x in order:
+        every = [(*f, *[x] * k) for f in every for k in range(counts[x] + 1) if sum(f) + k * x <= space]
+
+    def dominated(f):
+        spare, free = space - sum(f), [x for x in order if f.count(x) < counts[x]]
+        parts = [part for k in range(len(f) + 1) for part in itertools.combinations(f, k)]
+        return any(sum(p) <= x <= sum(p) + spare and p != (x,) for p in parts for x in free)
+
+    want = [f for f in every if not dominated(f)]
+    got = [f for f in packing.fillings(order, counts, space, space) if f is not None]
+    assert sorted(got) == sorted(want)
+    assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
 def test_large_histogram_is_near_its_lower_bound():
     rng = random.Random(3)
     counts = {x: rng.randrange(0, 4000) for x in range(1, 1025)}

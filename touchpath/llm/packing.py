@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,11 +31,11 @@ from touchpath.llm.common import boxed, numbered, stash
 
 CAPACITY = 1024
 END_ID = 2
-#: Nodes that the search may visit after its first descent; the incumbent
-#: stands when they are used up.
+#: Nodes that the search may visit after its first descent (4 per length are
+#: added for that); the incumbent stands when they are used up.
 NODES = 2_000
-#: Undominated fillings that a node tries, fullest first.
-BRANCHES = 3
+#: Steps of looking for a filling that count as a node.
+LOOKS = 256
 
 def _encoder(path: str):
     """The byte-level BPE of a rank file; a worker process keeps it in the
@@ -126,69 +127,113 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return list(groups.items())
 
 
-def fillings(lengths: list[int], counts: dict[int, int], space: int, most: int) -> list[tuple[int, ...]]:
-    """The ``most`` fullest undominated fillings of ``space``: nothing that is
-    left fits beside one (so no filling that contains it is left out), and of
-    equal sums the one with larger pieces comes first.
-
-    Sums are tried from ``space`` downwards on a table of what each prefix of
-    the lengths can reach, with at most three lengths in a filling; longer
-    ones are completed by the largest pieces that fit."""
-    out: list[tuple[int, ...]] = []
+def _reach(lengths: list[int], counts: dict[int, int], space: int) -> list[int]:
+    """For each place in ``lengths`` (descending): the sums up to ``space`` that
+    the lengths from there on reach, as bits."""
+    full = (1 << (space + 1)) - 1
+    out = [1]
+    for x in reversed(lengths):
+        sums, left, k = out[-1], min(counts[x], space // x), 1
+        while left:
+            take = min(k, left)
+            sums |= sums << (take * x) & full
+            left -= take
+            k *= 2
+        out.append(sums)
+    return out[::-1]
+
+
+def _smear(bits: int, most: int) -> int:
+    """``bits`` and what lies up to ``most`` places below each of them."""
+    have = 0
+    while have < most:
+        step = min(have + 1, most - have)
+        bits |= bits >> step
+        have += step
+    return bits
+
+
+def fillings(lengths: list[int], counts: dict[int, int], space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated fillings of ``space`` that leave ``waste`` of it at most,
+    the fullest first and of equal sums the one with larger pieces first.
+
+    A filling is dominated if a piece outside could take the place of some of
+    its pieces (or of none): one larger piece that still fits, or one of the
+    same size as several.  After every :data:`LOOKS` steps without a filling
+    there is a None, so the caller can give up."""
     usable = [x for x in lengths if x <= space and counts[x] > 0]
-    if not usable:
-        return [()]
-    have = set(usable)
-    for total in range(space, 0, -1):
-        if total in have:
-            out.append((total,))
-        for a in usable:  # descending
-            b = total - a
-            if b <= 0:
-                continue
-            if b > a:
-                break
-            if b in have and (a != b or counts[a] > 1):
-                out.append((a, b))
-                break
-        if total == space and not out:
-            for a in usable:
-                rest = space - a
-                for b in usable:
-                    c = rest - b
-                    if b > min(a, rest) or c <= 0 or c > b:
-                        continue
-                    need: dict[int, int] = {}
-                    for x in (a, b, c):
-                        need[x] = need.get(x, 0) + 1
-                    if c in have and all(counts[x] >= n for x, n in need.items()):
-                        out.append((a, b, c))
-                        break
-                if out:
-                    break
-        if len(out) >= most:
-            break
-    # complete what a small piece still fits beside
-    done: list[tuple[int, ...]] = []
-    for f in out[:most]:
-        rest, used = space - sum(f), list(f)
-        while rest > 0:
-            x = next((x for x in usable if x <= rest and counts[x] > used.count(x)), None)
-            if x is None:
-                break
-            used.append(x)
-            rest -= x
-        done.append(tuple(used))
-    return list(dict.fromkeys(sorted(done, key=lambda f: (-sum(f), [-x for x in f]))))
+    forced: list[int] = []  # pieces that would fit beside any filling without them
+    held = 0
+    reach, avail, looks = _reach(usable, counts, space), sum(1 << x for x in usable), 0
+    for spare in range(min(space, waste) + 1):
+        while usable and usable[-1] <= spare:
+            x = usable.pop()
+            held += x * counts[x]
+            if held > space - spare:
+                return
+            forced[:0] = [x] * counts[x]
+            avail ^= 1 << x
+            reach = []
+        goal = space - spare - held
+        if goal < 0:
+            return
+        reach = reach or _reach(usable, counts, space)
+        if not reach[0] >> goal & 1:
+            continue
+        index = {x: i for i, x in enumerate(usable)}
+
+        def whole(used: tuple[int, ...], free: int) -> bool:
+            """No piece outside can replace pieces that are forced."""
+            if not forced:
+                return True
+            sums, several = 1, 0
+            for x in (*forced, *used):
+                several |= several << x | (sums ^ 1) << x
+                sums |= sums << x
+            return not (free & several or spare and _smear(free >> 1, spare - 1) & sums)
+
+        def extend(used: tuple[int, ...], rest: int, below: int, free: int, bad: int) -> Iterator[tuple[int, ...] | None]:
+            """``free``: lengths with pieces left; ``bad``: lengths that a piece
+            outside would replace together with pieces used."""
+            nonlocal looks
+            if not rest:
+                if whole(used, free):
+                    yield (*used, *forced)
+                return
+            open_ = avail & ((1 << min(below, rest + 1)) - 1) & ~bad
+            if spare:
+                open_ &= ~_smear(free >> 1, spare - 1)
+            while open_:
+                x = open_.bit_length() - 1
+                open_ ^= 1 << x
+                looks += 1
+                if looks % LOOKS == 0:
+                    yield None
+                if not reach[index[x]] >> rest & 1:
+                    return  # nor do the smaller ones alone
+                near = _smear(free, spare)
+                states, now, k = [], bad, 0
+                while k < min(counts[x], rest // x) and not now >> x & 1:
+                    now |= now >> x | near >> x
+                    k += 1
+                    states.append(now)
+                for k in range(len(states), 0, -1):
+                    left = rest - k * x
+                    if reach[index[x] + 1] >> left & 1:
+                        yield from extend((*used, *[x] * k), left, x, free ^ (1 << x) if k == counts[x] else free, states[k - 1])
+
+        yield from extend((), goal, space + 1, avail, 0)
 
 
 def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
     """Patterns with multiplicities that hold every piece of the histogram.
 
     Depth-first branch and bound.  A node takes the largest length left and one
-    of its fillings as often as the counts allow; the waste allowed is that of
-    one sequence fewer than the incumbent's, so a branch whose waste passes it
-    is cut.  The first descent takes the fullest filling everywhere."""
+    of its fillings as often as the counts and the waste allow, then, behind all
+    fillings, fewer times; the waste allowed is that of one sequence fewer than
+    the incumbent's, so a branch whose waste passes it is cut.  The first
+    descent takes the fullest filling everywhere.  The search ends when no
+    branch is left, which proves the incumbent, or with the budget of nodes."""
     counts = {x: n for x, n in counts.items() if n}
     total = sum(x * n for x, n in counts.items())
     if not counts:
@@ -198,12 +243,25 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     least = -(-total // capacity)
     order = sorted(counts, reverse=True)
 
-    def expand(left: dict[int, int]):
+    def expand(left: dict[int, int], waste: int) -> Iterator[tuple[tuple[int, ...], int] | None]:
         top = next(x for x in order if left[x])
-        left[top] -= 1
-        options = fillings(order, left, capacity - top, BRANCHES)
-        left[top] += 1
-        return [(top, *f) for f in options]
+        have = dict(left)
+        beside = {**have, top: have[top] - 1}
+        again = False
+        for fewer in (False, True):
+            if fewer and not again:
+                return
+            for f in fillings(order, beside, capacity - top, waste):
+                if f is None:
+                    yield None
+                    continue
+                pattern = (top, *f)
+                n = min(have[x] // pattern.count(x) for x in set(pattern))
+                spare = capacity - sum(pattern)
+                n = min(n, waste // spare) if spare else n
+                again = again or n > 1
+                for k in range(n - 1, 0, -1) if fewer else (n,):
+                    yield pattern, k
 
     left, made, waste, seen = dict(counts), [], 0, 0
     remaining = sum(left.values())
@@ -215,33 +273,35 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
             best, best_n, dead = list(made), sum(n for _, n in made), True
             continue
         if not dead:
-            stack.append([expand(left), len(made), waste])
-        if dead:
-            dead = False
-        # go back to the deepest node with an untried filling
-        while stack and not stack[-1][0]:
-            stack.pop()
+            stack.append([expand(left, allowed - waste), len(made), waste])
+        dead = False
         if not stack:
             break
-        options, depth, before = stack[-1]
+        seen += 1
+        if seen > nodes + 4 * len(order):
+            break
+        # go back to the deepest node with an untried filling
+        untried, depth, before = stack[-1]
+        choice = next(untried, ())
+        if not choice:
+            if choice is not None:  # none is left, rather than none found yet
+                stack.pop()
+            dead = True
+            continue
         while len(made) > depth:
             pattern, n = made.pop()
             for x in pattern:
                 left[x] += n
             remaining += n * len(pattern)
-        pattern = options.pop(0)
-        need = {x: pattern.count(x) for x in set(pattern)}
-        n = min(left[x] // k for x, k in need.items())
-        for x, k in need.items():
-            left[x] -= n * k
+        pattern, n = choice
+        for x in pattern:
+            left[x] -= n
         remaining -= n * len(pattern)
         made.append((pattern, n))
         waste = before + n * (capacity - sum(pattern))
-        seen += 1
+        # a better incumbent since the node was opened allows less
         if waste > allowed:
             dead = True
-        if seen > nodes + 4 * len(order):
-            break
     return best
 
 
