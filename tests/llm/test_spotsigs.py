@@ -62,6 +62,21 @@ def test_signatures():
     assert len(sig("no spots here")) == 1 and sig("no spots here") != sig("no spots there")
 
 
+@pytest.mark.parametrize("text", [
+    " ".join(f"| sor{i} {i * 7} érték{i}" for i in range(40)),
+    "jedna dva tři čtyři pět šest sedm osm devět deset jedenáct dvanáct",
+    "".join(chr(0x4E00 + i * 37 % 5000) for i in range(120)),
+])
+def test_edited_texts_without_anchors_stay_near(spark, text):
+    following = "the start of a text and of its many words, which the next one is " * 9
+    d = spark.createDataFrame([(1, text), (2, following)], "doc_id long, text string")
+    first = next(r for r in spotsigs.beside_next(d).collect() if r["doc_id"] == 1)
+    assert first["near_edited"] > 0.4 and first["near_next"] == 0
+    # also beside another text of the kind
+    a, b = (spotsigs.signatures(t) for t in (text, spotsigs.edit(text, text[::-1])))
+    assert spotsigs.likeness(a, b) > 0.4
+
+
 def test_near_pairs_equal_brute_force(spark):
     rows = [(i, t) for i, t, *_ in corpus(5, 120) if i is not None]
     d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spots", F.lit(1)).withColumn("class", F.lit(2))

@@ -3,9 +3,14 @@
 Content words that follow a common word (an anchor) form a signature: the
 anchor and the next :data:`CHAIN` words that are no anchors themselves.  A
 document's fingerprint is the set of its signatures, as sorted 32-bit hashes;
-likeness is the Jaccard coefficient of two sets.  A text without any signature
-has one: its whole sequence of words.  So equal texts have equal fingerprints,
-and every text has one.
+likeness is the Jaccard coefficient of two sets.
+
+Other languages, code and tables have few common words or none.  Where
+:data:`STRETCH` words or more follow each other without an anchor, all chains of
+``CHAIN + 1`` of them are signatures, too; that depends on these words alone, so
+a near copy shares them whatever stands around them.  A text that still has no
+signature has the chains of all its words, or, of fewer words than a chain, its
+whole sequence.  So equal texts have equal fingerprints, and every text has one.
 
 For a corpus-wide join, documents are partitioned by set length: two sets can be
 alike only if their lengths differ by no more than the threshold allows, so each
@@ -35,8 +40,13 @@ from touchpath.llm.common import stash
 ANCHORS = frozenset("the a an is was of and to in that le la les un une des est et der die das ein eine ist und el los las una es y en de".split())
 #: Content words in a signature.
 CHAIN = 2
+#: Words without an anchor from which on all their chains are signatures.
+STRETCH = 8
 THRESHOLD = 0.8
 
+#: Letters of scripts that put no spaces between words (Thai to Khmer, kana,
+#: Han): each is a word.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -46,18 +56,27 @@ def _clean(word: str) -> str:
 
 def signatures(text: str | None, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN) -> np.ndarray:
     """Sorted distinct 32-bit hashes of a text's signatures."""
-    words = [w for w in map(_clean, (text or "").lower().split()) if w]
+    words = [w for w in map(_clean, _UNSPACED.sub(r" \1 ", (text or "").lower()).split()) if w]
     found: set[int] = set()
     content = [i for i, w in enumerate(words) if w not in anchors]
+    spots = [i for i, w in enumerate(words) if w in anchors]
     after = 0  # first entry of ``content`` behind the anchor
-    for i, w in enumerate(words):
-        if w in anchors:
-            while after < len(content) and content[after] < i:
-                after += 1
-            if after + chain > len(content):
-                break
-            spot = " ".join([w, *[words[k] for k in content[after:after + chain]]])
-            found.add(zlib.crc32(spot.encode("utf-8", "replace")))
+    for i in spots:
+        while after < len(content) and content[after] < i:
+            after += 1
+        if after + chain > len(content):
+            break
+        spot = " ".join([words[i], *[words[k] for k in content[after:after + chain]]])
+        found.add(zlib.crc32(spot.encode("utf-8", "replace")))
+
+    def chains(start: int, end: int) -> None:
+        found.update(zlib.crc32(("~ " + " ".join(words[i:i + chain + 1])).encode("utf-8", "replace")) for i in range(start, end - chain))
+
+    for i, j in zip([-1, *spots], [*spots, len(words)]):
+        if j - i > STRETCH:
+            chains(i + 1, j)
+    if not found:
+        chains(0, len(words))
     if not found:
         return np.array([zlib.crc32(("~ " + " ".join(words)).encode("utf-8", "replace"))], np.uint32)
     return np.sort(np.fromiter(found, np.uint32, len(found)))
