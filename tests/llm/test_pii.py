@@ -63,6 +63,27 @@ def test_dates_in_all_formats_move_to_the_same_day(spark, shape):
     assert r["text"] == f"on {new.strftime(shape) if new.year > 999 else new} it"
 
 
+def test_phones_without_separators_stay_linked(spark):
+    new = f"{feistel(5552345678, 10**5, 10**5, 'phone'):010d}"
+    forms = ["+15552345678", "5552345678", "15552345678", "+1 5552345678", "+1(555)2345678", "(555)2345678", "+1-555-234-5678", "555.234.5678", "+915552345678"]
+    for form, r in zip(forms, run(spark, *[f"call {x}, or" for x in forms])):
+        assert re.sub(r"\D", "", r["text"]) == re.sub(r"\D", "", form)[:-10] + new and r["n_phone"] == 1
+        assert re.sub("[0-9]", "9", r["text"]) == re.sub("[0-9]", "9", f"call {form}, or")
+    texts = ["1700000000 0552345678 5551345678 5952345678", "x5552345678 -5552345678 5552345678.5 55523456789"]
+    assert [r["text"] for r in run(spark, *texts)] == texts
+
+
+def test_timestamps_and_short_dates_move_to_the_same_day(spark):
+    day = datetime.date(1980, 3, 4)
+    new = datetime.date(1800, 1, 1) + datetime.timedelta(days=feistel((day - datetime.date(1800, 1, 1)).days, 189, 773, "date"))
+    wide, (y, m, d) = new.isoformat(), (new.year, new.month, new.day)
+    pairs = [("1980-03-04T12:00:00Z", f"{wide}T12:00:00Z"), ("1980-03-04t12:00", f"{wide}t12:00"), ("1980-03-04", wide), ("3/4/1980", f"{m}/{d}/{y}"),
+             ("03/4/1980", f"{m}/{d}/{y}"), ("4.3.1980", f"{d}.{m}.{y}"), ("1980-3-4", f"{y}-{m}-{d}"), ("1980/3/4", f"{y}/{m}/{d}")]
+    assert [(r["text"], r["n_date"]) for r in run(spark, *[old for old, _ in pairs])] == [(x, 1) for _, x in pairs]
+    texts = ["1980-03-04Total 1980-03-04x", "13/32/1980 0.3.1980 1980-13-1"]
+    assert [r["text"] for r in run(spark, *texts)] == texts
+
+
 def test_what_does_not_validate_is_left_alone(spark):
     texts = ["2011-13-09 2011-02-30 99.99.2011", "000-12-3456 666-12-3456 900-12-3456 123-00-4567 123-45-0000", "300.1.1.1 1.2.3 1.2.3.4.5", "1234567890123456 12345", "a@b @x.y v1.2.3.4x", "Version 2.0"]
     assert [r["text"] for r in run(spark, *texts)] == texts

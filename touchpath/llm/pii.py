@@ -8,10 +8,14 @@ values never get one:
   but the last are permuted, the last is the check digit again;
 * national numbers ddd-dd-dddd with a valid area, group and serial: the valid
   triples are permuted;
-* phone numbers: the ten digits after the country code;
+* phone numbers: the ten digits after the country code; with or without
+  separators behind a ``+`` and a country code or around an area code in
+  brackets; bare ten digits (or eleven from 1) if area and exchange are valid
+  in the North American plan (2-9, 0-8, any digit; 2-9, two digits);
 * IPv4 addresses: all four octets together;
 * calendar dates of 1800 to 2199 (yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy,
-  mm/dd/yyyy, dd/mm/yyyy): the 146,097 days of that cycle;
+  mm/dd/yyyy, dd/mm/yyyy; day and month with one digit or two; a ``T`` and a
+  time may follow): the 146,097 days of that cycle;
 * mail addresses are no numbers: the local part becomes a keyed digest.
 
 What does not validate is left as it is.  The key is the caller's secret.
@@ -34,10 +38,12 @@ ROUNDS = 10
 # --- fixed values of the formats ---------------------------------------------
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+"
 IP = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-DATE = r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])"
+DATE = (r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+        r"(?![0-9A-SU-Za-su-z]|[Tt](?![0-9]{2}))")
 NATIONAL = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 CARD = r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]|[.-][0-9])"
-PHONE = r"(?<![0-9A-Za-z+(.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])"
+PHONE = (r"(?<![0-9A-Za-z+(.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+         r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|(?<![-_$])1?[2-9][0-8][0-9][2-9][0-9]{6})(?![0-9A-Za-z]|[.-][0-9])")
 ANY = "|".join((MAIL, IP, DATE, NATIONAL, CARD, PHONE))
 #: A text without this has none of them.
 HINT = r"@|[0-9][./-][0-9]|[0-9]{13}|[0-9]{3}[)]?[ .-]?[0-9]{3}|[0-9]{4}[ -][0-9]"
@@ -153,12 +159,18 @@ def _ip_ok(m: Column) -> Column:
     return m.rlike("^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\\.|$)){4}$")
 
 
+def _iso(part: Column, *order: int) -> Column:
+    """yyyy-mm-dd of a date's parts, in the given order."""
+    year, month, day = (part[i] for i in order)
+    return F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+
+
 def _day(m: Column) -> Column:
     """The date that a match stands for (mm/dd before dd/mm), or null."""
-    iso = F.when(m.rlike("^[0-9]{4}"), F.translate(m, "/", "-"))
-    dot = F.when(m.contains("."), F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
-    us = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2))
-    eu = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))
+    part = F.split(m, "[-/.]")
+    iso = F.when(m.rlike("^[0-9]{4}"), _iso(part, 0, 1, 2))
+    dot = F.when(m.contains("."), _iso(part, 2, 1, 0))
+    us, eu = _iso(part, 2, 0, 1), _iso(part, 2, 1, 0)
     parsed = F.coalesce(F.coalesce(iso, dot).try_cast("date"), F.when(iso.isNull() & dot.isNull(), F.coalesce(us.try_cast("date"), eu.try_cast("date"))))
     return F.when(parsed.between(F.lit("1800-01-01").cast("date"), F.lit("2199-12-31").cast("date")), parsed)
 
@@ -171,9 +183,13 @@ def _date(m: Column, key: str) -> Column:
         new = F.date_add(first, feistel(index, *[F.lit(x).cast("long") for x in DAYS], key, "date").cast("int"))
 
         def show(d: Column) -> Column:
-            american = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)).try_cast("date").isNotNull()
-            return (F.when(m.rlike("^[0-9]{4}-"), F.date_format(d, "yyyy-MM-dd")).when(m.rlike("^[0-9]{4}/"), F.date_format(d, "yyyy/MM/dd"))
-                    .when(m.contains("."), F.date_format(d, "dd.MM.yyyy")).when(american, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "dd/MM/yyyy")))
+            american = _iso(F.split(m, "[-/.]"), 2, 0, 1).try_cast("date").isNotNull()
+
+            def form(wide: str, narrow: str) -> Column:
+                return F.when(m.rlike("(?<![0-9])[0-9](?![0-9])"), F.date_format(d, narrow)).otherwise(F.date_format(d, wide))
+
+            return (F.when(m.rlike("^[0-9]{4}-"), form("yyyy-MM-dd", "yyyy-M-d")).when(m.rlike("^[0-9]{4}/"), form("yyyy/MM/dd", "yyyy/M/d"))
+                    .when(m.contains("."), form("dd.MM.yyyy", "d.M.yyyy")).when(american, form("MM/dd/yyyy", "M/d/yyyy")).otherwise(form("dd/MM/yyyy", "d/M/yyyy")))
 
         return let(new, show)
 
