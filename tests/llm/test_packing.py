@@ -14,9 +14,7 @@ from touchpath.llm.queries import QUERIES
 
 
 def reference():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(rows, out):
@@ -45,7 +43,7 @@ def held(out):
     return len(by)
 
 
-ODD = ["<|endoftext|> x", "   tab\t\r\n", "a" * 3000, "é" * 700, "😀👍🏽" * 50, "﻿ bom", "١٢٣ ½", "it's we'LL they've", "\x00\x01", "ab‍cd  "]
+ODD = ["<|endoftext|> x", "a <|endoftext|> b<|endoftext|>", "   tab\t\r\n", "a" * 3000, "é" * 700, "😀👍🏽" * 50, "﻿ bom", "١٢٣ ½", "it's we'LL they've", "\x00\x01", "ab‍cd  "]
 
 
 def test_query_equals_tokenizer_and_packs_without_gaps(spark, table):

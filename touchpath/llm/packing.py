@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,10 +36,13 @@ END_ID = 2
 NODES = 2_000
 #: Steps of looking for a filling that count as a node.
 LOOKS = 256
+#: The vocabulary's added token, recognised in texts, and its id.
+MARK, MARK_ID = "<|endoftext|>", 50256
 
-def _encoder(path: str):
-    """The byte-level BPE of a rank file; a worker process keeps it in the
-    tokenizer library's own table of encodings."""
+
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Text to ids by the byte-level BPE of a rank file and its added token; a
+    worker process keeps it in the tokenizer library's own table of encodings."""
     import public_tokenizers
     import tiktoken
     from tiktoken.registry import ENCODINGS
@@ -47,8 +50,9 @@ def _encoder(path: str):
     if path not in ENCODINGS:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        ENCODINGS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return ENCODINGS[path]
+        ENCODINGS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={MARK: MARK_ID})
+    enc = ENCODINGS[path]
+    return lambda text: enc.encode(text, allowed_special="all") if MARK in text else enc.encode_ordinary(text)
 
 
 def default_ranks() -> str:
@@ -66,13 +70,13 @@ def token_pieces(docs: DataFrame, ranks: str | None = None, capacity: int = CAPA
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def cut(batches):
-        enc = _encoder(path)
+        ids_in = encoder(path)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             texts = batch.column(1)
             cols: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(ids_of, texts):
-                ids = np.array([*enc.encode_ordinary(text.as_py() or ""), end_id], "<u4")
+                ids = np.array([*ids_in(text.as_py() or ""), end_id], "<u4")
                 head = len(ids) % capacity or capacity
                 at = 0
                 for piece, end in enumerate(range(head, len(ids) + 1, capacity)):
