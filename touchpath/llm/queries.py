@@ -1,5 +1,4 @@
-"""One query per operator: it reads the whole ``documents`` table, applies the
-operator and derives the digest columns of its contract."""
+"""One query per operator: it reads its whole tables, applies the operator and derives the digest columns of its contract."""
 
 from __future__ import annotations
 
@@ -8,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.llm import common, exact_dedup, langid, minhash, mixing, packing, passage_dedup, pii, secret_scan, spotsigs, suffix_dedup
+from touchpath.llm import common, exact_dedup, filter_audit, langid, lexical_packing, minhash, mixing, packing, passage_dedup, pii, secret_scan, spotsigs, suffix_dedup, whitening
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +67,25 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
                       secret_scan.written(F.col("all")).alias("spans"), "n_live", "n_examples")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "doc_id", "text", "source").withColumnRenamed("source", "part")
+    return filter_audit.audit_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_packing.pack_documents(common.documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"), "embedding")
+    each = out.select("row.vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", "explained",
+                      F.posexplode("whitened").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.get("explained", F.col("at")).alias("explained"), "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_spotsigs, op2_automaton_passages, op3_language_id, op4_minhash_hamming, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op8_suffix_sort, op9_entropy_mixing, op10_exact_dedup)
+    f.__name__: f for f in (op1_spotsigs, op2_automaton_passages, op3_language_id, op4_minhash_hamming, op5_feistel_pseudonyms, op6_secret_ownership, op7_best_fit_packing, op8_suffix_sort, op9_entropy_mixing, op10_exact_dedup,
+                              op11_filter_audit, op12_lexical_packing, op13_whitening)
 }
 
 ORACLES: dict[str, str] = {
@@ -130,4 +146,29 @@ ORACLES: dict[str, str] = {
               FROM documents)
         WINDOW g AS (PARTITION BY d)
     """,
+    "op11_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+        w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY x) AS first FROM t),
+        l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+                            100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * len(x), regexp_matches(x, '[#$%&*|]'),
+                            coalesce(w.doc_id > first, false)] AS fails,
+                     coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+              FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY ALL),
+        k AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+        orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        runs AS (SELECT c.*, o, list_position(list_transform(o, lambda i: fails[i]), true) AS gone FROM c, orders),
+        steps AS (SELECT part, o, step,
+                         sum(n) FILTER (WHERE gone IS NULL OR gone > step) AS kept, sum(n) FILTER (WHERE gone = step) AS removed,
+                         sum(n) FILTER (WHERE gone < step AND fails[o[step]]) AS redundant,
+                         sum(n) FILTER (WHERE fails[o[step]] AND len(list_filter(fails, lambda v: v)) = 1) AS unique_fails,
+                         sum(good) FILTER (WHERE gone = step) AS good_lost, sum(toxic) FILTER (WHERE gone = step) AS toxic_lost
+                  FROM runs, (SELECT i AS step FROM k) GROUP BY part, o, step)
+        SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step,
+               coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+               coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               (sum(coalesce(removed, 0)) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+        FROM steps
+    """,
 }
