@@ -36,12 +36,12 @@ END_ID = 2
 NODES = 2_000
 #: Steps of looking for a filling that count as a node.
 LOOKS = 256
-#: The vocabulary's added token, recognised in texts, and its id.
-MARK, MARK_ID = "<|endoftext|>", 50256
+#: The vocabulary's added token, recognised in texts.
+MARK = {"<|endoftext|>": 50256}
 
 
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """Text to ids by the byte-level BPE of a rank file and its added token; a
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Text to ids (unsigned 32-bit) by the byte-level BPE of a rank file and its added token; a
     worker process keeps it in the tokenizer library's own table of encodings."""
     import public_tokenizers
     import tiktoken
@@ -50,9 +50,9 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     if path not in ENCODINGS:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        ENCODINGS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={MARK: MARK_ID})
+        ENCODINGS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=MARK)
     enc = ENCODINGS[path]
-    return lambda text: enc.encode(text, allowed_special="all") if MARK in text else enc.encode_ordinary(text)
+    return lambda text: enc.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def default_ranks() -> str:
@@ -76,7 +76,7 @@ def token_pieces(docs: DataFrame, ranks: str | None = None, capacity: int = CAPA
             texts = batch.column(1)
             cols: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(ids_of, texts):
-                ids = np.array([*ids_in(text.as_py() or ""), end_id], "<u4")
+                ids = np.append(ids_in(text.as_py() or ""), np.uint32(end_id)).astype("<u4", copy=False)
                 head = len(ids) % capacity or capacity
                 at = 0
                 for piece, end in enumerate(range(head, len(ids) + 1, capacity)):
