@@ -1,20 +1,21 @@
 """Packing by lexical retrieval: windows of documents that share rare terms.
 
-Documents are tokenised, closed with an end token, and dealt into shards of
-lexically close ones: in the order of their most telling terms (tf * idf over the
-whole corpus), cut into ranges on Spark and within a range into shards of bounded
-size.  A term is a token id, so the corpus statistics are bounded by the
+Documents are tokenised and closed with an end token.  Whole windows at the head of
+a long document are sequences of their own, made where it is tokenised; its rest,
+shorter than a window, goes on as the document to pack.  These are dealt into
+shards of lexically close ones: in the order of their most telling terms (tf * idf
+over the whole corpus), cut into ranges on Spark and within a range into shards of
+bounded size.  A term is a token id, so the corpus statistics are bounded by the
 vocabulary, whatever the corpus.
 
 A shard's documents form an inverted index with BM25 weights (corpus-wide
 document frequencies and mean length; terms in over half of all documents have
 no weight).  A document opens a window; the index returns the unused documents of
 the shard by their score for the one that opened it, and the best that fit are
-taken until none does; the best of those is then cut to fill the window, and its
-rest opens the next.  Whole windows inside a long document are left as they are.
-A window open at the end of a shard goes on in the next one of the range; one open
-at the end of a range is cut into sequences whose lengths are powers of two, which
-need no padding.  So no sequence is padded at all.
+taken until none does; the best of those left is then cut to fill the window, and
+its rest opens the next.  A window open at the end of a shard goes on in the next
+one of the range; one open at the end of a range is cut into sequences whose
+lengths are powers of two, which need no padding.  So no sequence is padded at all.
 
 Defined results: null or empty text is a document of the end token alone; rows
 that repeat a doc_id are documents each; a null doc_id stays null; an empty table
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,8 @@ END_ID = 0
 VOCABULARY = 1 << 16
 #: BM25's saturation of term frequencies and weight of lengths.
 K1, B = 1.2, 0.75
-#: A shard ends at so many documents, or with the one that passes so many ids.
-SHARD_DOCS, SHARD_IDS = 1_000, 2_000_000
+#: Documents of a shard (each is shorter than a window).
+SHARD_DOCS = 1_000
 #: Telling terms that order documents.
 TELLING = 3
 #: Documents of a range: a task's work.
@@ -50,38 +52,52 @@ RANGE_DOCS = 8_000
 
 # --- ids and corpus statistics ----------------------------------------------
 
-def token_ids(docs: DataFrame, ranks: str, end_id: int) -> DataFrame:
-    """(doc_id, ids, df): the ids of every text of ``docs`` (doc_id, text) as
-    little-endian unsigned 16-bit numbers; beside them one row per task with its
-    document frequencies (packed longs, by id), whose ids are null."""
+TOKENS = "doc_id long, doc_tokens long, start long, ids binary, sequence_id long, ids_crc32 long, df binary"
+
+
+def tokens_of(docs: DataFrame, ranks: str, capacity: int, end_id: int) -> DataFrame:
+    """Rows of three kinds from ``docs`` (doc_id, text): the rest of each document
+    (``ids``: little-endian unsigned 16-bit numbers), its whole windows (without
+    ids, but with a ``sequence_id`` below 0 and their CRC-32), and one row per task
+    with the document frequencies of its rests (``df``: longs, by id)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    names = [c.split()[0] for c in TOKENS.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
 
-    def batch(doc_ids: list, ids: list, df: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary()), pa.array(df, pa.binary())], names=["doc_id", "ids", "df"])
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         ids_in = encoder(ranks)
         df = np.zeros(VOCABULARY, np.int64)
+        sequence = -1 - (TaskContext.get().partitionId() << 40)
         for b in batches:
             out = []
-            for text in b.column(1):
-                ids = np.array([*ids_in(text.as_py() or ""), end_id], "<u2")
-                df[terms(ids)[0]] += 1
-                out.append(ids.tobytes())
-            yield batch(b.column(0).to_pylist(), out, [None] * len(out))
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
+                ids = np.append(ids_in(text.as_py() or ""), np.uint32(end_id)).astype("<u4", copy=False)
+                whole = len(ids) // capacity * capacity
+                for at in range(0, whole, capacity):
+                    out.append((doc_id, len(ids), at, None, sequence, zlib.crc32(ids[at:at + capacity].tobytes()), None))
+                    sequence -= 1
+                if whole < len(ids):
+                    rest = ids[whole:].astype("<u2")
+                    df[terms(rest)[0]] += 1
+                    out.append((doc_id, len(ids), whole, rest.tobytes(), None, None, None))
+            if out:
+                yield batch(out)
         if df.any():
-            yield batch([None], [None], [df.astype("<i8").tobytes()])
+            yield batch([(None, None, None, None, None, None, df.astype("<i8").tobytes())])
 
-    return rows.mapInArrow(encode, "doc_id long, ids binary, df binary")
+    return rows.mapInArrow(encode, TOKENS)
 
 
 def terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids of a document (its end token aside) and how often each is there."""
-    if len(ids) > VOCABULARY:
-        tf = np.bincount(ids[:-1], minlength=VOCABULARY)
-        own = np.flatnonzero(tf)
-        return own, tf[own]
-    return np.unique(ids[:-1].astype(np.int64), return_counts=True)
+    line = np.sort(ids[:-1])
+    at = np.flatnonzero(np.append(line[1:] != line[:-1], True)[:len(line)])
+    return line[at].astype(np.int64), np.diff(at, prepend=-1)
 
 
 class Statistics:
@@ -106,9 +122,12 @@ class Statistics:
         largest first; -1 where there are fewer."""
         own, tf = terms(ids)
         score = tf * self.idf[own]
-        best = np.lexsort((own, -score))[:TELLING]
-        best = [int(own[i]) for i in best if score[i] > 0]
-        return best + [-1] * (TELLING - len(best))
+        best = [-1] * TELLING
+        for k in range(min(TELLING, len(own))):
+            i = int(np.argmax(score))
+            if score[i] > 0:
+                best[k], score[i] = int(own[i]), 0.0
+        return best
 
 
 def statistics(tokens: DataFrame) -> Statistics:
@@ -125,7 +144,7 @@ def statistics(tokens: DataFrame) -> Statistics:
     for r in parts.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
         df[r["id"]] = r["n"]
     docs, length = tokens.where("ids IS NOT NULL").agg(F.count(F.lit(1)), F.avg(F.length("ids") / 2 - 1)).first()
-    # documents whose only token of a kind is rare tell nothing about others
+    # a term of one document leads to no other
     df[df == 1] = 0
     return Statistics(df, docs, max(length or 0.0, 1.0))
 
@@ -192,43 +211,36 @@ class Windows:
             self.open, self.room = [], self.capacity
 
     def add(self, first: int, docs: list[np.ndarray], stats: Statistics) -> list[list[Piece]]:
-        """Pack a shard's documents, numbered from ``first``."""
-        cap, out = self.capacity, []
+        """Pack a shard's documents, each shorter than a window, numbered from ``first``."""
+        out: list[list[Piece]] = []
         index = Shard(docs, stats)
-        lengths = np.array([len(d) for d in docs])
-        # whole windows of long documents
-        whole = lengths // cap * cap
-        for i in np.flatnonzero(whole):
-            out += [[(first + int(i), at, cap)] for at in range(0, int(whole[i]), cap)]
-        rest, start = lengths - whole, whole.copy()
-        unused = rest > 0
+        length = np.array([len(d) for d in docs])
+        unused = np.ones(len(docs), bool)
         seeds = iter(range(len(docs)))
         while unused.any():
             if not self.open:
                 seed = next(i for i in seeds if unused[i])
                 unused[seed] = False
                 self.query = index.own[seed]
-                self._put((first + seed, int(start[seed]), int(rest[seed])), out)
+                self._put((first + seed, 0, int(length[seed])), out)
                 continue
             scores = index.scores(self.query)
             # the best that fit, until none does
             while self.open:
-                fits = unused & (rest <= self.room)
+                fits = unused & (length <= self.room)
                 if not fits.any():
                     break
                 i = int(np.argmax(np.where(fits, scores, -1.0)))
                 unused[i] = False
-                self._put((first + i, int(start[i]), int(rest[i])), out)
+                self._put((first + i, 0, int(length[i])), out)
             if self.open and unused.any():
                 i = int(np.argmax(np.where(unused, scores, -1.0)))
-                take = self.room
-                self._put((first + i, int(start[i]), take), out)
-                start[i] += take
-                rest[i] -= take
-                # its rest opens the next window
                 unused[i] = False
+                cut = self.room
+                self._put((first + i, 0, cut), out)
+                # its rest opens the next window
                 self.query = index.own[i]
-                self._put((first + i, int(start[i]), int(rest[i])), out)
+                self._put((first + i, cut, int(length[i]) - cut), out)
         return out
 
     def close(self) -> list[list[Piece]]:
@@ -240,12 +252,15 @@ class Windows:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack_range(rows: Iterator[tuple[int | None, np.ndarray]], stats: Statistics, number: int, capacity: int = CAPACITY,
-               shard_docs: int = SHARD_DOCS, shard_ids: int = SHARD_IDS) -> Iterator[tuple]:
+#: A document to pack: doc_id, its tokens in all, those before its rest, the rest's ids.
+Rest = tuple[int | None, int, int, np.ndarray]
+
+
+def pack_range(rows: Iterator[Rest], stats: Statistics, number: int, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> Iterator[tuple]:
     """Pieces of the documents of one range, shard by shard; ``number`` makes its
     sequences' numbers its own."""
     windows = Windows(capacity)
-    held: dict[int, tuple[int | None, np.ndarray]] = {}
+    held: dict[int, Rest] = {}
     done, sequence = 0, number << 40
 
     def emit(sequences: list[list[Piece]]) -> Iterator[tuple]:
@@ -253,25 +268,24 @@ def pack_range(rows: Iterator[tuple[int | None, np.ndarray]], stats: Statistics,
         for pieces in sequences:
             offset = 0
             for doc, start, n in pieces:
-                doc_id, ids = held[doc]
-                yield doc_id, start, n, zlib.crc32(ids[start:start + n].astype("<u4").tobytes()), len(ids), sequence, offset
+                doc_id, total, before, ids = held[doc]
+                yield doc_id, before + start, n, zlib.crc32(ids[start:start + n].astype("<u4").tobytes()), total, sequence, offset
                 offset += n
             sequence += 1
 
-    def flush(docs: list[tuple[int | None, np.ndarray]]) -> Iterator[tuple]:
+    def flush(docs: list[Rest]) -> Iterator[tuple]:
         nonlocal done, held
         # documents of an open window are still needed
         held = {d: held[d] for d, _, _ in windows.open} | dict(enumerate(docs, done))
         first, done = done, done + len(docs)
-        yield from emit(windows.add(first, [ids for _, ids in docs], stats))
+        yield from emit(windows.add(first, [ids for *_, ids in docs], stats))
 
-    shard, size = [], 0
+    shard: list[Rest] = []
     for row in rows:
         shard.append(row)
-        size += len(row[1])
-        if len(shard) >= shard_docs or size >= shard_ids:
+        if len(shard) == shard_docs:
             yield from flush(shard)
-            shard, size = [], 0
+            shard = []
     if shard:
         yield from flush(shard)
     yield from emit(windows.close())
@@ -280,38 +294,34 @@ def pack_range(rows: Iterator[tuple[int | None, np.ndarray]], stats: Statistics,
 def pack_documents(docs: DataFrame, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Tokenise and pack ``docs`` (doc_id, text): (doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset) of every piece."""
-    tokens = stash(token_ids(docs, ranks or default_ranks(), end_id), "ids")
+    tokens = stash(tokens_of(docs, ranks or default_ranks(), capacity, end_id), "ids")
     stats = statistics(tokens)  # travels with the functions below; bounded by the vocabulary
-    rows = tokens.where("ids IS NOT NULL").select("doc_id", "ids")
+    rests = tokens.where("ids IS NOT NULL").select("doc_id", "doc_tokens", "start", "ids")
+    telling = [f"t{i}" for i in range(TELLING)]
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = np.array([stats.telling(np.frombuffer(x.as_buffer(), "<u2")) for x in b.column(1)], np.int32).reshape(-1, TELLING)
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(keys[:, i]) for i in range(TELLING)]], names=["doc_id", "ids", *telling])
+            keys = np.array([stats.telling(np.frombuffer(x.as_buffer(), "<u2")) for x in b.column(3)], np.int32).reshape(-1, TELLING)
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(keys[:, i]) for i in range(TELLING)]], names=[*b.schema.names, *telling])
 
-    telling = [f"t{i}" for i in range(TELLING)]
-    keyed = rows.mapInArrow(order, "doc_id long, ids binary, " + ", ".join(f"{t} int" for t in telling))
-    ranges = max(1, -(-rows.count() // RANGE_DOCS))
-    keys = [*telling, F.xxhash64("ids"), "doc_id"]
-    dealt = keyed.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).select("doc_id", "ids")
+    keyed = rests.mapInArrow(order, "doc_id long, doc_tokens long, start long, ids binary, " + ", ".join(f"{t} int" for t in telling))
+    ranges = max(1, -(-rests.count() // RANGE_DOCS))
+    keys = [*telling, F.xxhash64("ids"), "doc_id", "start"]
+    dealt = keyed.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).select(*rests.columns)
+    names = [c.split()[0] for c in PIECES.split(", ")]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+        def documents() -> Iterator[Rest]:
             for b in batches:
-                for doc_id, ids in zip(b.column(0).to_pylist(), b.column(1)):
-                    yield doc_id, np.frombuffer(ids.as_py(), "<u2")
-
-        out: list[tuple] = []
-        names = [c.split()[0] for c in PIECES.split(", ")]
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * len(names))], names=names)
-        for piece in pack_range(documents(), stats, TaskContext.get().partitionId(), capacity):
-            out.append(piece)
-            if len(out) == 10_000:
-                yield flush()
-                out = []
-        if out:
-            yield flush()
-
-    return dealt.mapInArrow(pack, PIECES)
+                for doc_id, total, before, ids in zip(*[b.column(i).to_pylist() for i in range(4)]):
+                    yield doc_id, total, before, np.frombuffer(ids, "<u2")
+
+        pieces = pack_range(documents(), stats, TaskContext.get().partitionId(), capacity)
+        while some := list(islice(pieces, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*some)], names=names)
+
+    whole = tokens.where("sequence_id IS NOT NULL").select(
+        "doc_id", "start", F.lit(capacity).cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
+    return whole.unionByName(dealt.mapInArrow(pack, PIECES))
