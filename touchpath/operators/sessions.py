@@ -155,31 +155,48 @@ def _event_order() -> Column:
     return F.struct("event_timestamp", TIE_KEY, "source", "medium", "campaign", "page_pagetype")
 
 
+def source_states(events: DataFrame, *by: str) -> DataFrame:
+    """The mergeable state of first and last source per ``by`` (session_key and
+    whatever else): ``first`` is the least event by :func:`_event_order` with what
+    M5 reports of it, ``last`` the greatest event with a source.  The order stands
+    in front of each struct, so states merge by minimum and maximum."""
+    ts = F.col("traffic_source_struct")
+    first = F.struct(_event_order().alias("at"), "event_date_dt", "user_key", "session_start_time", ts.alias("t"))
+    last = F.when(ts.isNotNull(), F.struct(_event_order().alias("at"), ts.alias("t")))
+    return events.groupBy(*by).agg(F.min(first).alias("first"), F.max(last).alias("last"))
+
+
+def merged_states(states: DataFrame, *by: str) -> DataFrame:
+    """One state per ``by`` of any number of partial ones."""
+    return states.groupBy(*by).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def first_last_of(states: DataFrame, *carried: str) -> DataFrame:
+    """Model M5's row of each state, and the columns ``carried`` along."""
+    return states.select(F.col("first.event_date_dt").alias("event_date_dt"), "session_key",
+                         F.col("first.user_key").alias("user_key"),
+                         F.col("first.session_start_time").alias("session_start_time"),
+                         F.lit(1).cast("bigint").alias("event_no"),
+                         F.col("first.t").alias("first_value_session"),
+                         F.col("last.t").alias("last_non_null_value_session"), *carried)
+
+
 def session_first_last_source(events: DataFrame, cfg: RunConfig) -> DataFrame:
     """Model M5: one row per session_key with the first traffic struct
     (respecting NULL) and the last non-NULL one.
 
-    Written as an aggregate with ``min_by``/``max_by`` instead of a
+    Written as an aggregate (a minimum and a maximum of structs) instead of a
     full-frame window + ``row_number() = 1``: partial aggregation combines a
     hot or NULL session key map-side, and no window buffers a whole session.
     All events with a NULL session key fold into one row, as in the original;
     ``cfg.drop_null_keys`` drops them instead.  The original rebuilds this
-    over all history every run.
+    over all history every run; ``streaming.session_state`` keeps the states and
+    merges new days into them.
     """
     e = apply_window(events, cfg, "session_first_last_source")
     if cfg.drop_null_keys:
         e = e.where(F.col("session_key").isNotNull())
-    ts = F.col("traffic_source_struct")
-    first = F.min_by(F.struct("event_date_dt", "user_key", "session_start_time",
-                              ts.alias("t")), _event_order())
-    last = F.max_by(ts, F.when(ts.isNotNull(), _event_order()))
-    g = e.groupBy("session_key").agg(first.alias("f"), last.alias("last_non_null_value_session"))
-    return g.select(F.col("f.event_date_dt").alias("event_date_dt"), "session_key",
-                    F.col("f.user_key").alias("user_key"),
-                    F.col("f.session_start_time").alias("session_start_time"),
-                    F.lit(1).cast("bigint").alias("event_no"),
-                    F.col("f.t").alias("first_value_session"),
-                    "last_non_null_value_session")
+    return first_last_of(source_states(e, "session_key"))
 
 
 # --------------------------------------------------------------------------- M6

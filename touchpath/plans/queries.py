@@ -22,6 +22,7 @@ from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain, fixtur
 from touchpath.session import configure, scratch_path
 from touchpath.sources import fixtures, ga4, sinks
 from touchpath.streaming.incremental import IncrementalRunner
+from touchpath.streaming.session_state import FirstLastState
 
 RUN = FIXTURE_RUN_DATE
 SHORT_LOOKBACK = 5 * 86_400
@@ -323,6 +324,19 @@ def q_session_first_last_source(spark, sf):
     return _first_last_flat(_chain(spark, sf).first_last)
 
 
+def q_session_first_last_source_daily(spark, sf):
+    """First and last source kept as states: a load up to the 26th, whose own day
+    was not complete, then two runs that reload from their last day on."""
+    traffic = _chain(spark, sf, durable=("events", "traffic")).traffic
+    state = FirstLastState(spark, scratch_path(spark, "first-last-daily"))
+    day = F.col("event_date_dt")
+    until = lambda n: traffic.where(day <= F.lit(date(2024, 1, n)))
+    state.advance(until(26).where((day < F.lit(date(2024, 1, 26))) | (F.col("event_timestamp") % 3 != 0)))
+    for since, last in ((26, 28), (28, 31)):
+        state.advance(until(last), date(2024, 1, since))
+    return _first_last_flat(state.table())
+
+
 def q_user_last_source(spark, sf):
     ch = _chain(spark, sf)
     m6 = S.session_last_user_source(ch.first_last, ch.cfg, lookback_seconds=SHORT_LOOKBACK)

@@ -131,8 +131,27 @@ def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
         put(spark.read.schema(df.schema).parquet(tmp))
 
 
+#: Folder name of rows without a partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_name(col: str, day: date | None) -> str:
+    return f"{col}={NULL_PARTITION if day is None else day.isoformat()}"
+
+
+def partition_days(spark: SparkSession, path: str, col: str) -> list[date | None]:
+    """The partition dates of a folder (None: rows without one), from its listing."""
+    if not exists(spark, path):
+        return []
+    fs, root = _fs(spark, path)
+    prefix = f"{col}="
+    names = [str(st.getPath().getName()) for st in fs.listStatus(root) if st.isDirectory()]
+    values = [n[len(prefix):] for n in names if n.startswith(prefix)]
+    return [None if v == NULL_PARTITION else date.fromisoformat(v) for v in values]
+
+
 def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
-                 partitions: list[date], cluster_by: list[str] | None = None,
+                 partitions: list[date | None], cluster_by: list[str] | None = None,
                  guard_schema: bool = False) -> None:
     """Replace exactly the listed partitions, even when ``df`` has no row for one.
 
@@ -144,7 +163,7 @@ def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: st
     """
     if guard_schema:
         check_schema(spark, df, path)
-    listed = {f"{partition_by}={d.isoformat()}" for d in partitions}
+    listed = {partition_name(partition_by, d) for d in partitions}
     with staging(spark, path, "stage") as tmp:
         df.write.partitionBy(partition_by).parquet(tmp)
         fs, tp = _fs(spark, tmp)
@@ -164,11 +183,5 @@ def high_water_mark(spark: SparkSession, path: str, col: str = "event_date_dt")
     Read from the partition folder names (a directory listing on the driver),
     so no Spark job runs and no file is opened.
     """
-    if not exists(spark, path):
-        return None
-    fs, root = _fs(spark, path)
-    prefix = f"{col}="
-    days = [str(st.getPath().getName())[len(prefix):] for st in fs.listStatus(root)
-            if st.isDirectory() and str(st.getPath().getName()).startswith(prefix)]
-    days = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
-    return max(date.fromisoformat(d) for d in days) if days else None
+    days = [d for d in partition_days(spark, path, col) if d is not None]
+    return max(days) if days else None

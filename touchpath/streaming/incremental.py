@@ -8,7 +8,8 @@ Per run (``run_date`` = today):
 * base events      – static overwrite of the reload days by shard date (late hits)
 * silent sessions  – static overwrite of [high-water mark, yesterday]
 * traffic events   – dynamic overwrite of [high-water mark, yesterday]
-* first/last       – full rebuild from the traffic table (all history)
+* first/last       – states of the new event days merged into the kept ones; only
+                     the session start days they touch are read and replaced
 * channel groups   – dynamic overwrite of [high-water mark, yesterday]
 * session starts   – dynamic overwrite of [high-water mark, yesterday]
 * data tests       – the model test suite, appended per run date
@@ -38,9 +39,10 @@ from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.session import configure
 from touchpath.sources import sinks
 from touchpath.sources.ads import resolve
+from touchpath.streaming.session_state import FirstLastState
 
 MODEL_TABLES = ("ads_click_stats", "ads_campaign_names", "base_events", "silent_sessions", "traffic_events",
-                "session_first_last_source", "session_channel_groups", "session_starts", "dq_results")
+                "session_states", "session_first_last_source", "session_channel_groups", "session_starts", "dq_results")
 
 #: Partition column of the tables that are not partitioned by event date.
 PARTITIONS = {"ads_click_stats": A.INGESTION_DATE, "ads_campaign_names": "date", "base_events": "shard_date"}
@@ -146,13 +148,12 @@ class IncrementalRunner:
         traffic = S.with_silent_sessions(adj, silent_t, cfg)
         self._write(cfg, traffic, "traffic_events", static=False)
 
-        # first/last source: full rebuild over all history
-        fl = S.session_first_last_source(self.table("traffic_events"), cfg.with_(mode=FULL))
-        sinks.write_full(fl, self.path("session_first_last_source"), cluster_by=["session_key"])
-        self._written("session_first_last_source", fl)
-        fl_t = self.table("session_first_last_source")
+        # first/last source: the new event days merged into the kept states
+        state = FirstLastState(sp, self.root, (self.base_cfg or cfg).drop_null_keys)
+        state.advance(self.table("traffic_events"), None if cfg.mode == FULL else cfg.hwm("pageviews"))
 
         cfg = self._cfg(run_date, "session_channel_groups", ["session_channel_groups"])
+        fl_t = state.behind(cfg, None if cfg.mode == FULL else cfg.hwm("session_channel_groups"), cfg.lookback_seconds)
         cg = S.session_channel_groups(fl_t, cfg)
         self._write(cfg, cg, "session_channel_groups", static=False)
 

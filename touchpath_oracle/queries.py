@@ -125,6 +125,9 @@ FROM u""",
     "session_first_last_source": with_chain(
         "SELECT event_date_dt, session_key, user_key, session_start_time, event_no, "
         f"{flat('first_value_session', 'first')}, {flat('last_non_null_value_session', 'last')} FROM m5"),
+    "session_first_last_source_daily": with_chain(
+        "SELECT event_date_dt, session_key, user_key, session_start_time, event_no, "
+        f"{flat('first_value_session', 'first')}, {flat('last_non_null_value_session', 'last')} FROM m5"),
     "user_last_source": with_chain(
         f"SELECT event_date_dt, user_key, session_key, session_start_time, {flat('last_non_direct_source_user', 'lnd')} FROM m6",
         lookback=5 * 86_400),
