@@ -1,11 +1,13 @@
-"""Look-back boundaries and equality of the skew-split and plain strategies."""
+"""Look-back boundaries, equality of the as-of scan and the plain window, ranges that cut a user."""
 
 import random
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchpath.config import RunConfig
+from touchpath.operators.asof import last_before
 from touchpath.operators.sessions import session_last_user_source
 
 SCHEMA = ("event_date_dt date, session_key string, user_key string, session_start_time long, event_no long, "
@@ -19,9 +21,9 @@ def _t(src):
     return None if src is None else (src, "m", None, None)
 
 
-def _run(spark, rows, strategy, lookback=L, bucket=3600):
+def _run(spark, rows, strategy, lookback=L):
     df = spark.createDataFrame(rows, SCHEMA)
-    cfg = RunConfig(run_date=date(2024, 6, 1), lookback_bucket_seconds=bucket)
+    cfg = RunConfig(run_date=date(2024, 6, 1))
     out = session_last_user_source(df, cfg, lookback_seconds=lookback, strategy=strategy)
     return {r.session_key: (r.last_non_direct_source_user.source if r.last_non_direct_source_user else None)
             for r in out.collect()}
@@ -46,7 +48,7 @@ def test_boundaries(spark):
         (D, "h0", "q", base, 1, None, _t("same")),           # gap 0: a session starting at the
         (D, "h1", "q", base, 1, None, None),                 # same second is not earlier
     ]
-    for strategy in ("bucketed", "window"):
+    for strategy in ("asof", "window"):
         got = _run(spark, rows, strategy)
         assert got["a1"] == "src" and got["b1"] == "src" and got["c1"] is None
         assert got["d0"] is None and got["e1"] == "src" and got["f1"] == "later" and got["f0"] == "first"
@@ -54,7 +56,7 @@ def test_boundaries(spark):
         assert got["h0"] is None and got["h1"] is None
 
 
-def test_bucketed_equals_window_on_hot_user(spark):
+def test_asof_equals_window_on_hot_user(spark):
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -62,11 +64,11 @@ def test_bucketed_equals_window_on_hot_user(spark):
         t = 1_700_000_000 + rnd.randint(0, 40 * 86400)
         src = rnd.choice([None, None, "a", "b", "c"])
         rows.append((D, f"s{i}", user, t, 1, None, _t(src)))
-    for lookback, bucket in ((5 * 86400, 3600), (3600, 86400), (L, 600)):
-        a = _run(spark, rows, "bucketed", lookback, bucket)
-        b = _run(spark, rows, "window", lookback, bucket)
+    for lookback in (5 * 86400, 3600, L):
+        a = _run(spark, rows, "asof", lookback)
+        b = _run(spark, rows, "window", lookback)
         diff = [(k, a[k], b[k]) for k in a if a[k] != b[k]]
-        # equal times of one user are possible here; the bucketed form breaks
+        # equal times of one user are possible here; the scan breaks
         # ties by session key, the plain window by sort order: ignore those
         ts = {}
         for r in rows:
@@ -101,6 +103,48 @@ def test_against_brute_force(spark):
         first = _t(rnd.choice(["f", None, None, None]))
         last = _t(rnd.choice([None, "x", "y", "z"]))
         rows.append((D, f"s{i:04d}", user, t, 1, first, last))
-    for lookback, bucket in ((3 * 86400, 3600), (86400, 7 * 86400), (600, 60)):
+    for lookback in (3 * 86400, 86400, 600):
         want = _brute(rows, lookback)
-        assert _run(spark, rows, "bucketed", lookback, bucket) == want
+        assert _run(spark, rows, "asof", lookback) == want
+
+
+@pytest.mark.parametrize("seed, batch, ranges", [(1, 1, 7), (2, 2, 40), (3, 3, 200), (4, 64, 3), (5, 10_000, 1)])
+def test_ranges_and_batches_may_cut_anywhere(spark, seed, batch, ranges):
+    """One user fills most ranges, with long runs without a source and sessions
+    that start at the same second; NULL users and starts are among the rows."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(300):
+        user = rnd.choice(["hot"] * 6 + ["a", None])
+        t = None if rnd.random() < 0.05 else 1000 + rnd.randrange(150)
+        rows.append((D, f"s{i:04d}", user, t, 1, None, _t(rnd.choice("xyz")) if rnd.random() < 0.1 else None))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+        for within in (1, 20, 1000):
+            out = last_before(df, "user_key", "session_start_time", "session_key", "last_non_null_value_session", "found", within, ranges).collect()
+            assert {r["session_key"]: r["found"] and r["found"].source for r in out} == _brute(rows, within)
+            assert len(out) == len(rows)
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_the_sessions_are_exchanged_once(spark):
+    """Rows and carried-in values come from one range exchange, and a hot user's
+    rows lie in many of its partitions."""
+    rows = [(D, f"s{i}", "hot" if i % 3 else f"u{i}", i, 1, None, _t("x") if i % 50 == 0 else None) for i in range(20_000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = last_before(df, "user_key", "session_start_time", "session_key", "last_non_null_value_session", "found", 500, 16)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange rangepartitioning") == final.count("ReusedExchange") + 1 or (
+        final.count("Exchange rangepartitioning") == 1 and "ReusedExchange" in final), final
+    assert "hashpartitioning" not in final
+    hot = df.repartitionByRange(16, "user_key", "session_start_time").where("user_key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot >= 8
+
+
+def test_empty_table(spark):
+    assert _run(spark, [], "asof") == {}

@@ -46,7 +46,6 @@ class RunConfig:
     # high-water marks (max partition of each incremental target), by model
     high_water_marks: dict = field(default_factory=dict)
     lookback_seconds: int = 7_776_000          # 90 days
-    lookback_bucket_seconds: int = 3_600        # skew split of the look-back
     numbering_bucket_us: int = 3_600_000_000    # skew split of event numbering
     site: str = "shop"                          # own site name for page paths
     pageviews_only: bool = True                 # url-param variant: page views only
@@ -55,14 +54,17 @@ class RunConfig:
     drop_null_keys: bool = False                # first/last: drop the folded NULL session
     first_last_days: int | None = None          # look-back: sessions read (None = all)
     dev_sample_percent: float = 5.0
+    dev_sampling: str = "events"                # dev: events by hash, or whole "blocks" at the reader
     sample_seed: int = 42
     reload_days: int = 2                        # partitions replaced incrementally
 
     def __post_init__(self):
         if self.mode not in (FULL, INCREMENTAL, DEV):
             raise ValueError(f"mode must be one of full, incremental, dev (got {self.mode!r})")
-        if self.lookback_seconds < 1 or self.lookback_bucket_seconds < 1 or self.numbering_bucket_us < 1:
+        if self.lookback_seconds < 1 or self.numbering_bucket_us < 1:
             raise ValueError("look-back and bucket widths must be positive")
+        if self.dev_sampling not in ("events", "blocks"):
+            raise ValueError(f"dev_sampling must be events or blocks (got {self.dev_sampling!r})")
         if self.reload_days < 1:
             raise ValueError("at least one day is reloaded")
         if self.first_last_days is not None and self.first_last_days < self.least_first_last_days:

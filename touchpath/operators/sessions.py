@@ -11,6 +11,7 @@ from touchpath.functions.dates import last_n_days
 from touchpath.functions.channels import custom_channel_group
 from touchpath.functions.params import INT, STRING, event_param
 from touchpath.functions.traffic import preferred_field, traffic_struct
+from touchpath.operators.asof import last_before
 from touchpath.operators.skew import left_join_nonnull
 
 TRAFFIC_EVENT_COLUMNS = [
@@ -18,6 +19,11 @@ TRAFFIC_EVENT_COLUMNS = [
     "session_start_time", "gclid", "session_gadscampaign", "session_gadsbraid", "entrances",
     "page_referrer", "page_location", "source", "medium", "campaign",
 ]
+# what the page-view and silent-session models read of the keyed events
+TRAFFIC_INPUT = [
+    "event_date_dt", "event_timestamp", "event_name", "ga_session_id", "user_key", "session_key", "sk_id", "page_pagetype",
+    "page_referrer", "page_location", "source", "medium", "campaign", "gclid", "session_gadscampaign", "session_gadsbraid", "entrances",
+]
 # hidden tie-break key carried with traffic events (NULL for silent sessions)
 TIE_KEY = "sk_id"
 
@@ -43,6 +49,26 @@ def page_view_string(n: Column, sep: str = ",") -> Column:
     return F.when(n > 0, F.concat(F.repeat(F.lit("page_view" + sep), (n - 1).cast("int")), F.lit("page_view")))
 
 
+def ordered_string_agg(df: DataFrame, keys: list[str], text: str, order: list[str], out: str, sep: str = ",",
+                       width: int = 3_600_000_000) -> DataFrame:
+    """One row per ``keys`` with the non-NULL ``text`` values joined in the order of
+    the columns ``order`` (NULLs first); NULL where there is none.
+
+    ``listagg`` sorts a group in one task, so it runs per bucket of ``width`` units
+    of the first order column, and then joins the buckets' lists: of a hot key, a
+    task sorts one bucket, and the last step meets one list per bucket.
+    """
+    quoted = lambda c: f"`{c}`"
+    joined = lambda c, by: F.expr(f"listagg({quoted(c)}, {sep!r}) WITHIN GROUP (ORDER BY {by})")
+    by = ", ".join(f"{quoted(c)} ASC NULLS FIRST" for c in order)
+    cut = df.where(F.col(text).isNotNull()).withColumn("__bucket", F.floor(F.col(order[0]) / F.lit(width)))
+    lists = cut.groupBy(*keys, "__bucket").agg(joined(text, by).alias("__list"))
+    found = lists.groupBy(*keys).agg(joined("__list", "`__bucket` ASC NULLS FIRST").alias(out))
+    groups = df.select(*keys).distinct()
+    same = [groups[k].eqNullSafe(found[k]) for k in keys]
+    return groups.join(found, same, "left").select(*[groups[k] for k in keys], out)
+
+
 def non_pageview_sessions(base: DataFrame, cfg: RunConfig) -> DataFrame:
     """Model M2: sessions without any page view, shaped like traffic events."""
     g = page_view_counts(base, cfg).where(F.col("n_page_views") == 0)
@@ -207,46 +233,16 @@ def _lookback_simple(s: DataFrame, lookback: int) -> Column:
     return F.max_by(v, F.when(v.isNotNull(), F.struct("session_start_time", "session_key"))).over(w)
 
 
-def _lookback_bucketed(s: DataFrame, lookback: int, bucket_seconds: int) -> DataFrame:
-    """Last non-NULL struct of the same user in [t - lookback, t - 1], exact.
-
-    Windows run per (user, time bucket), so a hot user is split by time; the
-    candidate from earlier buckets comes from a per-(user, bucket) summary
-    (bounded by the number of buckets per user) and is used when it is still
-    inside the look-back.
-    """
-    v, t = F.col("last_non_null_value_session"), F.col("session_start_time")
-    order_key = F.when(v.isNotNull(), F.struct(t, F.col("session_key")))
-    # a bucket is never wider than the look-back, so every earlier session of
-    # the same bucket is inside it: the in-bucket frame is "all earlier rows",
-    # which Spark evaluates incrementally (a sliding [t - L, t - 1] frame is
-    # re-aggregated whenever it changes: quadratic in a hot user's bucket)
-    width = min(bucket_seconds, lookback)
-    x = s.select("*", F.coalesce(F.col("user_key"), F.lit("")).alias("__u"),
-                 F.col("user_key").isNull().alias("__un"),
-                 F.coalesce(F.floor(t / F.lit(width)), F.lit(-(2 ** 63))).alias("__b"))
-    parts = ["__u", "__un", "__b"]
-    w_in = (Window.partitionBy(*parts).orderBy("session_start_time")
-            .rangeBetween(Window.unboundedPreceding, -1))
-    x = x.withColumn("__in", F.max_by(v, order_key).over(w_in))
-    # one row per (user, bucket) that has sessions; __last is NULL when none
-    # of them has a source (max_by skips NULL ordering values)
-    summary = (x.where(t.isNotNull()).groupBy(*parts)
-                .agg(F.max_by(F.struct(v.alias("v"), t.alias("t")), order_key).alias("__last")))
-    w_prev = (Window.partitionBy("__u", "__un").orderBy("__b")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    prev = summary.select(*parts, F.max_by(F.col("__last"), F.col("__last.t")).over(w_prev).alias("__prev"))
-    j = x.join(prev, parts, "left")
-    prior = F.when(F.col("__prev.t") >= t - F.lit(lookback), F.col("__prev.v"))
-    return j.withColumn("__lookback", F.when(t.isNotNull(), F.coalesce(F.col("__in"), prior))).drop(*parts, "__in", "__prev")
-
-
 def session_last_user_source(first_last: DataFrame, cfg: RunConfig,
                              lookback_seconds: int | None = None,
-                             strategy: str = "bucketed", keep_first: bool = False) -> DataFrame:
+                             strategy: str = "asof", keep_first: bool = False) -> DataFrame:
     """Model M6: the session's own first source, else the user's last
     non-NULL source of sessions that started 1 s .. ``lookback`` s earlier.
 
+    ``strategy='asof'`` deals the sessions once, by ranges of (user, start), and
+    carries the last source along (one user may fill any number of ranges);
+    ``'window'`` is the plain sliding window per user.
+
     The current session's own later source is never used.  A session without a
     start time gets no look-back.
     """
@@ -257,8 +253,9 @@ def session_last_user_source(first_last: DataFrame, cfg: RunConfig,
         # the look-back before them (the bound is checked by the config); the
         # first/last table itself keeps its whole history
         s = s.where(last_n_days(F.col("event_date_dt"), cfg.run_date, cfg.first_last_days) | F.col("event_date_dt").isNull())
-    if strategy == "bucketed":
-        s = _lookback_bucketed(s, L, cfg.lookback_bucket_seconds)
+    if strategy == "asof":
+        s = s.select("event_date_dt", "user_key", "session_key", "session_start_time", "first_value_session", "last_non_null_value_session")
+        s = last_before(s, "user_key", "session_start_time", "session_key", "last_non_null_value_session", "__lookback", L)
     elif strategy == "window":
         s = s.withColumn("__lookback", F.when(F.col("session_start_time").isNotNull(), _lookback_simple(s, L)))
     else:
@@ -275,7 +272,7 @@ SESSION_KEYS = ["event_date_dt", "session_key", "user_key", "session_start_time"
 
 
 def session_channel_groups(first_last: DataFrame, cfg: RunConfig, lookback_seconds: int | None = None,
-                           strategy: str = "bucketed") -> DataFrame:
+                           strategy: str = "asof") -> DataFrame:
     """Model M7: session source by precedence session -> user -> NULL, then
     the custom channel-group rules.
 

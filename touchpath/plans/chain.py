@@ -2,10 +2,12 @@
 
 Entry A: session channel groups; entry B: click id -> campaign name; entry C:
 daily sessions report.  ``durable`` names the models written to the shared
-folder and read back (tables, as the original keeps them), which cuts lineage
-and lets later date filters prune partitions.  By default these are the keyed
-events, so the export is read once however many models need it, and the
-first/last sources, which the look-back reads twice.
+folder and read back (tables, as the original keeps them), which cuts lineage.
+By default these are the two that are read more than once: the columns of the
+keyed events that both the page views and the silent sessions need, and the
+first/last sources.  They are written as they come from the scan or the
+aggregate, without a shuffle of their own; a model with one reader is not
+stored, and with ``durable=()`` no job runs before a result is asked for.
 """
 
 from __future__ import annotations
@@ -49,22 +51,20 @@ class Chain:
     cfg: RunConfig
     variant: str = "gclid"
     numbering: str = "bucketed"
-    lookback_strategy: str = "bucketed"
+    lookback_strategy: str = "asof"
     overrides: dict = field(default_factory=dict)
-    # models written as date-partitioned tables in the shared folder and read
-    # back (durable boundaries: lineage is cut, later date filters prune)
-    durable: tuple = ("events", "first_last")
+    # models written to the shared folder and read back (durable boundaries)
+    durable: tuple = ("traffic_events", "first_last")
     _stored: list = field(default_factory=list, repr=False)
 
     def _boundary(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.durable:
             return df
         from touchpath.session import scratch_path
-        from touchpath.sources.sinks import write_full
         path = scratch_path(self.spark, f"model-{name}")
-        write_full(df, path, partition_by="event_date_dt")
+        df.write.parquet(path)
         self._stored.append(path)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
         """Remove the tables that this chain wrote; its DataFrames are of no
@@ -77,17 +77,23 @@ class Chain:
     def base(self) -> DataFrame:
         if "base" in self.overrides:
             return self.overrides["base"]
-        keyed = keyed_events(self.raw_events, self.cfg) if "base" in self.durable and "events" not in self.durable else self.events
-        return self._boundary("base", base_events(None, self.cfg, self.numbering, keyed=keyed))
+        return self._boundary("base", base_events(None, self.cfg, self.numbering, keyed=keyed_events(self.raw_events, self.cfg)))
 
     @cached_property
     def events(self) -> DataFrame:
         """Keyed events for the downstream models: M1 without its event number
         (the M1 table itself when that is given, or is the one stored)."""
-        if "base" in self.overrides or ("base" in self.durable and "events" not in self.durable):
+        if "base" in self.overrides or "base" in self.durable:
             return self.base
         return self._boundary("events", keyed_events(self.raw_events, self.cfg))
 
+    @cached_property
+    def traffic_events(self) -> DataFrame:
+        """The columns that page views and silent sessions read."""
+        if "base" in self.overrides or {"base", "events"} & set(self.durable):
+            return self.events
+        return self._boundary("traffic_events", self.events.select(*S.TRAFFIC_INPUT))
+
     @cached_property
     def clicks(self) -> DataFrame:
         return A.ads_click_stats(self.spark, self.click_tables, self.cfg)
@@ -106,13 +112,17 @@ class Chain:
 
     @cached_property
     def adjusted(self) -> DataFrame:
+        return self._adjusted(self.events)
+
+    def _adjusted(self, events: DataFrame) -> DataFrame:
         if self.variant == "gclid":
-            return S.adjust_google_params(self.events, self.gclid_campaigns, self.cfg)
-        return S.adjust_google_params_urlparam(self.events, self.cfg)
+            return S.adjust_google_params(events, self.gclid_campaigns, self.cfg)
+        return S.adjust_google_params_urlparam(events, self.cfg)
 
     @cached_property
     def traffic(self) -> DataFrame:
-        return self._boundary("traffic", S.with_silent_sessions(self.adjusted, self.silent_sessions, self.cfg))
+        adjusted, silent = self._adjusted(self.traffic_events), S.non_pageview_sessions(self.traffic_events, self.cfg)
+        return self._boundary("traffic", S.with_silent_sessions(adjusted, silent, self.cfg))
 
     @cached_property
     def first_last(self) -> DataFrame:

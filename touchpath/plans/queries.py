@@ -21,6 +21,7 @@ from touchpath.operators.reports import sessions_per_channel
 from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain, fixture_registry
 from touchpath.session import configure, scratch_path
 from touchpath.sources import fixtures, ga4, sinks
+from touchpath.sources.ads import SourceRegistry
 from touchpath.streaming.incremental import IncrementalRunner
 from touchpath.streaming.session_state import FirstLastState
 
@@ -71,6 +72,35 @@ def q_dev_sample(spark, sf):
         "event_date_dt", "event_timestamp", "event_name", "session_key")
 
 
+def q_dev_block_sample(spark, sf):
+    """A dev run that samples blocks: of the last two days' shards, stored by the
+    hour, a quarter of the hours is read."""
+    ch = _chain(spark, sf)
+    root = scratch_path(spark, "hourly-shards")
+    days = [RUN - timedelta(days=i) for i in (1, 2)]
+    ga4.write_ga4_shards(ch.raw_events.where(F.col("shard_date").isin(days)), root, by_hour=True)
+    raw = ga4.read_ga4_shards(spark, root, days=days, schema=ga4.EXPORT_SCHEMA, sample_percent=25, sample_unit="folder")
+    return keyed_events(raw, ch.cfg.with_(mode=DEV, dev_sampling="blocks")).select(
+        "event_date_dt", "event_timestamp", "event_name", "session_key")
+
+
+def q_src_declared_tables(spark, sf):
+    """Rows of every declared ad-account table by its name; the entity and statistics
+    tables that no model reads hold, here, each account's clicks."""
+    configure(spark)
+    base = fixture_registry(spark, sf)
+    registry = SourceRegistry.declared("/not/there", shopping=["de", "at"])
+    for name in registry.entries:
+        kind = name[: -len(name.split("_")[-1]) - 1] if not name.endswith("_brand") else name.rsplit("_", 2)[0]
+        account = name[len(kind) + 1:]
+        registry.register(name, base.entries.get(name, base.entries[f"{SourceRegistry.CLICKS}{account}"]))
+    out = None
+    for name in registry.entries:
+        part = registry.table(spark, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("source_table"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_sink_full_rebuild(spark, sf):
     """Two full loads into one location; the second replaces the first."""
     path = scratch_path(spark, "full-rebuild")
@@ -264,10 +294,20 @@ def q_non_pageview_sessions(spark, sf):
 
 
 def q_ordered_string_agg(spark, sf):
+    """Per session: the page-view marker's aggregate, and the names of all events
+    and the paths of all pages in the order of their time (equal times by text)."""
     ch = _chain(spark, sf)
-    g = S.page_view_counts(ch.events, ch.cfg)
-    return g.select("session_key", "user_key", "session_start_time",
-                    S.page_view_string(F.col("n_page_views")).alias("has_pageview"))
+    keys = ["session_key", "user_key", "session_start_time"]
+    ev = apply_window(ch.events, ch.cfg, "non_pageview_sessions").select(
+        "session_key", "user_key", F.col("ga_session_id").alias("session_start_time"), "event_timestamp", "event_name", "page_path",
+        F.when(F.col("event_name") == "page_view", F.col("event_name")).alias("marker"))
+    lists = [S.ordered_string_agg(ev, keys, text, ["event_timestamp", text], out, sep)
+             for text, out, sep in (("marker", "has_pageview", ","), ("event_name", "event_names", ","), ("page_path", "page_paths", " > "))]
+    out = lists[0]
+    for other in lists[1:]:
+        cols = [*out.columns, other.columns[-1]]
+        out = out.join(other, [out[k].eqNullSafe(other[k]) for k in keys]).select(*[out[c] for c in out.columns], other[cols[-1]])
+    return out
 
 
 def q_join_gclid_campaign(spark, sf):
@@ -302,7 +342,7 @@ def q_ads_campaign_names_ignore_nulls(spark, sf):
 
 
 def q_session_first_last_source_drop_null_keys(spark, sf):
-    ch = _chain(spark, sf, cfg=RunConfig(run_date=RUN, drop_null_keys=True))
+    ch = _chain(spark, sf, cfg=RunConfig(run_date=RUN, drop_null_keys=True), durable=("traffic_events",))
     return _first_last_flat(ch.first_last)
 
 
@@ -321,13 +361,13 @@ def _first_last_flat(fl: DataFrame) -> DataFrame:
 
 
 def q_session_first_last_source(spark, sf):
-    return _first_last_flat(_chain(spark, sf).first_last)
+    return _first_last_flat(_chain(spark, sf, durable=("traffic_events",)).first_last)
 
 
 def q_session_first_last_source_daily(spark, sf):
     """First and last source kept as states: a load up to the 26th, whose own day
     was not complete, then two runs that reload from their last day on."""
-    traffic = _chain(spark, sf, durable=("events", "traffic")).traffic
+    traffic = _chain(spark, sf, durable=("traffic_events", "traffic")).traffic
     state = FirstLastState(spark, scratch_path(spark, "first-last-daily"))
     day = F.col("event_date_dt")
     until = lambda n: traffic.where(day <= F.lit(date(2024, 1, n)))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchpath.functions.dates import shard_date
+from touchpath.sources.sampling import sampled_files
 
 
 #: The export's columns, as far as the models read them (FIXTURES 1.1).
@@ -34,7 +35,8 @@ def _list_shards(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None = None,
-                    prefer_daily: bool = False, schema=None, missing: str = "raise") -> DataFrame:
+                    prefer_daily: bool = False, schema=None, missing: str = "raise",
+                    sample_percent: float | None = None, seed: int = 42, sample_unit: str = "file") -> DataFrame:
     """Read ``events_YYYYMMDD`` / ``events_intraday_YYYYMMDD`` shard folders.
 
     Only the folders of the wanted ``days`` are listed (true pruning: other
@@ -47,6 +49,9 @@ def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None
     A wanted day without a shard raises, as a reload would empty that day's
     stored partition.  ``missing='leading'`` lets days before the first shard be
     absent (an export that began inside the window), ``'allow'`` any.
+
+    ``sample_percent`` reads a seeded sample of the shards' files alone (or of their
+    sub-folders, ``sample_unit='folder'``); the others cost no reading.
     """
     if missing not in ("raise", "leading", "allow"):
         raise ValueError(missing)
@@ -71,12 +76,15 @@ def read_ga4_shards(spark: SparkSession, root: str, days: Iterable[date] | None
         if absent:
             raise FileNotFoundError(f"no event shard of {', '.join(d.isoformat() for d in absent)} in {root}")
     reader = spark.read if schema is None else spark.read.schema(schema)
+    if sample_percent is not None:
+        paths = sampled_files(spark, paths, sample_percent, seed, sample_unit) or paths
     df = reader.parquet(*paths)
     return df.withColumn("shard_date", shard_date(F.col("_metadata.file_path")))
 
 
-def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = ()) -> None:
-    """Write an export as one shard folder per day (``shard=events_YYYYMMDD``).
+def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = (), by_hour: bool = False) -> None:
+    """Write an export as one shard folder per day (``shard=events_YYYYMMDD``), with
+    a sub-folder per hour of the event time where ``by_hour``.
 
     One write job: the shard name is a partition value, so Spark fans rows out
     to folders in parallel; the rebalance spreads a large day over several
@@ -87,6 +95,9 @@ def write_ga4_shards(df: DataFrame, root: str, intraday_days: Iterable[date] = (
         F.lit("events_"),
         F.when(F.col("shard_date").isin(intraday), F.lit("intraday_")).otherwise(F.lit("")) if intraday else F.lit(""),
         F.date_format("shard_date", "yyyyMMdd"))
+    keys = ["shard", "hour"] if by_hour else ["shard"]
+    if by_hour:
+        df = df.withColumn("hour", (F.floor(F.col("event_timestamp") / 3_600_000_000) % 24).cast("int"))
     (df.withColumn("shard", name).drop("shard_date")
-       .hint("rebalance", "shard")
-       .write.mode("overwrite").partitionBy("shard").parquet(root))
+       .hint("rebalance", *keys)
+       .write.mode("overwrite").partitionBy(*keys).parquet(root))

@@ -72,6 +72,21 @@ ORACLES: dict[str, str] = {
         "SELECT event_date_dt, event_timestamp, event_name, session_key FROM base "
         f"WHERE {last_n('event_date_dt', RUN, 2)} AND CAST('0x' || substr(md5('42|' || CAST(event_timestamp AS VARCHAR) || '|' "
         "|| event_name || '|' || coalesce(user_id, '') || '|' || coalesce(user_pseudo_id, '')), 1, 8) AS BIGINT) % 10000 < 500"),
+    "dev_block_sample": with_chain(
+        "SELECT event_date_dt, event_timestamp, event_name, session_key FROM sampled WHERE place < 2500 OR place = least",
+        extra=f"""sampled AS (
+  SELECT *, min(place) OVER () AS least FROM (
+    SELECT *, CAST('0x' || substr(md5('42|shard=events_' || strftime(event_date_dt, '%Y%m%d') || '/hour='
+        || CAST((event_timestamp // 3600000000) % 24 AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS place
+    FROM base WHERE {last_n('event_date_dt', RUN, 2)}))"""),
+    "src_declared_tables": with_chain(" UNION ALL ".join(
+        [f"SELECT '{kind}_{a}' AS source_table, count(*) AS n_rows FROM clicks_raw WHERE account = '{a}'"
+         for a in ("de", "at") for kind in ("click_stats", "search_query_stats", "campaign_stats", "ad_stats", "ads", "ad_groups",
+                                            "ad_group_stats", "criteria", "keywords")]
+        + [f"SELECT 'click_stats_{a}', count(*) FROM clicks_raw WHERE account = '{a}'" for a in ("de_brand", "at_brand", "ch_brand")]
+        + ["SELECT 'geo_stats_de_brand', count(*) FROM clicks_raw WHERE account = 'de_brand'"]
+        + [f"SELECT 'campaigns_{a}', count(*) FROM camp_raw WHERE acc = {i}" for i, a in enumerate(("de", "at", "de_brand", "at_brand", "ch_brand"))]
+        + [f"SELECT 'shopping_products_{a}', count(*) FROM ga4 WHERE event_name = 'purchase' AND event_id % 2 = {i}" for i, a in enumerate(("de", "at"))])),
     "high_water_mark": with_chain("SELECT max(event_date_dt) AS high_water_mark FROM silent"),
     "extract_params": with_chain(
         "SELECT event_timestamp, ga_session_id, page_location, ga_session_number, session_engaged, engagement_time_msec, "
@@ -108,7 +123,9 @@ FROM u""",
     "non_pageview_sessions": with_chain(f"SELECT {TRAFFIC_COLS} FROM silent"),
     "ordered_string_agg": with_chain(
         "SELECT session_key, user_key, ga_session_id AS session_start_time, "
-        "string_agg(CASE WHEN event_name = 'page_view' THEN event_name END, ',' ORDER BY event_timestamp) AS has_pageview "
+        "string_agg(CASE WHEN event_name = 'page_view' THEN event_name END, ',' ORDER BY event_timestamp) AS has_pageview, "
+        "string_agg(event_name, ',' ORDER BY event_timestamp, event_name) AS event_names, "
+        "string_agg(page_path, ' > ' ORDER BY event_timestamp, page_path) AS page_paths "
         f"FROM base WHERE {last_n('event_date_dt', RUN, 30)} GROUP BY session_key, user_key, ga_session_id"),
     "join_gclid_campaign": with_chain("SELECT event_timestamp, sk_id, gclid, gads_campaign_name FROM pvj"),
     "gclid_campaigns": with_chain("SELECT * FROM gclid_campaigns"),
