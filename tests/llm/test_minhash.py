@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -113,16 +114,43 @@ def test_pairs_within_the_distance_share_a_key():
         assert set(minhash.chunk_keys(a)) & set(minhash.chunk_keys(b))
 
 
-def test_distance_counts_values(spark):
-    rng = np.random.default_rng(2)
+def test_sketches_never_differ_in_more_bits_than_sets_in_shingles(spark):
+    rng = np.random.default_rng(4)
     rows = []
-    for k in range(33):
-        a = rng.integers(0, 1 << 14, 32).astype(np.uint16)
-        b = a.copy()
-        b[rng.choice(32, k, replace=False)] ^= rng.integers(1, 1 << 14, k).astype(np.uint16)
-        rows.append((k, minhash.packed(a), minhash.packed(b)))
-    d = spark.createDataFrame(rows, "k int, a array<long>, b array<long>").select("k", F.struct(F.col("a").alias("sig")).alias("x"), F.struct(F.col("b").alias("sig")).alias("y"))
-    assert all(r["k"] == r["d"] for r in d.select("k", minhash.distance("x", "y").alias("d")).collect())
+    for i in range(200):
+        both = rng.integers(0, 1 << 62, rng.integers(0, 900)).astype(np.uint64)
+        only = [rng.integers(0, 1 << 62, rng.integers(0, 300 if i % 2 else 6)).astype(np.uint64) for _ in "ab"]
+        a, b = (np.unique(np.concatenate([both, x])) for x in only)
+        if len(a) and len(b):
+            rows.append((len(np.setxor1d(a, b)), minhash.sketch(a), minhash.sketch(b)))
+    got = spark.createDataFrame(rows, "k int, a array<long>, b array<long>").select("k", minhash.unlike("a", "b").alias("d")).collect()
+    assert len(got) > 150 and all(r["d"] <= r["k"] and r["d"] % 2 == r["k"] % 2 for r in got)
+    few = [r for r in got if r["k"] <= 12]
+    assert few and sum(r["d"] == r["k"] for r in few) > 0.8 * len(few)
+
+
+def test_links_of_far_signatures_are_kept(spark):
+    """Linked texts whose signatures differ in many values, but that share a key."""
+    rng = random.Random(11)
+    found = 0
+    for _ in range(4000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(48)]
+        other = list(base)
+        for i in rng.sample(range(5, 44, 8), 2):
+            other[i] = f"x{rng.randrange(10**6)}"
+        a, b = (" ".join(x) for x in (base, other))
+        sets = [next(minhash.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), 2)) for t in (a, b)]
+        both = len(np.intersect1d(*sets))
+        if 100 * both < 80 * (len(sets[0]) + len(sets[1]) - both):
+            continue
+        sigs = [minhash.signature(x) for x in sets]
+        if (sigs[0] != sigs[1]).sum() >= 13 and set(minhash.chunk_keys(sigs[0])) & set(minhash.chunk_keys(sigs[1])):
+            found += 1
+            out = minhash.link_components(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string"), 2).collect()
+            assert {r["component_id"] for r in out} == {1}
+            if found == 2:
+                break
+    assert found
 
 
 def test_components_of_edges(spark):

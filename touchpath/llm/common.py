@@ -44,15 +44,16 @@ _STASHED: list[str] = []
 FILE_ROWS = 50_000
 
 
-def stash(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def stash(df: DataFrame, name: str, rows: int | None = None, light: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut
     by files that every executor sees, so a lost executor repeats nothing
     before them.  With a bound on its ``rows``, a small table is written as few
-    files (opening one costs more than the rows of hundreds of partitions)."""
+    files (opening one costs more than the rows of hundreds of partitions): they
+    are dealt anew, or, if the last step is ``light``, made by as few tasks."""
     small_batches(df.sparkSession)
     files = None if rows is None else max(1, -(-rows // FILE_ROWS))
     if files is not None and files < parts(df.sparkSession):
-        df = df.repartition(files)
+        df = df.coalesce(files) if light else df.repartition(files)
     path = scratch_path(df.sparkSession, name)
     _STASHED.append(path)
     df.write.parquet(path)

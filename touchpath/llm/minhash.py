@@ -8,7 +8,11 @@ most one error, so each chunk is looked up under every choice of the value that
 may be wrong: 32 keys a signature, and every pair within the distance shares one.
 (A pair at similarity 0.8 misses all of them with probability 1e-6.)
 
-Texts with equal sets form one class; only classes are joined.  Links are
+Texts with equal sets form one class; only classes are joined.  Every pair that
+shares a key is judged, whatever its signatures' distance: first by sizes and by
+sketches of the whole sets (512 bits, each the parity of the shingles that fall on
+it).  A shingle that one set lacks flips one bit, so sketches differ in at most as
+many bits as the sets in shingles: this step drops no link.  What is left is
 confirmed on full sets: 100 * intersection >= 80 * union.  A bucket of any size
 yields a star to one hub, not all its pairs: classes that end in one component
 need no more pairs.  Then members of one bucket that lie in different components
@@ -31,15 +35,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchpath.llm.common import boxed, components, join_groups, slices, stash, utf8, word_bounds, word_hashes
 from touchpath.llm.texthash import Runs, mix
 
 VALUES, CHUNK = 32, 4
-#: Signatures that differ in more values are not compared on full sets (a pair
-#: at similarity 0.8 does so with probability 6e-6).
-DISTANCE = 17
+#: Bits of a set's sketch.
+SKETCH = 512
 #: Least similarity in per cent.
 PERCENT = 80
 SHINGLE_WORDS = 5
@@ -102,63 +106,36 @@ def chunk_keys(sig: np.ndarray) -> list[int]:
     return out.reshape(-1).view(np.int64).tolist()
 
 
-def packed(sig: np.ndarray) -> list[int]:
-    """The signature as one long per chunk: four lanes of 14 bits and a guard."""
-    parts = sig.reshape(-1, CHUNK).astype(_U)
-    code = np.zeros(len(parts), _U)
-    for v in range(CHUNK):
-        code = (code << _U(15)) | parts[:, v]
-    return code.view(np.int64).tolist()
-
-
-#: All data bits of the four lanes, and their guard bits.
-_DATA = sum(0x3FFF << 15 * v for v in range(CHUNK))
-_GUARD = sum(0x4000 << 15 * v for v in range(CHUNK))
-
+def sketch(shingles: np.ndarray) -> list[int]:
+    """Parities of the set's shingles by the low bits of their hash, as longs."""
+    bits = np.bincount((mix(shingles) & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
-def wrong_values(x: str, y: str) -> list[Column]:
-    """Values that differ between the signatures of two join sides, chunk by
-    chunk: adding all data bits carries into a lane's guard if it is not 0."""
-    return [F.bit_count((F.col(f"{x}.sig")[i].bitwiseXOR(F.col(f"{y}.sig")[i]) + F.lit(_DATA)).bitwiseAND(F.lit(_GUARD))) for i in range(VALUES // CHUNK)]
 
+def unlike(x: str, y: str) -> Column:
+    """Bits that differ between the sketches of two join sides: no more than the
+    shingles that one of the two sets lacks."""
+    return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(1, SKETCH // 64)), F.bit_count(F.col(x)[0].bitwiseXOR(F.col(y)[0])))
 
-def distance(x: str, y: str) -> Column:
-    first, *others = wrong_values(x, y)
-    return sum(others, first)
 
-
-def first_common_key(x: str, y: str) -> Column:
-    """Whether this key (number ``slot``) is the first that both signatures
-    have; so a pair that shares many buckets is made once."""
-    # twice the first chunk with at most one error, plus its errors
-    found = F.lit(-9)
-    for i, wrong in reversed(list(enumerate(wrong_values(x, y)))):
-        found = F.when(wrong <= 1, wrong + 2 * i).otherwise(found)
-    slot = F.col(f"{x}.slot")
-    chunk = F.floor(slot / CHUNK).cast("int") * 2
-    # with an error, one of the chunk's keys agrees; without, the first counts
-    return found.isin(chunk + 1, chunk + (slot % CHUNK != 0).cast("int"))
-
-
-FEATURES = "doc_id long, text_hash long, n long, set_id binary, keys array<long>, sig array<long>"
+FEATURES = "doc_id long, text_hash long, n long, set_id binary, keys array<long>, sketch array<long>"
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, text_hash, n, set_id, keys, sig) of each row of ``docs`` (doc_id,
+    """(doc_id, text_hash, n, set_id, keys, sketch) of each row of ``docs`` (doc_id,
     text); set_id names the set (128 bits), null for an empty one."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, ids, keys, sigs = [], [], [], []
+            n, ids, keys, sketches = [], [], [], []
             for s in shingle_sets(*utf8(b.column(2)), k):
                 n.append(len(s))
                 ids.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sig = signature(s) if len(s) else None
-                keys.append(chunk_keys(sig) if len(s) else None)
-                sigs.append(packed(sig) if len(s) else None)
+                keys.append(chunk_keys(signature(s)) if len(s) else None)
+                sketches.append(sketch(s) if len(s) else None)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, longs), pa.array(sigs, longs)],
-                                             names=["doc_id", "text_hash", "n", "set_id", "keys", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, longs), pa.array(sketches, longs)],
+                                             names=["doc_id", "text_hash", "n", "set_id", "keys", "sketch"])
 
     return keyed(docs).mapInArrow(make, FEATURES)
 
@@ -177,9 +154,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             sets = [s.view(np.int64) for s in shingle_sets(*utf8(b.column(1)), k)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    rows, want = keyed(docs), wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    hit = rows.join(want, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return hit.dropDuplicates(["node"]).select("node", "text").mapInArrow(make, "node long, shingles array<long>")
+    # one key for both columns, so that repeated rows meet without another exchange
+    key = F.xxhash64("text_hash", F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()).alias("_key")
+    rows = keyed(docs).select("doc_id", "text_hash", "text", key)
+    want = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), key)
+    hit = rows.join(want, "_key").where((F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return hit.dropDuplicates(["_key", "node"]).select("node", "text").mapInArrow(make, "node long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -271,35 +251,42 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     rows = stash(features(docs, shingle_words), "features")
     low = F.lit(-(1 << 63))
     first = F.min(F.struct(F.coalesce("doc_id", low).alias("at"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash")))
-    classes = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(first.alias("r"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("rows"))
+    classes = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(first.alias("r"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
     total = rows.where("set_id IS NOT NULL").count()
-    classes = stash(classes.select("set_id", "r.at", "r.doc_id", "r.text_hash", "n", "keys", "sig", "rows", F.monotonically_increasing_id().alias("node")), "classes", 4 * total)
+    classes = stash(classes.select("set_id", "r.at", "r.doc_id", "r.text_hash", "n", "keys", "sketch", "rows", F.monotonically_increasing_id().alias("node")), "classes", 4 * total, light=True)
 
     # buckets of at least two classes; a class weighs what its buckets hold
-    keys = classes.select("node", "n", F.posexplode("keys").alias("slot", "key"))
-    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = stash(keys.join(many, "key").select("key", "slot", "node", "n", "members"), "buckets", 8 * total)
+    keys = classes.select("node", "n", F.explode("keys").alias("key")).withColumn("members", F.count(F.lit(1)).over(W.partitionBy("key")))
+    shared = stash(keys.where("members > 1"), "buckets", VALUES * total, light=True)
     size = shared.count()
     weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
-    sigs = classes.select("node", "sig")
-    shared = stash(shared.join(weight, "node").join(sigs, "node"), "buckets", size)
-    reps = classes.join(weight.select("node"), "node", "left_semi")
-    sets = stash(full_sets(docs, reps, shingle_words), "sets", 16 * min(size, total))
+    shared = stash(shared.join(weight, "node"), "buckets", size, light=True)
+    sketches = stash(classes.select("node", "doc_id", "text_hash", "sketch").join(weight.select("node"), "node", "left_semi"), "sketches", 4 * min(size, total), light=True)
+    sets = stash(full_sets(docs, sketches, shingle_words), "sets", 16 * min(size, total), light=True)
 
     def alike(x: str, y: str) -> Column:
-        """What sizes and signatures leave possible."""
+        """What the sizes leave possible."""
         a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (distance(x, y) <= DISTANCE)
+        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+    def near(n: Column, m: Column, x: str, y: str) -> Column:
+        """What the sketches leave possible: sets of n and m shingles that are linked
+        differ in (n + m) * (100 - percent) / (100 + percent) of them at most."""
+        return unlike(x, y) * (100 + percent) <= (n + m) * (100 - percent)
 
     def hubs(rank: Column) -> DataFrame:
-        return shared.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n", "sig")).alias("hub")).select("key", "hub.*")
+        return shared.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n")).alias("hub")).select("key", "hub.*")
 
     def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
         return rows.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def fresh(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", size)
+        """Pairs (a, b, m: their shingles together) that were not tested yet, each once,
+        as far as their sketches leave a link possible."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m").distinct().join(tested, ["a", "b"], "left_anti")
+        side = lambda at, out: sketches.select(F.col("node").alias(at), F.col("sketch").alias(out))
+        both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(near(F.col("m"), F.lit(0), "x", "y"))
+        return stash(both.select("a", "b"), "pairs", size)
 
     # stars: the first hub is the weightiest class, a text the others derive
     # from; later ones are drawn anew in each bucket
@@ -310,7 +297,7 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         x, y = at.join(mixed, "key").alias("x"), labelled(hubs(F.col("weight") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))), label).alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y"))
-        pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
+        pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("m")), tested)
         found = stash(confirmed(pairs, sets, percent), "links", pairs.count())
         links, tested = links.unionByName(found), tested.unionByName(pairs)
         label = components(links, "components", size)
@@ -321,9 +308,11 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     at = labelled(shared, label)
     per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
     at = stash(at.join(per, "key"), "apart", size)
-    x, y = at.where(F.col("members") <= LARGE).alias("x"), at.where(F.col("members") <= LARGE).alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & first_common_key("x", "y")
-    pairs = fresh(x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), tested)
+    small = at.where(F.col("members") <= LARGE).join(sketches.select("node", "sketch"), "node")
+    x, y = small.alias("x"), small.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & near(F.col("x.n"), F.col("y.n"), "x.sketch", "y.sketch")
+    pairs = x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    pairs = stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", size)
     links = links.unionByName(stash(confirmed(pairs, sets, percent), "links", pairs.count()))
     large = at.where(F.col("members") > LARGE)
     if not large.isEmpty():
