@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from touchpath.llm.common import boxed, components, join_groups, slices, stash, utf8, word_bounds, word_hashes
 from touchpath.llm.texthash import Runs, mix
+from touchpath.operators.membership import key_filter, possible_members
 
 VALUES, CHUNK = 32, 4
 #: Bits of a set's sketch.
@@ -158,6 +159,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     key = F.xxhash64("text_hash", F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()).alias("_key")
     rows = keyed(docs).select("doc_id", "text_hash", "text", key)
     want = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), key)
+    # most texts have no such class: they stay out of the exchange
+    rows = possible_members(rows, ["_key"], key_filter(want, ["_key"]))
     hit = rows.join(want, "_key").where((F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     return hit.dropDuplicates(["_key", "node"]).select("node", "text").mapInArrow(make, "node long, shingles array<long>")
 
