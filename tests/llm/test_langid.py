@@ -47,7 +47,7 @@ def test_scores_do_not_depend_on_blocks_or_batches(docs, monkeypatch):
 def test_labels_of_predicted_rows_are_no_input(docs):
     model = langid.fit(docs)
     out = langid.identify(docs, model).select("text", "lang_pred", "score")
-    blind = langid.identify(docs.withColumn("lang", F.lit("zz")).withColumn("score", F.lit(7)), model).select("text", "lang_pred", "score")
+    blind = langid.identify(docs.withColumn("lang", F.lit("zz")).withColumns({c: F.lit(7) for c in ("score", "_guess", "_letter", "guess", "letter", "row")}), model).select("text", "lang_pred", "score")
     assert sorted(map(str, out.collect())) == sorted(map(str, blind.collect()))
 
 

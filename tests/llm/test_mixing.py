@@ -1,9 +1,10 @@
 import math
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import corpus
+from tests.llm.conftest import SCHEMA, corpus
 from touchpath.llm import common, mixing
 from touchpath.llm.queries import QUERIES
 
@@ -80,3 +81,24 @@ def test_clashing_columns_and_textless_sources(spark, docs):
     assert out.count() == d.count()
     none = spark.createDataFrame([(1, "s", 0), (2, None, 0)], "doc_id long, source string, size long")
     assert [r["target"] for r in mixing.mix(none).collect()] == [0.0, 0.0]
+
+
+def test_a_null_is_no_value_of_its_own_name(spark):
+    """Rows that differ in a null alone are documents each."""
+    rows = [(1, "t u v", None, None, 5), (1, "t u v", None, "~", 5), (1, "t u v", None, "", 5), (None, "t u v", None, "s", 5), (-(1 << 63), "t u v", None, "s", 5),
+            (2, None, None, "s", 0), (2, "", None, "s", 0), (1, "t u v", None, None, 5)]
+    out = mixing.resample(spark.createDataFrame(rows, SCHEMA)).collect()
+    sized = mixing.mix(spark.createDataFrame(rows, SCHEMA).withColumn("size", common.count_words("text"))).collect()
+    from collections import Counter
+    want = Counter()
+    for r in sized:
+        want[r["source"], r["text"] is None, r["text"]] += r["copies"]
+    assert Counter((r["source"], r["text"] is None, r["text"]) for r in out) == +want
+    assert {None, "~", ""} <= {s for s, *_ in +want}
+
+
+def test_an_unsolved_dual_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    rows = [(i, "w " * (i + 1), None, "ab"[i % 2], 0) for i in range(20)]
+    with pytest.raises(RuntimeError, match="not solved"):
+        mixing.mix(spark.createDataFrame(rows, SCHEMA).withColumn("size", common.count_words("text"))).collect()

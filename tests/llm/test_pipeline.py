@@ -1,3 +1,4 @@
+import os
 import re
 from collections import Counter
 
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.llm import test_exact_dedup, test_minhash, test_mixing, test_packing
 from tests.llm.conftest import corpus
-from touchpath.llm import common
+from touchpath.llm import common, exact_dedup
+from touchpath.session import checkpoint_root
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -80,10 +82,14 @@ def test_mixing_stage_reaches_the_targets(spark, docs):
 
 def test_run_on_a_real_table(spark):
     folder = "/root/testdata/sf0.001"
-    common.drop_stashed(spark)
+    # an unrelated result that is not asked for yet keeps its tables
+    lazy = exact_dedup.exact_duplicates(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
+    top = f"{checkpoint_root(spark)}/touchpath".removeprefix("file:")
+    before = set(os.listdir(top))
     out = corpus_pipeline.run(spark, folder).collect()
+    assert lazy.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
     # the last stage's input and its own tables alone are left
-    assert all(re.search("/(mixing|pieces)-", p) for p in common._STASHED)
+    assert all(re.match("(mixing|pieces)-", p) for p in set(os.listdir(top)) - before)
     test_packing.held(out)
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     ids = {r["doc_id"] for r in out}
@@ -94,3 +100,23 @@ def test_run_on_a_real_table(spark):
         rows += [(i, texts[i])] * n
     test_packing.check(rows, out)
     assert len(whole) == len(out)
+
+
+def test_scopes_delete_their_own_tables(spark):
+    top = f"{checkpoint_root(spark)}/touchpath".removeprefix("file:")
+    outside = common.stash(spark.range(3), "t-outside")
+    with common.scratch(spark):
+        outer = common.stash(spark.range(4), "t-outer")
+        with common.scratch(spark):
+            common.stash(spark.range(5), "t-inner")
+            made, path = common.written(spark.range(6), "t-made")
+        assert outer.count() == 4 and made.count() == 6
+        assert not [d for d in os.listdir(top) if d.startswith("t-inner")]
+    assert not [d for d in os.listdir(top) if d.startswith("t-outer")] and outside.count() == 3 and made.count() == 6
+    try:
+        with common.scratch(spark):
+            common.stash(spark.range(1), "t-failed")
+            raise KeyError
+    except KeyError:
+        pass
+    assert not [d for d in os.listdir(top) if d.startswith("t-failed")] and common._SCOPES == []

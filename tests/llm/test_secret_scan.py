@@ -1,3 +1,5 @@
+import time
+import random
 import hashlib
 import re
 
@@ -93,3 +95,30 @@ def test_plan_has_no_python(spark, table):
     plan = QUERIES["op6_secret_ownership"](spark, table(ROWS))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert secret_scan.KINDS[:3] == ["assign", "access", "hex"]
+
+
+def test_overlaps_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for row in range(40):
+        for _ in range(rng.randrange(30)):
+            at = rng.randrange(200)
+            rows.append((row, at, rng.randrange(4), at + rng.randrange(1, 25), rng.randrange(1 << 30)))
+    spans = spark.createDataFrame(rows, "row int, start long, kind int, end long, id long")
+    base = [r for r in rows if r[2] != 3]
+    want = [r for r in rows if r[2] != 3 or not any(b[0] == r[0] and b[1] < r[3] and b[3] > r[1] for b in base)]
+    assert sorted(map(tuple, secret_scan.apart(spans).collect())) == sorted(want)
+
+
+def test_long_lists_cost_in_proportion(spark, table):
+    """A checksum list of 1.3 million characters: each hash is one base span, and no
+    mixed token of its own."""
+    rng = random.Random(9)
+    hashes = [f"{rng.getrandbits(160):040x}" for _ in range(30_000)]
+    text = "\n".join(f"{h}  f{i}" for i, h in enumerate(hashes))
+    folder = table([(1, text, None, "s", 0), (2, "none", None, "s", 0)])
+    took = time.time()
+    out = {r["doc_id"]: r for r in QUERIES["op6_secret_ownership"](spark, folder).collect()}
+    assert time.time() - took < 60
+    assert out[1]["n_hex"] == sum(bool(re.search("[0-9a-f]{16}", h)) for h in hashes) and "owned" not in out[1]["spans"]
+    assert out[2]["spans"] == ""

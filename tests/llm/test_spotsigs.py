@@ -92,3 +92,14 @@ def test_near_pairs_equal_brute_force(spark):
     want = {frozenset((a, b)) for a in names for b in names if a < b and len(names[a] & names[b]) >= 0.8 * len(names[a] | names[b])}
     found = [frozenset((r["a"], r["b"])) for r in pairs.collect()]
     assert sorted(map(sorted, found)) == sorted(map(sorted, want)) and want
+
+
+def test_classes_without_a_doc_id_are_paired_too(spark):
+    a = corpus(5, 20)[10][1] or "the quick brown fox jumps over the lazy dog of the house " * 4
+    rows = [(None, a), (None, a), (None, a + " of other words"), (7, "the house of cards and the men of straw")]
+    members, pairs = spotsigs.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), 0.3)
+    members = members.collect()
+    assert len(members) == 4 and all(r["class"] is not None for r in members) and {r["class"] for r in members if r["doc_id"]} == {7}
+    unnamed = {r["class"] for r in members if r["doc_id"] is None}
+    assert len(unnamed) == 2 and max(unnamed) < 0
+    assert {frozenset((r["a"], r["b"])) for r in pairs.collect()} >= {frozenset(unnamed)}

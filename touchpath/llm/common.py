@@ -5,6 +5,7 @@ numbering and joins, connected components, batches of UTF-8 bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,36 +37,51 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*cols)
 
 
-#: Tables that this process wrote to the shared folder and has not dropped.
-_STASHED: list[str] = []
+#: Tables written in each scope that is open (see :func:`scratch`), the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope whose intermediate tables are deleted at its end, also on failure:
+    those that :func:`stash` writes in it, and no others.  What is derived from
+    them has to be written before."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(own)
+        for path in own:
+            remove(spark, path)
 
 
 #: Rows of a file of a table whose number of rows is bounded beforehand.
 FILE_ROWS = 50_000
 
 
-def stash(df: DataFrame, name: str, rows: int | None = None, light: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage is cut
-    by files that every executor sees, so a lost executor repeats nothing
-    before them.  With a bound on its ``rows``, a small table is written as few
-    files (opening one costs more than the rows of hundreds of partitions): they
+def written(df: DataFrame, name: str, rows: int | None = None, light: bool = False) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it back, with its place: the
+    lineage is cut by files that every executor sees, so a lost executor repeats
+    nothing before them.  With a bound on its ``rows``, a small table is written as
+    few files (opening one costs more than the rows of hundreds of partitions): they
     are dealt anew, or, if the last step is ``light``, made by as few tasks."""
     small_batches(df.sparkSession)
     files = None if rows is None else max(1, -(-rows // FILE_ROWS))
     if files is not None and files < parts(df.sparkSession):
         df = df.coalesce(files) if light else df.repartition(files)
     path = scratch_path(df.sparkSession, name)
-    _STASHED.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def drop_stashed(spark: SparkSession, keep_last: int = 0) -> None:
-    """Delete the intermediate tables written so far, but the last ones; results
-    derived from the others must have been written."""
-    for path in _STASHED[:len(_STASHED) - keep_last]:
-        remove(spark, path)
-        _STASHED.remove(path)
+def stash(df: DataFrame, name: str, rows: int | None = None, light: bool = False) -> DataFrame:
+    """An intermediate table (see :func:`written`), which goes with the innermost
+    scope."""
+    out, path = written(df, name, rows, light)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return out
 
 
 def parts(spark: SparkSession) -> int:

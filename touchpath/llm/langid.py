@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchpath.llm.common import small_batches, utf8
+from touchpath.llm.common import boxed, small_batches, utf8
 
 UNDETERMINED = "und"
 #: Bits of a gram's hash.
@@ -257,12 +257,10 @@ def has_letter(text: Column) -> Column:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Add lang_pred, score and rejected to ``docs``; columns of these names
     are replaced."""
-    rows = docs.drop("lang_pred", "score", "rejected")
-    names = rows.columns
-    letter = has_letter(F.col("text"))
-    out = rows.select(*[F.col(f"`{c}`") for c in names], predictor(model)(F.col("text").cast("string")).alias("_guess"), letter.alias("_letter"))
-    out = out.select(*[F.col(f"`{c}`") for c in names],
-                     F.when(F.col("_letter"), F.col("_guess.lang")).otherwise(UNDETERMINED).alias("lang_pred"),
-                     F.when(F.col("_letter"), F.col("_guess.score")).otherwise(0.0).alias("score"))
+    rows = boxed(docs.drop("lang_pred", "score", "rejected"))
+    text = F.col("row.text").cast("string")
+    out = rows.select("row", predictor(model)(text).alias("guess"), has_letter(text).alias("letter"))
+    out = out.select("row", "letter", F.when(F.col("letter"), F.col("guess.lang")).otherwise(UNDETERMINED).alias("lang_pred"),
+                     F.when(F.col("letter"), F.col("guess.score")).otherwise(0.0).alias("score"))
     low = (F.col("score") < model.reject_below) if model.langs else F.lit(False)
-    return out.withColumn("rejected", ~letter | low)
+    return out.select("row.*", "lang_pred", "score", (~F.col("letter") | low).alias("rejected"))

@@ -97,6 +97,8 @@ def balance(counts: DataFrame, goal: DataFrame) -> DataFrame:
         step = step.select("source", "source_size", "mean", "target", F.when(done, F.col("lam")).when(inside, newton).otherwise(wide).alias("lam"),
                            F.col("_low").alias("low"), F.col("_high").alias("high"), done.alias("done"))
         state = stash(state.where("done").unionByName(step), "dual", sources)
+    else:
+        raise RuntimeError(f"the mix's dual is not solved after {MAX_STEPS} steps")
     return state
 
 
@@ -126,9 +128,10 @@ def resample(docs: DataFrame) -> DataFrame:
     often as the mix takes it; rows that repeat a doc_id, source and text are
     taken together.  The rates are found on narrow rows, and the texts are
     shuffled once."""
-    doc_id, text = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63))), F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    source = F.coalesce(F.col("row.source"), F.lit("~"))
-    rows = boxed(docs).select("row", F.xxhash64(doc_id, source, text).alias("h1"), F.xxhash64(text, source, doc_id, F.lit(1)).alias("h2"))
+    doc_id, source, text = F.col("row.doc_id").cast("long"), F.col("row.source").cast("string"), F.col("row.text").cast("string")
+    # a hash skips nulls: that a value is one is hashed beside it
+    known = [c.isNull() for c in (doc_id, source, text)]
+    rows = boxed(docs).select("row", F.xxhash64(doc_id, source, text, *known).alias("h1"), F.xxhash64(*known, text, source, doc_id, F.lit(1)).alias("h2"))
     narrow = rows.select("h1", "h2", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), count_words(text).alias("size"))
     taken = mix(stash(narrow, "sized")).groupBy("h1", "h2").agg(F.sum("copies").alias("copies")).where("copies > 0")
     once = rows.join(taken, ["h1", "h2"]).dropDuplicates(["h1", "h2"])

@@ -31,6 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchpath.llm.common import boxed
 from touchpath.llm.native import let
 
 ROUNDS = 10
@@ -225,7 +226,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """``docs`` with personal data in ``text_col`` replaced, and a count per
     kind (n_card, n_national, ..: columns of these names are replaced)."""
     docs = docs.drop(*[f"n_{k}" for k in KINDS])
-    text = F.col(f"`{text_col}`").cast("string")
+    text = F.col(f"row.`{text_col}`").cast("string")
     pair = F.struct(F.split(text, ANY, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("whole"))
 
     def joined(p: Column) -> Column:
@@ -236,9 +237,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
         return let(F.transform(p["whole"], lambda m: pseudonym(m, key)), fill)
 
     clean = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    done = docs.withColumn("_new", F.when(text.rlike(HINT), let(pair, joined)).otherwise(clean))
-    cols = [F.col("_new.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return done.select(*cols, *[_count(F.col("_new.kinds"), k).alias(f"n_{k}") for k in KINDS])
+    done = boxed(docs).withColumn("new", F.when(text.rlike(HINT), let(pair, joined)).otherwise(clean))
+    cols = [F.col("new.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return done.select(*cols, *[_count(F.col("new.kinds"), k).alias(f"n_{k}") for k in KINDS])
 
 
 def _count(kinds: Column, kind: str) -> Column:

@@ -18,10 +18,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchpath.llm.common import join_groups, stash
-from touchpath.llm.native import let, matches
+from touchpath.llm.native import matches
 
 # --- fixed values of the rules ------------------------------------------------
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -62,18 +63,24 @@ def candidates(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "repository", "owner", *base, mixed.alias("mixed"), F.monotonically_increasing_id().alias("row"))
 
 
-def apart(mixed: Column, base: Column) -> Column:
-    """The mixed tokens that overlap no base span."""
-    pair = F.struct(mixed.alias("mixed"), base.alias("base"))
-    return let(pair, lambda p: F.filter(p["mixed"], lambda m: ~F.exists(p["base"], lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))))
-
-
-def ownership(found: DataFrame) -> DataFrame:
-    """(hash, rows, repositories, owners) of every candidate value.  Values are
-    counted per (owner, repository) first, so a hot value is spread over tasks
-    until only its owners are left to count."""
-    spans = F.explode(F.array_distinct(F.transform(F.concat(*[kind for kind, *_ in BASE], "mixed"), lambda s: s["hash"])))
-    per = found.select(spans.alias("hash"), "repository", "owner").groupBy("hash", "owner", "repository").agg(F.count(F.lit(1)).alias("rows"))
+def apart(spans: DataFrame) -> DataFrame:
+    """``spans`` (row, start, end, kind, ..) but the mixed tokens that overlap a base
+    span of their row: in the order of starts, the furthest end of the base spans
+    that start before a token ends passes the token's start.  One sort per row, so
+    a list of any length costs in proportion."""
+    owned = F.col("kind") == KINDS.index("owned")
+    line = W.partitionBy("row").orderBy(F.when(owned, F.col("end")).otherwise(F.col("start")), ~owned).rowsBetween(W.unboundedPreceding, 0)
+    reach = F.max(F.when(~owned, F.col("end"))).over(line)
+    return spans.withColumn("reach", reach).where(~owned | F.col("reach").isNull() | (F.col("reach") <= F.col("start"))).drop("reach")
+
+
+def ownership(spans: DataFrame) -> DataFrame:
+    """(hash, rows, repositories, owners) of every candidate value of ``spans``
+    (row, hash, repository, owner).  Values are counted per (owner, repository)
+    first, so a hot value is spread over tasks until only its owners are left to
+    count."""
+    once = spans.select("row", "hash", "repository", "owner").distinct()
+    per = once.groupBy("hash", "owner", "repository").agg(F.count(F.lit(1)).alias("rows"))
     per = per.groupBy("hash", "owner").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("repositories"))
     return per.groupBy("hash").agg(F.sum("rows").alias("rows"), F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
 
@@ -84,12 +91,12 @@ def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_reposito
     are one owner's in fewer than ``example_repositories`` (live) or widely
     copied (examples)."""
     found = stash(candidates(docs), "candidates")
-    found = found.withColumn("mixed", apart(F.col("mixed"), F.concat(*[kind for kind, *_ in BASE])))
     every = F.concat(*[kind for kind, *_ in BASE], "mixed")
-    spans = found.select("row", F.explode(F.transform(every, lambda s: s)).alias("s")).select("row", "s.*")
-    owned = stash(ownership(found), "ownership")
+    spans = found.select("row", "repository", "owner", F.explode(every).alias("s")).select("row", "repository", "owner", "s.*")
+    spans = stash(apart(spans), "spans")
+    owned = stash(ownership(spans), "ownership")
     total = owned.agg(F.sum("rows")).first()[0] or 0
-    judged = join_groups(spans, owned, "hash", "rows", total).withColumn(
+    judged = join_groups(spans.drop("repository", "owner"), owned, "hash", "rows", total).withColumn(
         "live", (F.col("owners") < example_owners) & (F.col("repositories") < example_repositories))
     own = F.struct("start", "kind", "end", "hash")
     per = judged.groupBy("row").agg(

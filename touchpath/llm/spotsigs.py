@@ -212,15 +212,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def near_pairs(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(members, pairs) of likeness ``threshold`` or more.
 
-    Rows with equal sets form one class, named by its least doc_id: members
-    (doc_id, class).  Pairs (a, b, likeness) are of classes, so copies are never
+    Rows with equal sets form one class, named by its least doc_id, or below 0 by
+    the set's hash where no row has one: members (doc_id, class).  Pairs (a, b, likeness) are of classes, so copies are never
     expanded.  A class joins its length band and, if a shorter set could match,
     the band below; there it is looked up by the signatures that are rarest in
     the corpus (a prefix long enough that two matching sets share one)."""
     rows = stash(fingerprints(docs), "spots")
-    sets = rows.groupBy("spots").agg(F.min("doc_id").alias("class"))
+    unnamed = -2 - F.xxhash64("spots").bitwiseAND(F.lit((1 << 62) - 1))
+    sets = rows.groupBy("spots").agg(F.min("doc_id").alias("class")).withColumn("class", F.coalesce("class", unnamed))
     members = rows.join(sets, "spots").select("doc_id", "class")
-    sets = stash(sets.where(F.col("class").isNotNull()), "classes")
+    sets = stash(sets, "classes")
     n = F.size("spots")
     # length bands: band k holds lengths from threshold**-k; a match is at most one band away
     band = F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / threshold))).cast("int")
