@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchpath.llm import common, exact_dedup, langid, minhash, mixing, packing
+from touchpath.sources.sinks import remove
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = common.stash(stage(spark, docs, sf_dir), name)
-        common.drop_stashed(spark, keep_last=1)
+        # a stage's intermediate tables go when its result is written, and that
+        # result when the next one is
+        with common.scratch(spark):
+            docs, made = common.written(stage(spark, docs, sf_dir), name)
+        if last:
+            remove(spark, last)
+        last = made
     return STAGES[-1][1](spark, docs, sf_dir)
