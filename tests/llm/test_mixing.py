@@ -85,8 +85,8 @@ def test_clashing_columns_and_textless_sources(spark, docs):
 
 def test_a_null_is_no_value_of_its_own_name(spark):
     """Rows that differ in a null alone are documents each."""
-    rows = [(1, "t u v", None, None, 5), (1, "t u v", None, "~", 5), (1, "t u v", None, "", 5), (None, "t u v", None, "s", 5), (-(1 << 63), "t u v", None, "s", 5),
-            (2, None, None, "s", 0), (2, "", None, "s", 0), (1, "t u v", None, None, 5)]
+    rows = [(k, "t u v", None, s, 5) for k in (*range(10), None, -(1 << 63)) for s in (None, "~", "", "s")]
+    rows += [(2, None, None, "s", 0), (2, "", None, "s", 0), rows[0]]
     out = mixing.resample(spark.createDataFrame(rows, SCHEMA)).collect()
     sized = mixing.mix(spark.createDataFrame(rows, SCHEMA).withColumn("size", common.count_words("text"))).collect()
     from collections import Counter
