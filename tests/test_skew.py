@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from touchpath.operators.skew import left_join_nonnull, number_within
+from touchpath.operators.skew import left_join_known, left_join_nonnull, number_within
 
 
 @pytest.mark.parametrize("hot_rows", [5, 60, 1_000_000])
@@ -61,3 +61,36 @@ def test_left_join_reads_its_left_side_once_and_spreads_nulls(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan and len(re.findall(r"hashpartitioning\(g#\d+L?, __salt", plan)) == 2
     assert out.count() == 4000 and out.where("name IS NOT NULL").count() == left.where("g % 2 = 0").count()
+
+
+def test_left_join_known_equals_a_left_join(spark):
+    rnd = random.Random(12)
+    left = spark.createDataFrame([(i, rnd.choice([None, None, f"g{rnd.randrange(2000)}"]), rnd.random()) for i in range(3000)], "id long, g string, x double")
+    right = spark.createDataFrame([(f"g{rnd.randrange(4000)}", f"n{i}") for i in range(60)] + [(None, "never"), ("g1", "a"), ("g1", "b")], "g string, name string")
+    for names in (right, right.where("false")):
+        got = left_join_known(left, names, ["g"], ["name"])
+        want = left.join(names, "g", "left").select("g", "id", "x", "name")
+        assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_rows_without_a_partner_are_not_shuffled(spark):
+    """The exchange of the page views carries the matched share, not the table."""
+    from pyspark.sql import Row
+
+    n = 20_000
+    left = spark.range(n).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("g"), F.col("id").cast("string"))).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    right = spark.createDataFrame([Row(g=f"g{i}", name=f"n{i}") for i in range(0, 2000, 4)])
+    out = left_join_known(left, right, ["g"], ["name"])
+    assert out.where("name IS NOT NULL").count() == 500 and out.count() == n
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan()
+    written, todo = [], [plan.finalPhysicalPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    assert written and max(written) <= 520

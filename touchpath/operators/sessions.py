@@ -12,7 +12,7 @@ from touchpath.functions.channels import custom_channel_group
 from touchpath.functions.params import INT, STRING, event_param
 from touchpath.functions.traffic import preferred_field, traffic_struct
 from touchpath.operators.asof import last_before
-from touchpath.operators.skew import left_join_nonnull
+from touchpath.operators.skew import left_join_known, left_join_nonnull
 
 TRAFFIC_EVENT_COLUMNS = [
     "event_date_dt", "session_key", "user_key", "event_timestamp", "event_name", "page_pagetype",
@@ -128,17 +128,19 @@ def gclid_name_table(gclid_campaigns: DataFrame, cfg: RunConfig) -> DataFrame:
     return g.select("gclid", F.col("campaign_name").alias("gads_campaign_name")).distinct()
 
 
-def join_gclid_names(pv: DataFrame, names: DataFrame) -> DataFrame:
-    """page views LEFT JOIN names USING (gclid).  Most page views carry no
-    gclid; they bypass the shuffle.  A gclid with several names multiplies its
-    page views (kept, as in the original)."""
-    return left_join_nonnull(pv, names, ["gclid"], ["gads_campaign_name"])
+def join_gclid_names(pv: DataFrame, names: DataFrame, stored: bool = False) -> DataFrame:
+    """page views LEFT JOIN names USING (gclid).  Most page views carry no known
+    gclid: of a ``stored`` table, which may be read twice, they are not shuffled.
+    A gclid with several names multiplies its page views (kept, as in the original)."""
+    join = left_join_known if stored else left_join_nonnull
+    return join(pv, names, ["gclid"], ["gads_campaign_name"])
 
 
-def adjust_google_params(base: DataFrame, gclid_campaigns: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Model M3 (ad-name variant): repair source/medium/campaign of ad clicks."""
+def adjust_google_params(base: DataFrame, gclid_campaigns: DataFrame, cfg: RunConfig, stored: bool = False) -> DataFrame:
+    """Model M3 (ad-name variant): repair source/medium/campaign of ad clicks.
+    ``stored``: ``base`` is a table, not a scan of the export."""
     pv = traffic_params(base, cfg, pageviews_only=True)
-    j = join_gclid_names(pv, gclid_name_table(gclid_campaigns, cfg))
+    j = join_gclid_names(pv, gclid_name_table(gclid_campaigns, cfg), stored)
     j = _reassign_google_cpc(j, F.col("gads_campaign_name").isNotNull())
     # google / cpc traffic: ad name, else the url parameter, else a start page
     # means a brand campaign, else the campaign as sent

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchpath.operators.membership import key_filter, with_membership
+
 _K, _KN, _B = "__k", "__k_null", "__b"
 #: Slices of a bucket that holds a hot key's rows (a tenth as many to count other
 #: keys' rows by), and the rows from which on a (key, bucket) group is hot; the NULL
@@ -98,3 +100,19 @@ def left_join_nonnull(left: DataFrame, right: DataFrame, on: list[str],
     a = left.withColumn("__salt", salt)
     b = right.select(*on, *right_cols).withColumn("__salt", zero.cast("long"))
     return a.withColumn("__salt", F.col("__salt").cast("long")).join(b, [*on, "__salt"], "left").select(*on, *other, *right_cols)
+
+
+def left_join_known(left: DataFrame, right: DataFrame, on: list[str], right_cols: list[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (on)`` where few rows of ``left`` have a partner.
+
+    A bounded filter of ``right``'s keys is broadcast; rows that it excludes (and
+    those with a NULL key) get NULLs where they are read and are not shuffled.
+    ``left`` is read twice, so it should be a stored table; :func:`left_join_nonnull`
+    reads it once and shuffles all of it.
+    """
+    other = [c for c in left.columns if c not in on]
+    names = right.select(*on, *right_cols)
+    marked = with_membership(left, on, key_filter(names, on), "__may")
+    hit = marked.where("__may").join(names, on, "left").select(*on, *other, *right_cols)
+    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols]
+    return hit.unionByName(marked.where("NOT __may").select(*on, *other, *nulls))

@@ -114,14 +114,15 @@ class Chain:
     def adjusted(self) -> DataFrame:
         return self._adjusted(self.events)
 
-    def _adjusted(self, events: DataFrame) -> DataFrame:
+    def _adjusted(self, events: DataFrame, stored: bool = False) -> DataFrame:
         if self.variant == "gclid":
-            return S.adjust_google_params(events, self.gclid_campaigns, self.cfg)
+            return S.adjust_google_params(events, self.gclid_campaigns, self.cfg, stored)
         return S.adjust_google_params_urlparam(events, self.cfg)
 
     @cached_property
     def traffic(self) -> DataFrame:
-        adjusted, silent = self._adjusted(self.traffic_events), S.non_pageview_sessions(self.traffic_events, self.cfg)
+        stored = bool({"traffic_events", "events", "base"} & set(self.durable))
+        adjusted, silent = self._adjusted(self.traffic_events, stored), S.non_pageview_sessions(self.traffic_events, self.cfg)
         return self._boundary("traffic", S.with_silent_sessions(adjusted, silent, self.cfg))
 
     @cached_property

@@ -312,8 +312,8 @@ def q_ordered_string_agg(spark, sf):
 
 def q_join_gclid_campaign(spark, sf):
     ch = _chain(spark, sf)
-    pv = S.traffic_params(ch.events, ch.cfg)
-    j = S.join_gclid_names(pv, S.gclid_name_table(ch.gclid_campaigns, ch.cfg))
+    pv = S.traffic_params(ch.traffic_events, ch.cfg)
+    j = S.join_gclid_names(pv, S.gclid_name_table(ch.gclid_campaigns, ch.cfg), stored=True)
     return j.select("event_timestamp", "sk_id", "gclid", "gads_campaign_name")
 
 

@@ -142,7 +142,7 @@ class IncrementalRunner:
         cfg = self._cfg(run_date, "traffic_events", ["pageviews", "silent_sessions", "gclid_names"])
         if self.variant == "gclid":
             gclids = A.gclid_campaigns(self.table("ads_click_stats"), self.table("ads_campaign_names"))
-            adj = S.adjust_google_params(base_t, gclids, cfg)
+            adj = S.adjust_google_params(base_t, gclids, cfg, stored=True)
         else:
             adj = S.adjust_google_params_urlparam(base_t, cfg)
         traffic = S.with_silent_sessions(adj, silent_t, cfg)
