@@ -85,7 +85,7 @@ def _missing(seen: Column, start: date, end: date) -> Column:
     return F.lit((end - start).days) - F.bit_count(seen)
 
 
-def _rows(df: DataFrame, checks: list[tuple]) -> DataFrame:
+def result_rows(df: DataFrame, checks: list[tuple]) -> DataFrame:
     """One result row per (name, failed, severity, warn_if) of a one-row table."""
     out = [F.struct(F.lit(name).alias("check"), n.cast("bigint").alias("n_failed"), status(n, severity, warn_if).alias("status"))
            for name, n, severity, warn_if in checks]
@@ -128,20 +128,32 @@ def model_suite(silent: DataFrame, pageviews: DataFrame, channel_groups: DataFra
          .agg(F.coalesce(F.bit_or("seen"), F.lit(0).cast("bigint")).alias("seen"),
               F.coalesce(F.sum(F.when(F.col("sk_id").isNull(), F.col("n"))), F.lit(0)).alias("no_key"),
               F.count_if(F.col("sk_id").isNotNull() & (F.col("n10") > 1)).alias("repeated")))
-    out = _rows(a, [("silent_sessions:day_coverage", _missing(seen, days(30), run_date), "warn", 0)])
-    out = out.unionByName(_rows(b, [
+    out = result_rows(a, [("silent_sessions:day_coverage", _missing(seen, days(30), run_date), "warn", 0)])
+    out = out.unionByName(result_rows(b, [
         ("pageviews:day_coverage", _missing(seen, days(44), run_date), "warn", 0),
         ("pageviews:session_gadscampaign_in_set", F.col("odd"), "warn", 5),
         ("pageviews:session_key_not_null", F.col("no_session"), "error", 0),
         ("pageviews:user_key_not_null", F.col("no_user"), "error", 0)]))
     one_each = F.when((F.col("rows") > 0) & (F.col("keys") == F.col("rows")), F.lit(0)).otherwise(F.lit(1))
-    out = out.unionByName(_rows(c, [("channel_groups:session_key_unique_proportion", one_each, "warn", 0)]))
-    return out.unionByName(_rows(e, [
+    out = out.unionByName(result_rows(c, [("channel_groups:session_key_unique_proportion", one_each, "warn", 0)]))
+    return out.unionByName(result_rows(e, [
         ("session_starts:day_coverage", _missing(seen, days(10), run_date), "warn", 0),
         ("session_starts:sk_id_not_null", F.col("no_key"), "error", 0),
         ("session_starts:sk_id_unique", F.col("repeated"), "warn", 1000)]))
 
 
+def uniqueness_suite(channel_groups: DataFrame, session_starts: DataFrame, run_date: date) -> DataFrame:
+    """The tests of :func:`model_suite` that need the rows themselves: one channel
+    group per session key, and event keys that are unique over the last 10 days
+    (only those days are read)."""
+    c = (channel_groups.where(F.col("session_key").isNotNull()).groupBy("session_key").agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")))
+    one_each = F.when((F.col("rows") > 0) & (F.col("keys") == F.col("rows")), F.lit(0)).otherwise(F.lit(1))
+    last10 = F.col("event_date_dt").between(F.lit(run_date - timedelta(days=10)), F.lit(run_date - timedelta(days=1)))
+    return result_rows(c, [("channel_groups:session_key_unique_proportion", one_each, "warn", 0)]).unionByName(
+        unique(session_starts, "sk_id", last10, "session_starts:sk_id_unique", "warn", 1000))
+
+
 def source_day_coverage(tables: dict[str, DataFrame], date_col: str, start: date, end: date,
                         prefix: str = "source") -> DataFrame:
     """Day coverage of each account source table (one result row per table)."""

@@ -22,6 +22,7 @@ from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain, fixtur
 from touchpath.session import configure, scratch_path
 from touchpath.sources import fixtures, ga4, sinks
 from touchpath.sources.ads import SourceRegistry
+from touchpath.streaming.day_metrics import DayMetrics
 from touchpath.streaming.incremental import IncrementalRunner
 from touchpath.streaming.session_state import FirstLastState
 
@@ -474,6 +475,28 @@ def q_dq_model_suite(spark, sf):
     return Q.model_suite(ch.silent_sessions, ch.traffic, ch.channel_groups, ch.session_starts, RUN)
 
 
+def q_dq_model_suite_observed(spark, sf):
+    """The model tests from counts that were observed while a daily run wrote the
+    models: a load for the 31st whose last three days are written anew."""
+    ch = _chain(spark, sf, durable=("traffic_events", "traffic", "first_last"))
+    root = scratch_path(spark, "dq-observed")
+    metrics = DayMetrics(spark, root)
+    models = {"silent_sessions": ch.silent_sessions, "traffic_events": ch.traffic, "session_channel_groups": ch.channel_groups,
+              "session_starts": ch.session_starts}
+    days = [RUN - timedelta(days=i) for i in (1, 2, 3)]
+    day = F.col("event_date_dt")
+    for model, df in models.items():
+        path = f"{root}/{model}"
+        sinks.write_full(df.where(~day.isin(days) | (F.xxhash64("session_key") % 2 == 0)), path)
+        if model in metrics.MODELS:
+            metrics.rebuild(model, spark.read.parquet(path))
+        observe = metrics.observation(model, days)
+        sinks.write_static(spark, df.where(day.isin(days)), path, "event_date_dt", days, observe=observe)
+        if observe is not None:
+            metrics.record(model, days, observe[0], emptied=True)
+    return metrics.suite(lambda model: spark.read.parquet(f"{root}/{model}"), RUN)
+
+
 def q_dq_source_day_coverage(spark, sf):
     """Every day since the start date has rows, per click and shopping-product
     table of the registry."""

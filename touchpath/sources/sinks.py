@@ -107,9 +107,15 @@ def write_full(df: DataFrame, path: str, partition_by: str | None = "event_date_
     spark.catalog.refreshByPath(path)
 
 
+def _observed(df: DataFrame, observe) -> DataFrame:
+    """``df`` as it is written, with the metrics of ``observe`` (an Observation and
+    its columns) taken from the rows of the write's last stage."""
+    return df if observe is None else df.observe(observe[0], *observe[1])
+
+
 def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
                   cluster_by: list[str] | None = None, guard_schema: bool = False,
-                  stage: bool = False) -> None:
+                  stage: bool = False, observe=None) -> None:
     """Replace the partitions present in ``df``; all others stay.
 
     ``stage=True`` first writes ``df`` beside the target, which is needed when
@@ -120,7 +126,7 @@ def write_dynamic(df: DataFrame, path: str, partition_by: str = "event_date_dt",
         check_schema(spark, df, path)
 
     def put(rows: DataFrame) -> None:
-        (_layout(rows, partition_by, cluster_by).write.mode("overwrite")
+        (_observed(_layout(rows, partition_by, cluster_by), observe).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
 
     if not stage:
@@ -152,7 +158,7 @@ def partition_days(spark: SparkSession, path: str, col: str) -> list[date | None
 
 def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
                  partitions: list[date | None], cluster_by: list[str] | None = None,
-                 guard_schema: bool = False) -> None:
+                 guard_schema: bool = False, observe=None) -> None:
     """Replace exactly the listed partitions, even when ``df`` has no row for one.
 
     ``df`` is staged once (its lineage is cut there); the staged partitions
@@ -165,7 +171,7 @@ def write_static(spark: SparkSession, df: DataFrame, path: str, partition_by: st
         check_schema(spark, df, path)
     listed = {partition_name(partition_by, d) for d in partitions}
     with staging(spark, path, "stage") as tmp:
-        df.write.partitionBy(partition_by).parquet(tmp)
+        _observed(df, observe).write.partitionBy(partition_by).parquet(tmp)
         fs, tp = _fs(spark, tmp)
         staged = {str(s.getPath().getName()) for s in fs.listStatus(tp) if s.isDirectory()}
         staged = {n for n in staged if n.startswith(f"{partition_by}=")}

@@ -12,7 +12,8 @@ Per run (``run_date`` = today):
                      the session start days they touch are read and replaced
 * channel groups   – dynamic overwrite of [high-water mark, yesterday]
 * session starts   – dynamic overwrite of [high-water mark, yesterday]
-* data tests       – the model test suite, appended per run date
+* data tests       – the model test suite, appended per run date; its counts were
+                     observed while the models were written
 
 The reload days are the configured number, or as many as lie between a target's
 high-water mark and the run date: a skipped run leaves no hole.
@@ -39,6 +40,7 @@ from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.session import configure
 from touchpath.sources import sinks
 from touchpath.sources.ads import resolve
+from touchpath.streaming.day_metrics import DayMetrics
 from touchpath.streaming.session_state import FirstLastState
 
 MODEL_TABLES = ("ads_click_stats", "ads_campaign_names", "base_events", "silent_sessions", "traffic_events",
@@ -62,6 +64,10 @@ class IncrementalRunner:
     # schemas of tables written by this runner: read back without inference
     _schemas: dict = field(default_factory=dict, repr=False)
 
+    @property
+    def metrics(self) -> DayMetrics:
+        return DayMetrics(self.spark, self.root)
+
     def path(self, model: str) -> str:
         return f"{self.root.rstrip('/')}/{model}"
 
@@ -146,7 +152,7 @@ class IncrementalRunner:
         else:
             adj = S.adjust_google_params_urlparam(base_t, cfg)
         traffic = S.with_silent_sessions(adj, silent_t, cfg)
-        self._write(cfg, traffic, "traffic_events", static=False)
+        self._write(cfg, traffic, "traffic_events", static=False, hwm_model="pageviews")
 
         # first/last source: the new event days merged into the kept states
         state = FirstLastState(sp, self.root, (self.base_cfg or cfg).drop_null_keys)
@@ -155,15 +161,14 @@ class IncrementalRunner:
         cfg = self._cfg(run_date, "session_channel_groups", ["session_channel_groups"])
         fl_t = state.behind(cfg, None if cfg.mode == FULL else cfg.hwm("session_channel_groups"), cfg.lookback_seconds)
         cg = S.session_channel_groups(fl_t, cfg)
-        self._write(cfg, cg, "session_channel_groups", static=False)
+        self._write(cfg, cg, "session_channel_groups", static=False, hwm_model="session_channel_groups")
 
         cfg = self._cfg(run_date, "session_starts", ["session_starts"])
         starts = S.session_starts_enriched(base_t, self.table("session_channel_groups"), cfg)
-        self._write(cfg, starts, "session_starts", static=False)
+        self._write(cfg, starts, "session_starts", static=False, hwm_model="session_starts")
 
         if with_tests:
-            dq = Q.model_suite(self.table("silent_sessions"), self.table("traffic_events"),
-                               self.table("session_channel_groups"), self.table("session_starts"), run_date)
+            dq = self.metrics.suite(self.table, run_date)
             if self.shopping_tables:
                 tables = {a: resolve(sp, t) for a, t in self.shopping_tables.items()}
                 dq = dq.unionByName(Q.source_day_coverage(tables, "segments_date", Q.SHOPPING_SINCE, run_date, "shopping_products"))
@@ -179,17 +184,21 @@ class IncrementalRunner:
             paths = self.run(date.fromordinal(o), with_tests=with_tests)
         return paths
 
-    def _write(self, cfg: RunConfig, df: DataFrame, model: str, static: bool, hwm_model: str | None = None):
+    def _write(self, cfg: RunConfig, df: DataFrame, model: str, static: bool, hwm_model: str):
         path = self.path(model)
         self._written(model, df)
         if cfg.mode == FULL:
             sinks.write_full(df, path, cluster_by=["session_key"])
+            self.metrics.forget(model)
             return
         # incremental loads refuse a schema change (policy: fail)
+        hwm = cfg.hwm(hwm_model)
+        days = [date.fromordinal(o) for o in range(hwm.toordinal(), cfg.run_date.toordinal())]
+        observe = self.metrics.observation(model, days)
         if static:
-            hwm = cfg.hwm(hwm_model)
-            days = [date.fromordinal(o) for o in range(hwm.toordinal(), cfg.run_date.toordinal())]
             sinks.write_static(self.spark, df, path, "event_date_dt", days, cluster_by=["session_key"],
-                               guard_schema=True)
+                               guard_schema=True, observe=observe)
         else:
-            sinks.write_dynamic(df, path, cluster_by=["session_key"], guard_schema=True)
+            sinks.write_dynamic(df, path, cluster_by=["session_key"], guard_schema=True, observe=observe)
+        if observe is not None:
+            self.metrics.record(model, days, observe[0], emptied=static)

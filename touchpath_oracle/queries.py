@@ -222,3 +222,5 @@ FROM x GROUP BY ALL""",
              "CASE WHEN count(DISTINCT session_key) * 1.0 / count(session_key) IS NULL "
              "OR count(DISTINCT session_key) * 1.0 / count(session_key) <> 1 THEN 1 ELSE 0 END", "adjusted", "warn")),
 }
+
+ORACLES["dq_model_suite_observed"] = ORACLES["dq_model_suite"]
