@@ -137,7 +137,7 @@ def test_no_broadcast_from_planning_estimates(spark):
         # (dynamic partition pruning may still ship its set of pruning values;
         # the event number ships its hot buckets, fewer than rows / 1,000,000; the
         # look-back what its ranges carry in, one row per range)
-        assert p.count("BroadcastHashJoin") == {"base_events": 1, "gclid_campaigns": 0}.get(name, 2), name
+        assert p.count("BroadcastHashJoin") == {"base_events": 3, "gclid_campaigns": 0}.get(name, 2), name
 
 
 def test_no_sliding_window_frames(spark):

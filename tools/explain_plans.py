@@ -19,17 +19,18 @@ HEADLINE = ["base_events", "session_channel_groups", "gclid_campaigns", "daily_s
 
 
 def summary(plan: str) -> dict:
+    plan = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
     strip = lambda s: re.sub(r"#\d+L?", "", s)
     count = lambda items: [f"{n} x {x}" for x, n in sorted(Counter(items).items())]
     scans = re.findall(r"FileScan parquet [^\n]*?Location: [^\n]*?([^/,\]\s]+)\]", plan)
     out = {
         "scans": count(re.sub(r"-[0-9a-f]{12}", "", x) for x in scans),
-        "exchanges": count(strip(m) for m in re.findall(r"(?<!Reused)Exchange (hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|SinglePartition)", plan)),
+        "exchanges": count(strip(m) for m in re.findall(r"Exchange (hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|SinglePartition)", plan)),
         "windows": sorted({strip(m) for m in re.findall(r"windowspecdefinition\(([^,]*(?:, [^,]*){0,2})", plan)}),
         "joins": sorted({strip(m) for m in re.findall(r"((?:SortMerge|BroadcastHash|ShuffledHash)Join \[[^\]]*\], \[[^\]]*\], \w+)", plan)}),
         "aggregates": len(re.findall(r"HashAggregate\(keys=", plan)) + len(re.findall(r"SortAggregate\(key=", plan)),
         "partition_filters": sorted({strip(m)[:200] for m in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)}),
-        "python": "EvalPython" in plan or "PythonUDF" in plan,
+        "python": "an Arrow pass (MapInArrow)" if "MapInArrow" in plan else "EvalPython" in plan or "PythonUDF" in plan,
         "single_partition": "SinglePartition" in plan,
     }
     return out

@@ -75,7 +75,7 @@ def main():
         "event_date_dt", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit("2024-01-15").cast("date"))
         .otherwise(F.col("event_date_dt")))
     # a third of the page views carry the same (matching) click id
-    pv = S.traffic_params(ch.events, ch.cfg)
+    pv = S.traffic_params(ch.traffic_events, ch.cfg)
     names = S.gclid_name_table(ch.gclid_campaigns, ch.cfg)
     hot_gclid = names.select("gclid").orderBy("gclid").first()[0]
     pv_hot = pv.withColumn("gclid", F.when(F.abs(F.hash("sk_id")) % 3 == 0, F.lit(hot_gclid)).otherwise(F.col("gclid")))
@@ -85,10 +85,14 @@ def main():
         "event number, plain window (session)":
             lambda: events.withColumn("n", F.row_number().over(
                 Window.partitionBy("session_key").orderBy("event_timestamp", "sk_id"))),
-        "look-back, skew-split (user, hour)":
-            lambda: S.session_last_user_source(sessions, ch.cfg, strategy="bucketed"),
+        "look-back, as-of scan (ranges of user, start)":
+            lambda: S.session_last_user_source(sessions, ch.cfg, strategy="asof"),
         "look-back, plain window (user)":
             lambda: S.session_last_user_source(sessions, ch.cfg, strategy="window"),
+        "page views ⟕ campaign names, membership filter":
+            lambda: S.join_gclid_names(pv, names, stored=True),
+        "page views ⟕ campaign names, all shuffled":
+            lambda: S.join_gclid_names(pv, names),
         "page views ⟕ campaign names, hot gclid (AQE skew split)":
             lambda: S.join_gclid_names(pv_hot, names),
         "page views ⟕ campaign names, hot gclid (AQE skew split off)":
@@ -126,8 +130,8 @@ def main():
         make().write.format("noop").mode("overwrite").save()
         times[label] = time.perf_counter() - t0
     # one user with many sessions inside one look-back: the sliding frame of
-    # the plain window is re-aggregated on every row, the bucketed form's
-    # in-bucket frame ("all earlier rows") is evaluated incrementally
+    # the plain window is re-aggregated on every row, the as-of scan carries one
+    # value along
     from datetime import date as _date
     from touchpath.config import RunConfig
     n = 30000
@@ -140,10 +144,10 @@ def main():
         F.lit(1).cast("bigint").alias("event_no"), F.lit(None).cast(st).alias("first_value_session"),
         F.when(F.col("id") % 7 == 0, src).cast(st).alias("last_non_null_value_session")).repartition(8)
     frame_times = {}
-    for strategy in ("bucketed", "window"):
+    for strategy in ("asof", "window"):
         sc.setJobGroup(f"frame-{strategy}", strategy)
         t0 = time.perf_counter()
-        S.session_last_user_source(one_user, RunConfig(run_date=_date(2024, 6, 1), lookback_bucket_seconds=86400),
+        S.session_last_user_source(one_user, RunConfig(run_date=_date(2024, 6, 1)),
                                    strategy=strategy).write.format("noop").mode("overwrite").save()
         frame_times[strategy] = time.perf_counter() - t0
     spark.stop()
@@ -159,8 +163,8 @@ def main():
     for label in runs:
         s = stats.get(label, {"max_task_records": 0, "records": 0})
         print(f"| {label} | {s['max_task_records']:,} | {s['records']:,} | {times[label]:.2f} |")
-    print(f"\nOne user with {n:,} sessions within 9 hours (90-day look-back, 1-day bucket): bucketed look-back "
-          f"{frame_times['bucketed']:.2f} s, plain sliding-frame window {frame_times['window']:.2f} s.")
+    print(f"\nOne user with {n:,} sessions within 9 hours (90-day look-back): as-of scan "
+          f"{frame_times['asof']:.2f} s, plain sliding-frame window {frame_times['window']:.2f} s.")
     print("\nGenerated by `tools/skew_check.py`.")
 
 

@@ -5,7 +5,10 @@ carries the last value along.  A key of any size is cut by the ranges themselves
 which are drawn from a sample of the rows.  What a range needs from the ranges
 before it is a single row, the last one with a value: as rows are in order, the
 value before a range's first rows can only be that one.  So the carried-in values
-are as many rows as there are ranges; they are read off the same exchange.
+are as many rows as there are ranges; they are read off the same exchange.  Should
+a session plan that exchange twice (``spark.sql.exchange.reuse`` switched off), whose
+ranges may then differ, the result is an error, never a wrong value: each range's
+first row is compared.
 
 The pass handles Arrow batches with array operations, and holds a batch and at
 most two carried rows.
@@ -45,7 +48,7 @@ def _scanner(by: int, at: int, value: int, names: list[str], within: int) -> Cal
         from pyspark import TaskContext
 
         own = TaskContext.get().partitionId()
-        carried = None
+        carried, opens = None, True
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -71,24 +74,31 @@ def _scanner(by: int, at: int, value: int, names: list[str], within: int) -> Cal
             end = n - 1
             kept = sorted({int(i) for i in (found[end], valued[end]) if i >= first[end]})
             carried = rows.take(pa.array(kept, pa.int64())) if kept else None
-            yield pa.RecordBatch.from_arrays([*batch.columns, last, pa.array(np.full(batch.num_rows, own, np.int32))], names=names)
+            start = np.zeros(batch.num_rows, bool)
+            start[0], opens = opens, False
+            yield pa.RecordBatch.from_arrays([*batch.columns, last, pa.array(np.full(batch.num_rows, own, np.int32)), pa.array(start)], names=names)
 
     return scan
 
 
 def _ender(by: int, at: int, value: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The last row with a value (and a time) of one range."""
+    """Key and time of the first row of one range, and its last row with a value
+    (and a time), if there is one."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        last = None
+        first = last = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = batch.slice(0, 1) if first is None else first
             ok = pc.and_(batch.column(value).is_valid(), batch.column(at).is_valid()).to_numpy(zero_copy_only=False)
             if ok.any():
                 last = batch.slice(int(np.flatnonzero(ok)[-1]), 1)
-        if last is not None:
+        if first is not None:
             own = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), *[last.column(i) for i in (by, at, value)]], names=names)
+            end = [(pa.nulls(1, first.column(i).type) if last is None else last.column(i)) for i in (by, at, value)]
+            yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), first.column(by), first.column(at), *end], names=names)
 
     return scan
 
@@ -104,16 +114,21 @@ def last_before(df: DataFrame, by: str, at: str, tie: str, value: str, out: str,
     nulls = lambda fields: T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     own = {c: df.columns.index(c) for c in (by, at, value)}
     kind = df.schema[value].dataType
-    scanned = nulls([*df.schema.fields, T.StructField(out, kind), T.StructField(_RANGE, T.IntegerType())])
-    ended = nulls([T.StructField(_RANGE, T.IntegerType()), T.StructField("__by", df.schema[by].dataType),
-                   T.StructField("__at", df.schema[at].dataType), T.StructField("__value", kind)])
+    scanned = nulls([*df.schema.fields, T.StructField(out, kind), T.StructField(_RANGE, T.IntegerType()), T.StructField("__opens", T.BooleanType())])
+    key, time = df.schema[by].dataType, df.schema[at].dataType
+    ended = nulls([T.StructField(_RANGE, T.IntegerType()), T.StructField("__first_by", key), T.StructField("__first_at", time),
+                   T.StructField("__by", key), T.StructField("__at", time), T.StructField("__value", kind)])
     rows = dealt.mapInArrow(_scanner(own[by], own[at], own[value], scanned.names, within), scanned)
     ends = dealt.mapInArrow(_ender(own[by], own[at], own[value], ended.names), ended)
     # one row per range at most, so one task orders them
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     spine = df.sparkSession.range(n).select(F.col("id").cast("int").alias(_RANGE))
     carried = spine.join(F.broadcast(ends), _RANGE, "left").select(
-        _RANGE, F.last(F.when(F.col("__at").isNotNull(), F.struct("__by", "__at", "__value")), ignorenulls=True).over(before).alias(_LAST))
+        _RANGE, "__first_by", "__first_at",
+        F.last(F.when(F.col("__at").isNotNull(), F.struct("__by", "__at", "__value")), ignorenulls=True).over(before).alias(_LAST))
     reach = F.col(_LAST)["__by"].eqNullSafe(F.col(by)) & (F.col(at) - F.col(_LAST)["__at"] <= within)
     both = rows.join(F.broadcast(carried), _RANGE, "left")
-    return both.select(*df.columns, F.coalesce(F.col(out), F.when(reach, F.col(_LAST)["__value"])).alias(out))
+    other = F.col("__opens") & ~(F.col("__first_by").eqNullSafe(F.col(by)) & F.col("__first_at").eqNullSafe(F.col(at)))
+    found = F.coalesce(F.col(out), F.when(reach, F.col(_LAST)["__value"]))
+    checked = F.when(other, F.raise_error(F.lit("the as-of scan's exchange was planned twice: spark.sql.exchange.reuse has to be on"))).otherwise(found)
+    return both.select(*df.columns, checked.alias(out))

@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from touchpath.operators.membership import key_filter, with_membership
 
 _K, _KN, _B = "__k", "__k_null", "__b"
-#: Slices of a bucket that holds a hot key's rows (a tenth as many to count other
-#: keys' rows by), and the rows from which on a (key, bucket) group is hot; the NULL
-#: key always is.
+#: Slices of a bucket that holds a hot key's rows, and the rows from which on a
+#: (key, bucket) group is hot; the NULL key always is.
 FINE_SLICES = 600
 HOT_ROWS = 1_000_000
 
@@ -41,12 +40,12 @@ def number_within(df: DataFrame, key: str, order: list[str], width: int, out: st
     an earlier bucket comes first.  Window partitions are (key, bucket), so a
     hot key is spread over its buckets.  Where a single bucket is hot (the NULL
     key, or measured to hold over ``hot_rows`` rows), it is cut into slices of its
-    time.  Rows are counted by slice once; which buckets are hot and the counts
-    before each bucket or slice both follow from that table.  The per-key prefix
-    sum runs on counts, whose number per key is bounded by its buckets and slices,
-    not by its rows.
+    time.  The per-key prefix sum runs on counts, whose number per key is bounded by
+    its buckets and slices, not by its rows.
 
-    ``df`` is read twice: the key and the time for the counts, then the rows.
+    ``df`` is read twice: the key and the time for the counts, then the rows.  Where
+    a bucket is hot, those columns are read once more for the counts of its slices;
+    where none is, the adaptive plan drops that branch unread.
     """
     # a NULL bucket (NULL order value) sorts first: give it the lowest bucket.
     # All three sub-keys are non-null, so the final join is a plain equi-join
@@ -55,25 +54,21 @@ def number_within(df: DataFrame, key: str, order: list[str], width: int, out: st
     lowest = F.lit(-(2 ** 63))
     ts = F.col(order[0])
     coarse = F.coalesce(F.floor(ts / F.lit(width)).cast("long"), lowest)
-    part = F.coalesce(F.floor((ts - F.floor(ts / F.lit(width)) * width) * FINE_SLICES / F.lit(width)).cast("long"), F.lit(0))
-    slice_ = F.when(F.col(_KN), part).otherwise(part - part % 10)
-    keyed = df.select("*", *_key_cols(key))
-    tmp = keyed.withColumns({"__c": coarse, "__s": slice_})
+    slice_ = F.coalesce(F.floor((ts - F.floor(ts / F.lit(width)) * width) * FINE_SLICES / F.lit(width)).cast("long"), F.lit(0))
+    tmp = df.select("*", *_key_cols(key)).withColumns({"__c": coarse, "__s": slice_})
     fine = lambda slice_: F.when(F.col("__c") == lowest, lowest).otherwise(F.col("__c") * FINE_SLICES + slice_)
-    counts = tmp.groupBy(_K, _KN, "__c", "__s").agg(F.count(F.lit(1)).alias("__n"))
-    # a bucket's counts by slice (600 at most)
-    buckets = counts.groupBy(_K, _KN, "__c").agg(F.sum("__n").alias("__all"), F.collect_list(F.struct("__s", "__n")).alias("__slices"))
-    split = F.col(_KN) | (F.col("__all") > hot_rows)
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("__s"), F.col("__all").alias("__n")))
     parts = [_K, _KN, _B]
-    sizes = buckets.select(_K, _KN, "__c", F.explode(F.when(split, F.col("__slices")).otherwise(whole)).alias("__e"))
-    sizes = sizes.select(_K, _KN, fine(F.col("__e.__s")).alias(_B), F.col("__e.__n").alias("__n"))
+    number = F.count(F.lit(1)).alias("__n")
+    counts = tmp.groupBy(_K, _KN, "__c", F.when(F.col(_KN), F.col("__s")).otherwise(F.lit(0).cast("long")).alias("__s")).agg(number)
+    # hot buckets number under rows / hot_rows
+    hot = F.broadcast(counts.where(~F.col(_KN) & (F.col("__n") > hot_rows)).select(_K, "__c", F.lit(False).alias(_KN), F.lit(True).alias("__hot")))
+    whole = counts.join(hot, [_K, _KN, "__c"], "left").where(F.col("__hot").isNull()).drop("__hot")
+    sliced = tmp.select(_K, _KN, "__c", "__s").join(hot, [_K, _KN, "__c"]).groupBy(_K, _KN, "__c", "__s").agg(number)
+    sizes = whole.unionByName(sliced).select(_K, _KN, fine(F.col("__s")).alias(_B), "__n")
     offsets = sizes.select(*parts, F.coalesce(
         F.sum("__n").over(Window.partitionBy(_K, _KN).orderBy(_B)
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    # hot buckets number under rows / hot_rows
-    hot = buckets.where(~F.col(_KN) & (F.col("__all") > hot_rows)).select(_K, "__c", F.lit(True).alias("__hot"))
-    tmp = tmp.join(F.broadcast(hot), [_K, "__c"], "left")
+    tmp = tmp.join(hot, [_K, _KN, "__c"], "left")
     tmp = tmp.withColumn(_B, fine(F.when(F.col(_KN) | F.col("__hot"), F.col("__s")).otherwise(0))).drop("__c", "__s", "__hot")
     local = tmp.withColumn("__local", F.row_number().over(
         Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_first() for c in order])))
