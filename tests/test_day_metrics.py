@@ -76,3 +76,19 @@ def test_counts_that_end_before_their_model_are_dropped(spark, daily):
     assert m.observation("session_starts", [date(2024, 1, 30)]) is None and m.observation("session_starts", [date(2024, 1, 30)]) is None
     m.rebuild("session_starts", r.table("session_starts"))
     assert m.observation("session_starts", [date(2024, 1, 30)]) is not None
+
+
+def test_a_long_log_is_written_anew(spark, monkeypatch):
+    from touchpath.sources import sinks
+    from touchpath.streaming import day_metrics
+
+    monkeypatch.setattr(day_metrics, "COMPACT", 3)
+    metrics = DayMetrics(spark, scratch_path(spark, "t-metrics-log"))
+    df = spark.createDataFrame([(date(2024, 1, d), f"k{d}") for d in range(1, 9)], "event_date_dt date, sk_id string")
+    metrics.rebuild("session_starts", df.where("false"))
+    for d in range(1, 9):
+        obs, cols = metrics.observation("session_starts", [date(2024, 1, d)])
+        df.observe(obs, *cols).write.format("noop").mode("overwrite").save()
+        metrics.record("session_starts", [date(2024, 1, d)], obs, False)
+        assert len(sinks.files(spark, metrics.path("session_starts"))) <= 3
+    assert set(map(tuple, metrics.table("session_starts").collect())) == {(date(2024, 1, d), "rows", 1) for d in range(1, 9)}

@@ -38,6 +38,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files of a folder."""
+    fs, p = _fs(spark, path)
+    names = [str(s.getPath().getName()) for s in fs.listStatus(p) if s.isFile()]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def _sibling(path: str, kind: str) -> str:
     """A fresh folder beside ``path``: on the target's own storage, so every
     executor sees it and a rename moves no data."""

@@ -2,8 +2,8 @@
 model is written.
 
 An incremental load writes a few known days, so its write carries observed metrics:
-rows and failing rows of each of those days.  They replace these days' rows in a
-small table per model (one row per day and metric); the tests then sum that table.
+rows and failing rows of each of those days.  They are appended to a small table per
+model, where the counts of a day's last load hold; the tests then sum that table.
 The metrics are observed in the last stage of the write, whose tasks count once even
 if a lost executor makes Spark repeat others.  After a full load, or where the table
 is missing, the counts of all days come from one grouped read.
@@ -13,6 +13,7 @@ Uniqueness has no mergeable count; its tests read the days they are about.
 
 from __future__ import annotations
 
+import time
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,8 +23,10 @@ from touchpath.operators import quality as Q
 from touchpath.sources import sinks
 
 DAY = "event_date_dt"
-SCHEMA = f"{DAY} date, metric string, n bigint"
+SCHEMA = f"{DAY} date, metric string, n bigint, load bigint"
 ROWS = "rows"
+#: Appended loads from which on a model's table is written anew.
+COMPACT = 60
 
 
 def _failing(model: str) -> dict[str, Column]:
@@ -47,7 +50,9 @@ class DayMetrics:
         return f"{self.root}/dq_metrics/{model}"
 
     def table(self, model: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(self.path(model))
+        """(event_date_dt, metric, n): the counts of each day's last load."""
+        log = self.spark.read.schema(SCHEMA).parquet(self.path(model))
+        return log.groupBy(DAY, "metric").agg(F.max_by("n", "load").alias("n")).where("n > 0")
 
     def observation(self, model: str, days: list[date]) -> tuple[Observation, list[Column]] | None:
         """What a write of ``days`` observes; nothing while the table is missing, or
@@ -68,18 +73,21 @@ class DayMetrics:
         keeps its counts unless the write ``emptied`` it."""
         found = observation.get
         written = [d for d in days if emptied or found[f"{ROWS}|{d.isoformat()}"]]
-        rows = [(d, key.split("|")[0], n) for d in written for key, n in found.items() if key.endswith(d.isoformat()) and n]
-        new = self.spark.createDataFrame(rows, SCHEMA)
-        old = self.table(model)
-        kept = old.where(F.col(DAY).isNull() | ~F.col(DAY).isin(written)) if written else old
-        sinks.write_full(kept.unionByName(new).coalesce(1), self.path(model), partition_by=None)
+        if not written:
+            return
+        rows = [F.struct(F.lit(d).alias(DAY), F.lit(key.split("|")[0]).alias("metric"), F.lit(n).cast("bigint").alias("n"))
+                for d in written for key, n in found.items() if key.endswith(d.isoformat())]
+        new = self.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*", F.lit(time.time_ns()).alias("load"))
+        new.coalesce(1).write.mode("append").parquet(self.path(model))
+        if len(sinks.files(self.spark, self.path(model))) > COMPACT:
+            sinks.write_full(self.table(model).withColumn("load", F.lit(time.time_ns())).coalesce(1), self.path(model), partition_by=None)
 
     def rebuild(self, model: str, table: DataFrame) -> None:
         """The counts of all days of a model's table."""
         metrics = {ROWS: F.lit(True), **_failing(model)}
         per = table.groupBy(DAY).agg(*[F.count_if(cond).alias(name) for name, cond in metrics.items()])
         each = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("n")) for name in metrics])).alias("m")
-        sinks.write_full(per.select(DAY, each).select(DAY, "m.*").where("n > 0").coalesce(1), self.path(model), partition_by=None)
+        sinks.write_full(per.select(DAY, each).select(DAY, "m.*", F.lit(time.time_ns()).alias("load")).coalesce(1), self.path(model), partition_by=None)
 
     def forget(self, model: str) -> None:
         sinks.remove(self.spark, self.path(model))
