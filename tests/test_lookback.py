@@ -171,3 +171,15 @@ def test_an_exchange_planned_twice_gives_no_wrong_value(spark):
             assert got == want
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_scans_inside_a_union(spark):
+    """Two scans in one stage keep their own ranges."""
+    rnd = random.Random(6)
+    parts, want = [], {}
+    for name in ("p", "q"):
+        rows = [(D, f"{name}{i}", rnd.choice(["hot", "a", None]), 1000 + rnd.randrange(5000), 1, None, _t(rnd.choice("xyz")) if rnd.random() < 0.05 else None) for i in range(400)]
+        want |= _brute(rows, 900)
+        parts.append(last_before(spark.createDataFrame(rows, SCHEMA), "user_key", "session_start_time", "session_key", "last_non_null_value_session", "found", 900, 12))
+    out = parts[0].unionByName(parts[1]).collect()
+    assert {r["session_key"]: r["found"] and r["found"].source for r in out} == want

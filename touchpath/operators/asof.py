@@ -45,9 +45,6 @@ def _changes(column: pa.Array) -> np.ndarray:
 def _scanner(by: int, at: int, value: int, names: list[str], within: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The pass over one range; ``by``, ``at`` and ``value`` are column numbers."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        own = TaskContext.get().partitionId()
         carried, opens = None, True
         for batch in batches:
             if not batch.num_rows:
@@ -76,7 +73,7 @@ def _scanner(by: int, at: int, value: int, names: list[str], within: int) -> Cal
             carried = rows.take(pa.array(kept, pa.int64())) if kept else None
             start = np.zeros(batch.num_rows, bool)
             start[0], opens = opens, False
-            yield pa.RecordBatch.from_arrays([*batch.columns, last, pa.array(np.full(batch.num_rows, own, np.int32)), pa.array(start)], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, last, pa.array(start)], names=names)
 
     return scan
 
@@ -85,8 +82,6 @@ def _ender(by: int, at: int, value: int, names: list[str]) -> Callable[[Iterator
     """Key and time of the first row of one range, and its last row with a value
     (and a time), if there is one."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         first = last = None
         for batch in batches:
             if not batch.num_rows:
@@ -96,9 +91,8 @@ def _ender(by: int, at: int, value: int, names: list[str]) -> Callable[[Iterator
             if ok.any():
                 last = batch.slice(int(np.flatnonzero(ok)[-1]), 1)
         if first is not None:
-            own = TaskContext.get().partitionId()
             end = [(pa.nulls(1, first.column(i).type) if last is None else last.column(i)) for i in (by, at, value)]
-            yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), first.column(by), first.column(at), *end], names=names)
+            yield pa.RecordBatch.from_arrays([first.column(first.num_columns - 1), first.column(by), first.column(at), *end], names=names)
 
     return scan
 
@@ -110,11 +104,13 @@ def last_before(df: DataFrame, by: str, at: str, tie: str, value: str, out: str,
     gets none and gives none."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # equal (key, time) stay in one range, so a value of a range before is earlier
-    dealt = df.repartitionByRange(n, by, at).sortWithinPartitions(by, at, tie)
+    # (the expression numbers the exchange's own partitions; a task's number would
+    # count those of other branches of a union, too)
+    dealt = df.repartitionByRange(n, by, at).withColumn(_RANGE, F.spark_partition_id()).sortWithinPartitions(by, at, tie)
     nulls = lambda fields: T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     own = {c: df.columns.index(c) for c in (by, at, value)}
     kind = df.schema[value].dataType
-    scanned = nulls([*df.schema.fields, T.StructField(out, kind), T.StructField(_RANGE, T.IntegerType()), T.StructField("__opens", T.BooleanType())])
+    scanned = nulls([*df.schema.fields, T.StructField(_RANGE, T.IntegerType()), T.StructField(out, kind), T.StructField("__opens", T.BooleanType())])
     key, time = df.schema[by].dataType, df.schema[at].dataType
     ended = nulls([T.StructField(_RANGE, T.IntegerType()), T.StructField("__first_by", key), T.StructField("__first_at", time),
                    T.StructField("__by", key), T.StructField("__at", time), T.StructField("__value", kind)])
