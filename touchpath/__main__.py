@@ -74,6 +74,7 @@ def main(argv=None) -> None:
     run.add_argument("--first-last-days", type=int, default=None,
                      help="sessions that the look-back reads (default: all; too few are refused)")
     run.add_argument("--reload-days", type=int, default=2, help="days reloaded by an incremental run")
+    run.add_argument("--carry-names", action="store_true", help="a campaign without a name keeps its last one, also of earlier days")
     run.add_argument("--allow-missing", action="store_true", help="let wanted days have no shard (a reload empties them)")
     run.add_argument("--shopping-accounts", default="", help="accounts with a shopping_products_<account> table")
     run.add_argument("--source", action="append", default=[], metavar="NAME=PATH",
@@ -125,7 +126,7 @@ def main(argv=None) -> None:
     base_cfg = RunConfig(run_date=args.run_date, site=args.site, first_last_days=args.first_last_days,
                          reload_days=args.reload_days)
     runner = IncrementalRunner(spark, args.out, None, registry.clicks, registry.campaigns, variant=args.variant,
-                               base_cfg=base_cfg, shopping_tables=registry.shopping)
+                               base_cfg=base_cfg, shopping_tables=registry.shopping, carry_names=args.carry_names)
     # a first (full) load reads the widest window any model reads, 120 days;
     # later loads the reload days and what was skipped since the last run
     days = [args.run_date - timedelta(days=i) for i in (1, 2)] if args.dev else runner.reload_days(args.run_date)

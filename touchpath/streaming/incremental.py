@@ -4,7 +4,9 @@ Per run (``run_date`` = today):
 
 * ad click stats   – static overwrite of the reload days by ingestion date (a
                      late click lands beside the earlier ones of its click date)
-* campaign names   – full rebuild; click id -> campaign name is read as a view
+* campaign names   – the reload days and those that enter or leave the model's windows
+                     (or, with carried names, from the kept state on); click id ->
+                     campaign name is read as a view
 * base events      – static overwrite of the reload days by shard date (late hits)
 * silent sessions  – static overwrite of [high-water mark, yesterday]
 * traffic events   – dynamic overwrite of [high-water mark, yesterday]
@@ -40,6 +42,7 @@ from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.session import configure
 from touchpath.sources import sinks
 from touchpath.sources.ads import resolve
+from touchpath.streaming.campaign_state import CampaignNames
 from touchpath.streaming.day_metrics import DayMetrics
 from touchpath.streaming.session_state import FirstLastState
 
@@ -61,6 +64,8 @@ class IncrementalRunner:
     base_cfg: RunConfig | None = None
     # shopping-product tables: read by their day-coverage test alone
     shopping_tables: dict = field(default_factory=dict)
+    # campaign names: the last one that was not NULL, also of earlier days
+    carry_names: bool = False
     # schemas of tables written by this runner: read back without inference
     _schemas: dict = field(default_factory=dict, repr=False)
 
@@ -130,9 +135,8 @@ class IncrementalRunner:
 
         if self.variant == "gclid":
             self.load_clicks(run_date)
-            names = A.ads_campaign_names(sp, self.campaign_tables, RunConfig(run_date=run_date))
-            sinks.write_full(names, self.path("ads_campaign_names"), partition_by="date")
-            self._written("ads_campaign_names", names)
+            names = CampaignNames(sp, self.root, self.campaign_tables, self.carry_names)
+            self._schemas["ads_campaign_names"] = names.advance(run_date, self._cfg(run_date, "ads_campaign_names", []).reload_days)
 
         self.load_base(run_date)
         base_t = self.table("base_events")

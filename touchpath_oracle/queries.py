@@ -133,6 +133,8 @@ FROM u""",
     "adjust_google_params_urlparam": with_chain(f"SELECT {TRAFFIC_COLS}, sk_id FROM adjusted_url"),
     "adjust_google_params_urlparam_all_events": with_chain(f"SELECT {TRAFFIC_COLS}, sk_id FROM adjusted_url_all"),
     "ads_campaign_names_ignore_nulls": with_chain("SELECT * FROM names_nn"),
+    "ads_campaign_names_daily": with_chain("SELECT * FROM names"),
+    "ads_campaign_names_carried": with_chain("SELECT * FROM names_nn"),
     "session_first_last_source_drop_null_keys": with_chain(
         "SELECT event_date_dt, session_key, user_key, session_start_time, event_no, "
         f"{flat('first_value_session', 'first')}, {flat('last_non_null_value_session', 'last')} FROM m5 "
