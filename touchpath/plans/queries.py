@@ -17,6 +17,7 @@ from touchpath.operators import ads as A
 from touchpath.operators import quality as Q
 from touchpath.operators import sessions as S
 from touchpath.operators.base_events import base_events, keyed_events
+from touchpath.operators.dictionary import Dictionary
 from touchpath.operators.reports import sessions_per_channel
 from touchpath.plans.chain import FIXTURE_RUN_DATE, Chain, fixture_chain, fixture_registry
 from touchpath.session import configure, scratch_path
@@ -420,19 +421,38 @@ def q_channel_group_custom(spark, sf):
                                                    F.col("page_pagetype")).alias("channel_group"))
 
 
-def q_channel_group_default(spark, sf):
+def _default_group_rows(spark, sf) -> DataFrame:
     f = fixtures.event_fields(fixtures.load_events(spark, sf))
     cat = F.get(F.array(F.lit(None).cast("string"), F.lit("SOURCE_CATEGORY_SOCIAL"), F.lit("SOURCE_CATEGORY_SHOPPING"),
                         F.lit("SOURCE_CATEGORY_VIDEO"), F.lit("SOURCE_CATEGORY_SEARCH")),
                 (F.col("event_id") % 5).cast("int"))
     # mediums that no event has, for the rules that ask for them
     rare = F.get(F.array(F.lit("cpv"), F.lit("audio"), F.lit("web push")), (F.col("event_id") % 17).cast("int"))
-    x = f.select(F.when(rare.isNotNull(), F.lit("partner")).otherwise(F.col("source")).alias("source"),
-                 F.coalesce(rare, F.col("medium")).alias("medium"), cat.alias("source_category"))
+    return f.select(F.when(rare.isNotNull(), F.lit("partner")).otherwise(F.col("source")).alias("source"),
+                    F.coalesce(rare, F.col("medium")).alias("medium"), cat.alias("source_category"))
+
+
+def q_channel_group_default(spark, sf):
+    x = _default_group_rows(spark, sf)
     x = x.withColumn("channel_group", default_channel_group(F.col("source"), F.col("medium"), F.col("source_category")))
     return x.groupBy("source", "medium", "source_category", "channel_group").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def _group_counts(rows: DataFrame, cols: list[str], rules) -> DataFrame:
+    """Events per tuple and channel group, the rules run once per distinct tuple."""
+    labelled = Dictionary(rows, cols, rules).apply(rows, "channel_group")
+    return labelled.groupBy(*cols, "channel_group").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def q_channel_group_custom_dictionary(spark, sf):
+    adjusted = _chain(spark, sf, variant="urlparam").adjusted
+    return _group_counts(adjusted, ["source", "medium", "campaign", "page_pagetype"], custom_channel_group)
+
+
+def q_channel_group_default_dictionary(spark, sf):
+    return _group_counts(_default_group_rows(spark, sf), ["source", "medium", "source_category"], default_channel_group)
+
+
 CG_FLAT = ["event_date_dt", "session_key", "user_key", "session_start_time", "session_source", "session_medium",
            "session_campaign", "session_page_pagetype", "session_channel_group"]
 

@@ -47,6 +47,18 @@ def day_coverage(name: str, src: str, start: date, end: date) -> str:
 STATIC_GONE = RUN - timedelta(days=2)
 INC_HWM = date(2024, 1, 25)
 
+URL_GROUPS = with_chain(
+    f"SELECT source, medium, campaign, page_pagetype, {custom_case('source', 'medium', 'campaign', 'page_pagetype')} AS channel_group, "
+    "count(*) AS n_events FROM adjusted_url GROUP BY ALL")
+DEFAULT_GROUPS = "WITH " + FIXTURE + """,
+x AS (SELECT CASE WHEN event_id % 17 < 3 THEN 'partner' ELSE source END AS source,
+        CASE event_id % 17 WHEN 0 THEN 'cpv' WHEN 1 THEN 'audio' WHEN 2 THEN 'web push' ELSE medium END AS medium, CASE event_id % 5 WHEN 1 THEN 'SOURCE_CATEGORY_SOCIAL' WHEN 2 THEN 'SOURCE_CATEGORY_SHOPPING'
+        WHEN 3 THEN 'SOURCE_CATEGORY_VIDEO' WHEN 4 THEN 'SOURCE_CATEGORY_SEARCH' END AS source_category FROM ga4)
+SELECT source, medium, source_category, """ + default_case("source", "medium", "source_category") + """ AS channel_group,
+  count(*) AS n_events
+FROM x GROUP BY ALL"""
+
+
 ORACLES: dict[str, str] = {
     "src_event_shards": "WITH " + FIXTURE + "\nSELECT event_date_dt AS shard_date, event_date, event_timestamp, "
                         "event_name, user_id, user_pseudo_id FROM ga4",
@@ -155,13 +167,9 @@ FROM u""",
         "SELECT source, medium, campaign, page_pagetype, "
         f"{custom_case('source', 'medium', 'campaign', 'page_pagetype')} AS channel_group "
         "FROM (SELECT DISTINCT source, medium, campaign, page_pagetype FROM adjusted)"),
-    "channel_group_default": "WITH " + FIXTURE + """,
-x AS (SELECT CASE WHEN event_id % 17 < 3 THEN 'partner' ELSE source END AS source,
-        CASE event_id % 17 WHEN 0 THEN 'cpv' WHEN 1 THEN 'audio' WHEN 2 THEN 'web push' ELSE medium END AS medium, CASE event_id % 5 WHEN 1 THEN 'SOURCE_CATEGORY_SOCIAL' WHEN 2 THEN 'SOURCE_CATEGORY_SHOPPING'
-        WHEN 3 THEN 'SOURCE_CATEGORY_VIDEO' WHEN 4 THEN 'SOURCE_CATEGORY_SEARCH' END AS source_category FROM ga4)
-SELECT source, medium, source_category, """ + default_case("source", "medium", "source_category") + """ AS channel_group,
-  count(*) AS n_events
-FROM x GROUP BY ALL""",
+    "channel_group_custom_dictionary": URL_GROUPS,
+    "channel_group_default_dictionary": DEFAULT_GROUPS,
+    "channel_group_default": DEFAULT_GROUPS,
     "session_channel_groups": with_chain(
         "SELECT event_date_dt, session_key, user_key, session_start_time, session_source, session_medium, session_campaign, "
         f"session_page_pagetype, session_channel_group, {flat('first_value_session', 'first')}, "
