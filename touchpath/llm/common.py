@@ -51,7 +51,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _SCOPES.remove(own)
+        # by identity: scopes that hold the same are equal as lists
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not own]
         for path in own:
             remove(spark, path)
 
