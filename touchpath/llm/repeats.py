@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from touchpath.llm.anchors import blocks
 from touchpath.llm.common import join_groups, parts, stash, utf8
+from touchpath.operators.membership import key_filter, possible_members, with_membership
 
 BLOCKS = "row long, doc_id long, place long, key long, content long"
 #: Least doc_id: stands for null, which ranks below all others.
@@ -55,6 +56,8 @@ class Method:
     #: a window counts as repeated in its first document as well
     everywhere: bool
     hot: int = 8192
+    #: rows of one key that may be counted beside each other in one task
+    beside: int = 1 << 17
 
 
 @dataclass
@@ -115,6 +118,20 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - edge[::2]).tolist()))
 
 
+def _warm(rows: DataFrame, groups: DataFrame, key: list[str], total: int, beside: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Groups that are not hot, but too large to be counted in one task: those of
+    over ``beside`` rows.  There are none below ``beside`` * 1,000 rows in all.
+
+    Returns the rows of such groups, all others, and the groups themselves; a few
+    other groups may come with them, as whole groups (a bitmap of bounded size tells
+    them apart, see ``operators/membership``)."""
+    if total <= beside * 1000:
+        return None
+    words = key_filter(groups.where(F.col("n") > beside), key)
+    return (possible_members(rows, key, words), with_membership(rows, key, words, "_may").where("NOT _may").drop("_may"),
+            possible_members(groups, key, words))
+
+
 def _hot(groups: DataFrame, key: list[str], total: int, value: str | None = None) -> tuple[Column, Column]:
     """Whether a row belongs to one of the groups with over a thousandth of all
     ``total`` rows, and that group's ``value``.  Such groups number under 1,000,
@@ -136,9 +153,15 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     # most keys occur once, and those blocks are done with; rows are counted
     # beside each other, but those of hot keys, which are known beforehand
     total = every.count()
-    hot_key, _ = _hot(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"], total)
-    beside = every.where(~hot_key).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).where("n > 1").drop("n")
-    again = stash(beside.unionByName(every.where(hot_key)), "again", total)
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    hot_key, _ = _hot(keys, ["key"], total)
+    many, few = every.where(hot_key), every.where(~hot_key)
+    warm = _warm(few, keys, ["key"], total, method.beside)
+    if warm:
+        # large groups occur more than once; a few single ones do no harm here
+        many, few = many.unionByName(warm[0]), warm[1]
+    beside = few.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).where("n > 1").drop("n")
+    again = stash(beside.unionByName(many), "again", total)
     n_again = again.count()
 
     # contents: how often, from which document on, and one block that has it
@@ -150,8 +173,16 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     # blocks decided by the count of their content, or by its first document
     hot_content, first_docs = _hot(contents, ["key", "content"], total, "first_doc")
     per = W.partitionBy("key", "content")
-    rows = again.where(~hot_content).withColumn("n", F.count(F.lit(1)).over(per)).withColumn("first_doc", F.min("doc_id").over(per))
+    few = again.where(~hot_content)
+    warm = _warm(few, contents, ["key", "content"], total, method.beside)
+    if warm:
+        # joined by a shuffle whose large partitions AQE splits
+        joined = warm[0].join(warm[2].select("key", "content", "n", "first_doc"), ["key", "content"]).select(*few.columns, "n", "first_doc")
+        few = warm[1]
+    rows = few.withColumn("n", F.count(F.lit(1)).over(per)).withColumn("first_doc", F.min("doc_id").over(per))
     rows = rows.unionByName(again.where(hot_content).withColumn("n", F.lit(total)).withColumn("first_doc", first_docs))
+    if warm:
+        rows = rows.unionByName(joined)
     rows = rows.where("n > 1") if method.everywhere else rows.where("doc_id > first_doc")
     decided = rows.select("row", first_of(F.col("place")).alias("first"), (count_of(F.col("place")) + method.window - 1).alias("length"))
 
@@ -168,8 +199,9 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
         judged = judged.select("key", "content", F.col("first_doc").alias("doc_id"), "at", "windows").join(mine, ["key", "content", "doc_id"])
     part = judged.select("row", (first_of(F.col("place")) + F.col("at")).alias("first"), (F.col("windows") + method.window - 1).alias("length"))
 
-    ranges = decided.unionByName(part).groupBy("row").agg(F.collect_list(F.struct("first", "length")).alias("r"))
-    return ranges.join(names, "row").groupBy("h1", "h2").agg(F.flatten(F.collect_list("r")).alias("ranges"))
+    ranges = decided.unionByName(part).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "length"))).alias("r"))
+    # rows alike in doc_id and text have the same ranges, but for those that represent a content
+    return ranges.join(names, "row").groupBy("h1", "h2").agg(F.flatten(F.collect_set("r")).alias("ranges"))
 
 
 def _cut(docs: DataFrame, rep: DataFrame, names: DataFrame, method: Method) -> DataFrame:
