@@ -301,10 +301,11 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         x, y = at.join(mixed, "key").alias("x"), labelled(hubs(F.col("weight") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))), label).alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & alike("x", "y"))
         pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("m")), tested)
-        found = stash(confirmed(pairs, sets, percent), "links", pairs.count())
+        tries = pairs.count()
+        found = stash(confirmed(pairs, sets, percent), "links", tries)
         links, tested = links.unionByName(found), tested.unionByName(pairs)
         label = components(links, "components", size)
-        if found.count() * 4 < pairs.count():
+        if found.count() * 4 < tries:
             break
 
     # what the stars left apart
@@ -316,17 +317,25 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & near(F.col("x.n"), F.col("y.n"), "x.sketch", "y.sketch")
     pairs = x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     pairs = stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", size)
-    links = links.unionByName(stash(confirmed(pairs, sets, percent), "links", pairs.count()))
+    more, tries = [], pairs.count()
+    if tries:
+        more.append(stash(confirmed(pairs, sets, percent), "links", tries))
     large = at.where(F.col("members") > LARGE)
     if not large.isEmpty():
         hub = hubs(F.col("weight")).select("key", F.col("node").alias("hub"))
         large = stash(large.select("key", "node", "n", "label").join(hub, "key").select("hub", "node", "n", "label").distinct(), "large", size)
-        links = links.unionByName(stash(links_in_large(large, sets, percent), "links", size))
-    label = components(links, "components", size)
+        more.append(stash(links_in_large(large, sets, percent), "links", size))
+    more = [found for found in more if not found.isEmpty()]
+    if more:  # else the components are those of the stars
+        for found in more:
+            links = links.unionByName(found)
+        label = components(links, "components", size)
 
     named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min(F.struct("at", "least_hash")).alias("least"))
-    ids = named.select("component", "set_id", "rows").join(least, "component").select("set_id", "least", "rows")
+    # several branches of the result read it: without a table, each repeats its plan,
+    # and a plan's size is what the driver's memory follows
+    ids = stash(named.select("component", "set_id", "rows").join(least, "component").select("set_id", "least", "rows"), "ids", 4 * total, light=True)
     full = join_groups(rows.where("set_id IS NOT NULL").select("doc_id", "text_hash", "n", "set_id"), ids, "set_id", "rows", total)
     at = F.col("least.at")
     full = full.select("doc_id", "text_hash", "n", F.when(at > low, at).alias("component_id"),

@@ -80,12 +80,13 @@ def balance(counts: DataFrame, goal: DataFrame) -> DataFrame:
         open_ = state.where(~F.col("done"))
         if open_.isEmpty():
             break
-        here = counts.where("size > 0").join(open_.select(F.col("source").alias("_s"), "lam", "mean"), F.col("source").eqNullSafe(F.col("_s")))
+        here = open_.withColumnRenamed("source", "_s").join(counts.where("size > 0"), F.col("source").eqNullSafe(F.col("_s")))
         r = rate(F.col("lam"), F.col("size"), F.col("mean"))
         words = F.col("n") * F.col("size") * r
         slope = F.when(r < CAP, words * F.col("size") / F.col("mean")).otherwise(0.0)
-        sums = here.groupBy("_s").agg(F.sum(words.cast(exact)).cast("double").alias("words"), F.sum(slope.cast(exact)).cast("double").alias("slope"))
-        step = open_.join(sums, F.col("source").eqNullSafe(F.col("_s")))
+        # a source's state goes with its sums, so that it need not be joined again
+        kept = [F.first(c).alias(c) for c in ("source_size", "mean", "target", "lam", "low", "high")]
+        step = here.groupBy("source").agg(F.sum(words.cast(exact)).cast("double").alias("words"), F.sum(slope.cast(exact)).cast("double").alias("slope"), *kept)
         off = F.col("words") - F.col("target")
         low = F.when(off < 0, F.col("lam")).otherwise(F.col("low"))
         high = F.when(off > 0, F.col("lam")).otherwise(F.col("high"))
