@@ -30,7 +30,7 @@ def test_a_step_of_the_dual_joins_once(docs, monkeypatch):
 
 
 def test_near_dedup_names_components_once(docs):
-    # once 17 joins: each branch of the result named the components again
+    # once 16 joins: each branch of the result named the components again
     assert joins(minhash.link_components(docs.select("doc_id", "text"))) <= 6
 
 
