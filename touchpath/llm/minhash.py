@@ -250,7 +250,6 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     """(doc_id, text_hash, n_shingles, component_id, stays) of each row of
     ``docs``; of a component, the text with the least doc_id stays (of several
     such texts, the one with the least hash)."""
-    spark = docs.sparkSession
     rows = stash(features(docs, shingle_words), "features")
     low = F.lit(-(1 << 63))
     first = F.min(F.struct(F.coalesce("doc_id", low).alias("at"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash")))
@@ -280,21 +279,28 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     def hubs(rank: Column) -> DataFrame:
         return shared.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "n")).alias("hub")).select("key", "hub.*")
 
-    def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    def labelled(rows: DataFrame, label: DataFrame | None) -> DataFrame:
+        if label is None:  # each class is still a component of its own
+            return rows.withColumn("label", F.col("node"))
         return rows.join(label.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    def fresh(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    def untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+
+    def also(have: DataFrame | None, more: DataFrame) -> DataFrame:
+        return more if have is None else have.unionByName(more)
+
+    def fresh(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
         """Pairs (a, b, m: their shingles together) that were not tested yet, each once,
         as far as their sketches leave a link possible."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m").distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = untested(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m").distinct(), tested)
         side = lambda at, out: sketches.select(F.col("node").alias(at), F.col("sketch").alias(out))
         both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(near(F.col("m"), F.lit(0), "x", "y"))
         return stash(both.select("a", "b"), "pairs", size)
 
     # stars: the first hub is the weightiest class, a text the others derive
     # from; later ones are drawn anew in each bucket
-    links = spark.createDataFrame([], "a long, b long")
-    tested, label = links, links.selectExpr("a AS node", "b AS component")
+    links = tested = label = None
     for turn in range(STARS):
         at = labelled(shared, label)
         mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
@@ -303,7 +309,7 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         pairs = fresh(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("m")), tested)
         tries = pairs.count()
         found = stash(confirmed(pairs, sets, percent), "links", tries)
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
+        links, tested = also(links, found), also(tested, pairs)
         label = components(links, "components", size)
         if found.count() * 4 < tries:
             break
@@ -316,7 +322,7 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     x, y = small.alias("x"), small.alias("y")
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & alike("x", "y") & near(F.col("x.n"), F.col("y.n"), "x.sketch", "y.sketch")
     pairs = x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pairs = stash(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", size)
+    pairs = stash(untested(pairs, tested), "pairs", size)
     more, tries = [], pairs.count()
     if tries:
         more.append(stash(confirmed(pairs, sets, percent), "links", tries))
@@ -328,10 +334,10 @@ def link_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     more = [found for found in more if not found.isEmpty()]
     if more:  # else the components are those of the stars
         for found in more:
-            links = links.unionByName(found)
+            links = also(links, found)
         label = components(links, "components", size)
 
-    named = classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = labelled(classes.select("set_id", "node", "at", F.col("text_hash").alias("least_hash"), "rows"), label).withColumnRenamed("label", "component")
     least = named.groupBy("component").agg(F.min(F.struct("at", "least_hash")).alias("least"))
     # several branches of the result read it: without a table, each repeats its plan,
     # and a plan's size is what the driver's memory follows

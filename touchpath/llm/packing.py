@@ -18,8 +18,9 @@ empty table gives an empty result; repeated rows are packed each by itself.
 from __future__ import annotations
 
 import base64
+from array import array
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -131,12 +132,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return list(groups.items())
 
 
-def _reach(lengths: list[int], counts: dict[int, int], space: int) -> list[int]:
+def _reach(lengths: list[int], counts: Sequence[int] | dict[int, int], space: int) -> list[int]:
     """For each place in ``lengths`` (descending): the sums up to ``space`` that
     the lengths from there on reach, as bits."""
     full = (1 << (space + 1)) - 1
     out = [1]
     for x in reversed(lengths):
+        if out[-1] == full:  # one number for all places that reach everything
+            out.append(out[-1])
+            continue
         sums, left, k = out[-1], min(counts[x], space // x), 1
         while left:
             take = min(k, left)
@@ -157,7 +161,7 @@ def _smear(bits: int, most: int) -> int:
     return bits
 
 
-def fillings(lengths: list[int], counts: dict[int, int], space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+def fillings(lengths: list[int], counts: Sequence[int] | dict[int, int], space: int, waste: int) -> Iterator[tuple[int, ...] | None]:
     """All undominated fillings of ``space`` that leave ``waste`` of it at most,
     the fullest first and of equal sums the one with larger pieces first.
 
@@ -184,7 +188,9 @@ def fillings(lengths: list[int], counts: dict[int, int], space: int, waste: int)
         reach = reach or _reach(usable, counts, space)
         if not reach[0] >> goal & 1:
             continue
-        index = {x: i for i, x in enumerate(usable)}
+        index = array("l", [0]) * (usable[0] + 1 if usable else 1)
+        for i, x in enumerate(usable):
+            index[x] = i
 
         def whole(used: tuple[int, ...], free: int) -> bool:
             """No piece outside can replace pieces that are forced."""
@@ -247,10 +253,10 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     least = -(-total // capacity)
     order = sorted(counts, reverse=True)
 
-    def expand(left: dict[int, int], waste: int) -> Iterator[tuple[tuple[int, ...], int] | None]:
+    def expand(left: list[int], waste: int) -> Iterator[tuple[tuple[int, ...], int] | None]:
         top = next(x for x in order if left[x])
-        have = dict(left)
-        beside = {**have, top: have[top] - 1}
+        beside = left[:]
+        beside[top] -= 1
         again = False
         for fewer in (False, True):
             if fewer and not again:
@@ -260,15 +266,17 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
                     yield None
                     continue
                 pattern = (top, *f)
-                n = min(have[x] // pattern.count(x) for x in set(pattern))
+                n = min((beside[x] + (x == top)) // pattern.count(x) for x in set(pattern))
                 spare = capacity - sum(pattern)
                 n = min(n, waste // spare) if spare else n
                 again = again or n > 1
                 for k in range(n - 1, 0, -1) if fewer else (n,):
                     yield pattern, k
 
-    left, made, waste, seen = dict(counts), [], 0, 0
-    remaining = sum(left.values())
+    # pieces left of each length: as many nodes are open at once as there are
+    # patterns, and each keeps a copy, which as a list is small
+    left, made, waste, seen = [counts.get(x, 0) for x in range(order[0] + 1)], [], 0, 0
+    remaining = sum(left)
     stack: list[list] = []  # open choices: [untried patterns, patterns made, waste]
     dead = False
     while best_n > least:
