@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchpath.session import shuffle_width
+
 # the pass travels to the executors by value: workers need pyarrow, not this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -102,7 +104,7 @@ def last_before(df: DataFrame, by: str, at: str, tie: str, value: str, out: str,
     ``by`` (NULL is a key, too) whose ``at`` lies 1 to ``within`` earlier; of several
     such rows at one time, the one with the greatest ``tie``.  A row without ``at``
     gets none and gives none."""
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or shuffle_width(df.sparkSession)
     # equal (key, time) stay in one range, so a value of a range before is earlier
     # (the expression numbers the exchange's own partitions; a task's number would
     # count those of other branches of a union, too)

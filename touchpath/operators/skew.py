@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchpath.operators.membership import key_filter, with_membership
+from touchpath.session import shuffle_width
 
 _K, _KN, _B = "__k", "__k_null", "__b"
 #: Slices of a bucket that holds a hot key's rows, and the rows from which on a
@@ -87,7 +88,7 @@ def left_join_nonnull(left: DataFrame, right: DataFrame, on: list[str],
     has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     other = [c for c in left.columns if c not in on]
     plain = [c for c, t in left.dtypes if not t.startswith(("array", "map", "struct")) and c not in on]
-    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_width(left.sparkSession)
     salt = F.when(has_null, F.pmod(F.xxhash64(*plain), F.lit(n))).otherwise(F.lit(0))
     # always 0, but not a constant to the optimizer: a constant would leave the
     # key alone to hash on

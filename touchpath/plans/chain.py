@@ -23,11 +23,15 @@ from touchpath.operators import ads as A
 from touchpath.operators import sessions as S
 from touchpath.operators.base_events import base_events, keyed_events
 from touchpath.operators.reports import daily_sessions
-from touchpath.session import configure
+from touchpath.session import configure, size_shuffles
 from touchpath.sources import fixtures
 from touchpath.sources.ads import SourceRegistry
 
 FIXTURE_RUN_DATE = date(2024, 1, 31)
+#: Rows of a stored model's file.  Its rows are narrow, so a split by bytes alone
+#: would hold the more rows the better they compress; each file takes at least
+#: ``spark.sql.files.openCostInBytes`` of a split.
+MODEL_FILE_ROWS = 100_000
 
 
 @dataclass
@@ -62,7 +66,7 @@ class Chain:
             return df
         from touchpath.session import scratch_path
         path = scratch_path(self.spark, f"model-{name}")
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", MODEL_FILE_ROWS).parquet(path)
         self._stored.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -206,6 +210,7 @@ def fixture_chain(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None
     """The chain over GA4- and Ads-shaped tables derived from ``events``."""
     configure(spark)
     paths = fixtures.materialise(spark, sf_dir)
+    size_shuffles(spark, paths["rows"])
     registry = fixture_registry(spark, sf_dir)
     return Chain(spark=spark, raw_events=fixtures.read_table(spark, paths, paths["events"]), click_tables=registry.clicks,
                  campaign_tables=registry.campaigns, cfg=cfg or RunConfig(run_date=FIXTURE_RUN_DATE), **kw)

@@ -204,14 +204,14 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXPORT_TASK_ROWS = 100_000
 
 
-def dealt(events: DataFrame) -> DataFrame:
-    """``events`` by ranges of time, of :data:`EXPORT_TASK_ROWS` rows about each.
+def dealt(events: DataFrame, rows: int) -> DataFrame:
+    """``events``, ``rows`` of them, by ranges of time, of :data:`EXPORT_TASK_ROWS` rows about each.
 
     A file split holds the more rows the larger the file; nested, those would be
     sorted by one task.  The flat rows are dealt, which are a tenth as wide; a range
     has few days, so a day's folder gets as many files as its rows need.
     """
-    n = -(-events.count() // EXPORT_TASK_ROWS)
+    n = -(-rows // EXPORT_TASK_ROWS)
     flat = events.select("event_id", "ts", "user_id", "event_type", "props")
     return flat.repartitionByRange(max(n, 1), "ts", "event_id", "user_id", "event_type", "props")
 
@@ -236,8 +236,8 @@ def materialise(spark: SparkSession, sf_dir: str) -> dict:
         return hit
     root = scratch_path(spark, "fixture")
     ev = load_events(spark, sf_dir)
-    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}, "shopping": {}, "schemas": {}}
-    g = ga4_events(dealt(ev))
+    paths = {"events": f"{root}/ga4_events", "clicks": {}, "campaigns": {}, "shopping": {}, "schemas": {}, "rows": ev.count()}
+    g = ga4_events(dealt(ev, paths["rows"]))
     g.write.mode("overwrite").partitionBy("shard_date").parquet(paths["events"])
     paths["schemas"][paths["events"]] = g.schema.json()
     for kind, tables in (("clicks", ads_click_stats(ev)), ("campaigns", ads_campaigns(ev)), ("shopping", ads_shopping_products(ev))):
