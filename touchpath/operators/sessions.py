@@ -56,17 +56,15 @@ def ordered_string_agg(df: DataFrame, keys: list[str], text: str, order: list[st
 
     ``listagg`` sorts a group in one task, so it runs per bucket of ``width`` units
     of the first order column, and then joins the buckets' lists: of a hot key, a
-    task sorts one bucket, and the last step meets one list per bucket.
+    task sorts one bucket, and the last step meets one list per bucket.  ``listagg``
+    skips NULLs and is NULL of none, so rows without ``text`` stay for their keys.
     """
     quoted = lambda c: f"`{c}`"
     joined = lambda c, by: F.expr(f"listagg({quoted(c)}, {sep!r}) WITHIN GROUP (ORDER BY {by})")
     by = ", ".join(f"{quoted(c)} ASC NULLS FIRST" for c in order)
-    cut = df.where(F.col(text).isNotNull()).withColumn("__bucket", F.floor(F.col(order[0]) / F.lit(width)))
+    cut = df.withColumn("__bucket", F.floor(F.col(order[0]) / F.lit(width)))
     lists = cut.groupBy(*keys, "__bucket").agg(joined(text, by).alias("__list"))
-    found = lists.groupBy(*keys).agg(joined("__list", "`__bucket` ASC NULLS FIRST").alias(out))
-    groups = df.select(*keys).distinct()
-    same = [groups[k].eqNullSafe(found[k]) for k in keys]
-    return groups.join(found, same, "left").select(*[groups[k] for k in keys], out)
+    return lists.groupBy(*keys).agg(joined("__list", "`__bucket` ASC NULLS FIRST").alias(out))
 
 
 def non_pageview_sessions(base: DataFrame, cfg: RunConfig) -> DataFrame:

@@ -5,6 +5,7 @@ derived from the driver's ``events`` (and ``pages``).  Outputs are flat
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -306,11 +307,11 @@ def q_ordered_string_agg(spark, sf):
         F.when(F.col("event_name") == "page_view", F.col("event_name")).alias("marker"))
     lists = [S.ordered_string_agg(ev, keys, text, ["event_timestamp", text], out, sep)
              for text, out, sep in (("marker", "has_pageview", ","), ("event_name", "event_names", ","), ("page_path", "page_paths", " > "))]
-    out = lists[0]
-    for other in lists[1:]:
-        cols = [*out.columns, other.columns[-1]]
-        out = out.join(other, [out[k].eqNullSafe(other[k]) for k in keys]).select(*[out[c] for c in out.columns], other[cols[-1]])
-    return out
+    # each has one row per key: put side by side by one grouping (one sort a task,
+    # where joins hold one per side)
+    names = [df.columns[-1] for df in lists]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
 
 
 def q_join_gclid_campaign(spark, sf):
